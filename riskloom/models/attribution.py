@@ -8,41 +8,64 @@ depends only on which of these tests the row passes. So every leaf gets a table
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+import sys
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 from math import factorial
 
 import numpy as np
+import pandas as pd
+from pyspark import cloudpickle
+
+# The kernel travels inside the task, so executors need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+
+def contributions(explainer: dict, x: np.ndarray) -> np.ndarray:
+    """Contribution of each feature (rows x features) to the log-odds of class 1."""
+    cuts, leaves = explainer["cuts"], explainer["leaves"]
+    bins = {}
+    for f in {f for features, _, _ in leaves for f in features}:
+        bins[f] = np.searchsorted(cuts[f], x[:, f]) if f in cuts else x[:, f].astype(np.int64)
+    out = np.zeros((explainer["n_features"], len(x)))
+    for features, allowed, table in leaves:
+        passed = np.zeros(len(x), dtype=np.int64)
+        for j, f in enumerate(features):
+            passed |= allowed[j][bins[f]].astype(np.int64) << j
+        for j, f in enumerate(features):
+            out[f] += table[:, j][passed]
+    return out.T
+
+
+def explain_batches(shared, keys: list[str], features: list[str], text: list[bool], top_k: int | None) -> Callable:
+    """Function for ``mapInPandas``: vector ``x`` and values ``v_<feature>`` in, strongest drivers out."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        names = np.array(features, dtype=object)
+        for batch in batches:
+            if batch.empty:
+                continue
+            parts = contributions(shared.value, np.stack(batch["x"].to_numpy()))
+            order = np.argsort(-np.abs(parts), axis=1, kind="stable")[:, :top_k]
+            values = [batch[f"v_{f}"].to_numpy(dtype=object, na_value=None) for f in features]
+            yield pd.DataFrame(
+                {
+                    **{c: batch[c] for c in keys},
+                    "feature": list(names[order]),
+                    "feature_value": [
+                        [_value_text(values[j][row], text[j]) for j in picks] for row, picks in enumerate(order)
+                    ],
+                    "contribution": list(np.take_along_axis(parts, order, axis=1)),
+                }
+            )
+
+    return run
 
 
-@dataclass
-class Leaf:
-    features: list[int]
-    allowed: list[np.ndarray]
-    table: np.ndarray
-
-
-@dataclass
-class TreeExplainer:
-    cuts: dict[int, np.ndarray]
-    leaves: list[Leaf]
-    base: float
-    n_features: int
-
-    def contributions(self, x: np.ndarray) -> np.ndarray:
-        """Contribution of each feature (rows x features) to the log-odds of class 1."""
-        bins = {}
-        for f in {f for leaf in self.leaves for f in leaf.features}:
-            column = x[:, f]
-            bins[f] = np.searchsorted(self.cuts[f], column) if f in self.cuts else column.astype(np.int64)
-        out = np.zeros((self.n_features, len(x)))
-        for leaf in self.leaves:
-            passed = np.zeros(len(x), dtype=np.int64)
-            for j, f in enumerate(leaf.features):
-                passed |= leaf.allowed[j][bins[f]].astype(np.int64) << j
-            for j, f in enumerate(leaf.features):
-                out[f] += leaf.table[:, j][passed]
-        return out.T
+def _value_text(value, text: bool) -> str | None:
+    if value is None or text:
+        return value
+    return f"{value:.6f}".rstrip("0").rstrip(".")
 
 
 @lru_cache(maxsize=None)
@@ -70,9 +93,13 @@ def _leaf_table(value: float, ratios: np.ndarray) -> np.ndarray:
     return value * (_shapley_weights(k) @ worth)
 
 
-def build_explainer(nodes: list[dict], tree_weights: list[float], n_features: int) -> TreeExplainer:
-    """``nodes``: one dict per tree node (tree, id, prediction, cover, left, right, feature,
-    categories_or_threshold, n_categories); n_categories is -1 for a threshold."""
+def build_explainer(nodes: list[dict], tree_weights: list[float], n_features: int) -> dict:
+    """Leaf tables of a model, as plain arrays that can be broadcast.
+
+    ``nodes``: one dict per tree node (tree, id, prediction, cover, left, right, feature, split,
+    n_categories). ``split`` holds the categories that go left, or one threshold when
+    ``n_categories`` is -1. ``base`` is the mean margin without any knowledge of the row.
+    """
     trees: dict[int, dict[int, dict]] = {}
     thresholds: dict[int, set[float]] = {}
     sizes: dict[int, int] = {}
@@ -90,7 +117,7 @@ def build_explainer(nodes: list[dict], tree_weights: list[float], n_features: in
             return np.arange(len(cuts[node["feature"]]) + 1) <= np.searchsorted(cuts[node["feature"]], node["split"][0])
         return np.isin(np.arange(sizes[node["feature"]]), node["split"])
 
-    leaves: list[Leaf] = []
+    leaves: list[tuple] = []
     base = 0.0
     for tree, by_id in trees.items():
         scale = 2.0 * tree_weights[tree]  # the margin counts twice in the log-odds
@@ -103,7 +130,7 @@ def build_explainer(nodes: list[dict], tree_weights: list[float], n_features: in
                 if allowed:
                     features = sorted(allowed)
                     table = _leaf_table(value, np.array([ratio[f] for f in features]))
-                    leaves.append(Leaf(features, [allowed[f] for f in features], table))
+                    leaves.append((features, [allowed[f] for f in features], table))
                 continue
             f, left = node["feature"], goes_left(node)
             for child, passes in ((by_id[node["left"]], left), (by_id[node["right"]], ~left)):
@@ -114,4 +141,4 @@ def build_explainer(nodes: list[dict], tree_weights: list[float], n_features: in
                         {**ratio, f: ratio.get(f, 1.0) * child["cover"] / node["cover"]},
                     )
                 )
-    return TreeExplainer(cuts, leaves, base, n_features)
+    return {"cuts": cuts, "leaves": leaves, "base": base, "n_features": n_features}

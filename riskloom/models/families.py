@@ -8,12 +8,9 @@ explained rows the attributions and model name on top.
 from __future__ import annotations
 
 import time
-from collections.abc import Iterator
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
-import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml import PipelineModel
@@ -26,7 +23,7 @@ from pyspark.sql import functions as F
 
 from riskloom.errors import ConfigError, TrainingError
 from riskloom.functions.drivers import DRIVER_TYPE, number_text
-from riskloom.models.attribution import TreeExplainer, build_explainer
+from riskloom.models.attribution import build_explainer, explain_batches
 from riskloom.models.prepare import GeoFacts, encoder, geo_facts, is_text, rows_of_geo, slots, training_rows
 from riskloom.operators.routing import route_to_geos
 from riskloom.operators.scorecard import STAGE_COLUMNS, Scorecard, linear_stage, score_with
@@ -89,6 +86,7 @@ class FittedFamily:
         @inheritable_thread_target(spark)
         def one(geo: str) -> None:
             started = time.monotonic()
+            spark.sparkContext.setLocalProperty("spark.scheduler.pool", f"fit-{geo}")
             try:
                 self._fit_geo(history, geo)
             except Exception as error:  # noqa: BLE001 - the message goes to the run log
@@ -121,7 +119,7 @@ class FittedFamily:
         self.models[geo] = fitted
 
     def _fit_rows(self, encoded: DataFrame, categories: int, has_eval: bool, geo: str):
-        return self.estimator(categories, has_eval).fit(encoded)
+        raise NotImplementedError
 
     def model_path(self, geo: str) -> str:
         return f"{self.path}/{self.prefix}/{geo}"
@@ -150,15 +148,16 @@ class TreeFamily(FittedFamily):
 
     prefix = "btree"
 
-    def __init__(self, path: str, rounds: int = 100, depth: int = 6, **kwargs):
+    def __init__(self, path: str, rounds: int = 100, depth: int = 6, early_stop: bool = True, **kwargs):
         super().__init__(path, **kwargs)
         self.rounds = rounds
         self.depth = depth
+        self.early_stop = early_stop
         self.curves: dict[str, list[tuple[int, float, float | None]]] = {}
         self.want_curves = False
 
     def estimator(self, categories: int, has_eval: bool) -> GBTClassifier:
-        stopping = {"validationIndicatorCol": "is_eval", "validationTol": 0.005} if has_eval else {}
+        stopping = {"validationIndicatorCol": "is_eval", "validationTol": 0.005} if has_eval and self.early_stop else {}
         return GBTClassifier(
             labelCol="target",
             weightCol="class_weight",
@@ -173,7 +172,8 @@ class TreeFamily(FittedFamily):
         )
 
     def _fit_rows(self, encoded: DataFrame, categories: int, has_eval: bool, geo: str):
-        model = super()._fit_rows(encoded, categories, has_eval, geo)
+        rows = encoded if has_eval and self.early_stop else encoded.filter(~F.col("is_eval"))
+        model = self.estimator(categories, has_eval).fit(rows)
         if self.want_curves:
             train = model.evaluateEachIteration(encoded.filter(~F.col("is_eval")))
             held = model.evaluateEachIteration(encoded.filter("is_eval")) if has_eval else [None] * len(train)
@@ -187,7 +187,7 @@ class TreeFamily(FittedFamily):
         kinds = [pa.string(), pa.int64(), pa.float64(), pa.float64(), pa.float64()]
         return local_table(spark, {n: pa.array([r[i] for r in flat], k) for i, (n, k) in enumerate(zip(names, kinds))})
 
-    def explainer(self, spark: SparkSession, geo: str) -> TreeExplainer:
+    def explainer(self, spark: SparkSession, geo: str) -> dict:
         """Read the saved trees. Their size is bounded by rounds x 2^(depth+1) nodes."""
         stage = len(self.models[geo].stages) - 1
         trees = self.models[geo].stages[-1]
@@ -223,7 +223,7 @@ class TreeFamily(FittedFamily):
             )
             shared = spark.sparkContext.broadcast(self.explainer(spark, geo))
             out = scored.mapInPandas(
-                _explain_batches(shared, features, [is_text(own, f) for f in features], top_k),
+                explain_batches(shared, SCORE_COLUMNS, features, [is_text(own, f) for f in features], top_k),
                 "geo string, EMP_ID string, YEAR_MONTH bigint, target bigint, risk_score double, "
                 "feature array<string>, feature_value array<string>, contribution array<double>",
             )
@@ -237,36 +237,6 @@ class TreeFamily(FittedFamily):
         return reduce(DataFrame.unionByName, parts)
 
 
-def _explain_batches(shared, features: list[str], text: list[bool], top_k: int | None):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        explainer = shared.value
-        names = np.array(features, dtype=object)
-        for batch in batches:
-            if batch.empty:
-                continue
-            parts = explainer.contributions(np.stack(batch["x"].to_numpy()))
-            order = np.argsort(-np.abs(parts), axis=1, kind="stable")[:, :top_k]
-            values = [batch[f"v_{f}"].to_numpy(dtype=object, na_value=None) for f in features]
-            yield pd.DataFrame(
-                {
-                    **{c: batch[c] for c in SCORE_COLUMNS},
-                    "feature": list(names[order]),
-                    "feature_value": [
-                        [_value_text(values[j][row], text[j]) for j in picks] for row, picks in enumerate(order)
-                    ],
-                    "contribution": list(np.take_along_axis(parts, order, axis=1)),
-                }
-            )
-
-    return run
-
-
-def _value_text(value, text: bool) -> str | None:
-    if value is None or text:
-        return value
-    return f"{value:.6f}".rstrip("0").rstrip(".")
-
-
 class LinearFamily(FittedFamily):
     """Logistic regression with L2 penalty; explained with plain columns."""
 

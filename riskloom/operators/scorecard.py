@@ -38,14 +38,19 @@ def contribution(w: Weight) -> Column:
     return F.coalesce(F.lit(w.weight) * (x - F.lit(w.mean)) / F.lit(w.scale), F.lit(0.0))
 
 
-def score_with(df: DataFrame, card: Scorecard, top_k: int | None = 10) -> DataFrame:
-    """Score routed rows (column ``geo``) and keep the strongest contributions."""
+def score_with(df: DataFrame, card: Scorecard, top_k: int | None = 10, carry: tuple[str, ...] = ()) -> DataFrame:
+    """Score routed rows (column ``geo``) and keep the strongest contributions and ``carry``."""
     parts = [(w.feature, number_text(F.col(w.feature)), contribution(w)) for w in card.weights]
-    return linear_stage(df, card.name, F.lit(card.intercept), parts, top_k)
+    return linear_stage(df, card.name, F.lit(card.intercept), parts, top_k, carry)
 
 
 def linear_stage(
-    df: DataFrame, model_name: str, intercept: Column, parts: list[tuple[str, Column, Column]], top_k: int | None
+    df: DataFrame,
+    model_name: str,
+    intercept: Column,
+    parts: list[tuple[str, Column, Column]],
+    top_k: int | None,
+    carry: tuple[str, ...] = (),
 ) -> DataFrame:
     """Stage rows from (feature, value as text, contribution) triples."""
     slim = df.select(
@@ -53,6 +58,7 @@ def linear_stage(
         "EMP_ID",
         "YEAR_MONTH",
         "target",
+        *carry,
         *[c.alias(f"c_{name}") for name, _, c in parts],
         *[v.alias(f"v_{name}") for name, v, _ in parts],
     )
@@ -77,4 +83,5 @@ def linear_stage(
         (F.lit(1.0) / (F.lit(1.0) + F.exp(-margin))).alias("risk_score"),
         strongest(drivers, top_k).alias("attributions"),
         F.concat(F.lit(f"{model_name}_"), F.lower("geo")).alias("model_name"),
+        *carry,
     )

@@ -22,7 +22,7 @@ from riskloom.plans.monthly import monthly_run, read_feed, read_summary
 from riskloom.plans.tuning import pooled_challenger, search
 from riskloom.sources import snapshots as snap
 from riskloom.sources.files import column_table
-from riskloom.sources.scratch import fix_small, scratch_dir
+from riskloom.sources.scratch import fix_small, save_scratch, scratch_dir
 from riskloom.sources.tables import create_outputs, read_table, table_list
 
 MONTH = snap.SCORING_MONTH
@@ -377,10 +377,8 @@ def driver_drift(spark, sf):
 
 
 def fairness_rates(spark, sf):
-    rows = test_rows(spark, sf)
-    groups = rows.select("EMP_ID", "YEAR_MONTH", "MKT_SEGMENT")
-    named = buckets.assign_bucket(test_scores(spark, sf).drop("attributions"), eval_thresholds(spark, sf))
-    rates = quality.fairness_rates(named.join(groups, ["EMP_ID", "YEAR_MONTH"]), "MKT_SEGMENT")
+    rows = score_with(routed(test_rows(spark, sf)), CARD, carry=("MKT_SEGMENT",)).drop("attributions")
+    rates = quality.fairness_rates(buckets.assign_bucket(rows, eval_thresholds(spark, sf)), "MKT_SEGMENT")
     return rounded(rates, "red_share", "flagged_share", "event_rate", "flagged_hit_rate", "false_alarm_rate", "red_share_gap")
 
 
@@ -464,7 +462,7 @@ def checks_run(spark, sf):
 
 def checks_feed(spark, sf):
     stage = month_stage(spark, sf)
-    employee = risk.employee_risk(stage, month_thresholds(spark, sf))
+    employee = save_scratch(risk.employee_risk(stage, month_thresholds(spark, sf)), "employee")
     alerts = feed.ews_feed(employee, risk.variable_risk(stage))
     return checks.checks_feed(MONTH, alerts, employee, feed.ews_summary(employee), {"T505": load_facts(spark, sf)["T108"]})
 
@@ -523,7 +521,7 @@ def _models(spark) -> str:
 
 
 def _trees(spark, sf, rounds: int = 10, depth: int = 4, curves: bool = False) -> TreeFamily:
-    family = TreeFamily(_models(spark), rounds=rounds, depth=depth)
+    family = TreeFamily(_models(spark), rounds=rounds, depth=depth, early_stop=False)
     family.want_curves = curves
     return _fit(spark, sf, family)
 
