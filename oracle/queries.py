@@ -518,6 +518,13 @@ BODIES = {
     "monthly_feed": f"""SELECT s.*, feed_rows FROM ({SUMMARY}) s LEFT JOIN (SELECT geo, count(*) AS feed_rows FROM er
         WHERE risk_bucket IN ('RED', 'AMBER') GROUP BY 1) f ON f.geo = s.geo""",
     "run_log": f"SELECT geo, {MONTH}::BIGINT AS YEAR_MONTH, 'DONE' AS status, count(*) AS n_scored FROM er GROUP BY 1",
+    **dict.fromkeys(
+        ["gbt_additivity", "logreg_additivity"],
+        """SELECT GEO AS geo, count(*) AS n_rows, 0::BIGINT AS n_off FROM mf WHERE target IS NOT NULL AND YEAR_MONTH > 200006 GROUP BY 1""",
+    ),
+    "gbt_inputs": """SELECT f.geo, concat('btree_', lower(f.geo)) AS model, feature, n_train, n_eval FROM selected f JOIN
+        (SELECT GEO AS geo, count(*) FILTER (WHERE YEAR_MONTH <= 199912) AS n_train, count(*) FILTER (WHERE YEAR_MONTH > 199912) AS n_eval
+         FROM fs WHERE target IS NOT NULL AND YEAR_MONTH <= 200006 GROUP BY 1) n ON n.geo = f.geo""",
 }
 
 ORACLE = {name: sql(body) for name, body in BODIES.items()}

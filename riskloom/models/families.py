@@ -205,6 +205,10 @@ class TreeFamily(FittedFamily):
         )
         return build_explainer([r.asDict() for r in rows.collect()], list(trees.treeWeights), len(self.slots[geo]))
 
+    def bases(self, spark: SparkSession) -> dict[str, float]:
+        """Log-odds per geo without any knowledge of the row."""
+        return {geo: self.explainer(spark, geo)["base"] for geo in self.models}
+
     def explain(self, rows: DataFrame, top_k: int | None = 10) -> DataFrame:
         spark = rows.sparkSession
         parts = []
@@ -258,6 +262,14 @@ class LinearFamily(FittedFamily):
         self.moments[geo] = (list(found["mean"]), list(found["std"]))
         return self.estimator(categories, has_eval).fit(train)
 
+    def _base(self, geo: str) -> float:
+        model = self.models[geo].stages[-1]
+        return float(model.intercept) + sum(float(c) * m for c, m in zip(model.coefficients, self.moments[geo][0]))
+
+    def bases(self, spark: SparkSession) -> dict[str, float]:
+        """Log-odds per geo of a row that equals the training means."""
+        return {geo: self._base(geo) for geo in self.models}
+
     def weights(self, spark: SparkSession) -> DataFrame:
         """Coefficient x standard deviation per input; the intercept is left out."""
         flat = []
@@ -284,7 +296,7 @@ class LinearFamily(FittedFamily):
             }
             coefficients = [float(c) for c in stages[-1].coefficients]
             means = self.moments[geo][0]
-            intercept = float(stages[-1].intercept) + sum(c * m for c, m in zip(coefficients, means))
+            intercept = self._base(geo)
             terms, at = [], 0
             for f in self.lists[geo]:
                 if f in labels:
@@ -320,6 +332,21 @@ def _slot_names(model: PipelineModel, features: list[str], positions: list[str])
     return names
 
 
+def additivity(stage: DataFrame, bases: dict[str, float], tolerance: float = 1e-6) -> DataFrame:
+    """Rows per geo, and how many whose contributions do not add up to their log-odds.
+
+    ``stage`` must hold all contributions.
+    """
+    base = F.lit(None).cast("double")
+    for geo, value in bases.items():
+        base = F.when(F.col("geo") == geo, value).otherwise(base)
+    total = F.aggregate("attributions", base, lambda acc, d: acc + d["contribution"])
+    gap = F.abs(total - F.log(F.col("risk_score") / (1 - F.col("risk_score"))))
+    return stage.groupBy("geo").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_if(gap.isNull() | (gap > tolerance)).alias("n_off")
+    )
+
+
 def model_inputs(spark: SparkSession, family) -> DataFrame:
     """Inputs of every model as rows (model, feature)."""
     pairs = [(m, f) for m, fs in sorted(family.inputs().items()) for f in fs]

@@ -60,7 +60,7 @@ def backtest(inputs: Inputs, families: list, train_end: int, eval_end: int) -> B
     explained = save_scratch(primary.explain(validation, top_k=None), "validation")
     return Backtest(
         predictions,
-        calibrate(explained.select("geo", "risk_score"), inputs.rules),
+        calibrate(explained.select("geo", "risk_score"), inputs.active_rules()),
         evaluate(predictions),
         geo_drivers(explained),
         primary.prefix,

@@ -5,6 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from riskloom.operators.features import (
     config_guard,
@@ -35,6 +36,11 @@ class Inputs:
         flags = feature_flags(self.feature_config, geo_names(self.geo_config))
         return selected_features(flags, self.features(), self.exclusions)
 
+    def active_rules(self) -> DataFrame:
+        """Bucket rules of the configured geos."""
+        names = self.geo_config.select(F.col("GEO").alias("geo"))
+        return self.rules.join(names, "geo", "left_semi")
+
     def checked_lists(self) -> dict[str, list[str]]:
         """Feature lists of all geos; raises ConfigError if any geo is not usable."""
         selected = self.selected()

@@ -60,7 +60,7 @@ def monthly_run(
         family.raise_errors()
 
     window = save_scratch(family.explain(calibration_rows(features, month), top_k=None), "window")
-    thresholds = calibrate(window.select("geo", "risk_score"), inputs.rules).filter(~F.col("geo").isin(list(failed)))
+    thresholds = calibrate(window.select("geo", "risk_score"), inputs.active_rules()).filter(~F.col("geo").isin(list(failed)))
     stage = save_scratch(family.explain(features.filter(F.col("YEAR_MONTH") == month)), "stage")
 
     stamp = F.lit(started).cast("timestamp").alias("scored_at")

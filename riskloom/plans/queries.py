@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom.functions.dates import shift_month
-from riskloom.models.families import LinearFamily, ScorecardFamily, TreeFamily, model_inputs
+from riskloom.models.families import LinearFamily, ScorecardFamily, TreeFamily, additivity, model_inputs
 from riskloom.operators import buckets, checks, drift, evaluate, features, feed, quality, risk, routing
 from riskloom.operators.scorecard import Scorecard, Weight, score_with
 from riskloom.plans import scenarios
@@ -558,6 +558,26 @@ def linear_weights(spark, sf):
     return family.weights(spark)
 
 
+def gbt_additivity(spark, sf):
+    """Contributions of every TEST row against its score."""
+    family = _trees(spark, sf)
+    return additivity(family.explain(test_rows(spark, sf), None), family.bases(spark))
+
+
+def logreg_additivity(spark, sf):
+    family = _fit(spark, sf, LinearFamily(_models(spark)))
+    return additivity(family.explain(test_rows(spark, sf), None), family.bases(spark))
+
+
+def gbt_inputs(spark, sf):
+    """Inputs of the fitted models with the training rows behind them."""
+    family = _trees(spark, sf, rounds=2, depth=2)
+    used = routing.backtest_rows(routed(snap.feature_store(spark, sf)), snap.TRAIN_END, snap.EVAL_END)
+    rows = used.groupBy("geo").agg(F.count_if(~F.col("is_eval")).alias("n_train"), F.count_if("is_eval").alias("n_eval"))
+    inputs_ = model_inputs(spark, family).withColumn("geo", F.upper(F.substring_index("model", "_", -1)))
+    return inputs_.join(rows, "geo")
+
+
 def model_backtest(spark, sf):
     path = _models(spark)
     trees, linear = TreeFamily(path, rounds=10, depth=4), LinearFamily(path)
@@ -640,6 +660,9 @@ EXACT = {
     "monthly_outputs": monthly_outputs,
     "monthly_feed": monthly_feed,
     "run_log": run_log,
+    "gbt_additivity": gbt_additivity,
+    "logreg_additivity": logreg_additivity,
+    "gbt_inputs": gbt_inputs,
 }
 MODELS = {
     "gbt_scores": gbt_scores,
