@@ -30,6 +30,7 @@ from riskloom.operators.scorecard import STAGE_COLUMNS, Scorecard, linear_stage,
 from riskloom.sources.scratch import local_table
 
 SCORE_COLUMNS = STAGE_COLUMNS[:5]
+PARTITION_BYTES = 32 * 1024 * 1024
 
 
 class ScorecardFamily:
@@ -63,7 +64,7 @@ class FittedFamily:
     prefix = ""
     one_hot = False
 
-    def __init__(self, path: str, parallelism: int = 4, seed: int = 7):
+    def __init__(self, path: str, parallelism: int = 8, seed: int = 7):
         self.path = path
         self.parallelism = parallelism
         self.seed = seed
@@ -104,9 +105,12 @@ class FittedFamily:
         rows = training_rows(history, geo, features, facts)
         coding = encoder(rows, features, facts, self.one_hot).fit(rows.filter(~F.col("is_eval")))
         encoded = coding.transform(rows).select("features", "target", "is_eval", "class_weight")
-        encoded.persist(StorageLevel.MEMORY_AND_DISK)
+        # A geo's rows are spread thinly over the store's files; every training round reads them
+        # again, so they are gathered once into even partitions of a size that suits the data.
+        self.slots[geo] = slots(encoded)
+        parts = facts.n_rows * len(self.slots[geo]) * 8 // PARTITION_BYTES + 1
+        encoded = encoded.repartition(parts).persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            self.slots[geo] = slots(encoded)
             categories = max(
                 [len(labels) + 1 for s in coding.stages if isinstance(s, StringIndexerModel) for labels in s.labelsArray],
                 default=2,

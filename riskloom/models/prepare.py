@@ -10,7 +10,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from riskloom.operators.routing import class_weights, route_to_geos
+from riskloom.operators.routing import route_to_geos
+
+
+COLUMNS_PER_PASS = 40
 
 
 @dataclass(frozen=True)
@@ -20,6 +23,7 @@ class GeoFacts:
     low: dict[str, float]
     mean: dict[str, float]
     weight: dict[int, float]
+    n_rows: int
     has_eval: bool
 
 
@@ -33,35 +37,33 @@ def rows_of_geo(df: DataFrame, geo: str) -> DataFrame:
 
 
 def geo_facts(history: DataFrame, lists: dict[str, list[str]]) -> dict[str, GeoFacts]:
-    """Minimum and mean of every numeric input and the class weights, for all geos in one pass.
+    """Minimum and mean of every numeric input and the class weights, for all geos together.
 
     The result has geos x features numbers, which configuration bounds.
     """
     numeric = sorted({f for fs in lists.values() for f in fs if not is_text(history, f)})
     routed = route_to_geos(history.select("GEO", "target", "is_eval", *numeric), sorted(lists))
     train = routed.filter(~F.col("is_eval"))
-    measured = {
-        r["geo"]: r
-        for r in routed.groupBy("geo")
-        .agg(
-            F.max("is_eval").alias("has_eval"),
-            *[F.min(F.when(~F.col("is_eval"), F.col(c).cast("double"))).alias(f"low_{c}") for c in numeric],
-            *[F.avg(F.when(~F.col("is_eval"), F.col(c).cast("double"))).alias(f"mean_{c}") for c in numeric],
-        )
-        .collect()
-    }
+    counted = routed.groupBy("geo", "target", "is_eval").agg(F.count(F.lit(1)).alias("n")).collect()
     weights: dict[str, dict[int, float]] = {}
-    for r in class_weights(train).collect():
-        weights.setdefault(r["geo"], {})[r["target"]] = r["weight"]
-    return {
-        geo: GeoFacts(
-            {c: row[f"low_{c}"] or 0.0 for c in numeric},
-            {c: row[f"mean_{c}"] or 0.0 for c in numeric},
-            weights.get(geo, {}),
-            bool(row["has_eval"]),
-        )
-        for geo, row in measured.items()
-    }
+    sizes: dict[str, int] = {}
+    for r in counted:
+        sizes[r["geo"]] = sizes.get(r["geo"], 0) + r["n"]
+        if not r["is_eval"]:
+            weights.setdefault(r["geo"], {})[r["target"]] = r["n"]
+    for geo, by_class in weights.items():
+        weights[geo] = {label: sum(by_class.values()) / (len(by_class) * n) for label, n in by_class.items()}
+    held = {r["geo"] for r in counted if r["is_eval"]}
+    low: dict[str, dict[str, float]] = {g: {} for g in weights}
+    mean: dict[str, dict[str, float]] = {g: {} for g in weights}
+    # A pass per group of columns: each column is read once, and the aggregation stays compiled.
+    for at in range(0, len(numeric), COLUMNS_PER_PASS):
+        group = numeric[at : at + COLUMNS_PER_PASS]
+        measures = [f(F.col(c).cast("double")).alias(f"{name}_{c}") for c in group for name, f in (("low", F.min), ("mean", F.avg))]
+        for r in train.groupBy("geo").agg(*measures).collect():
+            low[r["geo"]].update({c: r[f"low_{c}"] or 0.0 for c in group})
+            mean[r["geo"]].update({c: r[f"mean_{c}"] or 0.0 for c in group})
+    return {g: GeoFacts(low[g], mean[g], weights[g], sizes[g], g in held) for g in weights}
 
 
 def training_rows(history: DataFrame, geo: str, features: list[str], facts: GeoFacts) -> DataFrame:

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import NumericType, StringType
+from pyspark.sql.types import StringType
 
 from riskloom.functions.dates import days_before, month_end, text_to_date
-from riskloom.functions.drivers import number_text
-from riskloom.sources.scratch import fix_small
+from riskloom.sources.scratch import fix_small, local_table
 
 KEY = ["EMP_ID", "YEAR_MONTH"]
 
@@ -94,75 +94,58 @@ def leakage_scan(feature_store: DataFrame, date_columns: list[str]) -> DataFrame
     )
 
 
-def _as_text(df: DataFrame) -> list:
-    return [
-        (number_text(F.col(f.name)) if isinstance(f.dataType, NumericType) else F.col(f.name).cast("string")).alias(f.name)
-        for f in df.schema
-    ]
-
-
 def column_profile(df: DataFrame, near_unique_share: float = 0.05, spike_share: float = 0.25, tracked: int = 1000) -> DataFrame:
-    """Per column: empty share, constant, near-unique text, and a dominating value with its count.
+    """Per column: empty values, constant, near-unique text, and a dominating value with its count.
 
-    One pass of mergeable sketches names the candidates for a dominating value, a second pass
-    counts only these exactly. A value with ``spike_share`` of the rows cannot be missed as long
-    as it exceeds 1 / ``tracked`` of them.
+    One pass of mergeable sketches names the values that may hold ``spike_share`` of the rows (the
+    sketch never counts too low), a second pass counts only these exactly. Both passes return one
+    row, whatever the size of the table.
     """
-    columns = df.columns
     text = {f.name for f in df.schema if isinstance(f.dataType, StringType)}
-    plain = df.select(*_as_text(df))
-    one = plain.agg(
+    one = df.agg(
         F.count(F.lit(1)).alias("n"),
-        *[F.count(c).alias(f"filled_{c}") for c in columns],
-        *[F.min(c).alias(f"min_{c}") for c in columns],
-        *[F.max(c).alias(f"max_{c}") for c in columns],
-        *[F.approx_count_distinct(c, 0.02).alias(f"distinct_{c}") for c in sorted(text)],
-        *[F.expr(f"approx_top_k(`{c}`, 10, {tracked})").alias(f"top_{c}") for c in columns],
-    )
-    facts = one.select(
-        F.inline(
-            F.array(
-                *[
-                    F.struct(
-                        F.lit(c).alias("column_name"),
-                        F.col("n").alias("n_rows"),
-                        (F.col("n") - F.col(f"filled_{c}")).alias("n_null"),
-                        F.coalesce(F.col(f"min_{c}") == F.col(f"max_{c}"), F.lit(False)).alias("is_constant"),
-                        (
-                            F.col(f"distinct_{c}") > near_unique_share * F.col("n") if c in text else F.lit(False)
-                        ).alias("is_near_unique"),
-                        F.transform(f"top_{c}", lambda t: t["item"]).alias("candidates"),
-                    )
-                    for c in columns
-                ]
-            )
-        )
-    )
-    facts = fix_small(facts)  # one row per column
-    candidates = facts.select("column_name", F.explode("candidates").alias("value")).filter(F.col("value").isNotNull())
-    counted = (
-        plain.unpivot([], columns, "column_name", "value")
-        .join(candidates, ["column_name", "value"], "left_semi")
-        .groupBy("column_name", "value")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-    biggest = counted.groupBy("column_name").agg(
-        F.max(F.struct(F.col("n"), F.col("value"))).alias("top")
-    )
-    spike = F.col("top.n") >= spike_share * F.col("n_rows")
-    return (
-        facts.join(fix_small(biggest), "column_name", "left")
-        .select(
-            "column_name",
-            "n_rows",
-            "n_null",
-            "is_constant",
-            "is_near_unique",
-            F.when(spike, F.col("top.value")).alias("spike_value"),
-            F.when(spike, F.col("top.n")).alias("spike_rows"),
-            F.when(F.col("is_constant"), "Constant").when(F.col("is_near_unique"), "Near-unique code").alias("proposed_exclusion"),
-        )
-    )
+        *[F.count(c).alias(f"filled_{c}") for c in df.columns],
+        *[(F.min(c) == F.max(c)).alias(f"constant_{c}") for c in df.columns],
+        *[F.hll_sketch_estimate(F.hll_sketch_agg(c, 12)).alias(f"distinct_{c}") for c in df.columns if c in text],
+        *[F.expr(f"approx_top_k(`{c}`, {int(1 / spike_share) + 1}, {tracked})").alias(f"top_{c}") for c in df.columns],
+    ).first()
+    n = one["n"]
+    likely = [
+        (c, t["item"])
+        for c in df.columns
+        for t in one[f"top_{c}"]
+        if t["item"] is not None and t["count"] >= spike_share * n
+    ]
+    counts = df.agg(F.lit(0), *[F.count_if(F.col(c) == F.lit(v)) for c, v in likely]).first()[1:]
+    spikes: dict[str, tuple] = {}
+    for (c, value), count in zip(likely, counts):
+        if count >= spike_share * n and (c not in spikes or (count, value) > spikes[c]):
+            spikes[c] = (count, value)
+    rows = []
+    for c in df.columns:
+        count, value = spikes.get(c, (None, None))
+        constant = bool(one[f"constant_{c}"])
+        near_unique = c in text and one[f"distinct_{c}"] > near_unique_share * n
+        reason = "Constant" if constant else "Near-unique code" if near_unique else None
+        rows.append((c, n, n - one[f"filled_{c}"], constant, near_unique, plain_text(value), count, reason))
+    names = {
+        "column_name": pa.string(),
+        "n_rows": pa.int64(),
+        "n_null": pa.int64(),
+        "is_constant": pa.bool_(),
+        "is_near_unique": pa.bool_(),
+        "spike_value": pa.string(),
+        "spike_rows": pa.int64(),
+        "proposed_exclusion": pa.string(),
+    }
+    return local_table(df.sparkSession, {k: pa.array([r[i] for r in rows], t) for i, (k, t) in enumerate(names.items())})
+
+
+def plain_text(value) -> str | None:
+    """The text form that number_text gives inside Spark."""
+    if value is None or isinstance(value, str):
+        return value
+    return f"{value:.6f}".rstrip("0").rstrip(".")
 
 
 def target_correlation(df: DataFrame, features: list[str]) -> DataFrame:

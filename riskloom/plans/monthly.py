@@ -66,8 +66,9 @@ def monthly_run(
     stamp = F.lit(started).cast("timestamp").alias("scored_at")
     employee = save_scratch(employee_risk(stage, thresholds).select("*", stamp), "employee")
     variable = save_scratch(variable_risk(stage).select("*", stamp), "variable")
-    drivers = geo_drivers(window).select("geo", F.lit(month).cast("long").alias("YEAR_MONTH"), "feature", "attribution", stamp)
-    drivers = fix_small(drivers)
+    drivers = fix_small(geo_drivers(window)).select(
+        "geo", F.lit(month).cast("long").alias("YEAR_MONTH"), "feature", "attribution", stamp
+    )
 
     selected = inputs.selected()
     percentile = F.col("method") == "PERCENTILE"
@@ -153,7 +154,8 @@ def read_feed(spark, warehouse: str, month: int) -> DataFrame:
         read_table(spark, warehouse, "ews_variable_risk").filter(in_month),
     )
     flags = read_table(spark, warehouse, "published").filter(in_month)
-    return published_feed(feed, fix_small(latest_by(flags, ["geo", "YEAR_MONTH"], "published_at")))
+    newest = latest_by(flags, ["geo", "YEAR_MONTH"], "published_at").select("geo", "YEAR_MONTH", "published")
+    return published_feed(feed, fix_small(newest))
 
 
 def read_summary(spark, warehouse: str, month: int) -> DataFrame:

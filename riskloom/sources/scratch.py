@@ -6,6 +6,7 @@ import uuid
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.pandas.types import to_arrow_schema
 
 SMALL_ROWS = 20_000
 
@@ -23,12 +24,13 @@ def fix_small(df: DataFrame, max_rows: int = SMALL_ROWS) -> DataFrame:
     """Turn a derived table of at most ``max_rows`` rows into a local relation.
 
     At most ``max_rows + 1`` rows reach the driver. A larger table is returned unchanged, and
-    joins with it then shuffle as usual.
+    joins with it then shuffle as usual. For flat columns without timestamps.
     """
-    rows = df.limit(max_rows + 1).toArrow()
-    if rows.num_rows > max_rows:
+    rows = df.limit(max_rows + 1).collect()  # reads partitions step by step and stops when full
+    if len(rows) > max_rows:
         return df
-    return df.sparkSession.createDataFrame(rows, schema=df.schema)
+    table = pa.Table.from_pylist([r.asDict() for r in rows], schema=to_arrow_schema(df.schema))
+    return df.sparkSession.createDataFrame(table, schema=df.schema)
 
 
 def scratch_dir(spark: SparkSession) -> str:

@@ -21,6 +21,8 @@ TRAIN_END = 199912
 EVAL_END = 200006
 SCORING_MONTH = 200104
 HORIZON_MONTHS = 3
+PRIORITIES = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
+STATUSES = ["F", "O", "P"]
 
 COLUMNS = [
     "target",
@@ -123,13 +125,15 @@ def customer_months(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.max("l_shipdate").alias("last_ship"),
         )
     )
-    status = [F.max(F.when(F.col("o_orderstatus") == s, s).otherwise("")) for s in ("F", "O", "P")]
+    # Numbers instead of texts keep this a hash aggregation.
+    level = F.array_position(F.array(*[F.lit(p) for p in PRIORITIES]), F.col("o_orderpriority"))
+    had = [F.max(F.when(F.col("o_orderstatus") == s, 1).otherwise(0)).alias(f"had_{s}") for s in STATUSES]
     monthly = (
         read(spark, sf_dir, "orders")
         .join(lines, "o_orderkey", "left")
         .groupBy("o_custkey", F.date_format("o_orderdate", "yyyyMM").cast("long").alias("YEAR_MONTH"))
         .agg(
-            F.min("o_orderpriority").alias("TOP_PRIORITY"),
+            F.min(level).alias("level"),
             F.min("o_orderdate").alias("first_in_month"),
             F.max("o_orderdate").alias("last_in_month"),
             F.count(F.lit(1)).cast("double").alias("ORDERS_CNT"),
@@ -139,7 +143,7 @@ def customer_months(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.round(F.sum("discount"), 4).alias("TOTAL_DISCOUNT"),
             F.sum("returned").alias("TOTAL_RETURNED"),
             F.max("last_ship").alias("last_ship"),
-            F.concat(*status).alias("STATUS_LEAK"),
+            *had,
         )
         .withColumn("month_no", month_index(F.col("YEAR_MONTH")))
     )
@@ -154,7 +158,9 @@ def customer_months(spark: SparkSession, sf_dir: str) -> DataFrame:
     month_last = F.last_day(F.to_date(F.col("YEAR_MONTH").cast("string"), "yyyyMM"))
     windowed = monthly.select(
         "*",
-        F.min("first_in_month").over(Window.partitionBy("o_custkey")).alias("first_order"),
+        F.min("first_in_month")
+        .over(by_month.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+        .alias("first_order"),
         F.when(F.col("YEAR_MONTH") <= SCORING_MONTH, F.when(later > 0, 0).otherwise(1)).cast("long").alias("target"),
         *[last("ORDERS_CNT", n, 0).alias(f"ORDERS_CNT_{_in_last(n)}") for n in (1, 2, 3, 4)],
         *[last("ORDERS_VALUE", n, 2).alias(f"ORDERS_VALUE_{_in_last(n)}") for n in (1, 2, 3)],
@@ -178,6 +184,8 @@ def customer_months(spark: SparkSession, sf_dir: str) -> DataFrame:
         .withColumns(
             {
                 "EMP_ID": F.concat(F.lit("E"), F.col("o_custkey").cast("string")),
+                "TOP_PRIORITY": F.get(F.array(*[F.lit(p) for p in PRIORITIES]), F.col("level").cast("int") - 1),
+                "STATUS_LEAK": F.concat(*[F.when(F.col(f"had_{s}") == 1, s).otherwise("") for s in STATUSES]),
                 "DAYS_AFTER_JOIN": F.datediff(month_last, F.to_date("first_order")).cast("long"),
                 "AVG_ORDER_VALUE": F.round(F.col("ORDERS_VALUE") / F.col("ORDERS_CNT"), 4),
                 "RECENT_ORDER_DATE": F.date_format("last_in_month", "M/d/yyyy H:mm"),
