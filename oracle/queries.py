@@ -321,10 +321,13 @@ def _share(side: str, b: str) -> str:
     return f"avg(CASE WHEN YEAR_MONTH = {side} THEN CASE WHEN risk_bucket = '{b}' THEN 1.0::DOUBLE ELSE 0 END END)"
 
 
-def _roc() -> str:
-    return """SELECT geo, round(risk_score, 6) AS threshold, true_positives, false_positives, p - true_positives AS false_negatives,
-        n - false_positives AS true_negatives, round(true_positives / p::DOUBLE, 6) AS recall,
-        round(true_positives / (true_positives + false_positives)::DOUBLE, 6) AS precision, round(false_positives / n::DOUBLE, 6) AS false_positive_rate
+def _roc(rounded: bool = True) -> str:
+    def r(x: str) -> str:
+        return f"round({x}, 6)" if rounded else x
+
+    return f"""SELECT geo, {r("risk_score")} AS threshold, true_positives, false_positives, p - true_positives AS false_negatives,
+        n - false_positives AS true_negatives, {r("true_positives / p::DOUBLE")} AS recall,
+        {r("true_positives / (true_positives + false_positives)::DOUBLE")} AS precision, {r("false_positives / n::DOUBLE")} AS false_positive_rate
       FROM (SELECT DISTINCT geo, risk_score, (sum(target) OVER w)::BIGINT AS true_positives, (sum(1 - target) OVER w)::BIGINT AS false_positives,
           (sum(target) OVER (PARTITION BY geo))::BIGINT AS p, (sum(1 - target) OVER (PARTITION BY geo))::BIGINT AS n
         FROM tb WINDOW w AS (PARTITION BY geo ORDER BY risk_score DESC RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))"""
@@ -437,6 +440,9 @@ BODIES = {
         GROUP BY 1, 2, 3""",
     "geo_drivers": f"""SELECT geo, feature, round(avg(abs(contribution)), 6) AS attribution FROM
         ({_all_parts("target IS NOT NULL AND YEAR_MONTH BETWEEN 200101 AND 200103")}) GROUP BY 1, 2""",
+    "explain_drivers": f"""SELECT geo, feature, round(avg(abs(contribution)), 4) AS attribution FROM
+        ({_all_parts("target IS NOT NULL AND YEAR_MONTH BETWEEN 200101 AND 200103")}) WHERE geo = 'EUR' GROUP BY 1, 2
+        ORDER BY avg(abs(contribution)) DESC, feature LIMIT 3""",
     "ews_feed_flat": FEED,
     "ews_summary": SUMMARY,
     "action_list": f"""SELECT geo, EMP_ID, risk_score, risk_bucket, risk_rank_in_geo, string_agg(concat(driver_rank, '. ', feature, ' = ',
@@ -455,6 +461,8 @@ BODIES = {
     "eval_report": f"""SELECT geo, model_family, round(roc_auc, 3) AS roc_auc, round(recall, 3) AS recall, round(precision, 3) AS precision,
         round(f1_score, 3) AS f1, round(log_loss, 3) AS log_loss FROM ({METRICS})""",
     "roc_curve": _roc(),
+    "threshold_trade_off": f"""SELECT round(threshold, 3) AS threshold, round(recall, 3) AS recall, round(precision, 3) AS precision,
+        round(false_positive_rate, 3) AS false_positive_rate FROM ({_roc(False)}) WHERE geo = 'EUR'""",
     "target_cutoffs": """SELECT geo, round(min(CASE WHEN tp >= 0.75::DOUBLE * (tp + fp) THEN risk_score END), 6) AS precision_cutoff,
         round(max(CASE WHEN tp >= 0.8::DOUBLE * p THEN risk_score END), 6) AS recall_cutoff FROM (SELECT DISTINCT geo, risk_score,
           sum(target) OVER w AS tp, sum(1 - target) OVER w AS fp, sum(target) OVER (PARTITION BY geo) AS p FROM tb

@@ -7,6 +7,7 @@ explained rows the attributions and model name on top.
 
 from __future__ import annotations
 
+import json
 import time
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
@@ -66,6 +67,7 @@ class FittedFamily:
 
     def __init__(self, path: str, parallelism: int = 8, seed: int = 7):
         self.path = path
+        self.paths: dict[str, str] = {}
         self.parallelism = parallelism
         self.seed = seed
         self.lists: dict[str, list[str]] = {}
@@ -121,12 +123,38 @@ class FittedFamily:
         fitted = PipelineModel(stages=[*coding.stages, model])
         fitted.write().overwrite().save(self.model_path(geo))
         self.models[geo] = fitted
+        self._save_state(rows.sparkSession, geo)
 
     def _fit_rows(self, encoded: DataFrame, categories: int, has_eval: bool, geo: str):
         raise NotImplementedError
 
     def model_path(self, geo: str) -> str:
-        return f"{self.path}/{self.prefix}/{geo}"
+        return f"{self.paths.get(geo, self.path)}/{self.prefix}/{geo}"
+
+    def _state(self, geo: str) -> dict:
+        facts = self.facts[geo]
+        return {
+            "features": self.lists[geo],
+            "slots": self.slots[geo],
+            "facts": {**vars(facts), "weight": {str(k): v for k, v in facts.weight.items()}},
+        }
+
+    def _restore(self, geo: str, state: dict) -> None:
+        self.lists[geo] = state["features"]
+        self.slots[geo] = state["slots"]
+        facts = state["facts"]
+        self.facts[geo] = GeoFacts(**{**facts, "weight": {int(k): v for k, v in facts["weight"].items()}})
+
+    def _save_state(self, spark: SparkSession, geo: str) -> None:
+        text = local_table(spark, {"value": pa.array([json.dumps(self._state(geo))], pa.string())})
+        text.write.mode("overwrite").text(f"{self.model_path(geo)}_state")
+
+    def load(self, spark: SparkSession, versions: dict[str, str]) -> None:
+        """Take over fitted models: geo -> path they were fitted under. Replaces ``fit``."""
+        self.paths = dict(versions)
+        for geo in versions:
+            self.models[geo] = PipelineModel.load(self.model_path(geo))
+            self._restore(geo, json.loads(spark.read.text(f"{self.model_path(geo)}_state").first()["value"]))
 
     def score(self, rows: DataFrame) -> DataFrame:
         parts = []
@@ -266,6 +294,13 @@ class LinearFamily(FittedFamily):
         self.moments[geo] = (list(found["mean"]), list(found["std"]))
         return self.estimator(categories, has_eval).fit(train)
 
+    def _state(self, geo: str) -> dict:
+        return {**super()._state(geo), "moments": self.moments[geo]}
+
+    def _restore(self, geo: str, state: dict) -> None:
+        super()._restore(geo, state)
+        self.moments[geo] = tuple(state["moments"])
+
     def _base(self, geo: str) -> float:
         model = self.models[geo].stages[-1]
         return float(model.intercept) + sum(float(c) * m for c, m in zip(model.coefficients, self.moments[geo][0]))

@@ -65,3 +65,32 @@ def backtest(inputs: Inputs, families: list, train_end: int, eval_end: int) -> B
         geo_drivers(explained),
         primary.prefix,
     )
+
+
+def top_drivers(drivers: DataFrame, geo: str, n: int = 15) -> DataFrame:
+    """The strongest overall drivers of one geo."""
+    return (
+        drivers.filter(F.col("geo") == geo)
+        .orderBy(F.desc("attribution"), "feature")
+        .limit(n)
+        .select("geo", "feature", F.round("attribution", 4).alias("attribution"))
+    )
+
+
+def top_weights(weights: DataFrame, geo: str, n: int = 15) -> DataFrame:
+    """The heaviest standardised weights of one geo, by size, with their direction."""
+    return (
+        weights.filter(F.col("geo") == geo)
+        .orderBy(F.abs("weight").desc(), "feature")
+        .limit(n)
+        .select("feature", F.round("weight", 4).alias("weight"))
+    )
+
+
+def trade_off(curve: DataFrame, geo: str) -> DataFrame:
+    """Every cut-off of one geo, highest first, with recall, precision and false alarms."""
+    return (
+        curve.filter(F.col("geo") == geo)
+        .orderBy(F.desc("threshold"))
+        .select(*[F.round(c, 3).alias(c) for c in ("threshold", "recall", "precision", "false_positive_rate")])
+    )

@@ -14,11 +14,12 @@ from pyspark.sql import functions as F
 from riskloom.models.families import model_inputs
 from riskloom.operators.buckets import calibrate
 from riskloom.operators.checks import checks_run
+from riskloom.operators.features import geo_feature_list
 from riskloom.operators.feed import ews_feed, ews_summary, published_feed
 from riskloom.operators.risk import employee_risk, geo_drivers, variable_risk
 from riskloom.operators.routing import calibration_rows, history_rows
 from riskloom.plans.inputs import Inputs
-from riskloom.sources.scratch import fix_small, local_table, save_scratch
+from riskloom.sources.scratch import SMALL_ROWS, fix_small, local_table, save_scratch
 from riskloom.sources.tables import append_rows, latest_by, read_table, replace_month
 
 
@@ -38,6 +39,7 @@ def monthly_run(
     family,
     warehouse: str,
     on_error: str = "stop",
+    fit: bool = True,
     telemetry_prefix: str = "TOTAL_",
     plain_geo: str = "",
 ) -> MonthlyRun:
@@ -46,6 +48,7 @@ def monthly_run(
     All geos are checked before anything is fitted, and everything is computed into scratch
     tables before the first output is touched. With ``on_error='skip'`` a geo that cannot be
     fitted keeps its earlier output and is logged as FAILED while the others are published.
+    ``fit=False`` scores with models that ``family.load`` took over.
     """
     clock = time.monotonic()
     started = datetime.now(timezone.utc)
@@ -54,7 +57,8 @@ def monthly_run(
     spark = inputs.store.sparkSession
     features = inputs.features().filter(F.col("YEAR_MONTH") <= month)
 
-    family.fit(history_rows(features, month), lists)
+    if fit:
+        family.fit(history_rows(features, month), lists)
     failed = dict(family.errors)
     if on_error != "skip" or len(failed) == len(lists):
         family.raise_errors()
@@ -146,6 +150,36 @@ def _publish(spark, warehouse, run_id, month, geos, released, now) -> None:
     append_rows(table.withColumn("published_at", F.lit(now).cast("timestamp")), warehouse, "published")
 
 
+def approve(spark, warehouse: str, champions: DataFrame, model_path: str, now: datetime) -> None:
+    """Record the approved version per geo: rows (geo, approved_family, roc_auc) fitted under ``model_path``.
+
+    Going back to an earlier version is one more row.
+    """
+    rows = champions.select(
+        "geo",
+        F.col("approved_family").alias("family"),
+        F.lit(model_path).alias("model_path"),
+        "roc_auc",
+        F.lit(now).cast("timestamp").alias("approved_at"),
+    )
+    append_rows(rows, warehouse, "approved_models")
+
+
+def approved_versions(spark, warehouse: str, family: str) -> dict[str, str]:
+    """geo -> path of the newest approved version, for the geos where ``family`` is approved."""
+    newest = latest_by(read_table(spark, warehouse, "approved_models"), ["geo"], "approved_at")
+    return {r.geo: r.model_path for r in newest.filter(F.col("family") == family).limit(SMALL_ROWS).collect()}
+
+
+def register_views(spark, warehouse: str, inputs: Inputs) -> None:
+    """Temporary views for SQL users: features, feature lists, feed and summary."""
+    inputs.features().createOrReplaceTempView("v_model_features")
+    geo_feature_list(inputs.selected()).createOrReplaceTempView("v_geo_feature_list")
+    employee = read_table(spark, warehouse, "ews_employee_risk")
+    ews_feed(employee, read_table(spark, warehouse, "ews_variable_risk")).createOrReplaceTempView("v_ews_feed")
+    ews_summary(employee).createOrReplaceTempView("v_ews_summary")
+
+
 def read_feed(spark, warehouse: str, month: int) -> DataFrame:
     """The alert feed of a month, for the geos that were released."""
     in_month = F.col("YEAR_MONTH") == month

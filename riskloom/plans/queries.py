@@ -16,7 +16,7 @@ from riskloom.models.families import LinearFamily, ScorecardFamily, TreeFamily,
 from riskloom.operators import buckets, checks, drift, evaluate, features, feed, quality, risk, routing
 from riskloom.operators.scorecard import Scorecard, Weight, score_with
 from riskloom.plans import scenarios
-from riskloom.plans.backtest import backtest
+from riskloom.plans.backtest import backtest, top_drivers, top_weights, trade_off
 from riskloom.plans.inputs import Inputs
 from riskloom.plans.monthly import monthly_run, read_feed, read_summary
 from riskloom.plans.tuning import pooled_challenger, search
@@ -244,6 +244,11 @@ def action_list(spark, sf):
     return feed.action_list(ews_feed(spark, sf), 20)
 
 
+def explain_drivers(spark, sf):
+    held = routing.calibration_rows(prepared(spark, sf), MONTH)
+    return top_drivers(risk.geo_drivers(score_with(routed(held), CARD, None)), "EUR", 3)
+
+
 # ---- backtest -----------------------------------------------------------------------------------
 
 
@@ -275,6 +280,10 @@ def roc_curve(spark, sf):
     return rounded(curve, "threshold", "recall", "precision", "false_positive_rate", digits=6)
 
 
+def threshold_trade_off(spark, sf):
+    return trade_off(evaluate.roc_curve(test_scores(spark, sf)), "EUR")
+
+
 def target_cutoffs(spark, sf):
     cut = buckets.target_cutoffs(test_scores(spark, sf), 0.75, 0.8)
     return rounded(cut, "precision_cutoff", "recall_cutoff", digits=6)
@@ -558,6 +567,10 @@ def linear_weights(spark, sf):
     return family.weights(spark)
 
 
+def explain_weights(spark, sf):
+    return top_weights(_fit(spark, sf, LinearFamily(_models(spark))).weights(spark), "EUR")
+
+
 def gbt_additivity(spark, sf):
     """Contributions of every TEST row against its score."""
     family = _trees(spark, sf)
@@ -622,6 +635,7 @@ EXACT = {
     "variable_risk": variable_risk,
     "variable_risk_history": variable_risk_history,
     "geo_drivers": geo_drivers,
+    "explain_drivers": explain_drivers,
     "ews_feed_flat": ews_feed_flat,
     "ews_summary": ews_summary,
     "action_list": action_list,
@@ -631,6 +645,7 @@ EXACT = {
     "eval_metrics": eval_metrics,
     "eval_report": eval_report,
     "roc_curve": roc_curve,
+    "threshold_trade_off": threshold_trade_off,
     "target_cutoffs": target_cutoffs,
     "champion_choice": champion_choice,
     "parity_report": parity_report,
@@ -672,6 +687,7 @@ MODELS = {
     "logreg_scores": logreg_scores,
     "logreg_attributions": logreg_attributions,
     "linear_weights": linear_weights,
+    "explain_weights": explain_weights,
     "model_backtest": model_backtest,
     "model_capture": model_capture,
     "model_monthly_run": model_monthly_run,

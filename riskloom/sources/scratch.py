@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.pandas.types import to_arrow_schema
 
 SMALL_ROWS = 20_000
+LOCAL_DIR = "/tmp/riskloom-checkpoints"  # only for local masters without a setting
 
 
 def local_table(spark: SparkSession, columns: dict[str, pa.Array]) -> DataFrame:
@@ -39,8 +40,7 @@ def scratch_dir(spark: SparkSession) -> str:
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
-        base = "/tmp/riskloom-checkpoints"
-        spark.conf.set("spark.checkpoint.dir", base)
+        base = LOCAL_DIR
     return f"{base.rstrip('/')}/riskloom/{spark.sparkContext.applicationId}"
 
 

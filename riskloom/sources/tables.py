@@ -24,6 +24,7 @@ RUN_LOG = (
     "run_id string, geo string, YEAR_MONTH bigint, status string, n_scored bigint, seconds double, "
     "message string, logged_at timestamp"
 )
+APPROVED = "geo string, family string, model_path string, roc_auc double, approved_at timestamp"
 PUBLISHED = "geo string, YEAR_MONTH bigint, run_id string, published boolean, published_at timestamp"
 
 SCHEMAS = {
@@ -33,6 +34,7 @@ SCHEMAS = {
     "risk_thresholds": THRESHOLDS,
     "run_log": RUN_LOG,
     "published": PUBLISHED,
+    "approved_models": APPROVED,
 }
 
 

@@ -196,3 +196,14 @@ def test_geo_without_both_classes_is_reported(spark, history, tmp_path):
 def test_rows_without_geo_reach_every_model(linear, rows):
     homeless = rows.withColumn("GEO", F.lit(None).cast("string"))
     assert {r.geo: r["count"] for r in linear.score(homeless).groupBy("geo").count().collect()} == {"AAA": 900, "BBB": 900}
+
+
+def test_loaded_models_score_and_explain_alike(spark, trees, linear, rows):
+    for family in (trees, linear):
+        again = type(family)("unused")
+        again.load(spark, {g: family.path for g in family.models})
+        a = family.explain(rows).select("geo", "EMP_ID", F.col("risk_score").alias("a"), F.col("attributions").alias("b"))
+        both = a.join(again.explain(rows), ["geo", "EMP_ID"])
+        assert both.count() == 900
+        assert both.filter((F.abs(F.col("a") - F.col("risk_score")) > 1e-12) | (F.col("b")["feature"] != F.col("attributions")["feature"])).count() == 0
+        assert again.inputs() == family.inputs()

@@ -119,3 +119,27 @@ def test_rows_without_geo_are_scored_by_every_geo(spark, given, place):
     counts = {r.geo: r["count"] for r in read_table(spark, place, "ews_employee_risk").groupBy("geo").count().collect()}
     n = given.store.filter(F.col("YEAR_MONTH") == MONTH).count()
     assert counts == dict.fromkeys(["AFR", "AME", "ASI", "EUR", "MEA"], n)
+
+
+def test_scoring_with_the_approved_version(spark, given, place, tmp_path):
+    from datetime import datetime, timezone
+
+    from riskloom.operators.evaluate import choose_champion
+    from riskloom.plans.backtest import backtest
+    from riskloom.plans.monthly import approve, approved_versions, register_views
+
+    one = replace(given, geo_config=given.geo_config.filter("GEO = 'ASI'"))
+    path = str(tmp_path / "200006")
+    trees = TreeFamily(path, rounds=3, depth=2, early_stop=False)
+    result = backtest(one, [trees], 199912, 200006)
+    approve(spark, place, choose_champion(result.metrics, "btree"), path, datetime.now(timezone.utc))
+    versions = approved_versions(spark, place, "btree")
+    assert versions == {"ASI": path} and approved_versions(spark, place, "logreg") == {}
+    family = TreeFamily("unused")
+    family.load(spark, versions)
+    monthly_run(one, MONTH, family, place, fit=False)
+    assert geos_in(spark, place, "ews_employee_risk") == {"ASI"}
+    register_views(spark, place, one)
+    assert spark.sql("SELECT employees_scored FROM v_ews_summary").first()[0] == 24
+    assert spark.sql("SELECT n_features FROM v_geo_feature_list WHERE geo = 'ASI'").first()[0] == 17
+    assert result.capture().count() > 0 and result.trade_off().count() > 0 and result.report().count() == 1

@@ -145,3 +145,19 @@ def test_feed(spark, stage):
     assert actions[1].recommended_variable_risks == "1. f1 = NULL (+0.200)"
     flags = spark.createDataFrame([("A", 202401, False)], "geo string, YEAR_MONTH long, published boolean")
     assert published_feed(feed, flags).count() == 0
+
+
+def test_scratch_needs_a_shared_folder_on_a_cluster():
+    from types import SimpleNamespace
+
+    from riskloom.sources.scratch import LOCAL_DIR, scratch_dir
+
+    def session(master, folder):
+        return SimpleNamespace(
+            conf=SimpleNamespace(get=lambda key, default: folder), sparkContext=SimpleNamespace(master=master, applicationId="app")
+        )
+
+    assert scratch_dir(session("yarn", "hdfs:///shared/")) == "hdfs:///shared/riskloom/app"
+    assert scratch_dir(session("local[2]", None)).startswith(LOCAL_DIR)
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        scratch_dir(session("yarn", None))
