@@ -3,7 +3,8 @@
 Path-dependent Shapley values (Lundberg, Erion, Lee, arXiv:1802.03888), arranged by leaf. On the
 way to a leaf at most ``depth`` features are tested, and what the leaf adds to each of them
 depends only on which of these tests the row passes. So every leaf gets a table
-[passed tests, feature], and a batch of rows is explained by table look-ups.
+[feature, passed tests], and a batch of rows is explained by table look-ups: ``bits`` turns the
+bin of a feature into its bit of the table's index.
 """
 
 from __future__ import annotations
@@ -28,12 +29,12 @@ def contributions(explainer: dict, x: np.ndarray) -> np.ndarray:
     for f in {f for features, _, _ in leaves for f in features}:
         bins[f] = np.searchsorted(cuts[f], x[:, f]) if f in cuts else x[:, f].astype(np.int64)
     out = np.zeros((explainer["n_features"], len(x)))
-    for features, allowed, table in leaves:
-        passed = np.zeros(len(x), dtype=np.int64)
-        for j, f in enumerate(features):
-            passed |= allowed[j][bins[f]].astype(np.int64) << j
-        for j, f in enumerate(features):
-            out[f] += table[:, j][passed]
+    for features, bits, table in leaves:
+        passed = bits[0].take(bins[features[0]])
+        for f, bit in zip(features[1:], bits[1:]):
+            passed += bit.take(bins[f])
+        for f, share in zip(features, table):
+            out[f] += share.take(passed)
     return out.T
 
 
@@ -129,8 +130,9 @@ def build_explainer(nodes: list[dict], tree_weights: list[float], n_features: in
                 base += value * float(np.prod(list(ratio.values())))
                 if allowed:
                     features = sorted(allowed)
+                    bits = [allowed[f].astype(np.int16) << j for j, f in enumerate(features)]
                     table = _leaf_table(value, np.array([ratio[f] for f in features]))
-                    leaves.append((features, [allowed[f] for f in features], table))
+                    leaves.append((features, bits, np.ascontiguousarray(table.T)))
                 continue
             f, left = node["feature"], goes_left(node)
             for child, passes in ((by_id[node["left"]], left), (by_id[node["right"]], ~left)):

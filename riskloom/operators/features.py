@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from riskloom.errors import ConfigError
 from riskloom.functions.dates import days_before, month_end, text_to_date
 from riskloom.sources.files import column_table
-from riskloom.sources.scratch import SMALL_ROWS, local_table
+from riskloom.sources.scratch import collect_config, local_table
 
 # Date columns of the HR feature store.
 HR_DATE_COLUMNS = [
@@ -66,13 +66,13 @@ def model_features(feature_store: DataFrame, date_columns: list[str] = HR_DATE_C
 
 def date_columns_of(dictionary: DataFrame) -> list[str]:
     """Date features named by a dictionary with columns (feature, role)."""
-    rows = dictionary.filter(F.col("role") == "date").select("feature").orderBy("feature").limit(SMALL_ROWS).collect()
-    return [r.feature for r in rows]
+    rows = dictionary.filter(F.col("role") == "date").select("feature").orderBy("feature")
+    return [r.feature for r in collect_config(rows)]
 
 
 def geo_names(geo_config: DataFrame) -> list[str]:
-    """Configured geos in order. Configuration is small: the read stops at SMALL_ROWS."""
-    return [r.GEO for r in geo_config.select("GEO").distinct().orderBy("GEO").limit(SMALL_ROWS).collect()]
+    """Configured geos in order."""
+    return [r.GEO for r in collect_config(geo_config.select("GEO").distinct().orderBy("GEO"))]
 
 
 def feature_flags(feature_config: DataFrame, geos: list[str]) -> DataFrame:
@@ -115,10 +115,7 @@ def geo_feature_list(selected: DataFrame) -> DataFrame:
 
 def feature_lists(selected: DataFrame) -> dict[str, list[str]]:
     """The lists as Python values, for building projections. Size: geos x configured columns."""
-    return {
-        r.geo: r.feature_list.split(", ")
-        for r in geo_feature_list(selected).orderBy("geo").limit(SMALL_ROWS).collect()
-    }
+    return {r.geo: r.feature_list.split(", ") for r in collect_config(geo_feature_list(selected).orderBy("geo"))}
 
 
 def set_flag(feature_config: DataFrame, feature: str, geo: str, value: int) -> DataFrame:
@@ -186,6 +183,6 @@ def config_problems(geos: DataFrame, selected: DataFrame, rules: DataFrame) -> D
 
 def config_guard(geos: DataFrame, selected: DataFrame, rules: DataFrame) -> None:
     """Check every geo before anything is trained or written."""
-    found = config_problems(geos, selected, rules).orderBy("geo", "problem").limit(SMALL_ROWS).collect()
+    found = collect_config(config_problems(geos, selected, rules).orderBy("geo", "problem"))
     if found:
         raise ConfigError("; ".join(r.problem for r in found))

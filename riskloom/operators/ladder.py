@@ -11,11 +11,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from riskloom.sources.scratch import SMALL_ROWS, fix_small, save_scratch
+from riskloom.sources.scratch import fix_small, save_scratch
 
 
 def score_ladder(
-    df: DataFrame, keys: list[str], score: str, sums: dict[str, Column], small_rows: int = SMALL_ROWS
+    df: DataFrame, keys: list[str], score: str, sums: dict[str, Column], small_rows: int | None = None
 ) -> DataFrame:
     """One row per (keys, distinct score), with for every entry ``x`` of ``sums``:
 
@@ -24,7 +24,7 @@ def score_ladder(
     ``x_total``  sum over the whole key group.
 
     The ranged rows are written once, so that block numbers cannot shift between the two reads.
-    With at most ``small_rows`` distinct scores altogether, one window does.
+    With few distinct scores altogether (``small_rows``, see ``fix_small``), one window does.
     """
     steps = (
         df.filter(F.col(score).isNotNull())
@@ -77,7 +77,7 @@ def _in_blocks(steps: DataFrame, keys: list[str], score: str, names: list[str])
     )
 
 
-def with_rank(df: DataFrame, keys: list[str], score: str, name: str, small_rows: int = SMALL_ROWS) -> DataFrame:
+def with_rank(df: DataFrame, keys: list[str], score: str, name: str, small_rows: int | None = None) -> DataFrame:
     """Add RANK by descending score within ``keys`` (ties share a rank, gaps follow).
 
     ``score`` must come from a stored table or a repeatable expression: rows meet their rank

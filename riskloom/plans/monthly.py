@@ -19,7 +19,7 @@ from riskloom.operators.feed import ews_feed, ews_summary, published_feed
 from riskloom.operators.risk import employee_risk, geo_drivers, variable_risk
 from riskloom.operators.routing import calibration_rows, history_rows
 from riskloom.plans.inputs import Inputs
-from riskloom.sources.scratch import SMALL_ROWS, fix_small, local_table, save_scratch
+from riskloom.sources.scratch import collect_config, fix_small, local_table, save_scratch
 from riskloom.sources.tables import append_rows, latest_by, read_table, replace_month
 
 
@@ -168,7 +168,7 @@ def approve(spark, warehouse: str, champions: DataFrame, model_path: str, now: d
 def approved_versions(spark, warehouse: str, family: str) -> dict[str, str]:
     """geo -> path of the newest approved version, for the geos where ``family`` is approved."""
     newest = latest_by(read_table(spark, warehouse, "approved_models"), ["geo"], "approved_at")
-    return {r.geo: r.model_path for r in newest.filter(F.col("family") == family).limit(SMALL_ROWS).collect()}
+    return {r.geo: r.model_path for r in collect_config(newest.filter(F.col("family") == family))}
 
 
 def register_views(spark, warehouse: str, inputs: Inputs) -> None:

@@ -8,7 +8,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.pandas.types import to_arrow_schema
 
-SMALL_ROWS = 20_000
+from riskloom.errors import ConfigError
+
+SMALL_ROWS = 20_000  # derived tables up to this size are held by the driver and broadcast
+CONFIG_ROWS = 20_000  # configuration beyond this size is refused
 LOCAL_DIR = "/tmp/riskloom-checkpoints"  # only for local masters without a setting
 
 
@@ -21,12 +24,21 @@ def local_table(spark: SparkSession, columns: dict[str, pa.Array]) -> DataFrame:
     return spark.createDataFrame(pa.table(columns))
 
 
-def fix_small(df: DataFrame, max_rows: int = SMALL_ROWS) -> DataFrame:
-    """Turn a derived table of at most ``max_rows`` rows into a local relation.
+def collect_config(df: DataFrame) -> list:
+    """All rows of a configuration-sized table; a table that is not is an error, never cut."""
+    rows = df.limit(CONFIG_ROWS + 1).collect()
+    if len(rows) > CONFIG_ROWS:
+        raise ConfigError(f"A configuration table holds more than {CONFIG_ROWS} rows")
+    return rows
+
+
+def fix_small(df: DataFrame, max_rows: int | None = None) -> DataFrame:
+    """Turn a derived table of at most ``max_rows`` (SMALL_ROWS) rows into a local relation.
 
     At most ``max_rows + 1`` rows reach the driver. A larger table is returned unchanged, and
     joins with it then shuffle as usual. For flat columns without timestamps.
     """
+    max_rows = SMALL_ROWS if max_rows is None else max_rows
     rows = df.limit(max_rows + 1).collect()  # reads partitions step by step and stops when full
     if len(rows) > max_rows:
         return df

@@ -53,3 +53,22 @@ def test_every_exact_query_has_sql():
 
 def test_entry(spark):
     assert contract.entry(spark).count() > 0
+
+
+@pytest.fixture()
+def large_paths(spark, monkeypatch):
+    """Nothing counts as small, nothing is broadcast, no partitions are merged."""
+    monkeypatch.setattr("riskloom.sources.scratch.SMALL_ROWS", 2)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    yield
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+@pytest.mark.parametrize(
+    "name",
+    ["employee_risk", "bucket_thresholds", "capture_report", "eval_metrics", "roc_curve", "key_quarantine", "ews_feed_flat", "code_families"],
+)
+def test_same_rows_beyond_every_bound(spark, duck, large_paths, name):
+    test_same_rows(spark, duck, name)
