@@ -90,7 +90,8 @@ def _shapley_weights(k: int) -> np.ndarray:
 
 def _leaf_table(value: float, ratios: np.ndarray) -> np.ndarray:
     k = len(ratios)
-    worth = np.array([np.prod([r for j, r in enumerate(ratios) if not s >> j & 1]) for s in range(1 << k)])
+    inside = np.arange(1 << k)[:, None] >> np.arange(k) & 1
+    worth = np.where(inside, 1.0, ratios).prod(axis=1)  # a coalition without a test meets it by its share of rows
     return value * (_shapley_weights(k) @ worth)
 
 
@@ -130,7 +131,7 @@ def build_explainer(nodes: list[dict], tree_weights: list[float], n_features: in
                 base += value * float(np.prod(list(ratio.values())))
                 if allowed:
                     features = sorted(allowed)
-                    bits = [allowed[f].astype(np.int16) << j for j, f in enumerate(features)]
+                    bits = [allowed[f].astype(np.int64) << j for j, f in enumerate(features)]
                     table = _leaf_table(value, np.array([ratio[f] for f in features]))
                     leaves.append((features, bits, np.ascontiguousarray(table.T)))
                 continue
