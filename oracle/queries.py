@@ -535,6 +535,8 @@ BODIES = {
         ["gbt_additivity", "logreg_additivity"],
         """SELECT GEO AS geo, count(*) AS n_rows, 0::BIGINT AS n_off FROM mf WHERE target IS NOT NULL AND YEAR_MONTH > 200006 GROUP BY 1""",
     ),
+    "logreg_balance": """SELECT GEO AS geo, count(*) AS n_rows, true AS balanced FROM mf WHERE target IS NOT NULL AND YEAR_MONTH <= 199912
+        GROUP BY 1""",
     "gbt_inputs": """SELECT f.geo, concat('btree_', lower(f.geo)) AS model, feature, n_train, n_eval FROM selected f JOIN
         (SELECT GEO AS geo, count(*) FILTER (WHERE YEAR_MONTH <= 199912) AS n_train, count(*) FILTER (WHERE YEAR_MONTH > 199912) AS n_eval
          FROM fs WHERE target IS NOT NULL AND YEAR_MONTH <= 200006 GROUP BY 1) n ON n.geo = f.geo""",

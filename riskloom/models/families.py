@@ -65,8 +65,10 @@ class FittedFamily:
     prefix = ""
     one_hot = False
 
-    def __init__(self, path: str, parallelism: int = 8, seed: int = 7):
+    def __init__(self, path: str, name: str | None = None, parallelism: int = 8, seed: int = 7):
+        """``path``: folder of this version of the models; ``name``: prefix of the model names."""
         self.path = path
+        self.prefix = name or self.prefix
         self.paths: dict[str, str] = {}
         self.parallelism = parallelism
         self.seed = seed
@@ -386,6 +388,20 @@ def additivity(stage: DataFrame, bases: dict[str, float], tolerance: float = 1e-
     )
 
 
+def balance(scores: DataFrame, facts: dict[str, GeoFacts], tolerance: float = 1e-3) -> DataFrame:
+    """Rows per geo, and whether the class-weighted residuals cancel out.
+
+    They do at the optimum of a logistic regression on its training rows, because the intercept
+    is not penalised.
+    """
+    weight = F.lit(None).cast("double")
+    for geo, fact in facts.items():
+        for label, value in fact.weight.items():
+            weight = F.when((F.col("geo") == geo) & (F.col("target") == label), value).otherwise(weight)
+    gap = F.sum(weight * (F.col("target") - F.col("risk_score"))) / F.sum(weight)
+    return scores.groupBy("geo").agg(F.count(F.lit(1)).alias("n_rows"), (F.abs(gap) < tolerance).alias("balanced"))
+
+
 def model_inputs(spark: SparkSession, family) -> DataFrame:
     """Inputs of every model as rows (model, feature)."""
     pairs = [(m, f) for m, fs in sorted(family.inputs().items()) for f in fs]

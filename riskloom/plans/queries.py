@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom.functions.dates import shift_month
-from riskloom.models.families import LinearFamily, ScorecardFamily, TreeFamily, additivity, model_inputs
+from riskloom.models.families import LinearFamily, ScorecardFamily, TreeFamily, additivity, balance, model_inputs
 from riskloom.operators import buckets, checks, drift, evaluate, features, feed, quality, risk, routing
 from riskloom.operators.scorecard import Scorecard, Weight, score_with
 from riskloom.plans import scenarios
@@ -585,6 +585,13 @@ def logreg_additivity(spark, sf):
     return additivity(family.explain(test_rows(spark, sf), None), family.bases(spark))
 
 
+def logreg_balance(spark, sf):
+    """Residuals of the fitted benchmark on its own training rows."""
+    family = _fit(spark, sf, LinearFamily(_models(spark)))
+    train = prepared(spark, sf).filter(F.col("target").isNotNull() & (F.col("YEAR_MONTH") <= snap.TRAIN_END))
+    return balance(family.score(train), family.facts)
+
+
 def gbt_inputs(spark, sf):
     """Inputs of the fitted models with the training rows behind them."""
     family = _trees(spark, sf, rounds=2, depth=2)
@@ -680,6 +687,7 @@ EXACT = {
     "run_log": run_log,
     "gbt_additivity": gbt_additivity,
     "logreg_additivity": logreg_additivity,
+    "logreg_balance": logreg_balance,
     "gbt_inputs": gbt_inputs,
 }
 MODELS = {

@@ -56,17 +56,14 @@ def scratch_dir(spark: SparkSession) -> str:
     return f"{base.rstrip('/')}/riskloom/{spark.sparkContext.applicationId}"
 
 
-def save_scratch(df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
+def save_scratch(df: DataFrame, name: str) -> DataFrame:
     """Write an intermediate table once and read it back.
 
     Cuts the lineage, survives the loss of executors and keeps column pruning for the readers.
     """
     spark = df.sparkSession
     path = f"{scratch_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    writer = df.write.mode("overwrite")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
+    df.write.mode("overwrite").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -7,12 +7,15 @@ rows never lands in one task; the windows run over at most one row per customer
 
 from __future__ import annotations
 
+import uuid
+
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from riskloom.functions.dates import month_index
-from riskloom.sources.scratch import local_table, save_scratch
+from riskloom.sources.scratch import local_table, scratch_dir
+from riskloom.sources.tables import read_feature_store, write_feature_store
 
 GEOS = ["AFR", "AME", "ASI", "EUR", "MEA"]
 DATE_COLUMNS = ["RECENT_ORDER_DATE", "FIRST_ORDER_DATE", "LAST_SHIP_DATE"]
@@ -202,16 +205,6 @@ def _in_last(months: int) -> str:
     return "INLAST_MONTH" if months == 1 else f"INLAST_{months}_MONTHS"
 
 
-def write_feature_store(df: DataFrame, name: str = "feature_store") -> DataFrame:
-    """Store snapshots by month, sorted by GEO so that a geo predicate skips row groups.
-
-    Rebalancing by month sizes the files: a month larger than the target is split, small months
-    are merged into one task.
-    """
-    laid_out = df.hint("rebalance", "YEAR_MONTH").sortWithinPartitions("YEAR_MONTH", "GEO", "EMP_ID")
-    return save_scratch(laid_out, name, ["YEAR_MONTH"]).select(*df.columns)
-
-
 _stores: dict[tuple[str, str], DataFrame] = {}
 
 
@@ -219,5 +212,8 @@ def feature_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stored snapshots of ``sf_dir``, built once per application."""
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _stores:
-        _stores[key] = write_feature_store(customer_months(spark, sf_dir))
+        built = customer_months(spark, sf_dir)
+        path = f"{scratch_dir(spark)}/feature_store-{uuid.uuid4().hex}"
+        write_feature_store(built, path)
+        _stores[key] = read_feature_store(spark, path, built.schema)
     return _stores[key]

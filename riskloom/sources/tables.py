@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType, _parse_datatype_string
 
 from riskloom.sources.scratch import local_table
 
@@ -58,20 +60,32 @@ def create_outputs(spark: SparkSession, warehouse: str) -> None:
 
 def table_list(spark: SparkSession, warehouse: str, names: list[str]) -> DataFrame:
     """Which of the named tables exist, as rows."""
-    import pyarrow as pa
-
     found = [n for n in names if table_exists(spark, warehouse, n)]
     return local_table(spark, {"table_name": pa.array(found, pa.string())})
 
 
 def read_table(spark: SparkSession, warehouse: str, table: str) -> DataFrame:
     """An output table with its declared column order. Month and geo predicates prune folders."""
-    from pyspark.sql.types import _parse_datatype_string
-
     schema = _parse_datatype_string(SCHEMAS[table])
     return spark.read.schema(schema).parquet(f"{warehouse}/{table}").select(*schema.fieldNames())
 
 
+def write_feature_store(df: DataFrame, path: str) -> None:
+    """Store snapshots by month, sorted by GEO so that a geo predicate skips row groups.
+
+    Rebalancing by month sizes the files: a month larger than the target is split, small months
+    are merged into one task.
+    """
+    order = [c for c in ("YEAR_MONTH", "GEO", "EMP_ID") if c in df.columns]
+    laid_out = df.hint("rebalance", "YEAR_MONTH").sortWithinPartitions(*order)
+    laid_out.write.mode("overwrite").partitionBy("YEAR_MONTH").parquet(path)
+
+
+def read_feature_store(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """Snapshots in their declared column order. Month predicates prune folders."""
+    return spark.read.schema(schema).parquet(path).select(*schema.fieldNames())
+
+
 def replace_month(
     df: DataFrame, warehouse: str, table: str, month: int, sort: list[str], stamp: str, keep: tuple[str, ...] = ()
 ) -> None:

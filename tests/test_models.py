@@ -6,8 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from riskloom.models.attribution import build_explainer, contributions
-from riskloom.models.families import LinearFamily, TreeFamily, additivity
-from riskloom.models.prepare import geo_facts
+from riskloom.models.families import LinearFamily, TreeFamily, additivity, balance
 from riskloom.operators.risk import geo_drivers, variable_risk
 from riskloom.operators.scorecard import STAGE_COLUMNS
 
@@ -168,12 +167,10 @@ def test_linear_contributions_add_up(spark, linear, rows):
 
 
 def test_linear_fit_is_at_its_optimum(linear, history):
-    """Weighted residuals of the training rows sum to zero (the intercept is not penalised)."""
-    facts = geo_facts(history, LISTS)["BBB"]
-    scored = linear.score(history.filter("not is_eval")).filter("geo = 'BBB'")
-    weight = F.when(F.col("target") == 1, facts.weight[1]).otherwise(facts.weight[0])
-    total = scored.agg(F.sum(weight * (F.col("target") - F.col("risk_score"))), F.sum(weight)).first()
-    assert abs(total[0]) / total[1] < 1e-3
+    train = linear.score(history.filter("not is_eval"))
+    assert {r.geo: r.balanced for r in balance(train, linear.facts).collect()} == {"AAA": True, "BBB": True}
+    shifted = train.withColumn("risk_score", F.col("risk_score") * 0.9)
+    assert not any(r.balanced for r in balance(shifted, linear.facts).collect())
 
 
 def test_linear_weights(spark, linear):
