@@ -382,7 +382,7 @@ def additivity(stage: DataFrame, bases: dict[str, float], tolerance: float = 1e-
     for geo, value in bases.items():
         base = F.when(F.col("geo") == geo, value).otherwise(base)
     total = F.aggregate("attributions", base, lambda acc, d: acc + d["contribution"])
-    gap = F.abs(total - F.log(F.col("risk_score") / (1 - F.col("risk_score"))))
+    gap = F.abs(total - F.log(F.try_divide(F.col("risk_score"), 1 - F.col("risk_score"))))
     return stage.groupBy("geo").agg(
         F.count(F.lit(1)).alias("n_rows"), F.count_if(gap.isNull() | (gap > tolerance)).alias("n_off")
     )

@@ -75,7 +75,8 @@ def score_drift(employee: DataFrame, base_month: int, month: int) -> DataFrame:
 
 def driver_drift(drivers: DataFrame, base_month: int, month: int) -> DataFrame:
     """Change of each geo driver's share of all attribution."""
-    share = F.col("attribution") / F.sum("attribution").over(Window.partitionBy("geo", "YEAR_MONTH"))  # one row per feature
+    whole = Window.partitionBy("geo", "YEAR_MONTH")  # one row per feature
+    share = F.try_divide(F.col("attribution"), F.sum("attribution").over(whole))
     shares = drivers.filter(F.col("YEAR_MONTH").isin(base_month, month)).withColumn("share", share)
     return shares.groupBy("geo", "feature").agg(
         (

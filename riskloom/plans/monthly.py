@@ -16,6 +16,7 @@ from riskloom.operators.buckets import calibrate
 from riskloom.operators.checks import checks_run
 from riskloom.operators.features import geo_feature_list
 from riskloom.operators.feed import ews_feed, ews_summary, published_feed
+from riskloom.operators.quality import duplicate_keys
 from riskloom.operators.risk import employee_risk, geo_drivers, variable_risk
 from riskloom.operators.routing import calibration_rows, history_rows
 from riskloom.plans.inputs import Inputs
@@ -46,7 +47,8 @@ def monthly_run(
     """Score one month for every geo and replace the month in the output tables.
 
     All geos are checked before anything is fitted, and everything is computed into scratch
-    tables before the first output is touched. With ``on_error='skip'`` a geo that cannot be
+    tables before the first output is touched. Employees that occur more than once in the month are
+    not scored; their keys go to ``quarantined_keys``. With ``on_error='skip'`` a geo that cannot be
     fitted keeps its earlier output and is logged as FAILED while the others are published.
     ``fit=False`` scores with models that ``family.load`` took over.
     """
@@ -65,7 +67,9 @@ def monthly_run(
 
     window = save_scratch(family.explain(calibration_rows(features, month), top_k=None), "window")
     thresholds = calibrate(window.select("geo", "risk_score"), inputs.active_rules()).filter(~F.col("geo").isin(list(failed)))
-    stage = save_scratch(family.explain(features.filter(F.col("YEAR_MONTH") == month)), "stage")
+    scoring = features.filter(F.col("YEAR_MONTH") == month)
+    repeated = fix_small(duplicate_keys(scoring))
+    stage = save_scratch(family.explain(scoring.join(repeated, ["EMP_ID", "YEAR_MONTH"], "left_anti")), "stage")
 
     stamp = F.lit(started).cast("timestamp").alias("scored_at")
     employee = save_scratch(employee_risk(stage, thresholds).select("*", stamp), "employee")
@@ -93,10 +97,15 @@ def monthly_run(
         )
     )
 
+    if not repeated.isEmpty():
+        quarantined = repeated.select(
+            "*", F.lit(run_id).alias("run_id"), F.lit(started).cast("timestamp").alias("quarantined_at")
+        )
+        quarantined.write.mode("append").parquet(f"{warehouse}/quarantined_keys")
     keep = tuple(failed)
-    replace_month(employee, warehouse, "ews_employee_risk", month, ["risk_bucket", "EMP_ID"], "scored_at", keep)
-    replace_month(variable, warehouse, "ews_variable_risk", month, ["EMP_ID", "driver_rank"], "scored_at", keep)
-    replace_month(drivers, warehouse, "ews_geo_drivers", month, ["feature"], "scored_at", keep)
+    replace_month(employee, warehouse, "ews_employee_risk", month, ["risk_bucket", "EMP_ID"], "scored_at", started, keep)
+    replace_month(variable, warehouse, "ews_variable_risk", month, ["EMP_ID", "driver_rank"], "scored_at", started, keep)
+    replace_month(drivers, warehouse, "ews_geo_drivers", month, ["feature"], "scored_at", started, keep)
     history = thresholds.select(
         "geo",
         F.lit(month).cast("long").alias("YEAR_MONTH"),
@@ -107,7 +116,7 @@ def monthly_run(
         "amber_threshold",
         F.lit(started).cast("timestamp").alias("updated_at"),
     )
-    replace_month(history, warehouse, "risk_thresholds", month, [], "updated_at", keep)
+    replace_month(history, warehouse, "risk_thresholds", month, [], "updated_at", started, keep)
 
     per_geo = {r.geo: r.n for r in employee.groupBy("geo").agg(F.count(F.lit(1)).alias("n")).collect()}
     broken = [r.test_id for r in checks.filter(F.col("status") == "FAIL").orderBy("test_id").collect()]

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType, _parse_datatype_string
 
-from riskloom.sources.scratch import local_table
+from riskloom.sources.scratch import collect_config, local_table
 
 EMPLOYEE_RISK = (
     "geo string, EMP_ID string, YEAR_MONTH bigint, risk_score double, risk_bucket string, "
@@ -29,6 +31,8 @@ RUN_LOG = (
 APPROVED = "geo string, family string, model_path string, roc_auc double, approved_at timestamp"
 PUBLISHED = "geo string, YEAR_MONTH bigint, run_id string, published boolean, published_at timestamp"
 
+QUARANTINED = "EMP_ID string, YEAR_MONTH bigint, n_copies bigint, run_id string, quarantined_at timestamp"
+
 SCHEMAS = {
     "ews_employee_risk": EMPLOYEE_RISK,
     "ews_variable_risk": VARIABLE_RISK,
@@ -37,6 +41,7 @@ SCHEMAS = {
     "run_log": RUN_LOG,
     "published": PUBLISHED,
     "approved_models": APPROVED,
+    "quarantined_keys": QUARANTINED,
 }
 
 
@@ -87,13 +92,21 @@ def read_feature_store(spark: SparkSession, path: str, schema: StructType) -> Da
 
 
 def replace_month(
-    df: DataFrame, warehouse: str, table: str, month: int, sort: list[str], stamp: str, keep: tuple[str, ...] = ()
+    df: DataFrame,
+    warehouse: str,
+    table: str,
+    month: int,
+    sort: list[str],
+    stamp: str,
+    started: datetime,
+    keep: tuple[str, ...] = (),
 ) -> None:
     """Replace one month of a table that is laid out by (YEAR_MONTH, geo).
 
-    ``stamp`` names the column that holds the time of this run in every row. Folders of geos that
-    an earlier run of the month wrote and this run did not are told apart by it and removed,
-    except those in ``keep``. Rebalancing splits the files of a geo much larger than the rest.
+    Every row of ``df`` holds the start of this run in the column ``stamp``. Folders of the month
+    that an earlier run wrote and this one did not (a geo that left, a month that became empty)
+    show an older stamp and are removed, except those of ``keep``. Rebalancing splits the files of
+    a geo much larger than the rest.
     """
     spark = df.sparkSession
     path = f"{warehouse}/{table}"
@@ -105,15 +118,14 @@ def replace_month(
         .partitionBy("YEAR_MONTH", "geo")
         .parquet(path)
     )
-    stamps = (
+    older = (
         read_table(spark, warehouse, table)
         .filter(F.col("YEAR_MONTH") == month)
         .groupBy("geo")
         .agg(F.max(stamp).alias("newest"))
-        .collect()
-    )  # one row per geo: bounded by the geo configuration
-    newest = max((r.newest for r in stamps), default=None)
-    for stale in (r.geo for r in stamps if r.newest < newest and r.geo not in keep):
+        .filter(F.col("newest") < F.lit(started))
+    )
+    for stale in [r.geo for r in collect_config(older) if r.geo not in keep]:
         fs, folder = _fs_path(spark, f"{path}/YEAR_MONTH={month}/geo={stale}")
         fs.delete(folder, True)
 

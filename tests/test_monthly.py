@@ -143,3 +143,19 @@ def test_scoring_with_the_approved_version(spark, given, place, tmp_path):
     assert spark.sql("SELECT employees_scored FROM v_ews_summary").first()[0] == 24
     assert spark.sql("SELECT n_features FROM v_geo_feature_list WHERE geo = 'ASI'").first()[0] == 17
     assert result.capture().count() > 0 and result.trade_off().count() > 0 and result.report().count() == 1
+
+
+def test_month_that_became_empty_is_cleared(spark, given, place):
+    monthly_run(given, MONTH, ScorecardFamily(CARD), place)
+    run = monthly_run(replace(given, store=given.store.filter(F.col("YEAR_MONTH") != MONTH)), MONTH, ScorecardFamily(CARD), place)
+    assert read_table(spark, place, "ews_employee_risk").count() == 0
+    assert run.published == [] and read_feed(spark, place, MONTH).count() == 0
+
+
+def test_repeated_employees_are_quarantined(spark, given, place):
+    month = given.store.filter(F.col("YEAR_MONTH") == MONTH)
+    one = month.orderBy("EMP_ID").first().EMP_ID
+    twice = replace(given, store=given.store.unionByName(month.filter(F.col("EMP_ID") == one)))
+    monthly_run(twice, MONTH, ScorecardFamily(CARD), place)
+    assert read_table(spark, place, "ews_employee_risk").count() == month.count() - 1
+    assert [(r.EMP_ID, r.n_copies) for r in read_table(spark, place, "quarantined_keys").collect()] == [(one, 2)]
