@@ -63,6 +63,21 @@ def explain_batches(shared, keys: list[str], features: list[str], text: list[boo
     return run
 
 
+def driver_sums(shared, features: list[str]) -> Callable:
+    """Function for ``mapInPandas``: vector ``x`` in, one row per batch and feature out."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            if batch.empty:
+                continue
+            parts = contributions(shared.value, np.stack(batch["x"].to_numpy()))
+            yield pd.DataFrame(
+                {"geo": batch["geo"].iloc[0], "feature": features, "total": np.abs(parts).sum(axis=0), "n": len(parts)}
+            )
+
+    return run
+
+
 def _value_text(value, text: bool) -> str | None:
     if value is None or text:
         return value

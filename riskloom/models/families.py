@@ -1,8 +1,9 @@
 """Scorecard, boosted trees and logistic regression behind one interface.
 
-Every family offers ``fit(history, lists)``, ``score(rows)``, ``explain(rows, top_k)`` and
-``inputs()``. Rows carry GEO; scores carry geo, EMP_ID, YEAR_MONTH, target, risk_score, and
-explained rows the attributions and model name on top.
+Every family offers ``fit(history, lists)``, ``score(rows)``, ``explain(rows, top_k)``,
+``drivers(rows)`` and ``inputs()``. Rows carry GEO; scores carry geo, EMP_ID, YEAR_MONTH, target,
+risk_score; explained rows the attributions and model name on top; drivers are the mean absolute
+contribution per geo and feature.
 """
 
 from __future__ import annotations
@@ -24,10 +25,17 @@ from pyspark.sql import functions as F
 
 from riskloom.errors import ConfigError, TrainingError
 from riskloom.functions.drivers import DRIVER_TYPE, number_text
-from riskloom.models.attribution import build_explainer, explain_batches
+from riskloom.models.attribution import build_explainer, driver_sums, explain_batches
 from riskloom.models.prepare import GeoFacts, encoder, geo_facts, is_text, rows_of_geo, slots, training_rows
 from riskloom.operators.routing import route_to_geos
-from riskloom.operators.scorecard import STAGE_COLUMNS, Scorecard, linear_stage, score_with
+from riskloom.operators.scorecard import (
+    STAGE_COLUMNS,
+    Scorecard,
+    card_parts,
+    linear_drivers,
+    linear_stage,
+    score_with,
+)
 from riskloom.sources.scratch import local_table
 
 SCORE_COLUMNS = STAGE_COLUMNS[:5]
@@ -55,6 +63,9 @@ class ScorecardFamily:
     def score(self, rows: DataFrame) -> DataFrame:
         return self.explain(rows).select(*SCORE_COLUMNS)
 
+    def drivers(self, rows: DataFrame) -> DataFrame:
+        return linear_drivers(route_to_geos(rows, sorted(self.lists)), card_parts(self.card))
+
     def inputs(self) -> dict[str, list[str]]:
         return {f"{self.prefix}_{g.lower()}": [w.feature for w in self.card.weights] for g in self.lists}
 
@@ -275,6 +286,20 @@ class TreeFamily(FittedFamily):
         return reduce(DataFrame.unionByName, parts)
 
 
+    def drivers(self, rows: DataFrame) -> DataFrame:
+        """Summed inside the tasks: a batch returns one row per feature, not one per employee."""
+        spark = rows.sparkSession
+        parts = []
+        for geo in sorted(self.models):
+            vectors = self.models[geo].transform(self._rows(rows, geo)).select("geo", vector_to_array("features").alias("x"))
+            shared = spark.sparkContext.broadcast(self.explainer(spark, geo))
+            parts.append(
+                vectors.mapInPandas(driver_sums(shared, self.slots[geo]), "geo string, feature string, total double, n bigint")
+            )
+        sums = reduce(DataFrame.unionByName, parts)
+        return sums.groupBy("geo", "feature").agg((F.sum("total") / F.sum("n")).alias("attribution"))
+
+
 class LinearFamily(FittedFamily):
     """Logistic regression with L2 penalty; explained with plain columns."""
 
@@ -327,33 +352,40 @@ class LinearFamily(FittedFamily):
             },
         )
 
+    def _terms(self, geo: str) -> list[tuple]:
+        """(feature, value as text, contribution) per input; a text input joins its categories."""
+        stages = self.models[geo].stages
+        labels = {
+            c: ls for s in stages if isinstance(s, StringIndexerModel) for c, ls in zip(s.getInputCols(), s.labelsArray)
+        }
+        coefficients = [float(c) for c in stages[-1].coefficients]
+        means = self.moments[geo][0]
+        terms, at = [], 0
+        for f in self.lists[geo]:
+            if f in labels:
+                width = self.slots[geo].count(f)
+                own, own_means = coefficients[at : at + width], means[at : at + width]
+                middle = sum(c * m for c, m in zip(own, own_means))
+                pairs = [F.lit(v) for pair in zip(labels[f], own) for v in pair]
+                unseen = own[len(labels[f])] if width > len(labels[f]) else 0.0
+                chosen = F.coalesce(F.try_element_at(F.create_map(*pairs), F.col(f)), F.lit(unseen))
+                terms.append((f, F.col(f), chosen - F.lit(middle)))
+                at += width
+            else:
+                x = F.coalesce(F.col(f).cast("double"), F.lit(self.facts[geo].mean[f]))
+                terms.append((f, number_text(F.col(f)), F.lit(coefficients[at]) * (x - F.lit(means[at]))))
+                at += 1
+        return terms
+
     def explain(self, rows: DataFrame, top_k: int | None = 10) -> DataFrame:
-        parts = []
-        for geo in sorted(self.models):
-            own = self._rows(rows, geo)
-            stages = self.models[geo].stages
-            labels = {
-                c: ls for s in stages if isinstance(s, StringIndexerModel) for c, ls in zip(s.getInputCols(), s.labelsArray)
-            }
-            coefficients = [float(c) for c in stages[-1].coefficients]
-            means = self.moments[geo][0]
-            intercept = self._base(geo)
-            terms, at = [], 0
-            for f in self.lists[geo]:
-                if f in labels:
-                    width = len([s for s in self.slots[geo] if s == f])
-                    own_coefficients, own_means = coefficients[at : at + width], means[at : at + width]
-                    middle = sum(c * m for c, m in zip(own_coefficients, own_means))
-                    pairs = [F.lit(v) for pair in zip(labels[f], own_coefficients) for v in pair]
-                    unseen = own_coefficients[len(labels[f])] if width > len(labels[f]) else 0.0
-                    chosen = F.coalesce(F.try_element_at(F.create_map(*pairs), F.col(f)), F.lit(unseen)) - F.lit(middle)
-                    terms.append((f, F.col(f), chosen))
-                    at += width
-                else:
-                    x = F.coalesce(F.col(f).cast("double"), F.lit(self.facts[geo].mean[f]))
-                    terms.append((f, number_text(F.col(f)), F.lit(coefficients[at]) * (x - F.lit(means[at]))))
-                    at += 1
-            parts.append(linear_stage(own, self.prefix, F.lit(intercept), terms, top_k))
+        parts = [
+            linear_stage(self._rows(rows, geo), self.prefix, F.lit(self._base(geo)), self._terms(geo), top_k)
+            for geo in sorted(self.models)
+        ]
+        return reduce(DataFrame.unionByName, parts)
+
+    def drivers(self, rows: DataFrame) -> DataFrame:
+        parts = [linear_drivers(self._rows(rows, geo), self._terms(geo)) for geo in sorted(self.models)]
         return reduce(DataFrame.unionByName, parts)
 
 

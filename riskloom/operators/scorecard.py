@@ -40,8 +40,20 @@ def contribution(w: Weight) -> Column:
 
 def score_with(df: DataFrame, card: Scorecard, top_k: int | None = 10, carry: tuple[str, ...] = ()) -> DataFrame:
     """Score routed rows (column ``geo``) and keep the strongest contributions and ``carry``."""
-    parts = [(w.feature, number_text(F.col(w.feature)), contribution(w)) for w in card.weights]
-    return linear_stage(df, card.name, F.lit(card.intercept), parts, top_k, carry)
+    return linear_stage(df, card.name, F.lit(card.intercept), card_parts(card), top_k, carry)
+
+
+def card_parts(card: Scorecard) -> list[tuple[str, Column, Column]]:
+    return [(w.feature, number_text(F.col(w.feature)), contribution(w)) for w in card.weights]
+
+
+def linear_drivers(df: DataFrame, parts: list[tuple[str, Column, Column]]) -> DataFrame:
+    """Mean absolute contribution per geo and feature, aggregated without building driver arrays."""
+    means = df.groupBy("geo").agg(*[F.avg(F.abs(c)).alias(f"m_{name}") for name, _, c in parts])
+    pairs = F.array(
+        *[F.struct(F.lit(name).alias("feature"), F.col(f"m_{name}").alias("attribution")) for name, _, _ in parts]
+    )
+    return means.select("geo", F.inline(pairs))
 
 
 def linear_stage(

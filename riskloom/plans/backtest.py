@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from riskloom.operators.buckets import calibrate, capture_report
 from riskloom.operators.evaluate import eval_report, evaluate, roc_curve
-from riskloom.operators.risk import geo_drivers
 from riskloom.operators.routing import backtest_rows
 from riskloom.plans.inputs import Inputs
 from riskloom.sources.scratch import save_scratch
@@ -41,7 +40,7 @@ class Backtest:
 def backtest(inputs: Inputs, families: list, train_end: int, eval_end: int) -> Backtest:
     """Fit every family for every geo. The first family is the primary one.
 
-    TEST scores and EVAL scores are each written once and shared by all reports.
+    TEST scores are written once per family and shared by all reports.
     """
     lists = inputs.checked_lists()
     features = inputs.features()
@@ -57,12 +56,11 @@ def backtest(inputs: Inputs, families: list, train_end: int, eval_end: int) -> B
     for other in scored[1:]:
         predictions = predictions.unionByName(other)
     primary = families[0]
-    explained = save_scratch(primary.explain(validation, top_k=None), "validation")
     return Backtest(
         predictions,
-        calibrate(explained.select("geo", "risk_score"), inputs.active_rules()),
+        calibrate(primary.score(validation).select("geo", "risk_score"), inputs.active_rules()),
         evaluate(predictions),
-        geo_drivers(explained),
+        primary.drivers(validation),
         primary.prefix,
     )
 

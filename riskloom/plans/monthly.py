@@ -17,7 +17,7 @@ from riskloom.operators.checks import checks_run
 from riskloom.operators.features import geo_feature_list
 from riskloom.operators.feed import ews_feed, ews_summary, published_feed
 from riskloom.operators.quality import duplicate_keys
-from riskloom.operators.risk import employee_risk, geo_drivers, variable_risk
+from riskloom.operators.risk import employee_risk, variable_risk
 from riskloom.operators.routing import calibration_rows, history_rows
 from riskloom.plans.inputs import Inputs
 from riskloom.sources.scratch import collect_config, fix_small, local_table, save_scratch
@@ -65,8 +65,8 @@ def monthly_run(
     if on_error != "skip" or len(failed) == len(lists):
         family.raise_errors()
 
-    window = save_scratch(family.explain(calibration_rows(features, month), top_k=None), "window")
-    thresholds = calibrate(window.select("geo", "risk_score"), inputs.active_rules()).filter(~F.col("geo").isin(list(failed)))
+    window = calibration_rows(features, month)
+    thresholds = calibrate(family.score(window).select("geo", "risk_score"), inputs.active_rules()).filter(~F.col("geo").isin(list(failed)))
     scoring = features.filter(F.col("YEAR_MONTH") == month)
     repeated = fix_small(duplicate_keys(scoring))
     stage = save_scratch(family.explain(scoring.join(repeated, ["EMP_ID", "YEAR_MONTH"], "left_anti")), "stage")
@@ -74,7 +74,7 @@ def monthly_run(
     stamp = F.lit(started).cast("timestamp").alias("scored_at")
     employee = save_scratch(employee_risk(stage, thresholds).select("*", stamp), "employee")
     variable = save_scratch(variable_risk(stage).select("*", stamp), "variable")
-    drivers = fix_small(geo_drivers(window)).select(
+    drivers = fix_small(family.drivers(window)).select(
         "geo", F.lit(month).cast("long").alias("YEAR_MONTH"), "feature", "attribution", stamp
     )
 

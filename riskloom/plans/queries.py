@@ -549,7 +549,7 @@ def gbt_attributions(spark, sf):
 
 def gbt_geo_drivers(spark, sf):
     held = routing.calibration_rows(prepared(spark, sf), MONTH)
-    return risk.geo_drivers(_trees(spark, sf).explain(held, None))
+    return _trees(spark, sf).drivers(held)
 
 
 def training_curve(spark, sf):

@@ -179,9 +179,11 @@ def test_linear_weights(spark, linear):
     assert w[("AAA", "pay")] > 0 and len([k for k in w if k[0] == "BBB"]) == 2
 
 
-def test_geo_drivers_cover_all_inputs(trees, rows):
-    got = {(r.geo, r.feature): r.attribution for r in geo_drivers(trees.explain(rows, None)).collect()}
-    assert len(got) == 5 and min(got.values()) >= 0
+def test_drivers_equal_the_mean_over_explained_rows(trees, linear, rows):
+    for family in (trees, linear):
+        want = {(r.geo, r.feature): r.attribution for r in geo_drivers(family.explain(rows, None)).collect()}
+        got = {(r.geo, r.feature): r.attribution for r in family.drivers(rows).collect()}
+        assert len(got) == 5 and got == pytest.approx(want)
 
 
 def test_geo_without_both_classes_is_reported(spark, history, tmp_path):
