@@ -15,6 +15,7 @@ from riskloom.operators.features import (
     model_features,
     selected_features,
 )
+from riskloom.sources.scratch import fix_small
 
 
 @dataclass(frozen=True)
@@ -33,16 +34,17 @@ class Inputs:
         return model_features(self.store, self.date_columns)
 
     def selected(self) -> DataFrame:
+        """(geo, feature) pairs of all geos; of configuration size."""
         flags = feature_flags(self.feature_config, geo_names(self.geo_config))
-        return selected_features(flags, self.features(), self.exclusions)
+        return fix_small(selected_features(flags, self.features(), self.exclusions))
 
     def active_rules(self) -> DataFrame:
         """Bucket rules of the configured geos."""
         names = self.geo_config.select(F.col("GEO").alias("geo"))
         return self.rules.join(names, "geo", "left_semi")
 
-    def checked_lists(self) -> dict[str, list[str]]:
+    def checked_lists(self, selected: DataFrame | None = None) -> dict[str, list[str]]:
         """Feature lists of all geos; raises ConfigError if any geo is not usable."""
-        selected = self.selected()
+        selected = self.selected() if selected is None else selected
         config_guard(self.geo_config, selected, self.rules)
         return feature_lists(selected)

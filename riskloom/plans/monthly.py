@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import time
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
 import pyarrow as pa
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -55,7 +57,8 @@ def monthly_run(
     clock = time.monotonic()
     started = datetime.now(timezone.utc)
     run_id = uuid.uuid4().hex[:12]
-    lists = inputs.checked_lists()
+    selected = inputs.selected()
+    lists = inputs.checked_lists(selected)
     spark = inputs.store.sparkSession
     features = inputs.features().filter(F.col("YEAR_MONTH") <= month)
 
@@ -78,7 +81,6 @@ def monthly_run(
         "geo", F.lit(month).cast("long").alias("YEAR_MONTH"), "feature", "attribution", stamp
     )
 
-    selected = inputs.selected()
     percentile = F.col("method") == "PERCENTILE"
     checks = fix_small(
         checks_run(
@@ -103,9 +105,6 @@ def monthly_run(
         )
         quarantined.write.mode("append").parquet(f"{warehouse}/quarantined_keys")
     keep = tuple(failed)
-    replace_month(employee, warehouse, "ews_employee_risk", month, ["risk_bucket", "EMP_ID"], "scored_at", started, keep)
-    replace_month(variable, warehouse, "ews_variable_risk", month, ["EMP_ID", "driver_rank"], "scored_at", started, keep)
-    replace_month(drivers, warehouse, "ews_geo_drivers", month, ["feature"], "scored_at", started, keep)
     history = thresholds.select(
         "geo",
         F.lit(month).cast("long").alias("YEAR_MONTH"),
@@ -116,7 +115,20 @@ def monthly_run(
         "amber_threshold",
         F.lit(started).cast("timestamp").alias("updated_at"),
     )
-    replace_month(history, warehouse, "risk_thresholds", month, [], "updated_at", started, keep)
+    outputs = [
+        (employee, "ews_employee_risk", ["risk_bucket", "EMP_ID"], "scored_at"),
+        (variable, "ews_variable_risk", ["EMP_ID", "driver_rank"], "scored_at"),
+        (drivers, "ews_geo_drivers", ["feature"], "scored_at"),
+        (history, "risk_thresholds", [], "updated_at"),
+    ]
+
+    @inheritable_thread_target(spark)
+    def publish(output: tuple) -> None:
+        df, table, sort, stamp_column = output
+        replace_month(df, warehouse, table, month, sort, stamp_column, started, keep)
+
+    with ThreadPoolExecutor(len(outputs)) as pool:
+        list(pool.map(publish, outputs))
 
     per_geo = {r.geo: r.n for r in employee.groupBy("geo").agg(F.count(F.lit(1)).alias("n")).collect()}
     broken = [r.test_id for r in checks.filter(F.col("status") == "FAIL").orderBy("test_id").collect()]
