@@ -119,12 +119,16 @@ class FittedFamily:
         features = self.lists[geo]
         rows = training_rows(history, geo, features, facts)
         coding = encoder(rows, features, facts, self.one_hot).fit(rows.filter(~F.col("is_eval")))
-        encoded = coding.transform(rows).select("features", "target", "is_eval", "class_weight")
+        columns = ["features", "target", "is_eval", "class_weight"]
+        encoded = coding.transform(rows).select("EMP_ID", "YEAR_MONTH", *columns)
         # A geo's rows are spread thinly over the store's files; every training round reads them
-        # again, so they are gathered once into even partitions of a size that suits the data.
+        # again, so they are gathered once into even partitions of a size that suits the data. The
+        # order by key makes row sampling repeatable, also when a lost partition is built again.
         self.slots[geo] = slots(encoded)
         parts = facts.n_rows * len(self.slots[geo]) * 8 // PARTITION_BYTES + 1
-        encoded = encoded.repartition(parts).persist(StorageLevel.MEMORY_AND_DISK)
+        key = ["EMP_ID", "YEAR_MONTH"]
+        encoded = encoded.repartition(parts, *key).sortWithinPartitions(*key).select(*columns)
+        encoded.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             categories = max(
                 [len(labels) + 1 for s in coding.stages if isinstance(s, StringIndexerModel) for labels in s.labelsArray],

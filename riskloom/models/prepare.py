@@ -71,7 +71,12 @@ def training_rows(history: DataFrame, geo: str, features: list[str], facts: GeoF
     for label, value in facts.weight.items():
         weight = F.when(F.col("target") == label, value).otherwise(weight)
     return rows_of_geo(history, geo).select(
-        *features, F.col("target").cast("double").alias("target"), "is_eval", weight.alias("class_weight")
+        "EMP_ID",
+        "YEAR_MONTH",
+        *features,
+        F.col("target").cast("double").alias("target"),
+        "is_eval",
+        weight.alias("class_weight"),
     )
 
 
