@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom.llm.decontaminate import benchmark_matches, contaminated
+from riskloom.llm.substring_dedup import remove_repeats
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -27,6 +28,12 @@ def op6_suffix_decontamination(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op6_suffix_decontamination,)}
+def op8_repeated_windows(spark: SparkSession, sf: str) -> DataFrame:
+    """Words that repeated 35-word windows cover, removed from every document."""
+    kept = remove_repeats(table(spark, sf, "documents"))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"), F.size("removed").cast("bigint").alias("n_intervals"))
+
+
+QUERIES = {f.__name__: f for f in (op6_suffix_decontamination, op8_repeated_windows)}
 
 ORACLE: dict[str, str] = {}
