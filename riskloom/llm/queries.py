@@ -2,17 +2,44 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom.llm.decontaminate import benchmark_matches, contaminated
+from riskloom.llm.packing import pack
 from riskloom.llm.substring_dedup import remove_repeats
+from riskloom.llm.token_rollup import RollupStore, token_counts
+from riskloom.sources.scratch import scratch_dir
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def op3_packed_windows(spark: SparkSession, sf: str) -> DataFrame:
+    """Every document's pieces in windows of 4096 ids."""
+    return pack(table(spark, sf, "documents"))
+
+
+def op4_token_rollup(spark: SparkSession, sf: str) -> DataFrame:
+    """Token totals after three batches: all documents come, toxic ones go, poor ones are revised.
+
+    A revised document has lost its repeated lines. The second batch is sent twice.
+    """
+    docs, labels = table(spark, sf, "documents"), table(spark, sf, "labels")
+    store = RollupStore(spark, f"{scratch_dir(spark)}/token-rollup-{uuid.uuid4().hex}")
+    toxic = labels.where("toxic = 1").select("doc_id")
+    store.apply(0, token_counts(docs))
+    store.apply(1, deletes=toxic)
+    store.apply(1, deletes=toxic)
+    poor = labels.where("quality = 0 AND coalesce(toxic, 0) <> 1").select("doc_id").distinct()
+    once = F.array_join(F.array_distinct(F.split("text", "\n", -1)), "\n")
+    store.apply(2, token_counts(docs.join(poor, "doc_id", "left_semi").withColumn("text", once)))
+    return store.totals()
+
+
 def op6_suffix_decontamination(spark: SparkSession, sf: str) -> DataFrame:
     """Benchmark words and items in every document, by suffix arrays over the documents."""
     found = benchmark_matches(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
@@ -34,6 +61,6 @@ def op8_repeated_windows(spark: SparkSession, sf: str) -> DataFrame:
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"), F.size("removed").cast("bigint").alias("n_intervals"))
 
 
-QUERIES = {f.__name__: f for f in (op6_suffix_decontamination, op8_repeated_windows)}
+QUERIES = {f.__name__: f for f in (op3_packed_windows, op4_token_rollup, op6_suffix_decontamination, op8_repeated_windows)}
 
 ORACLE: dict[str, str] = {}
