@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom.llm.decontaminate import benchmark_matches, contaminated
+from riskloom.llm.near_dedup import near_duplicates
 from riskloom.llm.packing import pack
 from riskloom.llm.substring_dedup import remove_repeats
 from riskloom.llm.token_rollup import RollupStore, token_counts
@@ -18,6 +19,11 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def op2_near_duplicates(spark: SparkSession, sf: str) -> DataFrame:
+    """Components of documents whose 3-word shingle sets share at least 85 % of their union."""
+    return near_duplicates(table(spark, sf, "documents"), width=3, percent=85).drop("copy")
+
+
 def op3_packed_windows(spark: SparkSession, sf: str) -> DataFrame:
     """Every document's pieces in windows of 4096 ids."""
     return pack(table(spark, sf, "documents"))
@@ -61,6 +67,6 @@ def op8_repeated_windows(spark: SparkSession, sf: str) -> DataFrame:
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"), F.size("removed").cast("bigint").alias("n_intervals"))
 
 
-QUERIES = {f.__name__: f for f in (op3_packed_windows, op4_token_rollup, op6_suffix_decontamination, op8_repeated_windows)}
+QUERIES = {f.__name__: f for f in (op2_near_duplicates, op3_packed_windows, op4_token_rollup, op6_suffix_decontamination, op8_repeated_windows)}
 
 ORACLE: dict[str, str] = {}
