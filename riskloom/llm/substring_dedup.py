@@ -1,7 +1,7 @@
 """Substring removal: Rabin-Karp hashes of every window of words, counted by Spark.
 
 1. Documents are dealt to chunks by a hash of their id and text. Tasks hash every window of their
-   documents and write, for each chunk and each bucket of the hash space, the sorted hashes as one
+   documents and write, for each bucket of the hash space, the hashes by chunk and in order as one
    blob of differences. A hash that occurs often in a task is written once, with a mark.
 2. Buckets are shuffled together. A hash that is marked or comes from two blobs is repeated; every
    chunk that holds it gets it back.
@@ -27,13 +27,13 @@ from riskloom.llm.words import PLAIN, ranges, split_words, text_slices, windows
 WINDOW = 35
 BUCKET_WINDOWS = 1 << 20
 CHUNK_MB = 8
-_FLUSH = 4 << 20  # windows that a task holds before it writes its blobs
+_FLUSH = 2 << 20  # windows that a task holds before it writes its blobs
 
 _KEPT = "doc_id bigint, n_words bigint, n_removed bigint, removed array<struct<start:bigint,end:bigint>>, kept_text string"
 
 
 def pack_sorted(values: np.ndarray) -> bytes:
-    """Sorted 64-bit values as differences, their bytes by place: the upper ones are zeros, which shuffles compress."""
+    """64-bit values, mostly rising, as differences with their bytes by place: the upper ones are zeros, which shuffles compress."""
     steps = np.diff(values, prepend=np.uint64(0))
     return np.ascontiguousarray(steps.view(np.uint8).reshape(-1, 8).T).tobytes()
 
@@ -61,17 +61,20 @@ def _blobs(hashes: list[np.ndarray], chunks: list[np.ndarray], bits: int) -> Ite
     again = np.diff(at) > 1
     h, c = h[at[:-1]], c[at[:-1]]
     b = (h >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(h), np.int64)
-    cut = _runs(b, c)
-    for lo in range(0, len(cut) - 1, 4096):
-        part = list(zip(cut[:-1][lo : lo + 4096], cut[1:][lo : lo + 4096], strict=True))
+    order = np.argsort(b, kind="stable")
+    h, c, b, again = h[order], c[order], b[order], again[order]
+    segments, cut = _runs(b, c), _runs(b)
+    for lo, hi in zip(cut[:-1], cut[1:], strict=True):
+        own = segments[np.searchsorted(segments, lo) : np.searchsorted(segments, hi) + 1]
         yield pa.RecordBatch.from_arrays(
             [
-                pa.array(b[[s for s, _ in part]].astype(np.int32)),
-                pa.array(c[[s for s, _ in part]].astype(np.int32)),
-                pa.array([pack_sorted(h[s:e]) for s, e in part], pa.binary()),
-                pa.array([np.packbits(again[s:e]).tobytes() for s, e in part], pa.binary()),
+                pa.array(b[lo : lo + 1].astype(np.int32)),
+                pa.array([c[own[:-1]]], pa.list_(pa.int32())),
+                pa.array([np.diff(own).astype(np.int32)], pa.list_(pa.int32())),
+                pa.array([pack_sorted(h[lo:hi])], pa.binary()),
+                pa.array([np.packbits(again[lo:hi]).tobytes()], pa.binary()),
             ],
-            ["bucket", "chunk", "hashes", "again"],
+            ["bucket", "chunks", "sizes", "hashes", "again"],
         )
 
 
@@ -98,9 +101,9 @@ def _hash_windows(width: int, bits: int):
 def _repeated(table: pa.Table) -> pa.Table:
     """One bucket: the hashes that occur more than once, for each chunk that holds them."""
     h, c, again = [], [], []
-    for chunk, blob, mark in zip(*(table.column(x).to_pylist() for x in ("chunk", "hashes", "again")), strict=True):
+    for chunks, sizes, blob, mark in zip(*(table.column(x).to_pylist() for x in ("chunks", "sizes", "hashes", "again")), strict=True):
         h.append(unpack_sorted(blob))
-        c.append(np.full(len(h[-1]), chunk, np.int32))
+        c.append(np.repeat(np.array(chunks, np.int32), sizes))
         again.append(np.unpackbits(np.frombuffer(mark, np.uint8), count=len(h[-1])).astype(bool))
     h, c, again = np.concatenate(h), np.concatenate(c), np.concatenate(again)
     order = np.argsort(h)
@@ -189,6 +192,6 @@ def remove_repeats(docs: DataFrame, width: int = WINDOW) -> DataFrame:
     bits = max(0, (size // 6 // BUCKET_WINDOWS).bit_length())  # a word takes about 6 bytes
     chunk = F.pmod(F.xxhash64("doc_id", "text"), F.lit(n_chunks)).cast("int").alias("chunk")
     texts = docs.select(F.col("doc_id").cast("bigint"), "text", chunk)
-    blobs = texts.select("chunk", "text").mapInArrow(_hash_windows(width, bits), "bucket int, chunk int, hashes binary, again binary")
+    blobs = texts.select("chunk", "text").mapInArrow(_hash_windows(width, bits), "bucket int, chunks array<int>, sizes array<int>, hashes binary, again binary")
     found = blobs.groupBy("bucket").applyInArrow(_repeated, "chunk int, hashes binary")
     return texts.groupBy("chunk").cogroup(found.groupBy("chunk")).applyInArrow(_remove(width), _KEPT)
