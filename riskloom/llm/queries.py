@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from riskloom.llm.decontaminate import benchmark_matches, contaminated
 from riskloom.llm.near_dedup import near_duplicates
 from riskloom.llm.packing import pack
+from riskloom.llm.quality_lines import quality_verdicts
 from riskloom.llm.substring_dedup import remove_repeats
 from riskloom.llm.token_rollup import RollupStore, token_counts
 from riskloom.sources.scratch import scratch_dir
@@ -67,6 +68,46 @@ def op8_repeated_windows(spark: SparkSession, sf: str) -> DataFrame:
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"), F.size("removed").cast("bigint").alias("n_intervals"))
 
 
-QUERIES = {f.__name__: f for f in (op2_near_duplicates, op3_packed_windows, op4_token_rollup, op6_suffix_decontamination, op8_repeated_windows)}
-
-ORACLE: dict[str, str] = {}
+def op10_line_frequency(spark: SparkSession, sf: str) -> DataFrame:
+    """Measures of every document and whether it stays without its host's frequent lines."""
+    judged = quality_verdicts(table(spark, sf, "documents").select("doc_id", "source", "text"))
+    return judged.drop("source", "text", "removed_lines")
+
+
+QUERIES = {f.__name__: f for f in (op2_near_duplicates, op3_packed_windows, op4_token_rollup, op6_suffix_decontamination, op8_repeated_windows, op10_line_frequency)}
+
+OP10_SQL = r"""
+WITH d AS (
+    SELECT row_number() OVER () AS r, doc_id, coalesce(source, '') AS host, coalesce(text, '') AS t FROM documents
+), w AS (
+    SELECT *, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS ws, string_split(t, chr(10)) AS ls FROM d
+), grams AS (
+    SELECT r, i, ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2] AS g FROM (SELECT r, ws, unnest(range(1, len(ws) - 1)) AS i FROM w)
+), again AS (
+    SELECT r, g FROM grams GROUP BY r, g HAVING count(*) > 1
+), covered AS (
+    SELECT r, count(DISTINCT p) AS n FROM (SELECT r, unnest([i, i + 1, i + 2]) AS p FROM grams JOIN again USING (r, g)) GROUP BY r
+), lines AS (
+    SELECT r, host, t, l, trim(regexp_replace(lower(regexp_replace(l, '[0-9]+', '0', 'g')), '[\x20\x09-\x0D]+', ' ', 'g'), ' ') AS line
+    FROM (SELECT r, host, t, unnest(ls) AS l FROM w)
+), worded AS (
+    SELECT *, len(string_split(line, ' ')) AS words FROM lines WHERE line <> ''
+), frequent AS (
+    SELECT host, line FROM worded JOIN (SELECT host, count(DISTINCT t) AS n FROM worded GROUP BY host) USING (host)
+    GROUP BY host, line, n HAVING count(DISTINCT t) >= 10 AND 100 * count(DISTINCT t) >= 10 * n
+), removed AS (
+    SELECT r, sum(words) AS n FROM worded JOIN frequent USING (host, line) GROUP BY r
+), dup AS (
+    SELECT r, count(*) - count(DISTINCT l) AS n FROM worded GROUP BY r
+), m AS (
+    SELECT w.doc_id, len(ws)::BIGINT AS n_words, length(array_to_string(ws, ''))::BIGINT AS word_chars,
+        (length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols,
+        coalesce(dup.n, 0)::BIGINT AS n_dup_lines, coalesce(covered.n, 0)::BIGINT AS n_repeat_words, coalesce(removed.n, 0)::BIGINT AS removed_words
+    FROM w LEFT JOIN dup USING (r) LEFT JOIN covered USING (r) LEFT JOIN removed USING (r)
+)
+SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+    NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND 100 * removed_words <= 50 * n_words AS kept
+FROM m
+"""
+
+ORACLE: dict[str, str] = {"op10_line_frequency": OP10_SQL}
