@@ -8,10 +8,11 @@
 3. Bands of the signature are hashed to buckets. Bands are chosen so that a pair at the threshold
    misses all of them with a probability below MISS.
 4. No bucket is expanded into its pairs. Members are verified against one leader of their bucket, on
-   full sets; union-find joins what is linked. Buckets whose members are still apart get further
-   leaders, and at last every member outside a bucket's largest component is verified against all
-   members of other components. So every pair that shares a bucket is either verified or already in
-   one component, and components are those of all such links.
+   full sets; union-find joins what is linked. Buckets whose members are still apart get another
+   leader. At last, the members outside a bucket's largest component are compared with all members
+   that ever share a bucket with that component, block by block inside tasks, which return links
+   only. So every pair that shares a bucket is either verified or already in one component, and
+   components are those of all such links.
 """
 
 from __future__ import annotations
@@ -24,12 +25,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.llm.words import FOLDED, mix, split_words, text_slices
+from riskloom.llm.words import FOLDED, mix, ranges, split_words, text_slices
 from riskloom.sources.scratch import save_scratch
 
 SLOTS = 128
 MISS = 1e-5
-LEADER_ROUNDS = 2
+BLOCK = 256  # documents on either side of a comparison by blocks
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 _PART = 1 << 17  # shingles that are folded together
 
@@ -240,17 +241,14 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, slots: i
 
     alike = f"100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)"  # else their sets can't be
     tested, links = [], []
-    for turn in range(LEADER_ROUNDS + 2):
-        if turn == 0:
-            pairs = _ordered(members.where("lead.node < node"))
-        else:
-            apart = _apart(members.drop("lead"), reduce(DataFrame.unionAll, links))
-            pairs = _ordered(_leaders(apart, turn) if turn <= LEADER_ROUNDS else _strangers(apart))
-        pairs = pairs.where(alike).select("a", "b").distinct()
+    for turn in range(2):
+        lead = members if turn == 0 else _leaders(_apart(members.drop("lead"), links[0]))
+        pairs = _ordered(lead.where("lead.node <> node")).where(alike).select("a", "b").distinct()
         if tested:
-            pairs = pairs.join(reduce(DataFrame.unionAll, tested), ["a", "b"], "left_anti")
+            pairs = pairs.join(tested[0], ["a", "b"], "left_anti")
         tested.append(save_scratch(pairs, "pairs"))
         links.append(_links(tested[-1], texts, width, percent))
+    links.append(_strangers(_apart(members.drop("lead"), links[0].unionAll(links[1])), texts, width, percent))
     found = components(reduce(DataFrame.unionAll, links))
     named = classes.join(found, classes["doc_id"] == found["node"], "left")
     named = named.select(*key, F.coalesce("component", "doc_id").alias("component"))
@@ -268,20 +266,66 @@ def _apart(members: DataFrame, links: DataFrame) -> DataFrame:
     return named.join(split, "bucket", "left_semi")
 
 
-def _leaders(apart: DataFrame, turn: int) -> DataFrame:
+def _leaders(apart: DataFrame) -> DataFrame:
     """A leader by chance for each bucket, with its members of other components."""
-    chance = F.xxhash64("node", "bucket", F.lit(turn))
-    lead = apart.groupBy("bucket").agg(F.min_by(F.struct("node", "n", "component"), chance).alias("lead"))
+    lead = apart.groupBy("bucket").agg(F.min_by(F.struct("node", "n", "component"), F.xxhash64("node", "bucket")).alias("lead"))
     return apart.join(lead, "bucket").where("component <> lead.component")
 
 
-def _strangers(apart: DataFrame) -> DataFrame:
-    """Each member outside its bucket's largest component with all members of other components."""
+def _strangers(apart: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
+    """Links of the members outside their bucket's largest component.
+
+    A group is a component that is the largest of some buckets, with all members of these buckets.
+    Its strangers and its members are dealt to blocks, and each pair of blocks is one small task.
+    """
     sizes = apart.groupBy("bucket", "component").agg(F.count("*").alias("size"))
-    largest = sizes.groupBy("bucket").agg(F.max_by("component", F.struct("size", "component")).alias("largest"))
-    outside = apart.join(largest, "bucket").where("component <> largest")
-    outside = outside.select("bucket", F.struct("node", "n", "component").alias("lead"))
-    return apart.join(outside, "bucket").where("component <> lead.component")
+    largest = sizes.groupBy("bucket").agg(F.max_by("component", F.struct("size", "component")).alias("group"))
+    near = save_scratch(apart.join(largest, "bucket").select("group", "node", "component").distinct(), "near")
+    strange = F.col("component") != F.col("group")
+    blocks = near.groupBy("group").agg(F.ceil(F.sum(strange.cast("int")) / BLOCK).alias("left"), F.ceil(F.count("*") / BLOCK).alias("right"))
+    rows = near.join(blocks, "group").join(texts, "node")
+    own = lambda n: F.pmod(F.xxhash64("node"), F.col(n))
+    each = lambda n: F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(n) - 1))
+    base = [F.col(x) for x in ("group", "node", "component", "text")]
+    dealt = rows.where(strange).select(*base, own("left").alias("i"), each("right").alias("j"), F.lit(True).alias("stranger"))
+    dealt = dealt.unionAll(rows.select(*base, each("left").alias("i"), own("right").alias("j"), F.lit(False).alias("stranger")))
+    found = dealt.groupBy("group", "i", "j").applyInArrow(_compare(width, percent), "a bigint, b bigint")
+    return save_scratch(found, "links")
+
+
+def _compare(width: int, percent: int):
+    """One pair of blocks: for each stranger one link into every component that it is linked with."""
+
+    def work(table: pa.Table) -> pa.Table:
+        node, component = table.column("node").to_numpy(), table.column("component").to_numpy()
+        stranger = table.column("stranger").to_numpy(zero_copy_only=False).astype(bool)
+        hashes, counts = [], []
+        for _, _, buf, offsets in text_slices(table.column("text")):
+            own, first = shingle_sets(buf, offsets, width)
+            hashes.append(own)
+            counts.append(np.diff(first))
+        counts = np.concatenate(counts)
+        number = np.unique(np.concatenate(hashes), return_inverse=True)[1].ravel()
+        first = np.concatenate([[0], np.cumsum(counts)])
+        right = np.flatnonzero(~stranger)
+        a, b = [], []
+        if len(right):
+            edges = np.concatenate([[0], np.cumsum(counts[right])[:-1]])
+            members = number[ranges(first[right], counts[right])]
+            seen = np.zeros(len(number) + 1, np.int64)
+            for x in np.flatnonzero(stranger):
+                mine = number[first[x] : first[x + 1]]
+                seen[mine] = 1
+                common = np.add.reduceat(seen[members], edges)
+                seen[mine] = 0
+                linked = (100 * common >= percent * (counts[right] + len(mine) - common)) & (component[right] != component[x])
+                to = right[linked]
+                to = to[np.unique(component[to], return_index=True)[1]]
+                a += [node[x]] * len(to)
+                b += node[to].tolist()
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    return work
 
 
 def _ordered(pairs: DataFrame) -> DataFrame:
