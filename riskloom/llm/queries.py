@@ -14,6 +14,7 @@ from riskloom.llm.packing import pack
 from riskloom.llm.quality_lines import quality_verdicts
 from riskloom.llm.substring_dedup import remove_repeats
 from riskloom.llm.token_rollup import RollupStore, token_counts
+from riskloom.llm.warc import read_records, write_archives
 from riskloom.sources.scratch import scratch_dir
 
 
@@ -87,13 +88,20 @@ def op8_repeated_windows(spark: SparkSession, sf: str) -> DataFrame:
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"), F.size("removed").cast("bigint").alias("n_intervals"))
 
 
+def op9_warc_chunks(spark: SparkSession, sf: str) -> DataFrame:
+    """Every page written to WARC archives, and the records read back."""
+    folder = f"{scratch_dir(spark)}/warc-{uuid.uuid4().hex}"
+    write_archives(table(spark, sf, "pages"), folder)
+    return read_records(spark, folder).drop("uri")
+
+
 def op10_line_frequency(spark: SparkSession, sf: str) -> DataFrame:
     """Measures of every document and whether it stays without its host's frequent lines."""
     judged = quality_verdicts(table(spark, sf, "documents").select("doc_id", "source", "text"))
     return judged.drop("source", "text", "removed_lines")
 
 
-QUERIES = {f.__name__: f for f in (op1_chat_format, op2_near_duplicates, op3_packed_windows, op4_token_rollup, op6_suffix_decontamination, op8_repeated_windows, op10_line_frequency)}
+QUERIES = {f.__name__: f for f in (op1_chat_format, op2_near_duplicates, op3_packed_windows, op4_token_rollup, op6_suffix_decontamination, op8_repeated_windows, op9_warc_chunks, op10_line_frequency)}
 
 OP10_SQL = r"""
 WITH d AS (
@@ -143,4 +151,16 @@ SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text |
 FROM e GROUP BY conv_id
 """
 
-ORACLE: dict[str, str] = {"op1_chat_format": OP1_SQL, "op10_line_frequency": OP10_SQL}
+OP9_SQL = """
+WITH p AS (
+    SELECT page_id, coalesce(html, '') AS html, octet_length(encode(coalesce(html, ''))) AS n FROM pages
+), o AS (
+    SELECT html, max(page_id) AS first FROM p WHERE n >= 1000 GROUP BY html HAVING count(*) > 1
+)
+SELECT page_id, n::BIGINT AS payload_bytes, sha1(html) AS payload_digest,
+    CASE WHEN first IS NOT NULL AND page_id IS DISTINCT FROM first THEN 'revisit' ELSE 'response' END AS record_type,
+    CASE WHEN first IS NOT NULL AND page_id IS DISTINCT FROM first THEN first END AS refers_to, true AS intact
+FROM p LEFT JOIN o USING (html)
+"""
+
+ORACLE: dict[str, str] = {"op9_warc_chunks": OP9_SQL, "op1_chat_format": OP1_SQL, "op10_line_frequency": OP10_SQL}
