@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from riskloom.llm.chat import format_turns, read_back
 from riskloom.llm.decontaminate import benchmark_matches, contaminated
+from riskloom.llm.html_extract import extract_articles
 from riskloom.llm.near_dedup import near_duplicates
 from riskloom.llm.packing import pack
 from riskloom.llm.quality_lines import quality_verdicts
@@ -82,6 +83,11 @@ def op6_suffix_decontamination(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op7_article_text(spark: SparkSession, sf: str) -> DataFrame:
+    """The main text of every page, by the consensus paths of its host."""
+    return extract_articles(table(spark, sf, "pages")).withColumn("n_chars", F.length("text").cast("bigint"))
+
+
 def op8_repeated_windows(spark: SparkSession, sf: str) -> DataFrame:
     """Words that repeated 35-word windows cover, removed from every document."""
     kept = remove_repeats(table(spark, sf, "documents"))
@@ -101,7 +107,7 @@ def op10_line_frequency(spark: SparkSession, sf: str) -> DataFrame:
     return judged.drop("source", "text", "removed_lines")
 
 
-QUERIES = {f.__name__: f for f in (op1_chat_format, op2_near_duplicates, op3_packed_windows, op4_token_rollup, op6_suffix_decontamination, op8_repeated_windows, op9_warc_chunks, op10_line_frequency)}
+QUERIES = {f.__name__: f for f in (op1_chat_format, op2_near_duplicates, op3_packed_windows, op4_token_rollup, op6_suffix_decontamination, op7_article_text, op8_repeated_windows, op9_warc_chunks, op10_line_frequency)}
 
 OP10_SQL = r"""
 WITH d AS (
