@@ -12,6 +12,7 @@ from riskloom.llm.decontaminate import benchmark_matches, contaminated
 from riskloom.llm.html_extract import extract_articles
 from riskloom.llm.near_dedup import near_duplicates
 from riskloom.llm.packing import pack
+from riskloom.llm.pii import KINDS, personal_spans
 from riskloom.llm.quality_lines import quality_verdicts
 from riskloom.llm.substring_dedup import remove_repeats
 from riskloom.llm.token_rollup import RollupStore, token_counts
@@ -68,6 +69,16 @@ def op4_token_rollup(spark: SparkSession, sf: str) -> DataFrame:
     return store.totals()
 
 
+def op5_disclosure_spans(spark: SparkSession, sf: str) -> DataFrame:
+    """Personal data in every document: base patterns, and terms that reveal them."""
+    found = personal_spans(table(spark, sf, "documents"))
+    base = F.filter("spans", lambda s: s["kind"] != "term")
+    written = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+    kinds = F.transform("spans", lambda s: s["kind"])
+    counts = [(F.size("spans") - F.size(F.array_remove(kinds, kind))).cast("bigint").alias(f"n_{kind}") for kind in KINDS]
+    return found.select("doc_id", *counts, F.sha2(written(base), 256).alias("base_sha256"), written(F.col("spans")).alias("spans"))
+
+
 def op6_suffix_decontamination(spark: SparkSession, sf: str) -> DataFrame:
     """Benchmark words and items in every document, by suffix arrays over the documents."""
     found = benchmark_matches(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
@@ -107,7 +118,7 @@ def op10_line_frequency(spark: SparkSession, sf: str) -> DataFrame:
     return judged.drop("source", "text", "removed_lines")
 
 
-QUERIES = {f.__name__: f for f in (op1_chat_format, op2_near_duplicates, op3_packed_windows, op4_token_rollup, op6_suffix_decontamination, op7_article_text, op8_repeated_windows, op9_warc_chunks, op10_line_frequency)}
+QUERIES = {f.__name__: f for f in (op1_chat_format, op2_near_duplicates, op3_packed_windows, op4_token_rollup, op5_disclosure_spans, op6_suffix_decontamination, op7_article_text, op8_repeated_windows, op9_warc_chunks, op10_line_frequency)}
 
 OP10_SQL = r"""
 WITH d AS (
