@@ -59,15 +59,15 @@ def base_measures(docs: DataFrame) -> DataFrame:
     grams, ordered, covered = repeat_words("quality_words")
     out = docs.withColumns({"quality_words": words_of(text), "quality_lines": lines}).withColumn("grams", grams).withColumn("ordered", ordered)
     long = lambda x: x.cast("bigint")
-    out = out.withColumns(
-        {
-            "n_words": long(F.size("quality_words")),
-            "word_chars": long(F.length(F.array_join("quality_words", ""))),
-            "n_symbols": long(F.length(text) - F.length(F.regexp_replace(text, "[#*$%&|<>]+", ""))),
-            "n_dup_lines": long(F.size("quality_lines") - F.size(F.array_distinct("quality_lines"))),
-            "n_repeat_words": long(covered),
-        }
-    ).drop("quality_words", "quality_lines", "grams", "ordered")
+    measures = F.struct(
+        long(F.size("quality_words")).alias("n_words"),
+        long(F.length(F.array_join("quality_words", ""))).alias("word_chars"),
+        long(F.length(text) - F.length(F.regexp_replace(text, "[#*$%&|<>]+", ""))).alias("n_symbols"),
+        long(F.size("quality_lines") - F.size(F.array_distinct("quality_lines"))).alias("n_dup_lines"),
+        long(covered).alias("n_repeat_words"),
+    )
+    # by way of a generator: a filter on a measure would otherwise be pushed below and computed per word
+    out = out.select(*[docs[c] for c in docs.columns], F.inline(F.array(measures)))
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
     return out.withColumn("base_failed", failed)
 
