@@ -258,6 +258,21 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, slots: i
     return out.select("doc_id", "copy", "n_shingles", component.alias("component_id"), kept.alias("kept"))
 
 
+def drop_near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
+    """One document of each component, the one with the smallest doc_id, with all its columns.
+
+    Documents without shingles and rows without a doc_id stay. Of rows that are equal in doc_id and
+    text one stays.
+    """
+    judged = near_duplicates(docs, width, percent).groupBy("doc_id", "copy").agg(F.min("kept").alias("kept"), F.count("*").alias("rows"))
+    judged = save_scratch(judged.where("doc_id IS NOT NULL AND (NOT kept OR rows > 1)"), "judged")
+    key = F.struct(docs["doc_id"].cast("bigint").alias("doc_id"), F.xxhash64(docs["text"]).alias("copy"))
+    some = lambda condition: judged.where(condition).select(F.struct("doc_id", "copy").alias("near_key"))
+    alone = docs.join(some("TRUE"), key == F.col("near_key"), "left_anti")
+    repeated = docs.join(some("kept"), key == F.col("near_key"), "left_semi").dropDuplicates(["doc_id", "text"])
+    return alone.unionAll(repeated)
+
+
 def _apart(members: DataFrame, links: DataFrame) -> DataFrame:
     """Members of the buckets that still hold more than one component, with it."""
     named = members.join(components(links), "node", "left").withColumn("component", F.coalesce("component", "node"))
