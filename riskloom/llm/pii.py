@@ -2,11 +2,11 @@
 
 1. Tasks find e-mail addresses, IP addresses, card and phone numbers. Each value is a protected
    entity; the words around it are its context.
-2. Spark counts in how many texts a term stands in an entity's context (n_te), in how many the entity
-   occurs (n_e), and, over the words of all texts, in how many the term occurs at all (n_t). Among N
-   texts, the entity holds log2(N / n_e) bits, of which the term gives away log2(N n_te / (n_t n_e)).
-   A term that gives away at least DISCLOSURE of them, seen with the entity in MIN_TEXTS texts, is
-   disclosing, wherever it stands. Copies of a text count once.
+2. Spark counts in how many documents a term stands in an entity's context (n_te), in how many the
+   entity occurs (n_e), and, over the words of all texts, in how many the term occurs at all (n_t).
+   Among N documents, the entity holds log2(N / n_e) bits, of which the term gives away
+   log2(N n_te / (n_t n_e)). A term that gives away at least DISCLOSURE of them, seen with the entity
+   in MIN_TEXTS different texts, is disclosing, wherever it stands.
 3. Disclosing terms become spans. Sanitising replaces base values by their kind, removes terms that
    give away REMOVE or more of an entity and generalises the others to what they are.
 
@@ -44,6 +44,7 @@ _NO_DIGIT = re.compile(r"[^0-9]+")
 
 SPAN = "struct<kind:string,start:bigint,end:bigint,action:string>"
 _FOUND = f"doc_id bigint, copy bigint, spans array<{SPAN}>, contexts array<struct<entity:bigint,terms:array<bigint>>>"
+_COUNTS = "term bigint, n bigint"
 _SEEN = "doc_id bigint, copy bigint, term bigint, start bigint, end bigint, digits boolean"
 
 
@@ -135,19 +136,39 @@ def _contexts(text: str, found: list[tuple[str, int, int]], offset: int, words,
     return out
 
 
+def _hits(shared, batch: pa.RecordBatch) -> Iterator[tuple]:
+    """Words that the bit table lets through: first row, bytes, offsets, words, numbers of the words, their rows."""
+    table = np.unpackbits(np.frombuffer(shared.value, np.uint8), bitorder="little").astype(bool)
+    for lo, _, buf, offsets in text_slices(batch.column("text")):
+        words = split_words(buf, offsets, LETTERS)
+        hit = np.flatnonzero(table[(words.hashes >> np.uint64(64 - TABLE_BITS)).astype(np.int64)])
+        if len(hit):
+            yield lo, buf, offsets, words, hit, np.searchsorted(words.first, hit, "right") - 1
+
+
+def _count(shared):
+    """In how many of a batch's documents each term occurs."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [np.zeros(0, np.int64)]
+            for _, _, _, words, hit, row in _hits(shared, batch):
+                term, number = np.unique(words.hashes[hit], return_inverse=True)
+                pairs = np.unique(row * len(term) + number.ravel())
+                found.append(term[pairs % len(term)].view(np.int64))
+            terms, n = np.unique(np.concatenate(found), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(terms), pa.array(n.astype(np.int64))], ["term", "n"])
+
+    return work
+
+
 def _look_up(shared):
-    """Occurrences of the words that the bit table lets through."""
+    """Where the terms stand, in code points."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = np.unpackbits(np.frombuffer(shared.value, np.uint8), bitorder="little").astype(bool)
         for batch in batches:
-            for lo, _, buf, offsets in text_slices(batch.column("text")):
-                words = split_words(buf, offsets, LETTERS)
-                hit = np.flatnonzero(table[(words.hashes >> np.uint64(64 - TABLE_BITS)).astype(np.int64)])
-                if not len(hit):
-                    continue
+            for lo, buf, offsets, words, hit, row in _hits(shared, batch):
                 point = np.concatenate([[0], np.cumsum((buf & 0xC0) != 0x80)])  # code points before each byte
-                row = np.searchsorted(words.first, hit, "right") - 1
                 base = point[offsets[row]]
                 digit = (buf[words.starts[hit]] >= 0x30) & (buf[words.starts[hit]] <= 0x39)
                 yield pa.RecordBatch.from_arrays(
@@ -175,13 +196,19 @@ def _bit_table(terms: DataFrame) -> bytes:
     return table.tobytes()
 
 
-def disclosing_terms(found: DataFrame, seen: DataFrame, beside: DataFrame) -> DataFrame:
+def disclosing_terms(texts: DataFrame, found: DataFrame) -> DataFrame:
     """(term, given): terms and the largest share of an entity's information that they give away."""
-    texts = found.agg(F.count_distinct("copy")).first()[0]
-    of_entity = found.select("copy", F.explode("contexts.entity").alias("entity")).groupBy("entity").agg(F.count_distinct("copy").alias("n_e"))
-    of_term = seen.select("term", "copy").distinct().groupBy("term").agg(F.count("*").alias("n_t"))
-    both = beside.join(of_entity, "entity").join(of_term, "term").where(F.col("n_e") < texts)
-    holds, gives = F.log2(F.lit(texts) / F.col("n_e")), F.log2(F.lit(texts) * F.col("n_te") / (F.col("n_t") * F.col("n_e")))
+    spark = texts.sparkSession
+    pairs = F.flatten(F.transform("contexts", lambda c: F.transform(c["terms"], lambda t: F.struct(c["entity"].alias("entity"), t.alias("term")))))
+    beside = found.select("copy", F.explode(F.array_distinct(pairs)).alias("pair")).groupBy("pair.entity", "pair.term")
+    beside = beside.agg(F.count("*").alias("n_te"), F.count_distinct("copy").alias("texts")).where(F.col("texts") >= MIN_TEXTS)
+    beside = save_scratch(beside, "beside")
+    shared = spark.sparkContext.broadcast(_bit_table(beside))
+    of_term = texts.select("text").mapInArrow(_count(shared), _COUNTS).groupBy("term").agg(F.sum("n").alias("n_t"))
+    of_entity = found.select(F.explode(F.array_distinct("contexts.entity")).alias("entity")).groupBy("entity").agg(F.count("*").alias("n_e"))
+    docs = found.count()
+    both = beside.join(of_entity, "entity").join(of_term, "term").where(F.col("n_e") < docs)
+    holds, gives = F.log2(F.lit(docs) / F.col("n_e")), F.log2(F.lit(docs) * F.col("n_te") / (F.col("n_t") * F.col("n_e")))
     given = both.groupBy("term").agg(F.max(gives / holds).alias("given"))
     return given.where(F.col("given") >= DISCLOSURE)
 
@@ -196,12 +223,9 @@ def personal_spans(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     texts = docs.select(F.col("doc_id").cast("bigint"), F.xxhash64("text").alias("copy"), "text")
     found = save_scratch(texts.mapInArrow(_find, _FOUND), "personal")
-    context = found.select("copy", F.explode("contexts").alias("c")).select("copy", "c.entity", F.explode("c.terms").alias("term"))
-    beside = context.groupBy("entity", "term").agg(F.count_distinct("copy").alias("n_te")).where(F.col("n_te") >= MIN_TEXTS)
-    beside = save_scratch(beside, "beside")
-    shared = spark.sparkContext.broadcast(_bit_table(beside))
-    seen = save_scratch(texts.mapInArrow(_look_up(shared), _SEEN), "seen").join(beside.select("term").distinct(), "term")
-    terms = seen.join(disclosing_terms(found, seen, beside), "term").distinct()
+    told = save_scratch(disclosing_terms(texts, found), "disclosing")
+    shared = spark.sparkContext.broadcast(_bit_table(told))
+    terms = texts.mapInArrow(_look_up(shared), _SEEN).join(told, "term").distinct()
     action = F.when(F.col("given") >= REMOVE, "remove").when(F.col("digits"), "number").otherwise("word")
     span = F.struct(F.lit("term").alias("kind"), "start", "end", action.alias("action"))
     terms = terms.groupBy("doc_id", "copy").agg(F.array_sort(F.collect_list(span)).alias("terms"))
