@@ -132,7 +132,7 @@ WITH d AS (
 ), covered AS (
     SELECT r, count(DISTINCT p) AS n FROM (SELECT r, unnest([i, i + 1, i + 2]) AS p FROM grams JOIN again USING (r, g)) GROUP BY r
 ), lines AS (
-    SELECT r, host, t, l, trim(regexp_replace(lower(regexp_replace(l, '[0-9]+', '0', 'g')), '[\x20\x09-\x0D]+', ' ', 'g'), ' ') AS line
+    SELECT r, host, t, l, trim(regexp_replace(lower(l), '[\x20\x09-\x0D]+', ' ', 'g'), ' ') AS line
     FROM (SELECT r, host, t, unnest(ls) AS l FROM w)
 ), worded AS (
     SELECT *, len(string_split(line, ' ')) AS words FROM lines WHERE line <> ''
