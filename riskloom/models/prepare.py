@@ -59,7 +59,7 @@ def geo_facts(history: DataFrame, lists: dict[str, list[str]]) -> dict[str, GeoF
     # A pass per group of columns: each column is read once, and the aggregation stays compiled.
     for at in range(0, len(numeric), COLUMNS_PER_PASS):
         group = numeric[at : at + COLUMNS_PER_PASS]
-        measures = [f(F.col(c).cast("double")).alias(f"{name}_{c}") for c in group for name, f in (("low", F.min), ("mean", F.avg))]
+        measures = [f(F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double"))).alias(f"{name}_{c}") for c in group for name, f in (("low", F.min), ("mean", F.avg))]
         for r in train.groupBy("geo").agg(*measures).collect():
             low[r["geo"]].update({c: r[f"low_{c}"] or 0.0 for c in group})
             mean[r["geo"]].update({c: r[f"mean_{c}"] or 0.0 for c in group})
@@ -83,7 +83,7 @@ def training_rows(history: DataFrame, geo: str, features: list[str], facts: GeoF
 def encoder(df: DataFrame, features: list[str], facts: GeoFacts, one_hot: bool) -> Pipeline:
     """Fill, index and assemble, in the order of ``features``.
 
-    Empty numbers: for trees one below the smallest value, so that a single split separates
+    Empty numbers, NaN among them: for trees one below the smallest value, so that a single split separates
     them; for linear models the mean, which makes their contribution zero. Unseen or empty texts
     get a category of their own.
     """
@@ -92,7 +92,7 @@ def encoder(df: DataFrame, features: list[str], facts: GeoFacts, one_hot: bool)
     for f in features:
         if f not in text:
             fill = facts.mean[f] if one_hot else facts.low[f] - 1.0
-            fills.append(f"coalesce(CAST(`{f}` AS DOUBLE), CAST({fill!r} AS DOUBLE)) AS `{f}__x`")
+            fills.append(f"coalesce(nanvl(CAST(`{f}` AS DOUBLE), NULL), CAST({fill!r} AS DOUBLE)) AS `{f}__x`")
     stages = [SQLTransformer(statement=f"SELECT *, {', '.join(fills)} FROM __THIS__")] if fills else []
     if text:
         indexed = [f"{f}__i" if one_hot else f"{f}__x" for f in text]

@@ -20,7 +20,7 @@ from riskloom.operators.features import geo_feature_list
 from riskloom.operators.feed import ews_feed, ews_summary, published_feed
 from riskloom.operators.quality import duplicate_keys
 from riskloom.operators.risk import employee_risk, variable_risk
-from riskloom.operators.routing import calibration_rows, history_rows
+from riskloom.operators.routing import calibration_rows, history_rows, route_to_geos
 from riskloom.plans.inputs import Inputs
 from riskloom.sources.scratch import collect_config, fix_small, local_table, save_scratch
 from riskloom.sources.tables import append_rows, latest_by, read_table, replace_month
@@ -51,7 +51,8 @@ def monthly_run(
     All geos are checked before anything is fitted, and everything is computed into scratch
     tables before the first output is touched. Employees that occur more than once in the month are
     not scored; their keys go to ``quarantined_keys``. With ``on_error='skip'`` a geo that cannot be
-    fitted keeps its earlier output and is logged as FAILED while the others are published.
+    fitted keeps its earlier output and release and is logged as FAILED while the others are published.
+    A geo that lost rows, its cut-offs or its drivers on the way is INCOMPLETE and treated likewise.
     ``fit=False`` scores with models that ``family.load`` took over.
     """
     clock = time.monotonic()
@@ -72,7 +73,8 @@ def monthly_run(
     thresholds = calibrate(family.score(window).select("geo", "risk_score"), inputs.active_rules()).filter(~F.col("geo").isin(list(failed)))
     scoring = features.filter(F.col("YEAR_MONTH") == month)
     repeated = fix_small(duplicate_keys(scoring))
-    stage = save_scratch(family.explain(scoring.join(repeated, ["EMP_ID", "YEAR_MONTH"], "left_anti")), "stage")
+    scored = scoring.join(repeated, ["EMP_ID", "YEAR_MONTH"], "left_anti")
+    stage = save_scratch(family.explain(scored), "stage")
 
     stamp = F.lit(started).cast("timestamp").alias("scored_at")
     employee = save_scratch(employee_risk(stage, thresholds).select("*", stamp), "employee")
@@ -104,7 +106,11 @@ def monthly_run(
             "*", F.lit(run_id).alias("run_id"), F.lit(started).cast("timestamp").alias("quarantined_at")
         )
         quarantined.write.mode("append").parquet(f"{warehouse}/quarantined_keys")
-    keep = tuple(failed)
+    per_geo = _rows_by_geo(employee)
+    fitted = [g for g in sorted(lists) if g not in failed]
+    parts = {"cut-offs": _rows_by_geo(thresholds), "drivers": _rows_by_geo(drivers)}
+    lost = _lost(fitted, _rows_by_geo(route_to_geos(scored.select("GEO"), fitted)), per_geo, parts)
+    keep = (*failed, *lost)
     history = thresholds.select(
         "geo",
         F.lit(month).cast("long").alias("YEAR_MONTH"),
@@ -125,22 +131,40 @@ def monthly_run(
     @inheritable_thread_target(spark)
     def publish(output: tuple) -> None:
         df, table, sort, stamp_column = output
-        replace_month(df, warehouse, table, month, sort, stamp_column, started, keep)
+        whole = df.filter(~F.col("geo").isin(list(lost))) if lost else df
+        replace_month(whole, warehouse, table, month, sort, stamp_column, started, keep)
 
     with ThreadPoolExecutor(len(outputs)) as pool:
         list(pool.map(publish, outputs))
 
-    per_geo = {r.geo: r.n for r in employee.groupBy("geo").agg(F.count(F.lit(1)).alias("n")).collect()}
     broken = [r.test_id for r in checks.filter(F.col("status") == "FAIL").orderBy("test_id").collect()]
-    released = [] if broken else sorted(per_geo)
-    _log(spark, warehouse, run_id, month, sorted(lists), per_geo, failed, broken, time.monotonic() - clock, started)
-    _publish(spark, warehouse, run_id, month, sorted(lists), released, started)
-    return MonthlyRun(run_id, month, started, checks, released, failed)
+    complete = [g for g in fitted if g not in lost]
+    released = [] if broken else [g for g in complete if g in per_geo]
+    _log(spark, warehouse, run_id, month, sorted(lists), per_geo, failed, lost, broken, time.monotonic() - clock, started)
+    _publish(spark, warehouse, run_id, month, complete, released, started)
+    return MonthlyRun(run_id, month, started, checks, released, {**failed, **lost})
 
 
-def _log(spark, warehouse, run_id, month, geos, per_geo, failed, broken, seconds, now) -> None:
-    status = ["FAILED" if g in failed else "CHECKS_FAILED" if broken else "DONE" for g in geos]
-    note = [failed.get(g, ", ".join(broken)) for g in geos]
+def _rows_by_geo(df: DataFrame) -> dict[str, int]:
+    return {r.geo: r.n for r in df.groupBy("geo").agg(F.count(F.lit(1)).alias("n")).collect()}
+
+
+def _lost(geos: list[str], expected: dict[str, int], found: dict[str, int], parts: dict[str, dict[str, int]]) -> dict[str, str]:
+    """Geos whose output isn't complete, and why: counted from the inputs, not from the output."""
+    out = {}
+    for geo in geos:
+        want, got = expected.get(geo, 0), found.get(geo, 0)
+        missing = [name for name, rows in parts.items() if want and not rows.get(geo)]
+        if want != got:
+            out[geo] = f"{got} of {want} rows scored"
+        elif missing:
+            out[geo] = f"no {' and no '.join(missing)}"
+    return out
+
+
+def _log(spark, warehouse, run_id, month, geos, per_geo, failed, lost, broken, seconds, now) -> None:
+    status = ["FAILED" if g in failed else "INCOMPLETE" if g in lost else "CHECKS_FAILED" if broken else "DONE" for g in geos]
+    note = [failed.get(g) or lost.get(g) or ", ".join(broken) for g in geos]
     n = len(geos)
     table = local_table(
         spark,
@@ -158,6 +182,7 @@ def _log(spark, warehouse, run_id, month, geos, per_geo, failed, broken, seconds
 
 
 def _publish(spark, warehouse, run_id, month, geos, released, now) -> None:
+    """Flags of the geos that this run replaced; the others keep theirs."""
     n = len(geos)
     table = local_table(
         spark,
@@ -193,14 +218,20 @@ def approved_versions(spark, warehouse: str, family: str) -> dict[str, str]:
 
 
 def register_views(spark, warehouse: str, inputs: Inputs) -> None:
-    """Temporary views for SQL users: features, feature lists, feed and summary."""
+    """Temporary views for SQL users: features, feature lists, feed and summary of released geo-months."""
     inputs.features().createOrReplaceTempView("v_model_features")
     geo_feature_list(inputs.selected()).createOrReplaceTempView("v_geo_feature_list")
-    employee = read_table(spark, warehouse, "ews_employee_risk")
+    employee = published_feed(read_table(spark, warehouse, "ews_employee_risk"), _flags(spark, warehouse))
     ews_feed(employee, read_table(spark, warehouse, "ews_variable_risk")).createOrReplaceTempView("v_ews_feed")
     ews_summary(employee).createOrReplaceTempView("v_ews_summary")
 
 
+def _flags(spark, warehouse: str) -> DataFrame:
+    """The newest publication flag of each geo and month."""
+    flags = read_table(spark, warehouse, "published")
+    return latest_by(flags, ["geo", "YEAR_MONTH"], "published_at").select("geo", "YEAR_MONTH", "published")
+
+
 def read_feed(spark, warehouse: str, month: int) -> DataFrame:
     """The alert feed of a month, for the geos that were released."""
     in_month = F.col("YEAR_MONTH") == month
@@ -208,10 +239,10 @@ def read_feed(spark, warehouse: str, month: int) -> DataFrame:
         read_table(spark, warehouse, "ews_employee_risk").filter(in_month),
         read_table(spark, warehouse, "ews_variable_risk").filter(in_month),
     )
-    flags = read_table(spark, warehouse, "published").filter(in_month)
-    newest = latest_by(flags, ["geo", "YEAR_MONTH"], "published_at").select("geo", "YEAR_MONTH", "published")
-    return published_feed(feed, fix_small(newest))
+    return published_feed(feed, fix_small(_flags(spark, warehouse).filter(in_month)))
 
 
 def read_summary(spark, warehouse: str, month: int) -> DataFrame:
-    return ews_summary(read_table(spark, warehouse, "ews_employee_risk").filter(F.col("YEAR_MONTH") == month))
+    """The summary of a month, for the geos that were released."""
+    employee = published_feed(read_table(spark, warehouse, "ews_employee_risk"), _flags(spark, warehouse))
+    return ews_summary(employee.filter(F.col("YEAR_MONTH") == month))

@@ -532,8 +532,8 @@ def _models(spark) -> str:
     return f"{scratch_dir(spark)}/models-{uuid.uuid4().hex}"
 
 
-def _trees(spark, sf, rounds: int = 10, depth: int = 4, curves: bool = False) -> TreeFamily:
-    family = TreeFamily(_models(spark), rounds=rounds, depth=depth, early_stop=False)
+def _trees(spark, sf, curves: bool = False) -> TreeFamily:
+    family = TreeFamily(_models(spark))
     family.want_curves = curves
     return _fit(spark, sf, family)
 
@@ -594,7 +594,7 @@ def logreg_balance(spark, sf):
 
 def gbt_inputs(spark, sf):
     """Inputs of the fitted models with the training rows behind them."""
-    family = _trees(spark, sf, rounds=2, depth=2)
+    family = _trees(spark, sf)
     used = routing.backtest_rows(routed(snap.feature_store(spark, sf)), snap.TRAIN_END, snap.EVAL_END)
     rows = used.groupBy("geo").agg(F.count_if(~F.col("is_eval")).alias("n_train"), F.count_if("is_eval").alias("n_eval"))
     inputs_ = model_inputs(spark, family).withColumn("geo", F.upper(F.substring_index("model", "_", -1)))
@@ -603,27 +603,27 @@ def gbt_inputs(spark, sf):
 
 def model_backtest(spark, sf):
     path = _models(spark)
-    trees, linear = TreeFamily(path, rounds=10, depth=4), LinearFamily(path)
+    trees, linear = TreeFamily(path), LinearFamily(path)
     return backtest(inputs(spark, sf), [trees, linear], snap.TRAIN_END, snap.EVAL_END).report()
 
 
 def model_capture(spark, sf):
-    trees = TreeFamily(_models(spark), rounds=10, depth=4)
+    trees = TreeFamily(_models(spark))
     return backtest(inputs(spark, sf), [trees], snap.TRAIN_END, snap.EVAL_END).capture()
 
 
 def model_monthly_run(spark, sf):
     place = warehouse(spark, "model-run")
-    trees = TreeFamily(_models(spark), rounds=10, depth=4)
+    trees = TreeFamily(_models(spark))
     return monthly_run(inputs(spark, sf), MONTH, trees, place, plain_geo="AFR").checks
 
 
 def pooled_model(spark, sf):
-    return pooled_challenger(inputs(spark, sf), _models(spark), snap.TRAIN_END, snap.EVAL_END, rounds=10, depth=4)
+    return pooled_challenger(inputs(spark, sf), _models(spark), snap.TRAIN_END, snap.EVAL_END)
 
 
 def hyper_search(spark, sf):
-    grid = [{"rounds": 5, "depth": 2}, {"rounds": 5, "depth": 4}]
+    grid = [{"rounds": rounds, "depth": depth} for rounds in (50, 100) for depth in (4, 6)]
     return search(inputs(spark, sf), _models(spark), grid, snap.TRAIN_END, snap.EVAL_END)
 
 

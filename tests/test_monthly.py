@@ -110,7 +110,29 @@ def test_failing_geo_blocks_or_is_skipped(spark, given, place):
     assert set(ages) == {"AFR", "AME", "ASI", "EUR", "MEA"} and ages["EUR"] < ages["AFR"]  # EUR keeps its earlier output
     statuses = {(r.geo, r.status) for r in read_table(spark, place, "run_log").filter(F.col("run_id") == run.run_id).collect()}
     assert ("EUR", "FAILED") in statuses and ("AFR", "DONE") in statuses
-    assert "EUR" not in {r.geo for r in read_feed(spark, place, MONTH).collect()}
+    assert "EUR" in {r.geo for r in read_feed(spark, place, MONTH).collect()}  # and its earlier release
+
+
+class LosesRows(ScorecardFamily):
+    """Scores only some rows of one geo and no driver of another."""
+
+    def explain(self, *args, **kwargs):
+        return super().explain(*args, **kwargs).filter("geo <> 'ASI' OR length(EMP_ID) % 2 = 0 AND EMP_ID NOT LIKE '%1'")
+
+    def drivers(self, *args, **kwargs):
+        return super().drivers(*args, **kwargs).filter("geo <> 'AME'")
+
+
+def test_lost_rows_are_not_released(spark, given, place):
+    first = monthly_run(given, MONTH, ScorecardFamily(CARD), place)
+    run = monthly_run(given, MONTH, LosesRows(CARD), place)
+    assert set(run.failed) == {"AME", "ASI"} and "of" in run.failed["ASI"] and run.failed["AME"] == "no drivers"
+    employee = read_table(spark, place, "ews_employee_risk").filter(F.col("YEAR_MONTH") == MONTH)
+    ages = {r.geo: r.s for r in employee.groupBy("geo").agg(F.max("scored_at").alias("s")).collect()}
+    assert first.published == ["AFR", "AME", "ASI", "EUR", "MEA"] and ages["ASI"] < ages["AFR"]
+    assert not {"AME", "ASI"} & set(run.published)
+    newest = read_table(spark, place, "published").filter(F.col("run_id") == run.run_id)
+    assert {r.geo for r in newest.collect()} == {"AFR", "EUR", "MEA"}
 
 
 def test_rows_without_geo_are_scored_by_every_geo(spark, given, place):
@@ -140,7 +162,8 @@ def test_scoring_with_the_approved_version(spark, given, place, tmp_path):
     monthly_run(one, MONTH, family, place, fit=False)
     assert geos_in(spark, place, "ews_employee_risk") == {"ASI"}
     register_views(spark, place, one)
-    assert spark.sql("SELECT employees_scored FROM v_ews_summary").first()[0] == 24
+    released = spark.sql("SELECT geo FROM v_ews_summary").collect()  # the views follow the release flag
+    assert {r.geo for r in released} == {r.geo for r in read_table(spark, place, "published").filter("published").collect()}
     assert spark.sql("SELECT n_features FROM v_geo_feature_list WHERE geo = 'ASI'").first()[0] == 17
     assert result.capture().count() > 0 and result.trade_off().count() > 0 and result.report().count() == 1
 
