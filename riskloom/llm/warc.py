@@ -21,6 +21,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from riskloom.sources.scratch import save_scratch
+
 CHUNK = 1 << 16
 REVISIT_BYTES = 1000
 FIRST_LINE = "WARC/1.1\r\n"
@@ -60,7 +62,8 @@ def write_archives(pages: DataFrame, folder: str, date: str = "1970-01-01T00:00:
     rows = pages.select(F.col("page_id").cast("bigint"), _uri(F.col("url")).alias("uri"), payload.alias("payload"))
     rows = rows.withColumns({"size": F.octet_length("payload").cast("bigint"), "digest": F.sha1("payload")})
     again = rows.where(F.col("size") >= least).groupBy("digest").agg(F.max("page_id").alias("first"), F.count("*").alias("n")).where("n > 1")
-    rows = rows.join(again.drop("n"), "digest", "left").withColumn("row", F.monotonically_increasing_id())
+    again = save_scratch(again.drop("n"), "again")  # written, so that the join knows how small it is
+    rows = rows.join(again, "digest", "left").withColumn("row", F.monotonically_increasing_id())
     revisit = F.col("first").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first"))
     rows = rows.withColumn("revisit", revisit).withColumn("segments", F.when(revisit, F.array(F.lit(""))).otherwise(_segments(F.col("payload"), chunk)))
     many = F.size("segments") > 1
