@@ -17,7 +17,7 @@ from riskloom.llm.quality_lines import quality_verdicts
 from riskloom.llm.substring_dedup import remove_repeats
 from riskloom.llm.token_rollup import RollupStore, token_counts
 from riskloom.llm.warc import read_records, write_archives
-from riskloom.sources.scratch import scratch_dir
+from riskloom.sources.scratch import save_scratch, scratch_dir
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -55,15 +55,16 @@ def op3_packed_windows(spark: SparkSession, sf: str) -> DataFrame:
 def op4_token_rollup(spark: SparkSession, sf: str) -> DataFrame:
     """Token totals after three batches: all documents come, toxic ones go, poor ones are revised.
 
-    A revised document has lost its repeated lines. The second batch is sent twice.
+    A revised document has lost its repeated lines. The second batch is sent twice. The ids of both
+    are written first: joins then know how few they are and leave the texts where they are.
     """
     docs, labels = table(spark, sf, "documents"), table(spark, sf, "labels")
     store = RollupStore(spark, f"{scratch_dir(spark)}/token-rollup-{uuid.uuid4().hex}")
-    toxic = labels.where("toxic = 1").select("doc_id")
+    toxic = save_scratch(labels.where("toxic = 1").select("doc_id").distinct(), "toxic")
     store.apply(0, token_counts(docs))
     store.apply(1, deletes=toxic)
     store.apply(1, deletes=toxic)
-    poor = labels.where("quality = 0 AND coalesce(toxic, 0) <> 1").select("doc_id").distinct()
+    poor = save_scratch(labels.where("quality = 0").select("doc_id").distinct().join(toxic, "doc_id", "left_anti"), "poor")
     once = F.array_join(F.array_distinct(F.split("text", "\n", -1)), "\n")
     store.apply(2, token_counts(docs.join(poor, "doc_id", "left_semi").withColumn("text", once)))
     return store.totals()

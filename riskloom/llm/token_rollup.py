@@ -1,7 +1,8 @@
 """Token totals by source, language and tokenizer version, kept up by signed deltas.
 
-A store is a folder with two tables, each with one sub-folder per batch:
+A store is a folder with three tables, each with one sub-folder per batch:
 
+* ``upserts/batch=n``: counts of the new and revised documents, so that they are counted once only.
 * ``ledger/batch=n``: signed documents and tokens per document and tokenizer. A document's count is
   the sum of its rows, so a delete adds their negative, and a revision that and the new count.
 * ``rollup/batch=n``: the same, added up by source, language and tokenizer. Totals are sums of it.
@@ -65,7 +66,7 @@ class RollupStore:
         return self._exists(f"rollup/batch={batch}/_SUCCESS")
 
     def _read(self, table: str, batches: list[int]) -> DataFrame:
-        fields = _LEDGER if table == "ledger" else _LEDGER.split(", ", 1)[1]
+        fields = _LEDGER.split(", ", 1)[1] if table == "rollup" else _LEDGER
         if not batches:
             return self.spark.createDataFrame([], fields)
         return self.spark.read.schema(fields).parquet(*[f"{self.folder}/{table}/batch={b}" for b in batches])
@@ -83,9 +84,11 @@ class RollupStore:
         if batch and not self.committed(batch - 1):
             raise ValueError(f"batch {batch - 1} is not committed")
         upserts = self.spark.createDataFrame([], _LEDGER) if upserts is None else upserts
-        new = upserts.select("doc_id", *GROUP, "docs", "tokens")
+        new = upserts.select(*[F.col(f.split()[0]).cast(f.split()[1]) for f in _LEDGER.split(", ")])
         signed = new
         if batch:
+            new.write.mode("overwrite").parquet(f"{self.folder}/upserts/batch={batch}")
+            new = self._read("upserts", [batch])
             changed = new.select("doc_id")
             changed = (changed.unionAll(deletes.select(F.col("doc_id").cast("bigint"))) if deletes is not None else changed).distinct()
             before = self._read("ledger", list(range(batch))).join(changed, "doc_id", "left_semi")

@@ -177,6 +177,26 @@ def test_rollup_batches(spark, tmp_path):
     assert sorted(map(tuple, store.totals().collect()), key=repr) == sorted([("a", "en", "t", 1, 1), ("b", "en", "t", 1, 6), (None, None, "t", 1, 7)], key=repr)
 
 
+def test_rollup_query_is_the_totals_of_the_final_documents(spark):
+    read = lambda name: spark.read.parquet(f"{SF}/{name}.parquet").collect()
+    toxic = {r.doc_id for r in read("labels") if r.toxic == 1}
+    poor = {r.doc_id for r in read("labels") if r.quality == 0} - toxic
+    assert toxic and poor
+    memo = tokens.word_memo(tokens.tokenizer_path())
+    want = {}
+    for r in read("documents"):
+        if r.doc_id in toxic:
+            continue
+        text = r.text or ""
+        if r.doc_id in poor:
+            text = "\n".join(dict.fromkeys(text.split("\n")))
+        for name, n in (("word_bpe_49k", len(memo.tokenizer.encode(text, add_special_tokens=False).ids)), ("white-space-1", len(white(text)))):
+            docs, total = want.get((r.source, r.lang, name), (0, 0))
+            want[r.source, r.lang, name] = (docs + 1, total + n)
+    got = {(r.source, r.lang, r.tokenizer): (r.n_docs, r.n_tokens) for r in queries.op4_token_rollup(spark, SF).collect()}
+    assert got == want
+
+
 def test_token_counts(edge):
     found = {(r.doc_id, r.tokenizer): r.tokens for r in token_rollup.token_counts(edge).collect()}
     assert all(found[r.doc_id, "white-space-1"] == len(white(r.text)) for r in edge.collect())
