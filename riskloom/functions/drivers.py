@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, StringType
 
 DRIVER_TYPE = "array<struct<feature:string,feature_value:string,contribution:double>>"
 
@@ -14,6 +15,20 @@ def number_text(value: Column) -> Column:
     return F.coalesce(F.regexp_replace(fixed, r"\.?0+$", ""), value.cast("string"))
 
 
+def raw_values(df: DataFrame, features: list[str]) -> Column:
+    """The features' values as one array of strings, to be made readable for the chosen ones only."""
+    logical = [isinstance(df.schema[f].dataType, BooleanType) for f in features]
+    return F.array(*[(F.col(f).cast("int") if b else F.col(f)).cast("string") for f, b in zip(features, logical)])
+
+
+def readable(drivers: Column, df: DataFrame, features: list[str]) -> Column:
+    """Drivers with the numbers among their raw values written by ``number_text``."""
+    text = [f for f in features if isinstance(df.schema[f].dataType, StringType)]
+    number = lambda d: number_text(d["feature_value"])
+    shown = lambda d: F.when(d["feature"].isin(text), d["feature_value"]).otherwise(number(d)) if text else number(d)
+    return F.transform(drivers, lambda d: d.withField("feature_value", shown(d)))
+
+
 def strongest(drivers: Column, k: int | None) -> Column:
     """The ``k`` entries with the largest absolute contribution; feature name breaks ties."""
     keyed = F.transform(

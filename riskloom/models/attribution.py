@@ -38,8 +38,8 @@ def contributions(explainer: dict, x: np.ndarray) -> np.ndarray:
     return out.T
 
 
-def explain_batches(shared, keys: list[str], features: list[str], text: list[bool], top_k: int | None) -> Callable:
-    """Function for ``mapInPandas``: vector ``x`` and values ``v_<feature>`` in, strongest drivers out."""
+def explain_batches(shared, keys: list[str], features: list[str], top_k: int | None) -> Callable:
+    """Function for ``mapInPandas``: vector ``x`` and raw values ``v`` in, strongest drivers out."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         names = np.array(features, dtype=object)
@@ -48,14 +48,12 @@ def explain_batches(shared, keys: list[str], features: list[str], text: list[boo
                 continue
             parts = contributions(shared.value, np.stack(batch["x"].to_numpy()))
             order = np.argsort(-np.abs(parts), axis=1, kind="stable")[:, :top_k]
-            values = [batch[f"v_{f}"].to_numpy(dtype=object, na_value=None) for f in features]
+            values = np.stack(batch["v"].to_numpy())
             yield pd.DataFrame(
                 {
                     **{c: batch[c] for c in keys},
                     "feature": list(names[order]),
-                    "feature_value": [
-                        [_value_text(values[j][row], text[j]) for j in picks] for row, picks in enumerate(order)
-                    ],
+                    "feature_value": list(np.take_along_axis(values, order, axis=1)),
                     "contribution": list(np.take_along_axis(parts, order, axis=1)),
                 }
             )
@@ -78,12 +76,6 @@ def driver_sums(shared, features: list[str]) -> Callable:
     return run
 
 
-def _value_text(value, text: bool) -> str | None:
-    if value is None or text:
-        return value
-    return f"{value:.6f}".rstrip("0").rstrip(".")
-
-
 @lru_cache(maxsize=None)
 def _shapley_weights(k: int) -> np.ndarray:
     """[passed, feature, coalition]: weight of a coalition's value in the feature's share.

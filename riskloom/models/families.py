@@ -24,9 +24,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom.errors import ConfigError, TrainingError
-from riskloom.functions.drivers import DRIVER_TYPE, number_text
+from riskloom.functions.drivers import DRIVER_TYPE, raw_values, readable
 from riskloom.models.attribution import build_explainer, driver_sums, explain_batches
-from riskloom.models.prepare import GeoFacts, encoder, geo_facts, is_text, rows_of_geo, slots, training_rows
+from riskloom.models.prepare import GeoFacts, encoder, geo_facts, rows_of_geo, slots, training_rows
 from riskloom.operators.routing import route_to_geos
 from riskloom.operators.scorecard import (
     STAGE_COLUMNS,
@@ -124,7 +124,7 @@ class FittedFamily:
         # A geo's rows are spread thinly over the store's files; every training round reads them
         # again, so they are gathered once into even partitions of a size that suits the data. The
         # order by key makes row sampling repeatable, also when a lost partition is built again.
-        self.slots[geo] = slots(encoded)
+        self.slots[geo] = slots(encoded, features)
         parts = facts.n_rows * len(self.slots[geo]) * 8 // PARTITION_BYTES + 1
         key = ["EMP_ID", "YEAR_MONTH"]
         encoded = encoded.repartition(parts, *key).sortWithinPartitions(*key).select(*columns)
@@ -173,11 +173,12 @@ class FittedFamily:
             self.models[geo] = PipelineModel.load(self.model_path(geo))
             self._restore(geo, json.loads(spark.read.text(f"{self.model_path(geo)}_state").first()["value"]))
 
-    def score(self, rows: DataFrame) -> DataFrame:
+    def score(self, rows: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
+        """Scores of every geo's rows; ``carry`` names features to keep."""
         parts = []
         for geo in sorted(self.models):
             scored = self.models[geo].transform(self._rows(rows, geo))
-            parts.append(scored.withColumn("risk_score", vector_to_array("probability")[1]).select(*SCORE_COLUMNS))
+            parts.append(scored.withColumn("risk_score", vector_to_array("probability")[1]).select(*SCORE_COLUMNS, *carry))
         return reduce(DataFrame.unionByName, parts)
 
     def raise_errors(self) -> None:
@@ -271,19 +272,20 @@ class TreeFamily(FittedFamily):
                     *SCORE_COLUMNS[:4],
                     vector_to_array("probability")[1].alias("risk_score"),
                     vector_to_array("features").alias("x"),
-                    *[F.col(f).alias(f"v_{f}") for f in features],
+                    raw_values(own, features).alias("v"),
                 )
             )
             shared = spark.sparkContext.broadcast(self.explainer(spark, geo))
             out = scored.mapInPandas(
-                explain_batches(shared, SCORE_COLUMNS, features, [is_text(own, f) for f in features], top_k),
+                explain_batches(shared, SCORE_COLUMNS, features, top_k),
                 "geo string, EMP_ID string, YEAR_MONTH bigint, target bigint, risk_score double, "
                 "feature array<string>, feature_value array<string>, contribution array<double>",
             )
+            drivers = F.arrays_zip("feature", "feature_value", "contribution").cast(DRIVER_TYPE)
             parts.append(
                 out.select(
                     *SCORE_COLUMNS,
-                    F.arrays_zip("feature", "feature_value", "contribution").cast(DRIVER_TYPE).alias("attributions"),
+                    readable(drivers, own, features).alias("attributions"),
                     F.lit(f"{self.prefix}_{geo.lower()}").alias("model_name"),
                 )
             )
@@ -357,7 +359,7 @@ class LinearFamily(FittedFamily):
         )
 
     def _terms(self, geo: str) -> list[tuple]:
-        """(feature, value as text, contribution) per input; a text input joins its categories."""
+        """(feature, contribution) per input; a text input joins its categories."""
         stages = self.models[geo].stages
         labels = {
             c: ls for s in stages if isinstance(s, StringIndexerModel) for c, ls in zip(s.getInputCols(), s.labelsArray)
@@ -373,11 +375,11 @@ class LinearFamily(FittedFamily):
                 pairs = [F.lit(v) for pair in zip(labels[f], own) for v in pair]
                 unseen = own[len(labels[f])] if width > len(labels[f]) else 0.0
                 chosen = F.coalesce(F.try_element_at(F.create_map(*pairs), F.col(f)), F.lit(unseen))
-                terms.append((f, F.col(f), chosen - F.lit(middle)))
+                terms.append((f, chosen - F.lit(middle)))
                 at += width
             else:
                 x = F.coalesce(F.col(f).cast("double"), F.lit(self.facts[geo].mean[f]))
-                terms.append((f, number_text(F.col(f)), F.lit(coefficients[at]) * (x - F.lit(means[at]))))
+                terms.append((f, F.lit(coefficients[at]) * (x - F.lit(means[at]))))
                 at += 1
         return terms
 

@@ -107,8 +107,12 @@ def encoder(df: DataFrame, features: list[str], facts: GeoFacts, one_hot: bool)
     return Pipeline(stages=stages)
 
 
-def slots(encoded: DataFrame) -> list[str]:
-    """Feature behind every position of the assembled vector."""
+def slots(encoded: DataFrame, features: list[str]) -> list[str]:
+    """Feature behind every position of the assembled vector.
+
+    A position is named ``<feature>__x``, or ``<feature>__x_<category>``.
+    """
     meta = encoded.schema["features"].metadata["ml_attr"]
     names = sorted((a["idx"], a["name"]) for group in meta["attrs"].values() for a in group)
-    return [name.split("__x")[0] for _, name in names]
+    exact = {f"{f}__x": f for f in features}
+    return [exact.get(name) or max((f for f in features if name.startswith(f"{f}__x_")), key=len) for _, name in names]

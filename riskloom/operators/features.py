@@ -115,7 +115,8 @@ def geo_feature_list(selected: DataFrame) -> DataFrame:
 
 def feature_lists(selected: DataFrame) -> dict[str, list[str]]:
     """The lists as Python values, for building projections. Size: geos x configured columns."""
-    return {r.geo: r.feature_list.split(", ") for r in collect_config(geo_feature_list(selected).orderBy("geo"))}
+    lists = selected.groupBy("geo").agg(F.sort_array(F.collect_list("feature")).alias("features"))
+    return {r.geo: r.features for r in collect_config(lists.orderBy("geo"))}
 
 
 def set_flag(feature_config: DataFrame, feature: str, geo: str, value: int) -> DataFrame:

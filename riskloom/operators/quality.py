@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
+from pyspark.sql.types import DataType, NumericType, StringType
 
 from riskloom.functions.dates import days_before, month_end, text_to_date
+from riskloom.functions.drivers import number_text
 from riskloom.sources.scratch import fix_small, local_table
 
 KEY = ["EMP_ID", "YEAR_MONTH"]
@@ -116,18 +117,22 @@ def column_profile(df: DataFrame, near_unique_share: float = 0.05, spike_share:
         for t in one[f"top_{c}"]
         if t["item"] is not None and t["count"] >= spike_share * n
     ]
-    counts = df.agg(F.lit(0), *[F.count_if(F.col(c) == F.lit(v)) for c, v in likely]).first()[1:]
+    found = df.agg(
+        F.lit(0),
+        *[F.count_if(F.col(c) == F.lit(v)) for c, v in likely],
+        *[_shown(F.lit(v).cast(df.schema[c].dataType), df.schema[c].dataType) for c, v in likely],
+    ).first()[1:]
     spikes: dict[str, tuple] = {}
-    for (c, value), count in zip(likely, counts):
-        if count >= spike_share * n and (c not in spikes or (count, value) > spikes[c]):
-            spikes[c] = (count, value)
+    for (c, value), count, shown in zip(likely, found, found[len(likely) :]):
+        if count >= spike_share * n and (c not in spikes or (count, value) > spikes[c][:2]):
+            spikes[c] = (count, value, shown)
     rows = []
     for c in df.columns:
-        count, value = spikes.get(c, (None, None))
+        count, _, shown = spikes.get(c, (None, None, None))
         constant = bool(one[f"constant_{c}"])
         near_unique = c in text and one[f"distinct_{c}"] > near_unique_share * n
         reason = "Constant" if constant else "Near-unique code" if near_unique else None
-        rows.append((c, n, n - one[f"filled_{c}"], constant, near_unique, plain_text(value), count, reason))
+        rows.append((c, n, n - one[f"filled_{c}"], constant, near_unique, shown, count, reason))
     names = {
         "column_name": pa.string(),
         "n_rows": pa.int64(),
@@ -141,11 +146,9 @@ def column_profile(df: DataFrame, near_unique_share: float = 0.05, spike_share:
     return local_table(df.sparkSession, {k: pa.array([r[i] for r in rows], t) for i, (k, t) in enumerate(names.items())})
 
 
-def plain_text(value) -> str | None:
-    """The text form that number_text gives inside Spark."""
-    if value is None or isinstance(value, str):
-        return value
-    return f"{value:.6f}".rstrip("0").rstrip(".")
+def _shown(value: Column, kind: DataType) -> Column:
+    """Numbers by ``number_text``, everything else as Spark writes it."""
+    return number_text(value) if isinstance(kind, NumericType) else value.cast("string")
 
 
 def target_correlation(df: DataFrame, features: list[str]) -> DataFrame:

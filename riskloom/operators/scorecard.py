@@ -11,7 +11,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.functions.drivers import DRIVER_TYPE, number_text, strongest
+from riskloom.functions.drivers import DRIVER_TYPE, raw_values, readable, strongest
 
 STAGE_COLUMNS = ["geo", "EMP_ID", "YEAR_MONTH", "target", "risk_score", "attributions", "model_name"]
 
@@ -43,15 +43,15 @@ def score_with(df: DataFrame, card: Scorecard, top_k: int | None = 10, carry: tu
     return linear_stage(df, card.name, F.lit(card.intercept), card_parts(card), top_k, carry)
 
 
-def card_parts(card: Scorecard) -> list[tuple[str, Column, Column]]:
-    return [(w.feature, number_text(F.col(w.feature)), contribution(w)) for w in card.weights]
+def card_parts(card: Scorecard) -> list[tuple[str, Column]]:
+    return [(w.feature, contribution(w)) for w in card.weights]
 
 
-def linear_drivers(df: DataFrame, parts: list[tuple[str, Column, Column]]) -> DataFrame:
+def linear_drivers(df: DataFrame, parts: list[tuple[str, Column]]) -> DataFrame:
     """Mean absolute contribution per geo and feature, aggregated without building driver arrays."""
-    means = df.groupBy("geo").agg(*[F.avg(F.abs(c)).alias(f"m_{name}") for name, _, c in parts])
+    means = df.groupBy("geo").agg(*[F.avg(F.abs(c)).alias(f"m_{name}") for name, c in parts])
     pairs = F.array(
-        *[F.struct(F.lit(name).alias("feature"), F.col(f"m_{name}").alias("attribution")) for name, _, _ in parts]
+        *[F.struct(F.lit(name).alias("feature"), F.col(f"m_{name}").alias("attribution")) for name, _ in parts]
     )
     return means.select("geo", F.inline(pairs))
 
@@ -60,32 +60,31 @@ def linear_stage(
     df: DataFrame,
     model_name: str,
     intercept: Column,
-    parts: list[tuple[str, Column, Column]],
+    parts: list[tuple[str, Column]],
     top_k: int | None,
     carry: tuple[str, ...] = (),
 ) -> DataFrame:
-    """Stage rows from (feature, value as text, contribution) triples."""
+    """Stage rows from pairs (feature, contribution); values are those of the feature's column.
+
+    Contributions and values are one array each, so the plan stays flat with many hundred features.
+    """
+    features = [name for name, _ in parts]
     slim = df.select(
         "geo",
         "EMP_ID",
         "YEAR_MONTH",
         "target",
         *carry,
-        *[c.alias(f"c_{name}") for name, _, c in parts],
-        *[v.alias(f"v_{name}") for name, v, _ in parts],
+        F.array(*[c for _, c in parts]).alias("c"),
+        raw_values(df, features).alias("v"),
     )
-    margin = intercept
-    for name, _, _ in parts:
-        margin = margin + F.col(f"c_{name}")
-    drivers = F.array(
-        *[
-            F.struct(
-                F.lit(name).alias("feature"),
-                F.col(f"v_{name}").alias("feature_value"),
-                F.col(f"c_{name}").alias("contribution"),
-            )
-            for name, _, _ in parts
-        ]
+    margin = F.aggregate("c", intercept, lambda total, c: total + c)
+    names = F.lit(features)
+    drivers = F.transform(
+        "c",
+        lambda c, i: F.struct(
+            F.get(names, i).alias("feature"), F.get("v", i).alias("feature_value"), c.alias("contribution")
+        ),
     ).cast(DRIVER_TYPE)
     return slim.select(
         "geo",
@@ -93,7 +92,7 @@ def linear_stage(
         "YEAR_MONTH",
         "target",
         (F.lit(1.0) / (F.lit(1.0) + F.exp(-margin))).alias("risk_score"),
-        strongest(drivers, top_k).alias("attributions"),
+        readable(strongest(drivers, top_k), df, features).alias("attributions"),
         F.concat(F.lit(f"{model_name}_"), F.lower("geo")).alias("model_name"),
         *carry,
     )

@@ -50,7 +50,7 @@ def monthly_run(
 
     All geos are checked before anything is fitted, and everything is computed into scratch
     tables before the first output is touched. Employees that occur more than once in the month are
-    not scored; their keys go to ``quarantined_keys``. With ``on_error='skip'`` a geo that cannot be
+    not scored; their keys go to ``quarantined_keys``, which a re-run replaces. With ``on_error='skip'`` a geo that cannot be
     fitted keeps its earlier output and release and is logged as FAILED while the others are published.
     A geo that lost rows, its cut-offs or its drivers on the way is INCOMPLETE and treated likewise.
     ``fit=False`` scores with models that ``family.load`` took over.
@@ -72,7 +72,7 @@ def monthly_run(
     window = calibration_rows(features, month)
     thresholds = calibrate(family.score(window).select("geo", "risk_score"), inputs.active_rules()).filter(~F.col("geo").isin(list(failed)))
     scoring = features.filter(F.col("YEAR_MONTH") == month)
-    repeated = fix_small(duplicate_keys(scoring))
+    repeated = save_scratch(duplicate_keys(scoring), "repeated")
     scored = scoring.join(repeated, ["EMP_ID", "YEAR_MONTH"], "left_anti")
     stage = save_scratch(family.explain(scored), "stage")
 
@@ -101,11 +101,6 @@ def monthly_run(
         )
     )
 
-    if not repeated.isEmpty():
-        quarantined = repeated.select(
-            "*", F.lit(run_id).alias("run_id"), F.lit(started).cast("timestamp").alias("quarantined_at")
-        )
-        quarantined.write.mode("append").parquet(f"{warehouse}/quarantined_keys")
     per_geo = _rows_by_geo(employee)
     fitted = [g for g in sorted(lists) if g not in failed]
     parts = {"cut-offs": _rows_by_geo(thresholds), "drivers": _rows_by_geo(drivers)}
@@ -136,6 +131,8 @@ def monthly_run(
 
     with ThreadPoolExecutor(len(outputs)) as pool:
         list(pool.map(publish, outputs))
+    quarantined = repeated.drop("YEAR_MONTH").withColumn("run_id", F.lit(run_id)).withColumn("quarantined_at", F.lit(started).cast("timestamp"))
+    quarantined.write.mode("overwrite").parquet(f"{warehouse}/quarantined_keys/YEAR_MONTH={month}")
 
     broken = [r.test_id for r in checks.filter(F.col("status") == "FAIL").orderBy("test_id").collect()]
     complete = [g for g in fitted if g not in lost]

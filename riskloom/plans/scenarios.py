@@ -26,10 +26,7 @@ from riskloom.sources.tables import read_table
 
 
 def _filled(df: DataFrame, columns: list[str]) -> Column:
-    total: Column = F.lit(0)
-    for c in columns:
-        total = total + F.count(c)
-    return total.cast("long")
+    return F.aggregate(F.array(*[F.count(c) for c in columns]), F.lit(0).cast("long"), lambda total, n: total + n)
 
 
 def flag_off(inputs: Inputs, feature: str, geo: str, other: str) -> DataFrame:

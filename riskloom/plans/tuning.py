@@ -29,10 +29,8 @@ def pooled_challenger(inputs: Inputs, path: str, train_end: int, eval_end: int,
     family.fit(backtest_rows(rows, train_end, eval_end), {POOL: [*shared, "HOME_GEO"]})
     family.raise_errors()
     test = rows.filter(F.col("target").isNotNull() & (F.col("YEAR_MONTH") > eval_end))
-    home = test.select("EMP_ID", "YEAR_MONTH", F.col("HOME_GEO").alias("home"))
-    scores = save_scratch(family.score(test).drop("geo"), "pooled")
-    named = scores.join(home, ["EMP_ID", "YEAR_MONTH"]).withColumnRenamed("home", "geo")
-    return evaluate(named.withColumn("model_family", F.lit("pooled")))
+    scores = save_scratch(family.score(test, carry=("HOME_GEO",)).drop("geo").withColumnRenamed("HOME_GEO", "geo"), "pooled")
+    return evaluate(scores.withColumn("model_family", F.lit("pooled")))
 
 
 def search(inputs: Inputs, path: str, grid: list[dict], train_end: int, eval_end: int) -> DataFrame:

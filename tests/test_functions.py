@@ -12,7 +12,16 @@ from riskloom.functions.dates import (
     shift_month,
     text_to_date,
 )
-from riskloom.functions.drivers import DRIVER_TYPE, driver_names, driver_sentence, number_text, raising, strongest
+from riskloom.functions.drivers import (
+    DRIVER_TYPE,
+    driver_names,
+    driver_sentence,
+    number_text,
+    raising,
+    raw_values,
+    readable,
+    strongest,
+)
 
 
 @pytest.mark.parametrize(
@@ -84,3 +93,12 @@ def test_no_positive_driver(spark):
     row = drivers(spark, [("a", "1", -0.5), ("b", "1", 0.0)]).select(raising(F.col("d")).alias("r"))
     assert row.first().r == []
     assert row.select(driver_names(F.col("r"), 3)).first()[0] is None
+
+
+def test_values_are_written_alike_for_every_family(spark):
+    df = spark.createDataFrame([(5e-7, -0.0, 0.1234565, 1e25, True, "007", None, 2**60)], "a double, b double, c double, d double, e boolean, f string, g double, h long")
+    names = df.columns
+    rows = F.transform(raw_values(df, names), lambda v, i: F.struct(F.get(F.lit(names), i).alias("feature"), v.alias("feature_value"), F.lit(1.0).alias("contribution")))
+    shown = df.select(readable(rows.cast(DRIVER_TYPE), df, names).alias("d")).first().d
+    plain = df.select(*[F.col(c) if c == "f" else number_text(F.col(c)).alias(c) for c in names]).first()
+    assert [x.feature_value for x in shown] == list(plain)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from riskloom.models.attribution import build_explainer, contributions
 from riskloom.models.families import LinearFamily, TreeFamily, additivity, balance
 from riskloom.operators.risk import geo_drivers, variable_risk
-from riskloom.operators.scorecard import STAGE_COLUMNS
+from riskloom.operators.scorecard import STAGE_COLUMNS, Scorecard, Weight, score_with
 
 LISTS = {"AAA": ["age", "colour", "pay"], "BBB": ["age", "pay"]}
 
@@ -206,3 +206,28 @@ def test_loaded_models_score_and_explain_alike(spark, trees, linear, rows):
         assert both.count() == 900
         assert both.filter((F.abs(F.col("a") - F.col("risk_score")) > 1e-12) | (F.col("b")["feature"] != F.col("attributions")["feature"])).count() == 0
         assert again.inputs() == family.inputs()
+
+
+def test_names_with_the_suffix_of_inputs(spark, history, tmp_path):
+    named = history.withColumnRenamed("colour", "a__x_b").withColumnRenamed("pay", "pay__x")
+    lists = {"AAA": ["a__x_b", "age", "pay__x"]}
+    for family in (LinearFamily(str(tmp_path / "l")), TreeFamily(str(tmp_path / "t"), rounds=2, depth=2, early_stop=False)):
+        family.fit(named, lists)
+        family.raise_errors()
+        stage = family.explain(named.filter(F.col("GEO") == "AAA").limit(50), None)
+        assert {d.feature for d in stage.first().attributions} == set(lists["AAA"])
+        assert additivity(stage, family.bases(spark)).first().n_off == 0
+
+
+def test_scorecard_of_many_hundred_features(spark):
+    names = [f"f{k:03d}" for k in range(700)]
+    df = spark.range(200).select(
+        F.lit("AAA").alias("geo"), F.col("id").cast("string").alias("EMP_ID"), F.lit(202401).cast("long").alias("YEAR_MONTH"),
+        F.lit(0).cast("long").alias("target"), *[((F.col("id") * (k + 1)) % 97).cast("double").alias(n) for k, n in enumerate(names)],
+    )
+    card = Scorecard("wide", -1.0, tuple(Weight(n, 0.001 * (k % 7 - 3), 48.0, 20.0) for k, n in enumerate(names)))
+    for r in score_with(df, card).collect():
+        parts = {n: 0.001 * (k % 7 - 3) * ((int(r.EMP_ID) * (k + 1)) % 97 - 48.0) / 20.0 for k, n in enumerate(names)}
+        assert r.risk_score == pytest.approx(1 / (1 + np.exp(1.0 - sum(parts.values()))))
+        assert [d.feature for d in r.attributions] == sorted(names, key=lambda n: (-abs(parts[n]), n))[:10]
+        assert all(d.feature_value == str((int(r.EMP_ID) * (int(d.feature[1:]) + 1)) % 97) for d in r.attributions)
