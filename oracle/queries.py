@@ -281,8 +281,8 @@ def _run() -> str:
 
 FEED = f"""SELECT er.geo, er.EMP_ID, er.YEAR_MONTH, round(risk_score, 4) AS risk_score, risk_bucket, risk_rank_in_geo, model_name,
       driver_rank, feature, feature_value, round(contribution, 4) AS risk_contribution
-    FROM er JOIN drivers d ON d.geo = er.geo AND d.EMP_ID = er.EMP_ID AND d.YEAR_MONTH = er.YEAR_MONTH
-    WHERE risk_bucket IN ('RED', 'AMBER') AND driver_rank <= 5"""
+    FROM er LEFT JOIN drivers d ON d.geo = er.geo AND d.EMP_ID = er.EMP_ID AND d.YEAR_MONTH = er.YEAR_MONTH AND driver_rank <= 5
+    WHERE risk_bucket IN ('RED', 'AMBER')"""
 N_FLAGGED = f"(SELECT {s('count(*)')} FROM er WHERE risk_bucket IN ('RED', 'AMBER'))"
 N_FEED = f"(SELECT {s('count(*)')} FROM (SELECT DISTINCT geo, EMP_ID FROM ({FEED})))"
 
@@ -446,13 +446,13 @@ BODIES = {
     "geo_drivers": f"""SELECT geo, feature, round(avg(abs(contribution)), 6) AS attribution FROM
         ({_all_parts("target IS NOT NULL AND YEAR_MONTH BETWEEN 200101 AND 200103")}) GROUP BY 1, 2""",
     "explain_drivers": f"""SELECT geo, feature, round(avg(abs(contribution)), 4) AS attribution FROM
-        ({_all_parts("target IS NOT NULL AND YEAR_MONTH BETWEEN 200101 AND 200103")}) WHERE geo = 'EUR' GROUP BY 1, 2
-        ORDER BY avg(abs(contribution)) DESC, feature LIMIT 3""",
+        ({_all_parts("target IS NOT NULL AND YEAR_MONTH BETWEEN 200101 AND 200103")}) GROUP BY 1, 2
+        QUALIFY row_number() OVER (PARTITION BY geo ORDER BY avg(abs(contribution)) DESC, feature) <= 15""",
     "ews_feed_flat": FEED,
     "ews_summary": SUMMARY,
     "action_list": f"""SELECT geo, EMP_ID, risk_score, risk_bucket, risk_rank_in_geo, string_agg(concat(driver_rank, '. ', feature, ' = ',
         coalesce(feature_value, 'NULL'), ' (+', printf('%.3f', round(risk_contribution, 3)), ')'), '  |  ' ORDER BY driver_rank, feature)
-        AS recommended_variable_risks FROM ({FEED}) GROUP BY 1, 2, 3, 4, 5 ORDER BY risk_score DESC, geo, EMP_ID LIMIT 20""",
+        FILTER (driver_rank IS NOT NULL) AS recommended_variable_risks FROM ({FEED}) GROUP BY 1, 2, 3, 4, 5 ORDER BY risk_score DESC, geo, EMP_ID LIMIT 20""",
     "test_predictions": "SELECT geo, EMP_ID, YEAR_MONTH, target, round(risk_score, 6) AS risk_score FROM tb",
     "capture_report": """SELECT geo, CASE risk_bucket WHEN 'RED' THEN '1-RED' WHEN 'AMBER' THEN '2-AMBER' ELSE '3-GREEN' END AS bucket,
         count(*) AS employees, sum(target)::BIGINT AS actual_events, round(avg(target), 3) AS hit_rate,
@@ -466,8 +466,8 @@ BODIES = {
     "eval_report": f"""SELECT geo, model_family, round(roc_auc, 3) AS roc_auc, round(recall, 3) AS recall, round(precision, 3) AS precision,
         round(f1_score, 3) AS f1, round(log_loss, 3) AS log_loss FROM ({METRICS})""",
     "roc_curve": _roc(),
-    "threshold_trade_off": f"""SELECT round(threshold, 3) AS threshold, round(recall, 3) AS recall, round(precision, 3) AS precision,
-        round(false_positive_rate, 3) AS false_positive_rate FROM ({_roc(False)}) WHERE geo = 'EUR'""",
+    "threshold_trade_off": f"""SELECT geo, round(threshold, 3) AS threshold, round(recall, 3) AS recall, round(precision, 3) AS precision,
+        round(false_positive_rate, 3) AS false_positive_rate FROM ({_roc(False)})""",
     "target_cutoffs": """SELECT geo, round(min(CASE WHEN tp >= 0.75::DOUBLE * (tp + fp) THEN risk_score END), 6) AS precision_cutoff,
         round(max(CASE WHEN tp >= 0.8::DOUBLE * p THEN risk_score END), 6) AS recall_cutoff FROM (SELECT DISTINCT geo, risk_score,
           sum(target) OVER w AS tp, sum(1 - target) OVER w AS fp, sum(target) OVER (PARTITION BY geo) AS p FROM tb

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskloom.operators.buckets import calibrate, capture_report
@@ -65,30 +65,21 @@ def backtest(inputs: Inputs, families: list, train_end: int, eval_end: int) -> B
     )
 
 
-def top_drivers(drivers: DataFrame, geo: str, n: int = 15) -> DataFrame:
-    """The strongest overall drivers of one geo."""
-    return (
-        drivers.filter(F.col("geo") == geo)
-        .orderBy(F.desc("attribution"), "feature")
-        .limit(n)
-        .select("geo", "feature", F.round("attribution", 4).alias("attribution"))
-    )
+def top_drivers(drivers: DataFrame, n: int = 15) -> DataFrame:
+    """The strongest overall drivers of every geo. The input has a row per geo and feature."""
+    first = Window.partitionBy("geo").orderBy(F.desc("attribution"), "feature")
+    best = drivers.withColumn("place", F.row_number().over(first)).filter(F.col("place") <= n)
+    return best.select("geo", "feature", F.round("attribution", 4).alias("attribution"))
 
 
-def top_weights(weights: DataFrame, geo: str, n: int = 15) -> DataFrame:
-    """The heaviest standardised weights of one geo, by size, with their direction."""
-    return (
-        weights.filter(F.col("geo") == geo)
-        .orderBy(F.abs("weight").desc(), "feature")
-        .limit(n)
-        .select("feature", F.round("weight", 4).alias("weight"))
-    )
+def top_weights(weights: DataFrame, n: int = 15) -> DataFrame:
+    """The heaviest standardised weights of every geo, by size, with their direction."""
+    first = Window.partitionBy("geo").orderBy(F.abs("weight").desc(), "feature")
+    best = weights.withColumn("place", F.row_number().over(first)).filter(F.col("place") <= n)
+    return best.select("geo", "feature", F.round("weight", 4).alias("weight"))
 
 
-def trade_off(curve: DataFrame, geo: str) -> DataFrame:
-    """Every cut-off of one geo, highest first, with recall, precision and false alarms."""
-    return (
-        curve.filter(F.col("geo") == geo)
-        .orderBy(F.desc("threshold"))
-        .select(*[F.round(c, 3).alias(c) for c in ("threshold", "recall", "precision", "false_positive_rate")])
-    )
+def trade_off(curve: DataFrame) -> DataFrame:
+    """Every cut-off of every geo, highest first, with recall, precision and false alarms."""
+    measures = ("threshold", "recall", "precision", "false_positive_rate")
+    return curve.orderBy("geo", F.desc("threshold")).select("geo", *[F.round(c, 3).alias(c) for c in measures])

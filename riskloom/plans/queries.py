@@ -232,7 +232,7 @@ def ews_feed(spark, sf):
 
 def ews_feed_flat(spark, sf):
     return ews_feed(spark, sf).select(
-        "geo", "EMP_ID", "YEAR_MONTH", "risk_score", "risk_bucket", "risk_rank_in_geo", "model_name", F.inline("top_variable_risks")
+        "geo", "EMP_ID", "YEAR_MONTH", "risk_score", "risk_bucket", "risk_rank_in_geo", "model_name", F.inline_outer("top_variable_risks")
     )
 
 
@@ -246,7 +246,7 @@ def action_list(spark, sf):
 
 def explain_drivers(spark, sf):
     held = routing.calibration_rows(prepared(spark, sf), MONTH)
-    return top_drivers(risk.geo_drivers(score_with(routed(held), CARD, None)), "EUR", 3)
+    return top_drivers(risk.geo_drivers(score_with(routed(held), CARD, None)))
 
 
 # ---- backtest -----------------------------------------------------------------------------------
@@ -281,7 +281,7 @@ def roc_curve(spark, sf):
 
 
 def threshold_trade_off(spark, sf):
-    return trade_off(evaluate.roc_curve(test_scores(spark, sf)), "EUR")
+    return trade_off(evaluate.roc_curve(test_scores(spark, sf)))
 
 
 def target_cutoffs(spark, sf):
@@ -571,7 +571,7 @@ def linear_weights(spark, sf):
 
 
 def explain_weights(spark, sf):
-    return top_weights(_fit(spark, sf, LinearFamily(_models(spark))).weights(spark), "EUR")
+    return top_weights(_fit(spark, sf, LinearFamily(_models(spark))).weights(spark))
 
 
 def gbt_additivity(spark, sf):

@@ -22,6 +22,8 @@ from riskloom.functions.drivers import (
     readable,
     strongest,
 )
+from riskloom.operators.feed import ews_feed
+from riskloom.plans.backtest import top_drivers
 
 
 @pytest.mark.parametrize(
@@ -102,3 +104,16 @@ def test_values_are_written_alike_for_every_family(spark):
     shown = df.select(readable(rows.cast(DRIVER_TYPE), df, names).alias("d")).first().d
     plain = df.select(*[F.col(c) if c == "f" else number_text(F.col(c)).alias(c) for c in names]).first()
     assert [x.feature_value for x in shown] == list(plain)
+
+
+def test_alert_without_drivers_stays_in_the_feed(spark):
+    employee = spark.createDataFrame([("A", "E1", 202401, 0.9, "RED"), ("A", "E2", 202401, 0.8, "AMBER"), ("A", "E3", 202401, 0.1, "GREEN")], "geo string, EMP_ID string, YEAR_MONTH long, risk_score double, risk_bucket string")
+    variable = spark.createDataFrame([("A", "E1", 202401, 1, "age", "40", 0.25)], "geo string, EMP_ID string, YEAR_MONTH long, driver_rank long, feature string, feature_value string, risk_contribution double")
+    rows = {r.EMP_ID: [d.feature for d in r.top_variable_risks] for r in ews_feed(employee, variable).collect()}
+    assert rows == {"E1": ["age"], "E2": []}
+
+
+def test_reports_show_every_geo(spark):
+    drivers = spark.createDataFrame([(g, f"f{k:02d}", float(k)) for g in "AB" for k in range(20)], "geo string, feature string, attribution double")
+    kept = {(r.geo, r.feature) for r in top_drivers(drivers).collect()}
+    assert kept == {(g, f"f{k:02d}") for g in "AB" for k in range(5, 20)}
