@@ -18,7 +18,6 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -192,13 +191,17 @@ def _links(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> Data
     return save_scratch(both.select("a", "b", "text_a", "text_b").mapInArrow(_verify(width, percent), "a bigint, b bigint"), "links")
 
 
-def components(edges: DataFrame) -> DataFrame:
+def components(edges: DataFrame, before: DataFrame | None = None) -> DataFrame:
     """Smallest reachable node of every node of an edge: (node, component).
 
+    ``before`` is the answer for earlier edges; it stands for them, so few new edges need few steps.
+
     Union-find by alternating steps on all edges: every node's larger neighbours are hung under its
     smallest one, then its smaller ones, until nothing changes. A node's edges are never gathered:
     only its smallest neighbour is, which tasks find before the shuffle.
     """
+    if before is not None:
+        edges = edges.select("a", "b").unionAll(before.select("node", "component"))
     tree = save_scratch(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct(), "edges")
     seen = None
     while True:
@@ -240,16 +243,15 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, slots: i
     texts = save_scratch(texts.select("node", "text"), "texts")
 
     alike = f"100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)"  # else their sets can't be
-    tested, links = [], []
+    tested, found = [], None
     for turn in range(2):
-        lead = members if turn == 0 else _leaders(_apart(members.drop("lead"), links[0]))
+        lead = members if turn == 0 else _leaders(_apart(members.drop("lead"), found))
         pairs = _ordered(lead.where("lead.node <> node")).where(alike).select("a", "b").distinct()
         if tested:
             pairs = pairs.join(tested[0], ["a", "b"], "left_anti")
         tested.append(save_scratch(pairs, "pairs"))
-        links.append(_links(tested[-1], texts, width, percent))
-    links.append(_strangers(_apart(members.drop("lead"), links[0].unionAll(links[1])), texts, width, percent))
-    found = components(reduce(DataFrame.unionAll, links))
+        found = components(_links(tested[-1], texts, width, percent), found)
+    found = components(_strangers(_apart(members.drop("lead"), found), texts, width, percent), found)
     named = classes.join(found, classes["doc_id"] == found["node"], "left")
     named = named.select(*key, F.coalesce("component", "doc_id").alias("component"))
     out = sets.join(named, key, "left")
@@ -273,9 +275,9 @@ def drop_near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) ->
     return alone.unionAll(repeated)
 
 
-def _apart(members: DataFrame, links: DataFrame) -> DataFrame:
+def _apart(members: DataFrame, found: DataFrame) -> DataFrame:
     """Members of the buckets that still hold more than one component, with it."""
-    named = members.join(components(links), "node", "left").withColumn("component", F.coalesce("component", "node"))
+    named = members.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
     named = save_scratch(named.select("bucket", "node", "n", "component"), "named")
     split = named.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("bucket")
     return named.join(split, "bucket", "left_semi")
