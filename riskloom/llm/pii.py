@@ -1,15 +1,20 @@
 """Personal data: base patterns, and terms that reveal what they found.
 
 1. Tasks find e-mail addresses, IP addresses, card and phone numbers. Each value is a protected
-   entity; the words around it are its context.
-2. Spark counts in how many documents a term stands in an entity's context (n_te), in how many the
-   entity occurs (n_e), and, over the words of all texts, in how many the term occurs at all (n_t).
-   Among N documents, the entity holds log2(N / n_e) bits, of which the term gives away
-   log2(N n_te / (n_t n_e)). A term that gives away at least DISCLOSURE of them, seen with the entity
-   in MIN_TEXTS different texts, is disclosing, wherever it stands.
+   entity; all words of its document are its context, however far away.
+2. Spark counts in how many documents a term stands with an entity (n_te), in how many the entity
+   occurs (n_e), and, over the words of all texts, in how many the term occurs at all (n_t).
+   Among N documents, the entity holds log2(N / n_e) bits, of which the term gives away log2(N p / n_e),
+   where p is the share of the term's documents that hold the entity, estimated as
+   (n_te + SMOOTH n_e / N) / (n_t + SMOOTH): few documents count for less than many, but for something.
+   A term that gives away at least DISCLOSURE of the bits is disclosing, wherever it stands.
 3. Disclosing terms become spans. Sanitising replaces base values by their kind, removes terms that
    give away REMOVE or more of an entity and generalises the others to what they are.
 
+Copies of a text are gathered before its words are paired with entities, and entities that stand in
+the same texts are one: their counts are equal. So a long list of values that stand nowhere else
+makes as many pairs as a single one.
+
 The terms to look up in all texts are sent to the tasks as a bit table of fixed size; what it lets
 through by chance is dropped by an exact join.
 """
@@ -28,9 +33,8 @@ from riskloom.llm.words import LETTERS, mix, split_words, text_slices
 from riskloom.sources.scratch import save_scratch
 
 KINDS = ["email", "ip", "card", "phone", "term"]
-CONTEXT_WORDS = 10  # on either side
 MIN_TERM_BYTES = 3
-MIN_TEXTS = 3
+SMOOTH = 0.5  # documents added to those of a term, holding the entity as often as any
 DISCLOSURE = 0.9
 REMOVE = 0.99
 TABLE_BITS = 23
@@ -43,7 +47,7 @@ _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _NO_DIGIT = re.compile(r"[^0-9]+")
 
 SPAN = "struct<kind:string,start:bigint,end:bigint,action:string>"
-_FOUND = f"doc_id bigint, copy bigint, spans array<{SPAN}>, contexts array<struct<entity:bigint,terms:array<bigint>>>"
+_FOUND = f"doc_id bigint, copy bigint, spans array<{SPAN}>, entities array<bigint>, terms array<bigint>"
 _COUNTS = "term bigint, n bigint"
 _SEEN = "doc_id bigint, copy bigint, term bigint, start bigint, end bigint, digits boolean"
 
@@ -97,29 +101,31 @@ def _entity(kind: str, value: str) -> int:
 
 def _find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        spans, contexts = [], []
+        spans, entities, terms = [], [], []
         for lo, hi, buf, offsets in text_slices(batch.column("text")):
             words = None
             texts = batch.column("text").slice(lo, hi - lo).to_pylist()
             for d, text in enumerate(texts):
                 found = base_spans(text) if text else []
                 spans.append([{"kind": k, "start": s, "end": e, "action": "replace"} for k, s, e in found])
+                entities.append(sorted({_entity(k, text[s:e]) for k, s, e in found}))
                 if found and words is None:
                     words = split_words(buf, offsets, LETTERS)
-                contexts.append(_contexts(text, found, int(offsets[d]), words, d) if found else [])
+                terms.append(_terms(text, found, int(offsets[d]), words, d) if found else np.zeros(0, np.int64))
         yield pa.RecordBatch.from_arrays(
             [
                 batch.column("doc_id"),
                 batch.column("copy"),
                 pa.array(spans, pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("action", pa.string())]))),
-                pa.array(contexts, pa.list_(pa.struct([("entity", pa.int64()), ("terms", pa.list_(pa.int64()))]))),
+                pa.array(entities, pa.list_(pa.int64())),
+                pa.array(terms, pa.list_(pa.int64())),
             ],
-            ["doc_id", "copy", "spans", "contexts"],
+            ["doc_id", "copy", "spans", "entities", "terms"],
         )
 
 
-def _contexts(text: str, found: list[tuple[str, int, int]], offset: int, words, d: int) -> list[dict]:
-    """The words near each entity, but those inside any entity and very short ones."""
+def _terms(text: str, found: list[tuple[str, int, int]], offset: int, words, d: int) -> np.ndarray:
+    """The words of a text, but those inside any entity and very short ones."""
     lo, hi = int(words.first[d]), int(words.first[d + 1])
     starts, ends, hashes = words.starts[lo:hi] - offset, words.ends[lo:hi] - offset, words.hashes[lo:hi].view(np.int64)
     places = np.array(sorted({p for _, s, e in found for p in (s, e)}))
@@ -128,12 +134,7 @@ def _contexts(text: str, found: list[tuple[str, int, int]], offset: int, words,
     free = ends - starts >= MIN_TERM_BYTES
     for _, s, e in found:
         free[np.searchsorted(ends, at[s], "right") : np.searchsorted(starts, at[e], "left")] = False
-    out = []
-    for kind, s, e in found:
-        a, b = np.searchsorted(ends, at[s], "right"), np.searchsorted(starts, at[e], "left")
-        near = np.concatenate([np.arange(max(0, a - CONTEXT_WORDS), a), np.arange(b, min(hi - lo, b + CONTEXT_WORDS))])
-        out.append({"entity": _entity(kind, text[s:e]), "terms": np.unique(hashes[near[free[near]]]).tolist()})
-    return out
+    return np.unique(hashes[free])
 
 
 def _hits(shared, batch: pa.RecordBatch) -> Iterator[tuple]:
@@ -196,19 +197,32 @@ def _bit_table(terms: DataFrame) -> bytes:
     return table.tobytes()
 
 
+def _beside(found: DataFrame) -> DataFrame:
+    """(entity, n_e, term, n_te) for every term that stands in a text with an entity.
+
+    Of entities that stand in the same texts, the first stands for all.
+    """
+    held = found.where(F.size("entities") > 0)
+    copies = held.groupBy("copy").agg(F.count("*").alias("docs"))
+    texts = save_scratch(held.select("copy", "entities", "terms").dropDuplicates(["copy"]).join(copies, "copy"), "held")
+    of_entity = texts.select("copy", "docs", F.explode("entities").alias("entity"))
+    alike = [F.sum("docs").alias("n_e"), F.count("*").alias("texts"), F.bit_xor("copy").alias("own")]
+    first = of_entity.groupBy("entity").agg(*alike).groupBy("n_e", "texts", "own").agg(F.min("entity").alias("entity"))
+    chosen = of_entity.join(first.select("entity", "n_e"), "entity").groupBy("copy").agg(F.collect_list(F.struct("entity", "n_e")).alias("chosen"))
+    pairs = texts.join(chosen, "copy").select("docs", "terms", F.explode("chosen").alias("one")).select("docs", "one", F.explode("terms").alias("term"))
+    return pairs.groupBy("one.entity", "one.n_e", "term").agg(F.sum("docs").alias("n_te"))
+
+
 def disclosing_terms(texts: DataFrame, found: DataFrame) -> DataFrame:
     """(term, given): terms and the largest share of an entity's information that they give away."""
     spark = texts.sparkSession
-    pairs = F.flatten(F.transform("contexts", lambda c: F.transform(c["terms"], lambda t: F.struct(c["entity"].alias("entity"), t.alias("term")))))
-    beside = found.select("copy", F.explode(F.array_distinct(pairs)).alias("pair")).groupBy("pair.entity", "pair.term")
-    beside = beside.agg(F.count("*").alias("n_te"), F.count_distinct("copy").alias("texts")).where(F.col("texts") >= MIN_TEXTS)
-    beside = save_scratch(beside, "beside")
+    beside = save_scratch(_beside(found), "beside")
     shared = spark.sparkContext.broadcast(_bit_table(beside))
     of_term = texts.select("text").mapInArrow(_count(shared), _COUNTS).groupBy("term").agg(F.sum("n").alias("n_t"))
-    of_entity = found.select(F.explode(F.array_distinct("contexts.entity")).alias("entity")).groupBy("entity").agg(F.count("*").alias("n_e"))
     docs = found.count()
-    both = beside.join(of_entity, "entity").join(of_term, "term").where(F.col("n_e") < docs)
-    holds, gives = F.log2(F.lit(docs) / F.col("n_e")), F.log2(F.lit(docs) * F.col("n_te") / (F.col("n_t") * F.col("n_e")))
+    both = beside.join(of_term, "term").where(F.col("n_e") < docs)
+    likely = (F.col("n_te") + SMOOTH * F.col("n_e") / docs) / (F.col("n_t") + SMOOTH)
+    holds, gives = F.log2(F.lit(docs) / F.col("n_e")), F.log2(F.lit(docs) * likely / F.col("n_e"))
     given = both.groupBy("term").agg(F.max(gives / holds).alias("given"))
     return given.where(F.col("given") >= DISCLOSURE)
 
@@ -230,7 +244,7 @@ def personal_spans(docs: DataFrame) -> DataFrame:
     span = F.struct(F.lit("term").alias("kind"), "start", "end", action.alias("action"))
     terms = terms.groupBy("doc_id", "copy").agg(F.array_sort(F.collect_list(span)).alias("terms"))
     right = terms.select(F.struct("doc_id", "copy").alias("key"), "terms")
-    rows = found.join(right, F.struct("doc_id", "copy").eqNullSafe(F.col("key")), "left")
+    rows = found.drop("entities", "terms").join(right, F.struct("doc_id", "copy").eqNullSafe(F.col("key")), "left")
     own = F.filter("terms", lambda t: ~F.exists("spans", lambda s: (s["start"] < t["end"]) & (t["start"] < s["end"])))
     return rows.select("doc_id", "copy", F.concat("spans", F.coalesce(own, F.array().cast(f"array<{SPAN}>"))).alias("spans"))
 

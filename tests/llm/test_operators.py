@@ -231,6 +231,26 @@ def test_disclosing_terms(spark, edge, empty):
     assert out.columns == edge.columns and out.count() == edge.count() and pii.sanitise(empty).count() == 0
 
 
+def test_terms_of_an_entity_in_one_text(spark):
+    filler = " ".join(f"plain word number{k % 9} here" for k in range(30))
+    texts = [f"Profile of Zorblax\n{filler}\ncall +1 555 010 9999 or mail z@acme.org now", *[f"{filler} profile call mail now {k}" for k in range(199)]]
+    texts += ["Zelda writes from q@acme.org and 10.0.0.1"] * 2 + [f"{filler} {k} or and from writes of" for k in range(200)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    spans = {r.doc_id: {texts[r.doc_id][s.start : s.end] for s in r.spans if s.kind == "term"} for r in pii.personal_spans(docs).collect()}
+    assert spans[0] == {"Zorblax"} and spans[200] == spans[201] == {"Zelda"}
+    assert not any(x for k, x in spans.items() if k not in (0, 200, 201))
+    clean = {r.doc_id: r.text for r in pii.sanitise(docs).collect()}
+    assert clean[0] == texts[0].replace("Zorblax", "[WORD]").replace("+1 555 010 9999", "[PHONE]").replace("z@acme.org", "[EMAIL]")
+
+
+def test_entity_term_counts(spark):
+    texts = ["alpha beta a@x.org b@x.org", "alpha beta a@x.org b@x.org", "beta gamma a@x.org b@x.org c@x.org", "gamma d@x.org", "beta", None]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").withColumn("copy", pii.F.xxhash64("text"))
+    found = pii._beside(docs.mapInArrow(pii._find, pii._FOUND)).collect()
+    assert sorted((r.n_e, r.n_te) for r in found) == sorted([(3, 2), (3, 3), (3, 1), (1, 1), (1, 1), (1, 1)])
+    assert len({r.entity for r in found}) == 3  # a and b stand in the same texts
+
+
 def test_benchmark_words(spark, edge, empty):
     texts = {r.doc_id: r.text for r in edge.collect()}
     letters = lambda t: re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", fold(t))
