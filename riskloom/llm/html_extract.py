@@ -1,8 +1,10 @@
 """Main text of web pages by consensus paths of their hosts.
 
 1. Tasks score the containers of each page: text outside menus and the like counts for the container
-   that holds it, half for the next one outwards, a quarter for the one after. The page votes for the
-   path of its best container: tags with classes and ids from the root on, digits made alike.
+   that holds it, half for the next one outwards, a quarter for the one after, and a twentieth less
+   with every further step. The best container is widened to the article or main around it, or else outwards as long as what
+   comes in is text rather than links. The page votes for the path of the result: tags with classes
+   and ids from the root on, digits made alike.
 2. Spark counts votes by host and path. Paths with at least MIN_SHARE of a host's votes win; so a
    host has ten at most, whatever its size.
 3. Every page is read again with the winning paths of its host, most votes first: the first one that
@@ -88,7 +90,7 @@ class PageText:
     """Containers and text blocks of one page."""
 
     def __init__(self, html: str):
-        self.paths, self.parents = [""], [-1]  # container 0 is the page
+        self.paths, self.parents, self.tags = [""], [-1], [""]  # container 0 is the page
         self.blocks: list[tuple[int, str, int]] = []  # container, text, characters in links
         self._open: list[tuple[str, int, bool]] = []  # tag, container, not article text
         self._text: list[str] = []
@@ -152,6 +154,7 @@ class PageText:
             if not noise and tag in CONTAINER:
                 self.paths.append(f"{self.paths[container]}/{path}")
                 self.parents.append(container)
+                self.tags.append(tag)
                 container = len(self.paths) - 1
         self._open.append((tag, container, noise))
 
@@ -163,23 +166,44 @@ class PageText:
             self._flush()
 
     def scores(self) -> list[float]:
-        """Text that isn't links, by container: whole in its own, less in the two around it."""
-        out = [0.0] * len(self.paths)
+        """Text that isn't links, by container: whole in its own, less in those around it, at any depth."""
+        own, below, deep = ([0.0] * len(self.paths) for _ in range(3))
         for container, text, links in self.blocks:
-            points = float(len(text) - links)
-            for share in (1.0, 0.5, 0.25):
-                if container >= 0:
-                    out[container] += share * points
-                    container = self.parents[container]
+            own[container] += len(text) - links
+        for k in range(len(own) - 1, 0, -1):  # a container comes after the one around it
+            below[self.parents[k]] += own[k]
+            deep[self.parents[k]] += 0.25 * below[k] + 0.95 * deep[k]
+        out = [x + 0.5 * y + z for x, y, z in zip(own, below, deep, strict=True)]
         for k, path in enumerate(self.paths):
             last = re.split(r"[.#-]", path.rpartition("/")[2])
             out[k] *= 1.5 if not ARTICLE_WORDS.isdisjoint(x for x in last if x != "body" or "." in path) else 1.0
         return out
 
     def best(self) -> int:
-        """The container with the highest score, the outermost of equal ones."""
+        """The container with the highest score, the outermost of equal ones, widened to the whole article."""
         scores = self.scores()
-        return max(range(len(scores)), key=lambda k: (scores[k], -k))
+        return self._widened(max(range(len(scores)), key=lambda k: (scores[k], -k)))
+
+    def _widened(self, best: int) -> int:
+        """The nearest article or main around a container, or the outermost one that adds more text than links.
+
+        From an article it goes on to an article or main around that if that adds more text than links.
+        """
+        plain, links = [0] * len(self.paths), [0] * len(self.paths)
+        for container, text, linked in self.blocks:
+            plain[container] += len(text) - linked
+            links[container] += linked
+        for k in range(len(self.paths) - 1, 0, -1):
+            plain[self.parents[k]] += plain[k]
+            links[self.parents[k]] += links[k]
+        around = [best]
+        while self.parents[around[-1]] >= 0:
+            around.append(self.parents[around[-1]])
+        marked = [k for k in around if self.tags[k] in ("article", "main")]
+        for k in marked or around:
+            if k == (marked or around)[0] or plain[k] - plain[best] > links[k] - links[best]:
+                best = k
+        return best
 
     def text_of(self, chosen: set[int]) -> str:
         """The blocks inside the chosen containers, in page order."""

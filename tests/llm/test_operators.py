@@ -314,6 +314,25 @@ def test_articles(spark):
     assert html_extract.extract_articles(pages.where("FALSE")).count() == 0
 
 
+def test_whole_articles(spark):
+    long = lambda k, n=30: " ".join(f"word{k}x{j}" for j in range(n)) + "."
+    a, b, c, d = long(1, 120), long(2, 25), long(3, 15), long(4)
+    links = "".join(f"<a href=/{k}>Another page {k}</a> " for k in range(20))
+    menu = "<nav><a href=/>Home</a></nav>"
+    bodies = {
+        "title": (f"{menu}<article><h1>Title</h1><div class=content><p>{a}</p><p>{b}</p></div></article><footer>f</footer>", ["Title", a, b]),
+        "sections": (f"<article><h1>T</h1><section class=lead>{b}</section><section class=long>{a}</section><section class=end>{c}</section></article>", ["T", b, a, c]),
+        "main": (f"<main><h1>T</h1><article><div><div><p>{a}</div></div></article></main><div class=links>{links}</div>", ["T", a]),
+        "deep": ("<article>" + "".join(f"<div><div><div><div><p>{long(k)}</p></div></div></div></div>" for k in range(9)) + f"</article><div class=x>{d}{b}</div>", [long(k) for k in range(9)]),
+        "plain": (f"<div class=page><h1>T</h1><p>{c}</p><div class=story><p>{a}</p></div><div class=more><div>{d}</div></div></div><div class=links>{links}</div>", ["T", c, a, d]),
+    }
+    rows = [(k, f"http://{host}.org/{k}", f"<html><body>{body}</body></html>") for host, (body, _) in bodies.items() for k in range(3)]
+    rows += [(9, "http://ends.org/", "<div>" * 3000 + a)]
+    found = html_extract.extract_articles(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    want = [(k, f"http://{host}.org/{k}", "\n".join(x)) for host, (_, x) in bodies.items() for k in range(3)] + [(9, "http://ends.org/", a)]
+    assert sorted((r.page_id, r.url, r.text) for r in found) == sorted(want)
+
+
 def test_archives(spark, tmp_path):
     first = "WARC/1.1\r\n"
     texts = ["", first, f"\r\n{first}", f"a\r\n\r\n{first}\r\n{first}", "x\r\n\r\nWARC/1.1", "\r\n\r\n", "é" * 5000, "é" * 5000, f"ab\r\n\r\n{first}" * 300, "\U0001f600z" * 3000, None]
