@@ -15,6 +15,7 @@ from riskloom.sources.scratch import save_scratch
 
 MIN_TEXTS = 10  # a line in fewer texts of its host always stays
 HOST_PERCENT = 10  # and so does one in less than this share of the host's texts
+MANY_TEXTS = 1_000  # in the pipeline, a line in so many texts goes whatever the share
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 MAX_REMOVED_PERCENT = 50
@@ -84,22 +85,26 @@ def host_lines(docs: DataFrame) -> DataFrame:
     return save_scratch(rows.select("host", "copy", "at", F.xxhash64("line").alias("hash"), words.alias("words")).distinct(), "lines")
 
 
-def frequent_lines(lines: DataFrame, min_texts: int = MIN_TEXTS, percent: int = HOST_PERCENT) -> DataFrame:
-    """(host, hash) of the lines in too many different texts of their host."""
+def frequent_lines(lines: DataFrame, min_texts: int = MIN_TEXTS, percent: int = HOST_PERCENT, many: int | None = None) -> DataFrame:
+    """(host, hash) of the lines in too many different texts of their host: by share, or ``many`` at least."""
     per_line = lines.groupBy("host", "hash").agg(F.count_distinct("copy").alias("texts")).where(F.col("texts") >= min_texts)
     per_host = lines.groupBy("host").agg(F.count_distinct("copy").alias("all_texts"))
-    return per_line.join(per_host, "host").where(100 * F.col("texts") >= percent * F.col("all_texts")).select("host", "hash")
+    frequent = 100 * F.col("texts") >= percent * F.col("all_texts")
+    if many is not None:
+        frequent = frequent | (F.col("texts") >= many)
+    return per_line.join(per_host, "host").where(frequent).select("host", "hash")
 
 
-def quality_verdicts(docs: DataFrame) -> DataFrame:
+def quality_verdicts(docs: DataFrame, many: int | None = None) -> DataFrame:
     """Measures and verdict for every document row, and the hashes of the lines to remove.
 
     ``docs`` has text and source; all its columns are kept, so none may be named like a new one:
     n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, removed_words,
-    removed_lines, kept. Repeated rows are each judged. An empty table gives no rows.
+    removed_lines, kept. Repeated rows are each judged. An empty table gives no rows. ``many``: as in
+    ``frequent_lines``.
     """
     lines = host_lines(docs)
-    hits = lines.join(frequent_lines(lines), ["host", "hash"]).groupBy("host", "copy")
+    hits = lines.join(frequent_lines(lines, many=many), ["host", "hash"]).groupBy("host", "copy")
     hits = hits.agg(F.sum("words").cast("bigint").alias("removed_words"), F.collect_set("hash").alias("removed_lines"))
     judged = base_measures(docs).withColumns({"host": F.coalesce("source", F.lit("")), "copy": F.xxhash64("text")})
     judged = judged.join(hits, ["host", "copy"], "left").drop("host", "copy")
@@ -114,13 +119,13 @@ def clean_text(text: Column, removed: Column) -> Column:
     return F.when(removed.isNull(), text).otherwise(F.array_join(stays, "\n"))
 
 
-def keep_quality(docs: DataFrame) -> DataFrame:
+def keep_quality(docs: DataFrame, many: int | None = MANY_TEXTS) -> DataFrame:
     """Documents that pass, without their host's frequent lines; all columns, n_chars follows the text.
 
     Other columns may have any names: the verdict travels with hashes of text and source only.
     """
     key = [F.coalesce("source", F.lit("")).alias("host"), F.xxhash64("text").alias("copy")]
-    verdicts = quality_verdicts(docs.select("source", "text")).where("kept").select(*key, "removed_lines").dropDuplicates(["host", "copy"])
+    verdicts = quality_verdicts(docs.select("source", "text"), many).where("kept").select(*key, "removed_lines").dropDuplicates(["host", "copy"])
     right = verdicts.select(F.struct("host", "copy").alias("quality_key"), "removed_lines")
     joined = docs.join(right, F.struct(*key) == F.col("quality_key"))
     text = clean_text(docs["text"], right["removed_lines"])

@@ -372,6 +372,17 @@ def test_frequent_lines_go(spark):
     assert set(kept) == {*range(30), 41} and not any("menu" in kept[k] for k in range(30)) and "menu" in kept[41]
 
 
+def test_a_line_in_many_texts_goes_from_a_large_host(spark):
+    body = lambda k, n=70: " ".join(f"w{k}x{j}" for j in range(n))
+    footer = " ".join(f"Right{j}" for j in range(60))
+    rows = [(k, f"{footer}\n{body(k)}" if k < 25 else f"Seen {k % 30}\n{body(k)}", "s") for k in range(400)]
+    rows += [(400, f"{body(400, 20)}\n{footer.upper()}", "s")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    kept = {r.doc_id: r.text for r in quality_lines.keep_quality(docs, many=20).collect()}
+    assert kept == {k: body(k) if k < 25 else t for k, t, _ in rows if k < 400}
+    assert 400 in {r.doc_id for r in quality_lines.quality_verdicts(docs).where("kept").collect()}  # the share alone, as in SQL
+
+
 def test_pipeline(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     columns, before = docs.columns, docs.count()
