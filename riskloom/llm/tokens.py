@@ -1,7 +1,7 @@
 """Token ids of many texts by a public tokenizer file, through a per-process memory of words.
 
-For tokenizers that drop white space and never merge across it: a text's ids are the ids of its
-words, one after another. So each distinct word is encoded once and the rest is look-ups. The
+For tokenizers that drop white space and never merge across it, and whose special strings hold none
+(they get their own ids, also inside a word): a text's ids are the ids of its words, one after another. So each distinct word is encoded once and the rest is look-ups. The
 memory is emptied when it holds MEMO_WORDS words; that costs time only.
 """
 
@@ -26,7 +26,6 @@ class WordMemo:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         self._clear()
 
     def _clear(self) -> None:

@@ -154,6 +154,23 @@ def test_pieces_hold_every_id_once(edge, empty):
     assert set(pieces) == set(ids) and packing.pack(empty).count() == 0
 
 
+def test_special_strings_get_their_own_ids(spark):
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(tokens.tokenizer_path())
+    special = ["<|endoftext|>", "<|startoftext|>"]
+    texts = ["hello <|endoftext|> world a<|startoftext|>b", "".join(special), " ".join(special * 3), "<|endoftext|>é<|EndOfText|> <|endof text|>", "a\n<|endoftext|>\tb <|startoftext|", "x" * 50 + special[0]]
+    want = [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    assert {49406, 49407} <= set(want[0])
+    data = "".join(texts).encode()
+    offsets = np.cumsum([0, *(len(t.encode()) for t in texts)])
+    ids, first = tokens.word_memo(tokens.tokenizer_path()).encode(np.frombuffer(data, np.uint8), offsets)
+    assert [ids[a:b].tolist() for a, b in zip(first, first[1:])] == want
+    docs = spark.createDataFrame([(k, t, "en", "s") for k, t in enumerate(texts)], "doc_id long, text string, lang string, source string")
+    assert {r.doc_id: r.doc_tokens for r in packing.pack(docs).collect()} == {k: len(x) + 1 for k, x in enumerate(want)}
+    assert {r.doc_id: r.tokens for r in token_rollup.token_counts(docs).collect() if r.tokenizer == "word_bpe_49k"} == {k: len(x) for k, x in enumerate(want)}
+
+
 def test_differencing_is_near_equal():
     rng = random.Random(1)
     sizes = [rng.randrange(1, 500) for _ in range(400)]
