@@ -9,10 +9,12 @@ from pyspark.sql import functions as F
 
 from riskloom.llm.chat import format_turns, read_back
 from riskloom.llm.decontaminate import benchmark_matches, contaminated
+from riskloom.llm.exact_dedup import exact_duplicates
 from riskloom.llm.html_extract import extract_articles
 from riskloom.llm.near_dedup import near_duplicates
 from riskloom.llm.packing import pack
 from riskloom.llm.pii import KINDS, personal_spans
+from riskloom.llm.prefix_trie import prefix_trie, turn_ids
 from riskloom.llm.quality_lines import quality_verdicts
 from riskloom.llm.substring_dedup import remove_repeats
 from riskloom.llm.token_rollup import RollupStore, token_counts
@@ -119,7 +121,39 @@ def op10_line_frequency(spark: SparkSession, sf: str) -> DataFrame:
     return judged.drop("source", "text", "removed_lines")
 
 
-QUERIES = {f.__name__: f for f in (op1_chat_format, op2_near_duplicates, op3_packed_windows, op4_token_rollup, op5_disclosure_spans, op6_suffix_decontamination, op7_article_text, op8_repeated_windows, op9_warc_chunks, op10_line_frequency)}
+#: A conversation begins like the first of its CLAN; how many of those turns it repeats is below BORROWED.
+CLAN, BORROWED = 20, 4
+
+
+def rebuilt_turns(ids: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Turn ids of the rebuilt conversations, and all conv_ids, those that are left without turns too.
+
+    Each conversation c begins with the first h turns of conversation c - c % 20, as far as there are
+    any, and goes on with its own after the first h; h = crc32(c) % 4.
+    """
+    base = F.col("conv_id") - F.col("conv_id") % CLAN
+    borrowed = F.crc32(F.col("conv_id").cast("string")) % BORROWED
+    convs = ids.select("conv_id").distinct()
+    heads = ids.where((F.col("conv_id") % CLAN == 0) & (F.col("pos") < BORROWED)).withColumnRenamed("conv_id", "base")
+    begun = convs.select("conv_id", base.alias("base"), borrowed.alias("h")).join(heads, "base").where("pos <= h").select("conv_id", "pos", "turn_id")
+    there = heads.groupBy("base").agg(F.max("pos").alias("there"))
+    own = ids.withColumns({"base": base, "h": borrowed}).where("pos > h").join(there, "base", "left")
+    shift = F.least(F.col("h"), F.coalesce("there", F.lit(0).cast("bigint"))) - F.col("h")
+    return begun.unionAll(own.select("conv_id", (F.col("pos") + shift).alias("pos"), "turn_id")), convs
+
+
+def op11_prefix_trie(spark: SparkSession, sf: str) -> DataFrame:
+    """The trie of all conversations, which are rebuilt to share beginnings."""
+    ids = save_scratch(turn_ids(table(spark, sf, "conversations").select("conv_id", "turn", "role", "text")), "turn-ids")
+    return prefix_trie(*rebuilt_turns(ids))
+
+
+def op12_exact_duplicates(spark: SparkSession, sf: str) -> DataFrame:
+    """The group of every document among texts that are equal but for white space runs."""
+    return exact_duplicates(table(spark, sf, "documents").select("doc_id", "text")).select("doc_id", "keep_id", "group_size", "kept", F.col("sha256").alias("text_sha256"))
+
+
+QUERIES = {f.__name__: f for f in (op1_chat_format, op2_near_duplicates, op3_packed_windows, op4_token_rollup, op5_disclosure_spans, op6_suffix_decontamination, op7_article_text, op8_repeated_windows, op9_warc_chunks, op10_line_frequency, op11_prefix_trie, op12_exact_duplicates)}
 
 OP10_SQL = r"""
 WITH d AS (
