@@ -6,8 +6,10 @@ per key is one small row for each range that the key touches.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import hashlib
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -54,3 +56,31 @@ def before_or_after(rows: DataFrame, key: str, step: str, columns: dict[str, Col
     kept = [c for c in rows.columns if c not in columns]
     both = rows.join(whole, [key, "group"])
     return both.select(*[c for c in kept if c != "group"], *columns, *[c.over(near).alias(f"{name}_near") for name, c in columns.items()], *[f"{name}_far" for name in columns])
+
+
+def joined_sha256(rows: DataFrame, key: Sequence[str], order: Sequence[str], value: str, separator: str, name: str) -> DataFrame:
+    """key and hex SHA-256 of each key's values, in order, joined by the separator.
+
+    Values stream through the digest: a key meets in one task, but is never held.
+    """
+    dealt = rows.select(*key, *order, value).repartition(*key).sortWithinPartitions(*key, *order).select(*key, value)
+    kinds = dealt.select(*key).schema
+    mark = separator.encode()
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own, sha, schema = None, None, None
+        for batch in batches:
+            schema = pa.schema([*[batch.schema.field(c) for c in key], pa.field(name, pa.string())])
+            out: list[tuple] = []
+            for now, text in zip(zip(*[batch.column(c).to_pylist() for c in key], strict=True), batch.column(value).to_pylist(), strict=True):
+                if now == own:
+                    sha.update(mark + text.encode())
+                    continue
+                if sha is not None:
+                    out.append((*own, sha.hexdigest()))
+                own, sha = now, hashlib.sha256(text.encode())
+            yield pa.RecordBatch.from_pylist([dict(zip(schema.names, r, strict=True)) for r in out], schema)
+        if sha is not None:
+            yield pa.RecordBatch.from_pylist([dict(zip(schema.names, (*own, sha.hexdigest()), strict=True))], schema)
+
+    return dealt.mapInArrow(work, kinds.add(name, "string"))

@@ -24,7 +24,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.llm.ordered import before_or_after, in_order, positions
+from riskloom.llm.ordered import before_or_after, in_order, joined_sha256, positions
 from riskloom.sources.scratch import save_scratch
 
 WIDTH = 8
@@ -97,28 +97,6 @@ def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([*[batch.column(c).take(first) for c in (*_NODE, "conv_id")], pc.binary_join(ids, ",")], [*_NODE, "first", "piece"])
 
 
-def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """SHA-256 of the pieces of each node, which follow each other."""
-    node, sha = None, None
-    for batch in batches:
-        out: list[tuple] = []
-        for key, piece in zip(zip(*[batch.column(c).to_pylist() for c in _NODE], strict=True), batch.column("piece").to_pylist(), strict=True):
-            if key != node:
-                if sha is not None:
-                    out.append((*node, sha.hexdigest()))
-                node, sha = key, hashlib.sha256(piece.encode())
-            else:
-                sha.update(b"," + piece.encode())
-        yield _digest_batch(out)
-    if sha is not None:
-        yield _digest_batch([(*node, sha.hexdigest())])
-
-
-def _digest_batch(rows: list[tuple]) -> pa.RecordBatch:
-    columns = list(zip(*rows, strict=True)) or [(), (), (), ()]
-    return pa.RecordBatch.from_arrays([*[pa.array(c, pa.int64()) for c in columns[:3]], pa.array(columns[3], pa.string())], [*_NODE, "ends_sha256"])
-
-
 def _ends(ids: DataFrame, conversations: DataFrame) -> DataFrame:
     """Digest of the conversations that end in each node.
 
@@ -130,7 +108,7 @@ def _ends(ids: DataFrame, conversations: DataFrame) -> DataFrame:
     paths = conversations.join(paths, "conv_id", "left").fillna(0, _NODE)
     pieces = paths.repartitionByRange("conv_id").sortWithinPartitions(*_NODE, "conv_id")
     pieces = save_scratch(pieces.select(*_NODE, "conv_id").mapInArrow(_pieces, f"{_NODE_DDL}, first bigint, piece string"), "pieces")
-    return pieces.repartition(*_NODE).sortWithinPartitions(*_NODE, "first").mapInArrow(_digests, f"{_NODE_DDL}, ends_sha256 string")
+    return joined_sha256(pieces, _NODE, ["first"], "piece", ",", "ends_sha256")
 
 
 def _subtree_sums(blocks: DataFrame, nodes: DataFrame) -> DataFrame:

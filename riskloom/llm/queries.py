@@ -8,10 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom.llm.chat import format_turns, read_back
+from riskloom.llm.conversation_repair import repair
 from riskloom.llm.decontaminate import benchmark_matches, contaminated
 from riskloom.llm.exact_dedup import exact_duplicates
 from riskloom.llm.html_extract import extract_articles
 from riskloom.llm.near_dedup import near_duplicates
+from riskloom.llm.ordered import joined_sha256
 from riskloom.llm.packing import pack
 from riskloom.llm.pii import KINDS, personal_spans
 from riskloom.llm.prefix_trie import prefix_trie, turn_ids
@@ -153,7 +155,30 @@ def op12_exact_duplicates(spark: SparkSession, sf: str) -> DataFrame:
     return exact_duplicates(table(spark, sf, "documents").select("doc_id", "text")).select("doc_id", "keep_id", "group_size", "kept", F.col("sha256").alias("text_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op1_chat_format, op2_near_duplicates, op3_packed_windows, op4_token_rollup, op5_disclosure_spans, op6_suffix_decontamination, op7_article_text, op8_repeated_windows, op9_warc_chunks, op10_line_frequency, op11_prefix_trie, op12_exact_duplicates)}
+def damaged_turns(turns: DataFrame) -> DataFrame:
+    """Turns with faults, dealt by crc32 of conv_id:turn; nulls count as one space."""
+    told = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(" "))
+    fate = F.crc32(F.concat(told("conv_id"), F.lit(":"), told("turn"))) % 20
+    rows = turns.select("conv_id", "turn", told("role").alias("role"), told("text").alias("text"), fate.alias("fate")).where("fate <> 0")
+    text = F.when(F.col("fate") == 1, "").when(F.col("fate") == 2, F.regexp_replace("text", "[.!?]", "")).otherwise(F.col("text"))
+    copies = F.explode(F.array_repeat(F.lit(0), F.when(F.col("fate") == 3, 2).otherwise(1)))
+    return rows.select("conv_id", "turn", F.when(F.col("fate") == 4, "user").otherwise(F.col("role")).alias("role"), text.alias("text"), copies.alias("copy")).drop("copy")
+
+
+def op13_conversation_repair(spark: SparkSession, sf: str) -> DataFrame:
+    """Faults and cheapest repair of every conversation, after damage."""
+    turns = table(spark, sf, "conversations").select("conv_id", "turn", "role", "text")
+    repaired = repair(damaged_turns(turns))
+    said = repaired.turns.withColumn("said", F.concat("role", F.lit(":"), "text"))
+    digests = joined_sha256(said, ["conv_id"], ["pos", "k"], "said", "\n", "repaired_sha256")
+    whole = save_scratch(repaired.audits.join(digests, "conv_id", "left"), "repaired")
+    convs = turns.select("conv_id").distinct().select("conv_id", F.coalesce(F.col("conv_id").cast("string"), F.lit("")).alias("conv"))
+    out = convs.join(whole.withColumnRenamed("conv_id", "conv"), "conv", "left")
+    numbers = [F.coalesce(c, F.lit(0)).cast("bigint").alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
+    return out.select("conv_id", *numbers, F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"))
+
+
+QUERIES = {f.__name__: f for f in (op1_chat_format, op2_near_duplicates, op3_packed_windows, op4_token_rollup, op5_disclosure_spans, op6_suffix_decontamination, op7_article_text, op8_repeated_windows, op9_warc_chunks, op10_line_frequency, op11_prefix_trie, op12_exact_duplicates, op13_conversation_repair)}
 
 OP10_SQL = r"""
 WITH d AS (
