@@ -220,7 +220,7 @@ def _least(*more: str):
 
 def _led(rows: DataFrame, *key: str) -> DataFrame:
     """Rows of the groups that hold more than one, with the number of slices and whether they lead."""
-    groups = rows.groupBy(*_PRINT).agg(_least(*key).alias("lead"), F.count("*").alias("size")).where("size > 1")
+    groups = save_scratch(rows.groupBy(*_PRINT).agg(_least(*key).alias("lead"), F.count("*").alias("size")).where("size > 1"), "groups")
     leads = reduce(and_, [F.col(c).eqNullSafe(F.col(f"lead.{c}")) for c in ("doc_id", *key)])
     return rows.join(groups, _PRINT).select(*rows.columns, F.ceil(F.col("size") / SLICE).alias("slices"), leads.alias("leads"))
 
@@ -230,7 +230,8 @@ def _candidates(docs: DataFrame, prints: DataFrame, chunk: int) -> DataFrame:
     some = _led(prints.select("doc_id", "copy", *_PRINT), "copy").distinct()
     own = some.select(F.struct("doc_id", "copy").alias("key"), *_PRINT, "slices", "leads")  # in a struct, a null doc_id meets its own
     texts = docs.select(F.struct(F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64("text").alias("copy")).alias("key"), "text")
-    texts = texts.join(save_scratch(own, "some"), "key").select(F.monotonically_increasing_id().alias("row"), "key.*", *_PRINT, "slices", "leads", "text")
+    # they meet by shuffle at every size: what a broadcast would hold grows with the data
+    texts = texts.join(save_scratch(own, "some").hint("merge"), "key").select(F.monotonically_increasing_id().alias("row"), "key.*", *_PRINT, "slices", "leads", "text")
     return save_scratch(texts.mapInArrow(_chunks(chunk), _CHUNKS), "chunks")
 
 
@@ -275,7 +276,7 @@ def exact_duplicates(docs: DataFrame, chunk: int = CHUNK, primes: tuple[int, int
         rows = prints.withColumn("identity", identity).join(last, "identity", "left").drop("identity").fillna(0, "class")
     key = [*_PRINT, "class"]
     groups = rows.groupBy(*key).agg(_least("row").alias("keep"), F.count("*").alias("group_size")).where("group_size > 1")
-    out = rows.join(groups, key, "left")
+    out = rows.join(save_scratch(groups, "groups"), key, "left")  # written, so that a hot group's side can be split
     return out.select(
         "doc_id",
         "copy",
