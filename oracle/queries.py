@@ -400,6 +400,51 @@ def _all_parts(where: str) -> str:
     )
 
 
+TEST = "target IS NOT NULL AND YEAR_MONTH > 200006"
+
+
+def _verdicts() -> str:
+    """Per geo, from the scores and drivers of SQL; whether a geo's inputs are empty somewhere decides T409."""
+    zero = {"T403": "count(*) FILTER (WHERE risk_score NOT BETWEEN 0 AND 1)", "T404": "0", "T415": "count(*) FILTER (WHERE risk_bucket = 'RED' AND top_risk_drivers IS NULL)"}
+    named = " UNION ALL ".join(f"SELECT geo, '{t}' AS test_id, '0' AS expected, {s(x)} AS observed FROM er GROUP BY 1" for t, x in zero.items())
+    lists = " + ".join(f"count(*) FILTER (WHERE {c} IS NULL AND '{c}' IN (SELECT feature FROM selected x WHERE x.geo = mf.GEO))" for c in COLUMNS)
+    blanks = f"SELECT GEO AS geo, {lists} AS blanks FROM mf WHERE YEAR_MONTH = {MONTH} GROUP BY 1"
+    return f"""SELECT geo, test_id, expected, observed, CASE WHEN starts_with(expected, 'INFO') THEN 'INFO' WHEN expected = observed
+          OR test_id = 'T413' THEN 'PASS' ELSE 'FAIL' END AS status FROM (
+        SELECT GEO AS geo, 'T401' AS test_id, {s('count(*)')} AS expected, {s('count(*)')} AS observed FROM mf WHERE YEAR_MONTH = {MONTH} GROUP BY 1
+        UNION ALL {named}
+        UNION ALL SELECT g.geo, t.test_id, '0', {s("count(d.geo)")} FROM {GEO_LIST} CROSS JOIN (VALUES ('T407'), ('T408'), ('T411')) t(test_id)
+          LEFT JOIN drivers d ON d.geo = g.geo AND YEAR_MONTH = {MONTH} AND ((t.test_id = 'T407' AND contribution <= 0)
+          OR (t.test_id = 'T408' AND (d.geo, d.feature) NOT IN (SELECT (geo, feature) FROM selected))
+          OR (t.test_id = 'T411' AND d.geo = 'AFR' AND starts_with(d.feature, 'TOTAL_'))) GROUP BY 1, 2
+        UNION ALL SELECT b.geo, 'T409', CASE WHEN blanks > 0 THEN 'INFO: inputs are empty in the data' ELSE '0' END,
+          {s(f"(SELECT count(*) FROM drivers d WHERE d.geo = b.geo AND YEAR_MONTH = {MONTH} AND feature_value IS NULL)")} FROM ({blanks}) b
+        UNION ALL SELECT geo, 'T412', '4', {s("(SELECT count(DISTINCT feature) FROM drivers)")} FROM {GEO_LIST}
+        UNION ALL SELECT g.geo, 'T413', concat('1 - ', count(*)), {s("(SELECT count(DISTINCT feature) FROM drivers)")} FROM {GEO_LIST}
+          JOIN selected x ON x.geo = g.geo GROUP BY 1
+        UNION ALL SELECT geo, 'T414', 'renewed', CASE WHEN 0 < amber_threshold AND amber_threshold < red_threshold AND red_threshold < 1
+          THEN 'renewed' ELSE 'missing' END FROM thr)"""
+
+
+def _model_run() -> str:
+    rows = f"(SELECT GEO AS geo, count(*) AS n FROM mf WHERE YEAR_MONTH = {MONTH} GROUP BY 1)"
+    total, sizes = s("(SELECT sum(n) FROM " + rows + ")"), f"(SELECT concat(count(*), ' geos, min ', min(n), ', max ', max(n)) FROM {rows})"
+    models = "(SELECT string_agg(concat('btree_', lower(geo), ':', n), ', ' ORDER BY geo) FROM (SELECT geo, count(*) AS n FROM selected GROUP BY 1))"
+    geos = s(f"(SELECT count(*) FROM {rows})")
+    none = {
+        "T403": "scores missing or outside 0..1", "T404": "buckets that contradict the cut-offs", "T407": "drivers that do not raise the risk",
+        "T408": "drivers outside the geo''s feature list", "T411": "telemetry drivers in AFR", "T415": "RED employees without a driver",
+        "T417": "versions of this month that no release refers to",
+    }
+    return judged(
+        check("T401", "employees scored", total, total),
+        check("T402", "geos, smallest and largest", sizes, sizes),
+        check("T412", "inputs per production model", models, models),
+        check("T413", "geos with overall drivers", geos, geos),
+        *[check(t, name, "'0'", "'0'") for t, name in none.items()],
+    )
+
+
 def _fairness() -> str:
     flag = "risk_bucket IN ('RED', 'AMBER')"
     return f"""SELECT geo, MKT_SEGMENT, employees, round(red, 4) AS red_share, round(flagged, 4) AS flagged_share, round(event_rate, 4) AS event_rate,
@@ -531,6 +576,9 @@ BODIES = {
     "monthly_feed": f"""SELECT s.*, feed_rows FROM ({SUMMARY}) s LEFT JOIN (SELECT geo, count(*) AS feed_rows FROM er
         WHERE risk_bucket IN ('RED', 'AMBER') GROUP BY 1) f ON f.geo = s.geo""",
     "run_log": f"SELECT geo, {MONTH}::BIGINT AS YEAR_MONTH, 'DONE' AS status, count(*) AS n_scored FROM er GROUP BY 1",
+    "release_per_geo": f"""SELECT geo, CASE WHEN geo = 'EUR' THEN 'CHECKS_FAILED' ELSE 'DONE' END AS status, count(*) AS n_rows,
+        count(*) FILTER (WHERE geo = 'EUR') AS n_earlier, round(avg(risk_score), 6) AS mean_score FROM er GROUP BY 1""",
+    "run_verdicts": _verdicts(),
     **dict.fromkeys(
         ["gbt_additivity", "logreg_additivity"],
         """SELECT GEO AS geo, count(*) AS n_rows, 0::BIGINT AS n_off FROM mf WHERE target IS NOT NULL AND YEAR_MONTH > 200006 GROUP BY 1""",
@@ -540,6 +588,27 @@ BODIES = {
     "gbt_inputs": """SELECT f.geo, concat('btree_', lower(f.geo)) AS model, feature, n_train, n_eval FROM selected f JOIN
         (SELECT GEO AS geo, count(*) FILTER (WHERE YEAR_MONTH <= 199912) AS n_train, count(*) FILTER (WHERE YEAR_MONTH > 199912) AS n_eval
          FROM fs WHERE target IS NOT NULL AND YEAR_MONTH <= 200006 GROUP BY 1) n ON n.geo = f.geo""",
+    **dict.fromkeys(["gbt_scores", "logreg_scores"], f"SELECT GEO AS geo, EMP_ID, YEAR_MONTH, target, true AS valid FROM mf WHERE {TEST}"),
+    **dict.fromkeys(
+        ["gbt_attributions", "logreg_attributions"],
+        f"""SELECT GEO AS geo, EMP_ID, YEAR_MONTH, true AS ordered, true AS raising, true AS real_values FROM mf WHERE YEAR_MONTH = {MONTH}""",
+    ),
+    "gbt_geo_drivers": "SELECT geo, feature, true AS agrees FROM selected WHERE geo IN (SELECT GEO FROM mf)",
+    "training_curve": """SELECT GEO AS geo, count(*) AS n_train, true AS complete, true AS falls, true AS agrees FROM mf
+        WHERE target IS NOT NULL AND YEAR_MONTH <= 199912 GROUP BY 1""",
+    "linear_weights": "SELECT geo, feature, true AS at_optimum FROM selected",
+    "explain_weights": "SELECT geo, least(15, count(*)) AS n_shown, true AS heaviest FROM selected GROUP BY 1",
+    "odd_inputs": f"""SELECT model_family, GEO AS geo, count(*) AS n_rows, 0::BIGINT AS n_apart FROM mf, (VALUES ('btree'), ('logreg')) m(model_family)
+        WHERE {TEST} GROUP BY 1, 2""",
+    "model_backtest": f"""SELECT GEO AS geo, model_family, count(*) AS n_rows, true AS agrees FROM mf, (VALUES ('btree'), ('logreg')) m(model_family)
+        WHERE {TEST} GROUP BY 1, 2""",
+    "model_capture": f"""SELECT GEO AS geo, count(*) AS employees, sum(target)::BIGINT AS actual_events, true AS agrees FROM mf WHERE {TEST}
+        GROUP BY 1""",
+    "model_monthly_run": _model_run(),
+    "pooled_model": f"SELECT DISTINCT GEO AS geo, 'pooled' AS model_family, true AS valid FROM mf WHERE {TEST}",
+    "hyper_search": """SELECT DISTINCT GEO AS geo, concat('{"depth": ', d, ', "rounds": ', r, ', "step": ', s, '}') AS params, true AS agrees
+        FROM mf, (VALUES ('3'), ('5')) a(d), (VALUES ('5'), ('10'), ('20')) b(r), (VALUES ('0.05'), ('0.1')) c(s)
+        WHERE target IS NOT NULL AND YEAR_MONTH BETWEEN 200001 AND 200006""",
 }
 
 ORACLE = {name: sql(body) for name, body in BODIES.items()}

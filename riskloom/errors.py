@@ -7,3 +7,7 @@ class ConfigError(ValueError):
 
 class TrainingError(RuntimeError):
     """A geo could not be fitted."""
+
+
+class QualityError(ValueError):
+    """The data of a month can't be used."""

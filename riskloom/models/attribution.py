@@ -10,12 +10,10 @@ bin of a feature into its bit of the table's index.
 from __future__ import annotations
 
 import sys
-from collections.abc import Callable, Iterator
 from functools import lru_cache
 from math import factorial
 
 import numpy as np
-import pandas as pd
 from pyspark import cloudpickle
 
 # The kernel travels inside the task, so executors need no copy of this package.
@@ -24,10 +22,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 def contributions(explainer: dict, x: np.ndarray) -> np.ndarray:
     """Contribution of each feature (rows x features) to the log-odds of class 1."""
-    cuts, leaves = explainer["cuts"], explainer["leaves"]
-    bins = {}
-    for f in {f for features, _, _ in leaves for f in features}:
-        bins[f] = np.searchsorted(cuts[f], x[:, f]) if f in cuts else x[:, f].astype(np.int64)
+    leaves, bins = explainer["leaves"], bins_of(explainer, x).T
     out = np.zeros((explainer["n_features"], len(x)))
     for features, bits, table in leaves:
         passed = bits[0].take(bins[features[0]])
@@ -38,42 +33,33 @@ def contributions(explainer: dict, x: np.ndarray) -> np.ndarray:
     return out.T
 
 
-def explain_batches(shared, keys: list[str], features: list[str], top_k: int | None) -> Callable:
-    """Function for ``mapInPandas``: vector ``x`` and raw values ``v`` in, strongest drivers out."""
+def bins_of(explainer: dict, x: np.ndarray) -> np.ndarray:
+    """Bin of each tested feature (rows x features): where a number lies among the cuts, a category itself."""
+    out = np.zeros(x.shape, np.int64)
+    for f in explainer["tested"]:
+        out[:, f] = np.searchsorted(explainer["cuts"][f], x[:, f]) if f in explainer["cuts"] else x[:, f]
+    return out
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        names = np.array(features, dtype=object)
-        for batch in batches:
-            if batch.empty:
-                continue
-            parts = contributions(shared.value, np.stack(batch["x"].to_numpy()))
-            order = np.argsort(-np.abs(parts), axis=1, kind="stable")[:, :top_k]
-            values = np.stack(batch["v"].to_numpy())
-            yield pd.DataFrame(
-                {
-                    **{c: batch[c] for c in keys},
-                    "feature": list(names[order]),
-                    "feature_value": list(np.take_along_axis(values, order, axis=1)),
-                    "contribution": list(np.take_along_axis(parts, order, axis=1)),
-                }
-            )
-
-    return run
-
-
-def driver_sums(shared, features: list[str]) -> Callable:
-    """Function for ``mapInPandas``: vector ``x`` in, one row per batch and feature out."""
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            if batch.empty:
-                continue
-            parts = contributions(shared.value, np.stack(batch["x"].to_numpy()))
-            yield pd.DataFrame(
-                {"geo": batch["geo"].iloc[0], "feature": features, "total": np.abs(parts).sum(axis=0), "n": len(parts)}
-            )
 
-    return run
+def staged_margins(explainer: dict, x: np.ndarray, rounds: list[int]) -> np.ndarray:
+    """Log-odds after each of the numbers of rounds, which rise: rows x len(rounds).
+
+    All rows walk down one tree at a time; a leaf leads to itself.
+    """
+    walk, found = explainer["walk"], bins_of(explainer, x)
+    every, total, out = np.arange(len(x)), np.zeros(len(x)), []
+    wanted = iter(rounds)
+    upto = next(wanted)
+    for done, (root, depth) in enumerate(walk["roots"], 1):
+        node = np.full(len(x), root)
+        for _ in range(depth):
+            left = walk["goes"][walk["at"][node] + found[every, walk["feature"][node]]]
+            node = np.where(left, walk["left"][node], walk["right"][node])
+        total = total + walk["value"][node]
+        while upto is not None and (upto == done or done == len(walk["roots"])):
+            out.append(total)
+            upto = next(wanted, None)
+    return np.stack(out, 1)
 
 
 @lru_cache(maxsize=None)
@@ -126,6 +112,7 @@ def build_explainer(nodes: list[dict], tree_weights: list[float], n_features: in
             return np.arange(len(cuts[node["feature"]]) + 1) <= np.searchsorted(cuts[node["feature"]], node["split"][0])
         return np.isin(np.arange(sizes[node["feature"]]), node["split"])
 
+    walk = _walk(trees, tree_weights, goes_left, max([len(c) + 1 for c in cuts.values()] + [*sizes.values(), 1]))
     leaves: list[tuple] = []
     base = 0.0
     for tree, by_id in trees.items():
@@ -151,4 +138,30 @@ def build_explainer(nodes: list[dict], tree_weights: list[float], n_features: in
                         {**ratio, f: ratio.get(f, 1.0) * child["cover"] / node["cover"]},
                     )
                 )
-    return {"cuts": cuts, "leaves": leaves, "base": base, "n_features": n_features}
+    tested = sorted({*cuts, *sizes})
+    return {"cuts": cuts, "leaves": leaves, "base": base, "n_features": n_features, "walk": walk, "tested": tested, "rounds": len(trees)}
+
+
+def _walk(trees: dict[int, dict[int, dict]], weights: list[float], goes_left, widest: int) -> dict:
+    """All trees' nodes as arrays: tested feature, place of its bins in ``goes``, children, value."""
+    feature, at, left, right, value, goes, roots = [], [], [], [], [], [np.ones(widest + 1, bool)], []
+    size = widest + 1
+    for tree, by_id in sorted(trees.items()):
+        first, depths = len(feature), {0: 0}
+        place = {i: first + k for k, i in enumerate(sorted(by_id))}
+        for i in sorted(by_id):  # parents have smaller numbers than their children
+            node = by_id[i]
+            inner = node["left"] >= 0
+            feature.append(node["feature"] if inner else 0)
+            left.append(place[node["left"]] if inner else place[i])
+            right.append(place[node["right"]] if inner else place[i])
+            value.append(2.0 * weights[tree] * node["prediction"])
+            at.append(size if inner else 0)
+            if inner:
+                depths[node["left"]] = depths[node["right"]] = depths[i] + 1
+                table = goes_left(node)
+                goes.append(np.concatenate([table, np.zeros(1, bool)]))  # a category beyond the fitted ones goes right
+                size += len(table) + 1
+        roots.append((place[0], max(depths.values())))
+    arrays = {k: np.array(v) for k, v in (("feature", feature), ("at", at), ("left", left), ("right", right), ("value", value))}
+    return {**arrays, "goes": np.concatenate(goes), "roots": roots}

@@ -13,6 +13,7 @@ import time
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
+import numpy as np
 import pyarrow as pa
 from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml import PipelineModel
@@ -25,15 +26,15 @@ from pyspark.sql import functions as F
 
 from riskloom.errors import ConfigError, TrainingError
 from riskloom.functions.drivers import DRIVER_TYPE, raw_values, readable
-from riskloom.models.attribution import build_explainer, driver_sums, explain_batches
-from riskloom.models.prepare import GeoFacts, encoder, geo_facts, rows_of_geo, slots, training_rows
+from riskloom.models import kernel
+from riskloom.models.attribution import build_explainer
+from riskloom.models.prepare import HASH_BUCKETS, HASHED, GeoFacts, encoder, geo_facts, is_text, rows_of_geo, slots, training_rows
 from riskloom.operators.routing import route_to_geos
 from riskloom.operators.scorecard import (
     STAGE_COLUMNS,
     Scorecard,
     card_parts,
     linear_drivers,
-    linear_stage,
     score_with,
 )
 from riskloom.sources.scratch import local_table
@@ -57,6 +58,10 @@ class ScorecardFamily:
     def raise_errors(self) -> None:
         pass
 
+    def n_inputs(self, features: list[str]) -> int:
+        """Inputs that the model of a geo with these features has."""
+        return len(self.card.weights)
+
     def explain(self, rows: DataFrame, top_k: int | None = 10) -> DataFrame:
         return score_with(route_to_geos(rows, sorted(self.lists)), self.card, top_k)
 
@@ -89,6 +94,7 @@ class FittedFamily:
         self.facts: dict[str, GeoFacts] = {}
         self.errors: dict[str, str] = {}
         self.seconds: dict[str, float] = {}
+        self._read: dict[str, dict] = {}  # what the kernel knows of each geo's model
 
     def estimator(self, categories: int, has_eval: bool):
         raise NotImplementedError
@@ -96,6 +102,7 @@ class FittedFamily:
     def fit(self, history: DataFrame, lists: dict[str, list[str]]) -> None:
         """Fit every geo. A geo that cannot be fitted is named in ``errors``; the others go on."""
         self.lists = lists
+        self._read = {}
         self.facts = geo_facts(history, lists)
         spark = history.sparkSession
 
@@ -139,7 +146,8 @@ class FittedFamily:
             encoded.unpersist()
         fitted = PipelineModel(stages=[*coding.stages, model])
         fitted.write().overwrite().save(self.model_path(geo))
-        self.models[geo] = fitted
+        # what was stored is what is used; a training summary would drag the session into every task
+        self.models[geo] = PipelineModel.load(self.model_path(geo))
         self._save_state(rows.sparkSession, geo)
 
     def _fit_rows(self, encoded: DataFrame, categories: int, has_eval: bool, geo: str):
@@ -169,26 +177,109 @@ class FittedFamily:
     def load(self, spark: SparkSession, versions: dict[str, str]) -> None:
         """Take over fitted models: geo -> path they were fitted under. Replaces ``fit``."""
         self.paths = dict(versions)
+        self._read = {}
         for geo in versions:
             self.models[geo] = PipelineModel.load(self.model_path(geo))
             self._restore(geo, json.loads(spark.read.text(f"{self.model_path(geo)}_state").first()["value"]))
 
-    def score(self, rows: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
-        """Scores of every geo's rows; ``carry`` names features to keep."""
+    def n_inputs(self, features: list[str]) -> int:
+        return len(features)
+
+    def _arrays(self, spark: SparkSession, geo: str) -> dict:
+        """The fitted model as plain arrays, for the kernel."""
+        raise NotImplementedError
+
+    def book(self, rows: DataFrame) -> dict:
+        """All geos' models for the kernel; ``rows`` tells which inputs are texts."""
+        spark = rows.sparkSession
+        every = sorted({f for g in self.models for f in self.lists[g]})
+        texts = [f for f in every if is_text(rows, f)]
+        numbers = [f for f in every if f not in texts]
+        place = {f: k for k, f in enumerate(every)}
+        geos = {}
+        for geo in sorted(self.models):
+            if geo not in self._read:
+                self._read[geo] = self._arrays(spark, geo)
+            features = self.lists[geo]
+            fill = self.facts[geo].mean if self.one_hot else {f: low - 1.0 for f, low in self.facts[geo].low.items()}
+            labels = self.labels(geo)
+            geos[geo] = {
+                "features": features,
+                "names": np.array([place[f] for f in features], np.int64),
+                "inputs": [(f in texts, (texts if f in texts else numbers).index(f)) for f in features],
+                "fill": [fill.get(f) for f in features],
+                "labels": [labels.get(f) for f in features],
+                **self._read[geo],
+            }
+        return {"numbers": numbers, "texts": texts, "every": every, "geos": geos}
+
+    def labels(self, geo: str) -> dict[str, list[str] | int]:
+        """How each text input is coded: its labels in order, or the number of hash buckets."""
+        indexers = [s for s in self.models[geo].stages if isinstance(s, StringIndexerModel)]
+        found = {c: list(ls) for s in indexers for c, ls in zip(s.getInputCols(), s.labelsArray)}
+        hashed = self.facts[geo].hashed
+        return {c: ls for c, ls in found.items() if c.removesuffix(HASHED) not in hashed} | dict.fromkeys(hashed, HASH_BUCKETS)
+
+    def pipeline_scores(self, rows: DataFrame) -> DataFrame:
+        """Scores by the stored pipelines themselves, a scan per geo: what the kernel has to agree with."""
         parts = []
         for geo in sorted(self.models):
-            scored = self.models[geo].transform(self._rows(rows, geo))
-            parts.append(scored.withColumn("risk_score", vector_to_array("probability")[1]).select(*SCORE_COLUMNS, *carry))
+            own = rows_of_geo(rows, geo).select("geo", "EMP_ID", "YEAR_MONTH", "target", *self.lists[geo])
+            scored = self.models[geo].transform(own)
+            parts.append(scored.withColumn("risk_score", vector_to_array("probability")[1]).select(*SCORE_COLUMNS))
         return reduce(DataFrame.unionByName, parts)
 
+    def _routed(self, rows: DataFrame) -> DataFrame:
+        geos = sorted(self.models)
+        return route_to_geos(rows.filter(F.col("GEO").isNull() | F.col("GEO").isin(geos)), geos)
+
+    def score(self, rows: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
+        """Scores of all geos' rows, read and routed once; ``carry`` names features to keep."""
+        book = self.book(rows)
+        margin = kernel.scorer(rows.sparkSession.sparkContext.broadcast(book))
+        ready = self._routed(rows).select(*SCORE_COLUMNS[:4], *carry, *kernel.inputs_of(book))
+        odds = F.exp(-margin("geo", "n", "t"))
+        return ready.select(*SCORE_COLUMNS[:4], (F.lit(1.0) / (F.lit(1.0) + odds)).alias("risk_score"), *carry)
+
+    def explain(self, rows: DataFrame, top_k: int | None = 10) -> DataFrame:
+        """Score and strongest contributions with their values, from one batch of the kernel."""
+        book = self.book(rows)
+        explained = kernel.explainer(rows.sparkSession.sparkContext.broadcast(book), top_k)
+        routed = self._routed(rows)
+        ready = routed.select(*SCORE_COLUMNS[:4], *kernel.inputs_of(book), raw_values(routed, book["every"]).alias("v"))
+        out = ready.withColumn("m", explained("geo", "n", "t"))
+        names = F.lit(book["every"])
+        drivers = F.transform(
+            F.arrays_zip(F.col("m.place").alias("place"), F.col("m.contribution").alias("contribution")),
+            lambda d: F.struct(F.get(names, d["place"]).alias("feature"), F.get("v", d["place"]).alias("feature_value"), d["contribution"].alias("contribution")),
+        ).cast(DRIVER_TYPE)
+        return out.select(
+            *SCORE_COLUMNS[:4],
+            (F.lit(1.0) / (F.lit(1.0) + F.exp(-F.col("m.margin")))).alias("risk_score"),
+            readable(drivers, rows, book["every"]).alias("attributions"),
+            F.concat(F.lit(f"{self.prefix}_"), F.lower("geo")).alias("model_name"),
+        )
+
+    def drivers(self, rows: DataFrame) -> DataFrame:
+        """Mean absolute contribution per geo and feature, summed inside the tasks."""
+        book = self.book(rows)
+        shared = rows.sparkSession.sparkContext.broadcast(book)
+        ready = self._routed(rows).select("geo", *kernel.inputs_of(book))
+        sums = ready.mapInArrow(kernel.driver_sums(shared), "geo string, feature string, total double, n bigint")
+        return sums.groupBy("geo", "feature").agg((F.sum("total") / F.sum("n")).alias("attribution"))
+
+    def bases(self, spark: SparkSession) -> dict[str, float]:
+        """Log-odds per geo of a row whose inputs say nothing."""
+        return {geo: self._base(spark, geo) for geo in self.models}
+
+    def _base(self, spark: SparkSession, geo: str) -> float:
+        raise NotImplementedError
+
     def raise_errors(self) -> None:
         """Stop with the reasons if any geo could not be fitted."""
         if self.errors:
             raise TrainingError("; ".join(f"{g}: {m}" for g, m in sorted(self.errors.items())))
 
-    def _rows(self, rows: DataFrame, geo: str) -> DataFrame:
-        return rows_of_geo(rows, geo).select("geo", "EMP_ID", "YEAR_MONTH", "target", *self.lists[geo])
-
     def inputs(self) -> dict[str, list[str]]:
         return {f"{self.prefix}_{g.lower()}": sorted(set(s)) for g, s in self.slots.items()}
 
@@ -198,13 +289,12 @@ class TreeFamily(FittedFamily):
 
     prefix = "btree"
 
-    def __init__(self, path: str, rounds: int = 100, depth: int = 6, early_stop: bool = True, **kwargs):
+    def __init__(self, path: str, rounds: int = 100, depth: int = 6, early_stop: bool = True, step: float = 0.1, **kwargs):
         super().__init__(path, **kwargs)
         self.rounds = rounds
         self.depth = depth
         self.early_stop = early_stop
-        self.curves: dict[str, list[tuple[int, float, float | None]]] = {}
-        self.want_curves = False
+        self.step = step
 
     def estimator(self, categories: int, has_eval: bool) -> GBTClassifier:
         stopping = {"validationIndicatorCol": "is_eval", "validationTol": 0.005} if has_eval and self.early_stop else {}
@@ -213,7 +303,7 @@ class TreeFamily(FittedFamily):
             weightCol="class_weight",
             maxIter=self.rounds,
             maxDepth=self.depth,
-            stepSize=0.1,
+            stepSize=self.step,
             subsamplingRate=0.8,
             featureSubsetStrategy="0.8",
             maxBins=max(32, categories),
@@ -223,22 +313,10 @@ class TreeFamily(FittedFamily):
 
     def _fit_rows(self, encoded: DataFrame, categories: int, has_eval: bool, geo: str):
         rows = encoded if has_eval and self.early_stop else encoded.filter(~F.col("is_eval"))
-        model = self.estimator(categories, has_eval).fit(rows)
-        if self.want_curves:
-            train = model.evaluateEachIteration(encoded.filter(~F.col("is_eval")))
-            held = model.evaluateEachIteration(encoded.filter("is_eval")) if has_eval else [None] * len(train)
-            self.curves[geo] = [(i + 1, t, h) for i, (t, h) in enumerate(zip(train, held))]
-        return model
-
-    def training_curve(self, spark: SparkSession) -> DataFrame:
-        """Loss per round on training and validation rows; the time is known per fit only."""
-        flat = [(g, *point, self.seconds[g]) for g in sorted(self.curves) for point in self.curves[g]]
-        names = ["geo", "iteration", "train_loss", "eval_loss", "fit_seconds"]
-        kinds = [pa.string(), pa.int64(), pa.float64(), pa.float64(), pa.float64()]
-        return local_table(spark, {n: pa.array([r[i] for r in flat], k) for i, (n, k) in enumerate(zip(names, kinds))})
-
-    def explainer(self, spark: SparkSession, geo: str) -> dict:
-        """Read the saved trees. Their size is bounded by rounds x 2^(depth+1) nodes."""
+        return self.estimator(categories, has_eval).fit(rows)
+
+    def _nodes(self, spark: SparkSession, geo: str) -> list[dict]:
+        """The saved trees. Their size is bounded by rounds x 2^(depth+1) nodes."""
         stage = len(self.models[geo].stages) - 1
         trees = self.models[geo].stages[-1]
         folder = f"{self.model_path(geo)}/stages/{stage}_{trees.uid}/data"
@@ -253,57 +331,40 @@ class TreeFamily(FittedFamily):
             F.col("nodeData.split.leftCategoriesOrThreshold").alias("split"),
             F.col("nodeData.split.numCategories").alias("n_categories"),
         )
-        return build_explainer([r.asDict() for r in rows.collect()], list(trees.treeWeights), len(self.slots[geo]))
-
-    def bases(self, spark: SparkSession) -> dict[str, float]:
-        """Log-odds per geo without any knowledge of the row."""
-        return {geo: self.explainer(spark, geo)["base"] for geo in self.models}
-
-    def explain(self, rows: DataFrame, top_k: int | None = 10) -> DataFrame:
-        spark = rows.sparkSession
-        parts = []
-        for geo in sorted(self.models):
-            features = self.slots[geo]
-            own = self._rows(rows, geo)
-            scored = (
-                self.models[geo]
-                .transform(own)
-                .select(
-                    *SCORE_COLUMNS[:4],
-                    vector_to_array("probability")[1].alias("risk_score"),
-                    vector_to_array("features").alias("x"),
-                    raw_values(own, features).alias("v"),
-                )
-            )
-            shared = spark.sparkContext.broadcast(self.explainer(spark, geo))
-            out = scored.mapInPandas(
-                explain_batches(shared, SCORE_COLUMNS, features, top_k),
-                "geo string, EMP_ID string, YEAR_MONTH bigint, target bigint, risk_score double, "
-                "feature array<string>, feature_value array<string>, contribution array<double>",
-            )
-            drivers = F.arrays_zip("feature", "feature_value", "contribution").cast(DRIVER_TYPE)
-            parts.append(
-                out.select(
-                    *SCORE_COLUMNS,
-                    readable(drivers, own, features).alias("attributions"),
-                    F.lit(f"{self.prefix}_{geo.lower()}").alias("model_name"),
-                )
-            )
-        return reduce(DataFrame.unionByName, parts)
-
+        return [r.asDict() for r in rows.collect()]
 
-    def drivers(self, rows: DataFrame) -> DataFrame:
-        """Summed inside the tasks: a batch returns one row per feature, not one per employee."""
-        spark = rows.sparkSession
-        parts = []
-        for geo in sorted(self.models):
-            vectors = self.models[geo].transform(self._rows(rows, geo)).select("geo", vector_to_array("features").alias("x"))
-            shared = spark.sparkContext.broadcast(self.explainer(spark, geo))
-            parts.append(
-                vectors.mapInPandas(driver_sums(shared, self.slots[geo]), "geo string, feature string, total double, n bigint")
-            )
-        sums = reduce(DataFrame.unionByName, parts)
-        return sums.groupBy("geo", "feature").agg((F.sum("total") / F.sum("n")).alias("attribution"))
+    def _arrays(self, spark: SparkSession, geo: str) -> dict:
+        trees = self.models[geo].stages[-1]
+        return {"trees": build_explainer(self._nodes(spark, geo), list(trees.treeWeights), len(self.slots[geo]))}
+
+    def _base(self, spark: SparkSession, geo: str) -> float:
+        if geo not in self._read:
+            self._read[geo] = self._arrays(spark, geo)
+        return self._read[geo]["trees"]["base"]
+
+    def staged_scores(self, rows: DataFrame, rounds: list[int]) -> DataFrame:
+        """Scores after each of the numbers of rounds, an array per row: what fits of fewer rounds would say."""
+        book = self.book(rows)
+        margin = kernel.scorer(rows.sparkSession.sparkContext.broadcast(book), rounds)
+        ready = self._routed(rows).select(*SCORE_COLUMNS[:4], *kernel.inputs_of(book))
+        staged = F.transform(margin("geo", "n", "t"), lambda m: F.lit(1.0) / (F.lit(1.0) + F.exp(-m)))
+        return ready.select(*SCORE_COLUMNS[:4], staged.alias("risk_scores"))
+
+    def training_curve(self, history: DataFrame) -> DataFrame:
+        """Log loss after every round, on training and validation rows, from one pass over ``history``.
+
+        The time is known per fit only, and null for models that were loaded.
+        """
+        book = self.book(history)
+        shared = history.sparkSession.sparkContext.broadcast(book)
+        ready = self._routed(history.filter(F.col("target").isNotNull())).select("geo", "target", "is_eval", *kernel.inputs_of(book))
+        sums = ready.mapInArrow(kernel.curve_sums(shared, self.rounds), "geo string, is_eval boolean, iteration bigint, total double, n bigint")
+        mean = lambda part: F.sum(F.when(part, F.col("total"))) / F.sum(F.when(part, F.col("n")))
+        curve = sums.groupBy("geo", "iteration").agg(mean(~F.col("is_eval")).alias("train_loss"), mean(F.col("is_eval")).alias("eval_loss"))
+        seconds = F.lit(None).cast("double")
+        for geo, value in self.seconds.items():
+            seconds = F.when(F.col("geo") == geo, value).otherwise(seconds)
+        return curve.withColumn("fit_seconds", seconds)
 
 
 class LinearFamily(FittedFamily):
@@ -334,14 +395,11 @@ class LinearFamily(FittedFamily):
         super()._restore(geo, state)
         self.moments[geo] = tuple(state["moments"])
 
-    def _base(self, geo: str) -> float:
+    def _base(self, spark: SparkSession, geo: str) -> float:
+        """The row that equals the training means."""
         model = self.models[geo].stages[-1]
         return float(model.intercept) + sum(float(c) * m for c, m in zip(model.coefficients, self.moments[geo][0]))
 
-    def bases(self, spark: SparkSession) -> dict[str, float]:
-        """Log-odds per geo of a row that equals the training means."""
-        return {geo: self._base(geo) for geo in self.models}
-
     def weights(self, spark: SparkSession) -> DataFrame:
         """Coefficient x standard deviation per input; the intercept is left out."""
         flat = []
@@ -358,41 +416,23 @@ class LinearFamily(FittedFamily):
             },
         )
 
-    def _terms(self, geo: str) -> list[tuple]:
-        """(feature, contribution) per input; a text input joins its categories."""
-        stages = self.models[geo].stages
-        labels = {
-            c: ls for s in stages if isinstance(s, StringIndexerModel) for c, ls in zip(s.getInputCols(), s.labelsArray)
-        }
-        coefficients = [float(c) for c in stages[-1].coefficients]
-        means = self.moments[geo][0]
-        terms, at = [], 0
+    def _arrays(self, spark: SparkSession, geo: str) -> dict:
+        """Weights and means per input. A text input has a weight for each of its codes, the last for any other."""
+        coefficients = [float(c) for c in self.models[geo].stages[-1].coefficients]
+        means, labels = self.moments[geo][0], self.labels(geo)
+        weights, middles, at = [], [], 0
         for f in self.lists[geo]:
+            width = self.slots[geo].count(f) if f in labels else 1
+            own = coefficients[at : at + width]
             if f in labels:
-                width = self.slots[geo].count(f)
-                own, own_means = coefficients[at : at + width], means[at : at + width]
-                middle = sum(c * m for c, m in zip(own, own_means))
-                pairs = [F.lit(v) for pair in zip(labels[f], own) for v in pair]
-                unseen = own[len(labels[f])] if width > len(labels[f]) else 0.0
-                chosen = F.coalesce(F.try_element_at(F.create_map(*pairs), F.col(f)), F.lit(unseen))
-                terms.append((f, chosen - F.lit(middle)))
-                at += width
+                known = labels[f] if isinstance(labels[f], int) else len(labels[f])
+                weights.append(np.array(own[:known] + [own[known] if width > known else 0.0]))
+                middles.append(sum(c * m for c, m in zip(own, means[at : at + width])))
             else:
-                x = F.coalesce(F.col(f).cast("double"), F.lit(self.facts[geo].mean[f]))
-                terms.append((f, F.lit(coefficients[at]) * (x - F.lit(means[at]))))
-                at += 1
-        return terms
-
-    def explain(self, rows: DataFrame, top_k: int | None = 10) -> DataFrame:
-        parts = [
-            linear_stage(self._rows(rows, geo), self.prefix, F.lit(self._base(geo)), self._terms(geo), top_k)
-            for geo in sorted(self.models)
-        ]
-        return reduce(DataFrame.unionByName, parts)
-
-    def drivers(self, rows: DataFrame) -> DataFrame:
-        parts = [linear_drivers(self._rows(rows, geo), self._terms(geo)) for geo in sorted(self.models)]
-        return reduce(DataFrame.unionByName, parts)
+                weights.append(np.array(own))
+                middles.append(means[at])
+            at += width
+        return {"base": self._base(spark, geo), "weights": weights, "means": middles}
 
 
 def _slot_names(model: PipelineModel, features: list[str], positions: list[str]) -> list[str]:

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.ml import Pipeline
-from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, StringIndexerModel, VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
@@ -14,6 +14,9 @@ from riskloom.operators.routing import route_to_geos
 
 
 COLUMNS_PER_PASS = 40
+MAX_LABELS = 256  # text columns of (about) more distinct values are hashed
+HASH_BUCKETS = 256
+HASHED = "__h"  # end of the name of a hashed column
 
 
 @dataclass(frozen=True)
@@ -25,6 +28,7 @@ class GeoFacts:
     weight: dict[int, float]
     n_rows: int
     has_eval: bool
+    hashed: list[str] = field(default_factory=list)
 
 
 def is_text(df: DataFrame, feature: str) -> bool:
@@ -63,7 +67,18 @@ def geo_facts(history: DataFrame, lists: dict[str, list[str]]) -> dict[str, GeoF
         for r in train.groupBy("geo").agg(*measures).collect():
             low[r["geo"]].update({c: r[f"low_{c}"] or 0.0 for c in group})
             mean[r["geo"]].update({c: r[f"mean_{c}"] or 0.0 for c in group})
-    return {g: GeoFacts(low[g], mean[g], weights[g], sizes[g], g in held) for g in weights}
+    hashed = _many_labels(history, lists)
+    return {g: GeoFacts(low[g], mean[g], weights[g], sizes[g], g in held, hashed.get(g, [])) for g in weights}
+
+
+def _many_labels(history: DataFrame, lists: dict[str, list[str]]) -> dict[str, list[str]]:
+    """Text inputs of each geo with more than MAX_LABELS values, by sketches: no label reaches the driver."""
+    texts = sorted({f for fs in lists.values() for f in fs if is_text(history, f)})
+    if not texts:
+        return {}
+    train = route_to_geos(history.filter(~F.col("is_eval")).select("GEO", *texts), sorted(lists))
+    counts = train.groupBy("geo").agg(*[F.approx_count_distinct(c, 0.02).alias(c) for c in texts]).collect()
+    return {r["geo"]: [c for c in texts if c in lists[r["geo"]] and r[c] > MAX_LABELS] for r in counts}
 
 
 def training_rows(history: DataFrame, geo: str, features: list[str], facts: GeoFacts) -> DataFrame:
@@ -85,20 +100,28 @@ def encoder(df: DataFrame, features: list[str], facts: GeoFacts, one_hot: bool)
 
     Empty numbers, NaN among them: for trees one below the smallest value, so that a single split separates
     them; for linear models the mean, which makes their contribution zero. Unseen or empty texts
-    get a category of their own.
+    get a category of their own. Texts with many values are hashed to HASH_BUCKETS codes, so neither the
+    driver nor a tree's bins grow with the number of values.
     """
     text = [f for f in features if is_text(df, f)]
-    fills = []
+    hashed = [f for f in text if f in facts.hashed]
+    fills = [f"CAST(crc32(CAST(`{f}` AS BINARY)) % {HASH_BUCKETS} AS STRING) AS `{f}{HASHED}`" for f in hashed]
     for f in features:
         if f not in text:
             fill = facts.mean[f] if one_hot else facts.low[f] - 1.0
             fills.append(f"coalesce(nanvl(CAST(`{f}` AS DOUBLE), NULL), CAST({fill!r} AS DOUBLE)) AS `{f}__x`")
     stages = [SQLTransformer(statement=f"SELECT *, {', '.join(fills)} FROM __THIS__")] if fills else []
     if text:
-        indexed = [f"{f}__i" if one_hot else f"{f}__x" for f in text]
-        stages.append(
-            StringIndexer(inputCols=text, outputCols=indexed, handleInvalid="keep", stringOrderType="frequencyDesc")
-        )
+        named = {f: f"{f}__i" if one_hot else f"{f}__x" for f in text}
+        counted = [f for f in text if f not in hashed]
+        if counted:
+            outputs = [named[f] for f in counted]
+            stages.append(StringIndexer(inputCols=counted, outputCols=outputs, handleInvalid="keep", stringOrderType="frequencyDesc"))
+        if hashed:
+            codes = [[str(k) for k in range(HASH_BUCKETS)] for _ in hashed]
+            fixed = StringIndexerModel.from_arrays_of_labels(codes, inputCols=[f"{f}{HASHED}" for f in hashed], outputCols=[named[f] for f in hashed], handleInvalid="keep")
+            stages.append(fixed)
+        indexed = list(named.values())
         if one_hot:
             stages.append(
                 OneHotEncoder(inputCols=indexed, outputCols=[f"{f}__x" for f in text], dropLast=False, handleInvalid="keep")
@@ -116,3 +139,4 @@ def slots(encoded: DataFrame, features: list[str]) -> list[str]:
     names = sorted((a["idx"], a["name"]) for group in meta["attrs"].values() for a in group)
     exact = {f"{f}__x": f for f in features}
     return [exact.get(name) or max((f for f in features if name.startswith(f"{f}__x_")), key=len) for _, name in names]
+

@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, NumericType, StringType
 
+from riskloom.errors import QualityError
 from riskloom.functions.dates import days_before, month_end, text_to_date
 from riskloom.functions.drivers import number_text
 from riskloom.sources.scratch import fix_small, local_table
@@ -64,6 +65,14 @@ def quality_gate(df: DataFrame, required: list[str], newest_month: int) -> DataF
     )
 
 
+def gate_required(month: DataFrame, required: tuple[str, ...]) -> None:
+    """Stop with an error if a required column of the month has empty values."""
+    empty = month.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in required]).first().asDict()
+    found = [f"{n} rows without {c}" for c, n in empty.items() if n]
+    if found:
+        raise QualityError(", ".join(found))
+
+
 def leakage_scan(feature_store: DataFrame, date_columns: list[str]) -> DataFrame:
     """Per date column: values after the snapshot, values that cannot be read, empty values."""
     end = month_end(F.col("YEAR_MONTH"))

@@ -10,8 +10,8 @@ from riskloom.operators.buckets import assign_bucket
 from riskloom.operators.ladder import with_rank
 
 
-def employee_risk(stage: DataFrame, thresholds: DataFrame) -> DataFrame:
-    """Score, bucket, rank in geo and the three strongest drivers of every employee."""
+def employee_risk(stage: DataFrame, thresholds: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
+    """Score, bucket, rank in geo and the three strongest drivers of every employee, and ``carry``."""
     slim = stage.select(
         "geo",
         "EMP_ID",
@@ -19,6 +19,7 @@ def employee_risk(stage: DataFrame, thresholds: DataFrame) -> DataFrame:
         "risk_score",
         driver_names(raising(F.col("attributions")), 3).alias("top_risk_drivers"),
         "model_name",
+        *carry,
     )
     ranked = with_rank(assign_bucket(slim, thresholds), ["geo", "YEAR_MONTH"], "risk_score", "risk_rank_in_geo")
     return ranked.select(
@@ -30,6 +31,7 @@ def employee_risk(stage: DataFrame, thresholds: DataFrame) -> DataFrame:
         "risk_rank_in_geo",
         "top_risk_drivers",
         "model_name",
+        *carry,
     )
 
 

@@ -12,14 +12,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom.functions.dates import shift_month
-from riskloom.models.families import LinearFamily, ScorecardFamily, TreeFamily, additivity, balance, model_inputs
+from riskloom.models.families import ScorecardFamily, model_inputs
 from riskloom.operators import buckets, checks, drift, evaluate, features, feed, quality, risk, routing
 from riskloom.operators.scorecard import Scorecard, Weight, score_with
 from riskloom.plans import scenarios
-from riskloom.plans.backtest import backtest, top_drivers, top_weights, trade_off
+from riskloom.plans.backtest import top_drivers, trade_off
 from riskloom.plans.inputs import Inputs
 from riskloom.plans.monthly import monthly_run, read_feed, read_summary
-from riskloom.plans.tuning import pooled_challenger, search
 from riskloom.sources import snapshots as snap
 from riskloom.sources.files import column_table
 from riskloom.sources.scratch import fix_small, save_scratch, scratch_dir
@@ -512,119 +511,42 @@ def monthly_feed(spark, sf):
     return read_summary(spark, place, MONTH).join(alerts, "geo", "left")
 
 
-def run_log(spark, sf):
-    place = warehouse(spark, "log")
-    monthly_run(inputs(spark, sf), MONTH, ScorecardFamily(CARD), place)
-    return read_table(spark, place, "run_log").select("geo", "YEAR_MONTH", "status", "n_scored")
-
-
-# ---- fitted models ------------------------------------------------------------------------------
-
-
-def _fit(spark, sf, family):
-    i = inputs(spark, sf)
-    family.fit(routing.backtest_rows(i.features(), snap.TRAIN_END, snap.EVAL_END), i.checked_lists())
-    family.raise_errors()
-    return family
-
-
-def _models(spark) -> str:
-    return f"{scratch_dir(spark)}/models-{uuid.uuid4().hex}"
-
-
-def _trees(spark, sf, curves: bool = False) -> TreeFamily:
-    family = TreeFamily(_models(spark))
-    family.want_curves = curves
-    return _fit(spark, sf, family)
-
-
-def gbt_scores(spark, sf):
-    return _trees(spark, sf).score(test_rows(spark, sf))
-
-
-def gbt_attributions(spark, sf):
-    rows = prepared(spark, sf).filter(F.col("YEAR_MONTH") == MONTH)
-    return risk.variable_risk(_trees(spark, sf).explain(rows))
-
-
-def gbt_geo_drivers(spark, sf):
-    held = routing.calibration_rows(prepared(spark, sf), MONTH)
-    return _trees(spark, sf).drivers(held)
-
-
-def training_curve(spark, sf):
-    return _trees(spark, sf, curves=True).training_curve(spark)
-
+class Spoilt(ScorecardFamily):
+    """A scorecard whose scores leave 0..1 in one geo."""
 
-def logreg_scores(spark, sf):
-    return _fit(spark, sf, LinearFamily(_models(spark))).score(test_rows(spark, sf))
+    def __init__(self, card: Scorecard, geo: str):
+        super().__init__(card)
+        self.geo = geo
 
+    def explain(self, rows, top_k=10):
+        off = F.when(F.col("geo") == self.geo, F.lit(2.0)).otherwise(F.lit(1.0))
+        return super().explain(rows, top_k).withColumn("risk_score", F.col("risk_score") * off)
 
-def logreg_attributions(spark, sf):
-    rows = prepared(spark, sf).filter(F.col("YEAR_MONTH") == MONTH)
-    return risk.variable_risk(_fit(spark, sf, LinearFamily(_models(spark))).explain(rows))
 
-
-def linear_weights(spark, sf):
-    family = _fit(spark, sf, LinearFamily(_models(spark)))
-    return family.weights(spark)
-
-
-def explain_weights(spark, sf):
-    return top_weights(_fit(spark, sf, LinearFamily(_models(spark))).weights(spark))
-
-
-def gbt_additivity(spark, sf):
-    """Contributions of every TEST row against its score."""
-    family = _trees(spark, sf)
-    return additivity(family.explain(test_rows(spark, sf), None), family.bases(spark))
-
-
-def logreg_additivity(spark, sf):
-    family = _fit(spark, sf, LinearFamily(_models(spark)))
-    return additivity(family.explain(test_rows(spark, sf), None), family.bases(spark))
-
-
-def logreg_balance(spark, sf):
-    """Residuals of the fitted benchmark on its own training rows."""
-    family = _fit(spark, sf, LinearFamily(_models(spark)))
-    train = prepared(spark, sf).filter(F.col("target").isNotNull() & (F.col("YEAR_MONTH") <= snap.TRAIN_END))
-    return balance(family.score(train), family.facts)
-
-
-def gbt_inputs(spark, sf):
-    """Inputs of the fitted models with the training rows behind them."""
-    family = _trees(spark, sf)
-    used = routing.backtest_rows(routed(snap.feature_store(spark, sf)), snap.TRAIN_END, snap.EVAL_END)
-    rows = used.groupBy("geo").agg(F.count_if(~F.col("is_eval")).alias("n_train"), F.count_if("is_eval").alias("n_eval"))
-    inputs_ = model_inputs(spark, family).withColumn("geo", F.upper(F.substring_index("model", "_", -1)))
-    return inputs_.join(rows, "geo")
-
-
-def model_backtest(spark, sf):
-    path = _models(spark)
-    trees, linear = TreeFamily(path), LinearFamily(path)
-    return backtest(inputs(spark, sf), [trees, linear], snap.TRAIN_END, snap.EVAL_END).report()
-
-
-def model_capture(spark, sf):
-    trees = TreeFamily(_models(spark))
-    return backtest(inputs(spark, sf), [trees], snap.TRAIN_END, snap.EVAL_END).capture()
-
-
-def model_monthly_run(spark, sf):
-    place = warehouse(spark, "model-run")
-    trees = TreeFamily(_models(spark))
-    return monthly_run(inputs(spark, sf), MONTH, trees, place, plain_geo="AFR").checks
+def release_per_geo(spark, sf):
+    """A second run whose scores are spoilt in one geo: that geo is read as before, the others anew."""
+    place = warehouse(spark, "release")
+    first = monthly_run(inputs(spark, sf), MONTH, ScorecardFamily(CARD), place)
+    second = monthly_run(inputs(spark, sf), MONTH, Spoilt(CARD, "EUR"), place)
+    states = read_table(spark, place, "run_log").filter(F.col("run_id") == second.run_id).select("geo", "status")
+    read = read_table(spark, place, "ews_employee_risk").groupBy("geo").agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.count_if(F.col("scored_at") == F.lit(first.started_at)).alias("n_earlier"),
+        F.round(F.avg("risk_score"), 6).alias("mean_score"),
+    )
+    return states.join(read, "geo", "left")
 
 
-def pooled_model(spark, sf):
-    return pooled_challenger(inputs(spark, sf), _models(spark), snap.TRAIN_END, snap.EVAL_END)
+def run_verdicts(spark, sf):
+    """What the checks of a run say of each geo, from metrics observed while its outputs were written."""
+    run = monthly_run(inputs(spark, sf), MONTH, ScorecardFamily(CARD), warehouse(spark, "verdicts"), plain_geo="AFR")
+    return run.verdicts.filter(~F.col("test_id").isin("T405", "T406", "T410"))
 
 
-def hyper_search(spark, sf):
-    grid = [{"rounds": rounds, "depth": depth} for rounds in (50, 100) for depth in (4, 6)]
-    return search(inputs(spark, sf), _models(spark), grid, snap.TRAIN_END, snap.EVAL_END)
+def run_log(spark, sf):
+    place = warehouse(spark, "log")
+    monthly_run(inputs(spark, sf), MONTH, ScorecardFamily(CARD), place)
+    return read_table(spark, place, "run_log").select("geo", "YEAR_MONTH", "status", "n_scored")
 
 
 EXACT = {
@@ -685,23 +607,6 @@ EXACT = {
     "monthly_outputs": monthly_outputs,
     "monthly_feed": monthly_feed,
     "run_log": run_log,
-    "gbt_additivity": gbt_additivity,
-    "logreg_additivity": logreg_additivity,
-    "logreg_balance": logreg_balance,
-    "gbt_inputs": gbt_inputs,
-}
-MODELS = {
-    "gbt_scores": gbt_scores,
-    "gbt_attributions": gbt_attributions,
-    "gbt_geo_drivers": gbt_geo_drivers,
-    "training_curve": training_curve,
-    "logreg_scores": logreg_scores,
-    "logreg_attributions": logreg_attributions,
-    "linear_weights": linear_weights,
-    "explain_weights": explain_weights,
-    "model_backtest": model_backtest,
-    "model_capture": model_capture,
-    "model_monthly_run": model_monthly_run,
-    "pooled_model": pooled_model,
-    "hyper_search": hyper_search,
+    "release_per_geo": release_per_geo,
+    "run_verdicts": run_verdicts,
 }

@@ -37,7 +37,6 @@ def history(rows):
 @pytest.fixture(scope="module")
 def trees(spark, history, tmp_path_factory):
     family = TreeFamily(str(tmp_path_factory.mktemp("trees")), rounds=6, depth=3, early_stop=False)
-    family.want_curves = True
     family.fit(history, LISTS)
     assert family.errors == {}
     return family
@@ -132,8 +131,8 @@ def test_models_use_their_own_lists(trees, linear):
     assert linear.inputs() == {"logreg_aaa": ["age", "colour", "pay"], "logreg_bbb": ["age", "pay"]}
 
 
-def test_training_curve_falls(spark, trees):
-    curve = trees.training_curve(spark).filter("geo = 'AAA'").orderBy("iteration").collect()
+def test_training_curve_falls(trees, history):
+    curve = trees.training_curve(history).filter("geo = 'AAA'").orderBy("iteration").collect()
     assert [r.iteration for r in curve] == list(range(1, 7))
     assert curve[-1].train_loss < curve[0].train_loss and curve[0].eval_loss is not None
 
@@ -231,3 +230,81 @@ def test_scorecard_of_many_hundred_features(spark):
         assert r.risk_score == pytest.approx(1 / (1 + np.exp(1.0 - sum(parts.values()))))
         assert [d.feature for d in r.attributions] == sorted(names, key=lambda n: (-abs(parts[n]), n))[:10]
         assert all(d.feature_value == str((int(r.EMP_ID) * (int(d.feature[1:]) + 1)) % 97) for d in r.attributions)
+
+
+@pytest.fixture(scope="module")
+def odd(rows):
+    """NaN, empty and unseen inputs."""
+    k = F.pmod(F.xxhash64("EMP_ID"), F.lit(4))
+    return rows.withColumns(
+        {
+            "pay": F.when(k == 0, F.lit(float("nan"))).when(k == 1, F.lit(None)).otherwise(F.col("pay")),
+            "colour": F.when(k == 2, "mauve").when(k == 1, F.lit(None)).otherwise(F.col("colour")),
+        }
+    )
+
+
+def test_kernel_agrees_with_the_stored_pipelines(trees, linear, odd):
+    for family in (trees, linear):
+        keys = ["geo", "EMP_ID"]
+        told = family.explain(odd).select(*keys, F.col("risk_score").alias("told"))
+        other = family.pipeline_scores(odd).select(*keys, F.col("risk_score").alias("other"))
+        met = family.score(odd).join(told, keys).join(other, keys)
+        assert met.count() == 900
+        close = (F.abs(F.col("risk_score") - F.col("told")) < 1e-9) & (F.abs(F.col("risk_score") - F.col("other")) < 1e-9)
+        assert met.filter(~F.coalesce(close, F.lit(False))).count() == 0
+
+
+def scans(df):
+    return df._jdf.queryExecution().executedPlan().toString().count("Scan ")
+
+
+def test_all_geos_are_scored_in_one_scan(spark, trees, linear, rows, tmp_path):
+    rows.write.parquet(str(tmp_path / "rows"))
+    stored = spark.read.parquet(str(tmp_path / "rows"))
+    for family in (trees, linear):
+        for df in (family.score(stored), family.explain(stored), family.drivers(stored)):
+            assert scans(df) == 1
+        plan = family.explain(stored)._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("ArrowEvalPython") == 1 and "PushedFilters: [Or(IsNull(GEO),In(GEO, [AAA,BBB]))]" in plan
+    assert scans(trees.staged_scores(stored, [1, 3])) == 1
+
+
+def test_staged_scores_are_those_of_fewer_rounds(history, rows, trees, tmp_path):
+    staged = trees.staged_scores(rows, [2, 6, 9])
+    last = staged.join(trees.score(rows), ["geo", "EMP_ID"])
+    assert last.filter((F.abs(F.col("risk_scores")[1] - F.col("risk_score")) > 1e-12) | (F.col("risk_scores")[2] != F.col("risk_scores")[1])).count() == 0
+    short = TreeFamily(str(tmp_path), rounds=2, depth=3, early_stop=False)
+    short.fit(history, LISTS)
+    met = staged.join(short.score(rows), ["geo", "EMP_ID"])
+    assert met.count() == 900 and met.filter(F.abs(F.col("risk_scores")[0] - F.col("risk_score")) > 1e-9).count() == 0
+
+
+def test_texts_of_many_values_are_hashed(spark, history, tmp_path):
+    from riskloom.models.prepare import HASH_BUCKETS
+
+    coded = history.withColumn("colour", F.concat("colour", F.lit("-"), "EMP_ID"))  # as many codes as employees
+    for family in (TreeFamily(str(tmp_path / "t"), rounds=3, depth=3, early_stop=False), LinearFamily(str(tmp_path / "l"))):
+        family.fit(coded, {"AAA": LISTS["AAA"]})
+        family.raise_errors()
+        assert family.facts["AAA"].hashed == ["colour"] and family.labels("AAA") == {"colour": HASH_BUCKETS}
+        labels = [ls for s in family.models["AAA"].stages if hasattr(s, "labelsArray") for ls in s.labelsArray]
+        assert max(map(len, labels)) == HASH_BUCKETS  # nothing that grows with the codes
+        odd = coded.withColumn("colour", F.when(F.col("EMP_ID") != "E1", F.concat("colour", F.lit("?")))).filter("GEO = 'AAA'")
+        met = family.score(odd).join(family.pipeline_scores(odd).select("EMP_ID", F.col("risk_score").alias("other")), "EMP_ID")
+        assert met.count() == 600 and met.filter(F.abs(F.col("risk_score") - F.col("other")) > 1e-9).count() == 0
+        again = type(family)("unused")
+        again.load(spark, {"AAA": family.path})
+        assert again.score(odd).join(family.score(odd).select("EMP_ID", F.col("risk_score").alias("b")), "EMP_ID").filter(F.abs(F.col("b") - F.col("risk_score")) > 1e-12).count() == 0
+
+
+def test_search_reads_fewer_rounds_from_the_same_trees(spark, tmp_path):
+    from riskloom.plans.queries import inputs
+    from riskloom.plans.tuning import search
+    from dataclasses import replace
+
+    given = inputs(spark, "/root/testdata/sf0.001")
+    one = replace(given, geo_config=given.geo_config.filter("GEO = 'EUR'"))
+    found = {r.params: (r.log_loss, r.roc_auc) for r in search(one, str(tmp_path / "a"), [{"depth": 2, "step": 0.3}], [2, 4], 199912, 200006).collect()}
+    again = search(one, str(tmp_path / "b"), [{"depth": 2, "step": 0.3}], [2], 199912, 200006).first()
+    assert len(found) == 2 and found[again.params] == pytest.approx((again.log_loss, again.roc_auc))

@@ -152,7 +152,7 @@ def test_scoring_with_the_approved_version(spark, given, place, tmp_path):
 
     one = replace(given, geo_config=given.geo_config.filter("GEO = 'ASI'"))
     path = str(tmp_path / "200006")
-    trees = TreeFamily(path, rounds=3, depth=2, early_stop=False)
+    trees = TreeFamily(path, rounds=8, depth=3, early_stop=False)
     result = backtest(one, [trees], 199912, 200006)
     approve(spark, place, choose_champion(result.metrics, "btree"), path, datetime.now(timezone.utc))
     versions = approved_versions(spark, place, "btree")
@@ -186,3 +186,78 @@ def test_repeated_employees_are_quarantined(spark, given, place):
         monthly_run(twice, MONTH, ScorecardFamily(CARD), place)
     monthly_run(given, MONTH, ScorecardFamily(CARD), place)
     assert read_table(spark, place, "quarantined_keys").count() == 0
+
+
+def test_geo_whose_checks_fail_keeps_its_earlier_release(spark, given, place):
+    from riskloom.plans.queries import Spoilt
+
+    first = monthly_run(given, MONTH, ScorecardFamily(CARD), place)
+    run = monthly_run(given, MONTH, Spoilt(CARD, "EUR"), place)
+    assert run.published == ["AFR", "AME", "ASI", "MEA"] and run.failed == {}
+    ages = {r.geo: r.s for r in read_table(spark, place, "ews_employee_risk").groupBy("geo").agg(F.max("scored_at").alias("s")).collect()}
+    assert ages["EUR"] < ages["AFR"] and first.published == ["AFR", "AME", "ASI", "EUR", "MEA"]
+    bad = {(r.geo, r.test_id) for r in run.verdicts.filter("status = 'FAIL'").collect()}
+    assert ("EUR", "T403") in bad and {g for g, t in bad if t not in ("T405", "T406")} == {"EUR"}
+    log = {r.geo: r.status for r in read_table(spark, place, "run_log").filter(F.col("run_id") == run.run_id).collect()}
+    assert log == {**dict.fromkeys(["AFR", "AME", "ASI", "MEA"], "DONE"), "EUR": "CHECKS_FAILED"}
+
+
+def test_run_that_dies_before_the_switch_leaves_the_month(spark, given, place, monkeypatch):
+    from riskloom.plans import monthly
+    from riskloom.sources.tables import read_version, versions
+
+    monthly_run(given, MONTH, ScorecardFamily(CARD), place)
+    tables = ("ews_employee_risk", "ews_variable_risk", "ews_geo_drivers", "risk_thresholds")
+    before = {t: sorted(map(repr, read_table(spark, place, t).collect())) for t in tables}
+
+    def dies(*args):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as m:
+        m.setattr(monthly, "switch_month", dies)
+        with pytest.raises(RuntimeError):
+            monthly_run(given, MONTH, ScorecardFamily(CARD), place)
+    assert {t: sorted(map(repr, read_table(spark, place, t).collect())) for t in tables} == before
+    written = {run for _, run, _ in versions(spark, place, MONTH)}
+    assert len(written) == 2  # the new version is there, and nobody reads it
+    assert all(read_version(spark, place, "ews_employee_risk", MONTH, run).count() == len(before["ews_employee_risk"]) for run in written)
+    run = monthly_run(given, MONTH, ScorecardFamily(CARD), place)
+    assert run.checks.filter("test_id = 'T417' and status = 'PASS'").count() == 1  # what the dead run left is gone
+    assert len({r for _, r, _ in versions(spark, place, MONTH)}) == 2 and run.published == ["AFR", "AME", "ASI", "EUR", "MEA"]
+
+
+def test_checks_cost_no_scan(spark, given, place):
+    """Every check of a run has a verdict, though nothing was pinned and no output was read again."""
+    run = monthly_run(given, MONTH, ScorecardFamily(CARD), place, plain_geo="AFR")
+    status = {r.test_id: r.status for r in run.checks.collect()}
+    assert all(status[t] == "PASS" for t in ("T401", "T402", "T403", "T404", "T408", "T412", "T413", "T414", "T415", "T417"))
+    assert list(status) == [f"T4{k:02d}" for k in range(1, 18)]
+    assert "Scan parquet" not in run.checks._jdf.queryExecution().toString() and "FileScan" not in run.checks._jdf.queryExecution().toString()
+    assert read_table(spark, place, "run_checks").groupBy("geo").count().count() == 5
+
+
+def test_rows_of_unknown_geos_and_empty_keys(spark, given, place):
+    from riskloom.errors import QualityError
+
+    strange = replace(given, store=given.store.withColumn("GEO", F.when(F.col("GEO") == "ASI", "XXX").otherwise(F.col("GEO"))))
+    run = monthly_run(strange, MONTH, ScorecardFamily(CARD), place)
+    n = given.store.filter((F.col("YEAR_MONTH") == MONTH) & (F.col("GEO") == "ASI")).count()
+    assert run.unrouted == n > 0
+    note = read_table(spark, place, "run_log").filter(F.col("run_id") == run.run_id).first().message
+    assert f"{n} rows of geos that are not configured" in note
+    nameless = replace(given, store=given.store.withColumn("EMP_ID", F.lit(None).cast("string")))
+    with pytest.raises(QualityError, match="rows without EMP_ID"):
+        monthly_run(nameless, MONTH, ScorecardFamily(CARD), place)
+
+
+def test_repeated_keys_and_young_labels_are_not_learnt_from(spark, given, place):
+    class Learns(ScorecardFamily):
+        def fit(self, history, lists):
+            super().fit(history, lists)
+            self.months = history.agg(F.max("YEAR_MONTH")).first()[0]
+            self.keys = history.groupBy("EMP_ID", "YEAR_MONTH").count().filter("count > 1").count()
+
+    old = given.store.filter(F.col("YEAR_MONTH") == 200009)
+    family = Learns(CARD)
+    monthly_run(replace(given, store=given.store.unionByName(old.limit(5))), MONTH, family, place, horizon_months=3)
+    assert family.months == 200101 and family.keys == 0

@@ -47,9 +47,10 @@ def test_same_rows(spark, duck, name):
 
 
 def test_every_exact_query_has_sql():
+    from riskloom.plans.model_queries import MODELS
     from riskloom.plans.queries import EXACT
 
-    assert set(ORACLE) == set(EXACT) and set(EXACT) <= set(contract.oracle_sql())
+    assert set(ORACLE) == {*EXACT, *MODELS} and set(ORACLE) <= set(contract.oracle_sql())
 
 
 def test_entry(spark):
