@@ -172,7 +172,7 @@ def benchmark_matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDO
 
     ``docs`` has doc_id and text, ``benchmark`` item_id and text; other columns are ignored. A null
     or empty text has no words and no matches, an item without an id or words is never found, and
-    repeated rows are each answered. Returns doc_id, n_words, n_hit (words inside any occurrence
+    repeated rows are each answered. Returns doc_id, copy (hash of the text), n_words, n_hit (words inside any occurrence
     of a window) and matches (item, first word in the document and in the item, length).
     """
     spark = docs.sparkSession
@@ -185,7 +185,7 @@ def benchmark_matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDO
         shared = spark.sparkContext.broadcast(block)
         found = texts.mapInArrow(_finder(shared, window), schema)
         if following is None and not parts:
-            return found.drop("copy")
+            return found
         parts.append(save_scratch(found, "matches"))
         shared.destroy()
         block = following
@@ -198,7 +198,7 @@ def benchmark_matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDO
         F.array_distinct(F.flatten(F.collect_list("matches"))).alias("matches"),
     )
     each = F.explode(F.sequence(F.lit(1), "rows")).alias("row")
-    return merged.select("doc_id", "n_words", _covered("matches").alias("n_hit"), "matches", each).drop("row")
+    return merged.select("doc_id", "copy", "n_words", _covered("matches").alias("n_hit"), "matches", each).drop("row")
 
 
 def _covered(matches: str):
@@ -249,9 +249,13 @@ def contaminated(n_hit="n_hit", n_words="n_words"):
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The documents that are not contaminated, with all their columns.
+    """The documents that are not contaminated, with all their columns, which may have any names.
 
-    Rows that share a doc_id (also null) go together if one of them is contaminated.
+    Every row is judged by its own text, also where rows share a doc_id or have none.
     """
-    bad = benchmark_matches(docs, benchmark).where(contaminated()).select("doc_id").distinct()
-    return docs.join(bad, docs["doc_id"].eqNullSafe(bad["doc_id"]), "left_anti")
+    bad = benchmark_matches(docs, benchmark).where(contaminated()).select("doc_id", "copy").distinct()
+    name = "contaminated_key"
+    while name in docs.columns:
+        name += "_"
+    key = F.struct(docs["doc_id"].cast("bigint").alias("doc_id"), F.xxhash64(docs["text"]).alias("copy"))
+    return docs.join(bad.select(F.struct("doc_id", "copy").alias(name)), key == F.col(name), "left_anti")
