@@ -2,21 +2,21 @@
 
 1. Tasks find e-mail addresses, IP addresses, card and phone numbers. Each value is a protected
    entity; all words of its document are its context, however far away.
-2. Spark counts in how many documents a term stands with an entity (n_te), in how many the entity
-   occurs (n_e), and, over the words of all texts, in how many the term occurs at all (n_t).
-   Among N documents, the entity holds log2(N / n_e) bits, of which the term gives away log2(N p / n_e),
-   where p is the share of the term's documents that hold the entity, estimated as
-   (n_te + SMOOTH n_e / N) / (n_t + SMOOTH): few documents count for less than many, but for something.
-   A term that gives away at least DISCLOSURE of the bits is disclosing, wherever it stands.
+2. Spark counts in how many documents a term stands with an entity (n_te) and, over the words of all
+   texts, in how many it occurs at all (n_t). Who reads the term knows the entity up to -log2(p) bits,
+   where p is the share of the term's documents that hold the entity. p is taken at its lower confidence
+   bound (Wilson, Z), so few documents count for less than many, and chance for little: one document of
+   two proves nothing, a word of one document leaves less than two bits open. A term that leaves at most
+   DISCLOSURE bits is disclosing; the bar doesn't move with the number of documents.
 3. Disclosing terms become spans. Sanitising replaces base values by their kind, removes terms that
-   give away REMOVE or more of an entity and generalises the others to what they are.
+   leave REMOVE bits or less and generalises the others to what they are.
 
 Copies of a text are gathered before its words are paired with entities, and entities that stand in
 the same texts are one: their counts are equal. So a long list of values that stand nowhere else
 makes as many pairs as a single one.
 
-The terms to look up in all texts are sent to the tasks as a bit table of fixed size; what it lets
-through by chance is dropped by an exact join.
+The terms to look up in all texts are sent to the tasks as a bit table, sized by their number up to a
+limit; what it lets through by chance is dropped by an exact join.
 """
 
 from __future__ import annotations
@@ -26,18 +26,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskloom.llm.words import LETTERS, mix, split_words, text_slices
 from riskloom.sources.scratch import save_scratch
 
 KINDS = ["email", "ip", "card", "phone", "term"]
-MIN_TERM_BYTES = 3
-SMOOTH = 0.5  # documents added to those of a term, holding the entity as often as any
-DISCLOSURE = 0.9
-REMOVE = 0.99
-TABLE_BITS = 23
+Z = 1.645  # one-sided 95 %
+DISCLOSURE = 2.0  # bits of the entity that stay open
+REMOVE = 1.0
+TABLE_BITS = (16, 28)  # the least and the largest table: 8 KB and 32 MB
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -125,50 +124,49 @@ def _find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _terms(text: str, found: list[tuple[str, int, int]], offset: int, words, d: int) -> np.ndarray:
-    """The words of a text, but those inside any entity and very short ones."""
+    """The words of a text, but those inside any entity."""
     lo, hi = int(words.first[d]), int(words.first[d + 1])
     starts, ends, hashes = words.starts[lo:hi] - offset, words.ends[lo:hi] - offset, words.hashes[lo:hi].view(np.int64)
     places = np.array(sorted({p for _, s, e in found for p in (s, e)}))
     pieces = [text[a:b] for a, b in zip([0, *places[:-1]], places, strict=True)]
     at = dict(zip(places.tolist(), np.cumsum([len(x.encode()) for x in pieces]).tolist(), strict=True))
-    free = ends - starts >= MIN_TERM_BYTES
+    free = np.ones(len(starts), bool)
     for _, s, e in found:
         free[np.searchsorted(ends, at[s], "right") : np.searchsorted(starts, at[e], "left")] = False
     return np.unique(hashes[free])
 
 
-def _hits(shared, batch: pa.RecordBatch) -> Iterator[tuple]:
+def _hits(table: np.ndarray, batch: pa.RecordBatch) -> Iterator[tuple]:
     """Words that the bit table lets through: first row, bytes, offsets, words, numbers of the words, their rows."""
-    table = np.unpackbits(np.frombuffer(shared.value, np.uint8), bitorder="little").astype(bool)
+    shift = np.uint64(64 - (len(table) - 1).bit_length())
     for lo, _, buf, offsets in text_slices(batch.column("text")):
         words = split_words(buf, offsets, LETTERS)
-        hit = np.flatnonzero(table[(words.hashes >> np.uint64(64 - TABLE_BITS)).astype(np.int64)])
+        hit = np.flatnonzero(table[(words.hashes >> shift).astype(np.int64)])
         if len(hit):
             yield lo, buf, offsets, words, hit, np.searchsorted(words.first, hit, "right") - 1
 
 
-def _count(shared):
-    """In how many of a batch's documents each term occurs."""
-
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = [np.zeros(0, np.int64)]
-            for _, _, _, words, hit, row in _hits(shared, batch):
-                term, number = np.unique(words.hashes[hit], return_inverse=True)
-                pairs = np.unique(row * len(term) + number.ravel())
-                found.append(term[pairs % len(term)].view(np.int64))
-            terms, n = np.unique(np.concatenate(found), return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(terms), pa.array(n.astype(np.int64))], ["term", "n"])
-
-    return work
+def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """In how many of a batch's documents each word occurs."""
+    for batch in batches:
+        found = [np.zeros(0, np.int64)]
+        for _, _, buf, offsets in text_slices(batch.column("text")):
+            words = split_words(buf, offsets, LETTERS)
+            term, number = np.unique(words.hashes, return_inverse=True)
+            row = np.repeat(np.arange(len(offsets) - 1), words.counts())
+            pairs = np.unique(row * max(len(term), 1) + number.ravel())
+            found.append(term[pairs % max(len(term), 1)].view(np.int64))
+        terms, n = np.unique(np.concatenate(found), return_counts=True)
+        yield pa.RecordBatch.from_arrays([pa.array(terms), pa.array(n.astype(np.int64))], ["term", "n"])
 
 
 def _look_up(shared):
     """Where the terms stand, in code points."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = np.unpackbits(np.frombuffer(shared.value, np.uint8), bitorder="little").astype(bool)
         for batch in batches:
-            for lo, buf, offsets, words, hit, row in _hits(shared, batch):
+            for lo, buf, offsets, words, hit, row in _hits(table, batch):
                 point = np.concatenate([[0], np.cumsum((buf & 0xC0) != 0x80)])  # code points before each byte
                 base = point[offsets[row]]
                 digit = (buf[words.starts[hit]] >= 0x30) & (buf[words.starts[hit]] <= 0x39)
@@ -187,13 +185,15 @@ def _look_up(shared):
 
 
 def _bit_table(terms: DataFrame) -> bytes:
-    """A table of 2**TABLE_BITS bits with one set for each term; at most 2**TABLE_BITS / 64 numbers come back."""
-    bit = F.shiftrightunsigned("term", 64 - TABLE_BITS)
+    """A table with one bit set for each term, 16 bits a term or more as far as the limit allows."""
+    least, most = TABLE_BITS
+    bits = min(most, max(least, (16 * terms.count()).bit_length()))
+    bit = F.shiftrightunsigned("term", 64 - bits)
     one = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.pmod(bit, F.lit(64)).cast("int"))
     cells = terms.groupBy(F.shiftright(bit, 6).alias("cell")).agg(F.bit_or(one).alias("bits"))
-    table = np.zeros((1 << TABLE_BITS) // 64, np.int64)
-    for cell, bits in cells.collect():
-        table[cell] = bits
+    table = np.zeros((1 << bits) // 64, np.int64)
+    for cell, value in cells.toLocalIterator():
+        table[cell] = value
     return table.tobytes()
 
 
@@ -213,18 +213,25 @@ def _beside(found: DataFrame) -> DataFrame:
     return pairs.groupBy("one.entity", "one.n_e", "term").agg(F.sum("docs").alias("n_te"))
 
 
+def bits_left(n_te: Column, n_t: Column) -> Column:
+    """What stays open of an entity for who reads a term: -log2 of the lower bound of its share of n_te / n_t."""
+    p, n, z = n_te / n_t, n_t, F.lit(Z)
+    bound = (p + z * z / (2 * n) - z * F.sqrt(p * (1 - p) / n + z * z / (4 * n * n))) / (1 + z * z / n)
+    return -F.log2(bound)
+
+
 def disclosing_terms(texts: DataFrame, found: DataFrame) -> DataFrame:
-    """(term, given): terms and the largest share of an entity's information that they give away."""
-    spark = texts.sparkSession
-    beside = save_scratch(_beside(found), "beside")
-    shared = spark.sparkContext.broadcast(_bit_table(beside))
-    of_term = texts.select("text").mapInArrow(_count(shared), _COUNTS).groupBy("term").agg(F.sum("n").alias("n_t"))
+    """(term, left): terms that give an entity away, and how many of its bits they leave open.
+
+    Of a term's entities the one that it stands with most often counts. Both sides are summed up by term
+    before they meet, so a word beside very many entities is one row.
+    """
     docs = found.count()
-    both = beside.join(of_term, "term").where(F.col("n_e") < docs)
-    likely = (F.col("n_te") + SMOOTH * F.col("n_e") / docs) / (F.col("n_t") + SMOOTH)
-    holds, gives = F.log2(F.lit(docs) / F.col("n_e")), F.log2(F.lit(docs) * likely / F.col("n_e"))
-    given = both.groupBy("term").agg(F.max(gives / holds).alias("given"))
-    return given.where(F.col("given") >= DISCLOSURE)
+    beside = _beside(found).where(F.col("n_e") < docs).groupBy("term").agg(F.max("n_te").alias("n_te"))
+    of_term = texts.select("text").mapInArrow(_count, _COUNTS).groupBy("term").agg(F.sum("n").alias("n_t"))
+    both = save_scratch(beside, "beside").join(of_term, "term")
+    left = both.select("term", bits_left(F.col("n_te"), F.col("n_t")).alias("left"))
+    return left.where(F.col("left") <= DISCLOSURE)
 
 
 def personal_spans(docs: DataFrame) -> DataFrame:
@@ -240,7 +247,7 @@ def personal_spans(docs: DataFrame) -> DataFrame:
     told = save_scratch(disclosing_terms(texts, found), "disclosing")
     shared = spark.sparkContext.broadcast(_bit_table(told))
     terms = texts.mapInArrow(_look_up(shared), _SEEN).join(told, "term").distinct()
-    action = F.when(F.col("given") >= REMOVE, "remove").when(F.col("digits"), "number").otherwise("word")
+    action = F.when(F.col("left") <= REMOVE, "remove").when(F.col("digits"), "number").otherwise("word")
     span = F.struct(F.lit("term").alias("kind"), "start", "end", action.alias("action"))
     terms = terms.groupBy("doc_id", "copy").agg(F.array_sort(F.collect_list(span)).alias("terms"))
     right = terms.select(F.struct("doc_id", "copy").alias("key"), "terms")
@@ -249,29 +256,37 @@ def personal_spans(docs: DataFrame) -> DataFrame:
     return rows.select("doc_id", "copy", F.concat("spans", F.coalesce(own, F.array().cast(f"array<{SPAN}>"))).alias("spans"))
 
 
-def _replaced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        out = []
-        for text, spans in zip(batch.column("text").to_pylist(), batch.column("personal_spans").to_pylist(), strict=True):
-            parts, at = [], 0
-            for s in sorted(spans or [], key=lambda s: (s["start"], -s["end"])):
-                if s["end"] <= at:
-                    continue
-                if s["start"] >= at:
-                    parts.append(text[at : s["start"]])
-                    if s["action"] != "remove":
-                        parts.append(f"[{(s['kind'] if s['action'] == 'replace' else s['action']).upper()}]")
-                at = s["end"]
-            out.append("".join([*parts, text[at:]]) if spans else text)
-        columns = [pa.array(out, pa.string()) if c == "text" else batch.column(c) for c in batch.schema.names if c != "personal_spans"]
-        yield pa.RecordBatch.from_arrays(columns, [c for c in batch.schema.names if c != "personal_spans"])
+def _replaced(spans_column: str):
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for text, spans in zip(batch.column("text").to_pylist(), batch.column(spans_column).to_pylist(), strict=True):
+                parts, at = [], 0
+                for s in sorted(spans or [], key=lambda s: (s["start"], -s["end"])):
+                    if s["end"] <= at:
+                        continue
+                    if s["start"] >= at:
+                        parts.append(text[at : s["start"]])
+                        if s["action"] != "remove":
+                            parts.append(f"[{(s['kind'] if s['action'] == 'replace' else s['action']).upper()}]")
+                    at = s["end"]
+                out.append("".join([*parts, text[at:]]) if spans else text)
+            names = [c for c in batch.schema.names if c != spans_column]
+            yield pa.RecordBatch.from_arrays([pa.array(out, pa.string()) if c == "text" else batch.column(c) for c in names], names)
+
+    return work
 
 
 def sanitise(docs: DataFrame) -> DataFrame:
-    """The documents with their spans replaced, generalised or removed; all columns, n_chars follows the text."""
+    """The documents with their spans replaced, generalised or removed; all columns, n_chars follows the text.
+
+    Other columns may have any names.
+    """
+    mark = "_" * max(len(c) for c in docs.columns)  # longer than any name of the table with it
+    name_key, name_spans = f"personal_key{mark}", f"personal_spans{mark}"
     some = personal_spans(docs).where(F.size("spans") > 0).dropDuplicates(["doc_id", "copy"])
-    right = some.select(F.struct("doc_id", "copy").alias("personal_key"), F.col("spans").alias("personal_spans"))
+    right = some.select(F.struct("doc_id", "copy").alias(name_key), F.col("spans").alias(name_spans))
     key = F.struct(docs["doc_id"].cast("bigint").alias("doc_id"), F.xxhash64(docs["text"]).alias("copy"))
-    rows = docs.join(right, key.eqNullSafe(F.col("personal_key")), "left").drop("personal_key")
-    out = rows.mapInArrow(_replaced, docs.schema)
+    rows = docs.join(right, key.eqNullSafe(F.col(name_key)), "left").drop(name_key)
+    out = rows.mapInArrow(_replaced(name_spans), docs.schema)
     return out.withColumn("n_chars", F.length("text").cast("bigint")) if "n_chars" in docs.columns else out
