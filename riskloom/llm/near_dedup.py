@@ -269,9 +269,12 @@ def drop_near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) ->
     judged = near_duplicates(docs, width, percent).groupBy("doc_id", "copy").agg(F.min("kept").alias("kept"), F.count("*").alias("rows"))
     judged = save_scratch(judged.where("doc_id IS NOT NULL AND (NOT kept OR rows > 1)"), "judged")
     key = F.struct(docs["doc_id"].cast("bigint").alias("doc_id"), F.xxhash64(docs["text"]).alias("copy"))
-    some = lambda condition: judged.where(condition).select(F.struct("doc_id", "copy").alias("near_key"))
-    alone = docs.join(some("TRUE"), key == F.col("near_key"), "left_anti")
-    repeated = docs.join(some("kept"), key == F.col("near_key"), "left_semi").dropDuplicates(["doc_id", "text"])
+    name = "near_key"
+    while name in docs.columns:
+        name += "_"
+    some = lambda condition: judged.where(condition).select(F.struct("doc_id", "copy").alias(name))
+    alone = docs.join(some("TRUE"), key == F.col(name), "left_anti")
+    repeated = docs.join(some("kept"), key == F.col(name), "left_semi").dropDuplicates(["doc_id", "text"])
     return alone.unionAll(repeated)
 
 
