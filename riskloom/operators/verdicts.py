@@ -6,10 +6,11 @@ expected comes from the inputs: rows by geo, feature lists, cut-offs; nothing ha
 
 from __future__ import annotations
 
+from collections import defaultdict
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import Column
+from pyspark.sql import Column, Observation
 from pyspark.sql import functions as F
 
 BUCKETS = ("RED", "AMBER", "GREEN")
@@ -29,9 +30,15 @@ def _named(geos: list[str], metrics: Callable[[str], dict[str, Column]]) -> list
     return [column.alias(f"{name}_{k}") for k, geo in enumerate(geos) for name, column in metrics(geo).items()]
 
 
+def metrics_of(observation: Observation) -> dict:
+    """What was observed; nothing where Spark knew that there were no rows and left the node out."""
+    found = observation._jo.getAsJava()
+    return {name: found[name] for name in found}
+
+
 def by_geo(geos: list[str], observed: dict) -> dict[str, dict]:
-    """Observed metrics as geo -> name -> value."""
-    out: dict[str, dict] = {g: {} for g in geos}
+    """Observed metrics as geo -> name -> value, 0 where nothing was observed."""
+    out: dict[str, dict] = {g: defaultdict(int) for g in geos}
     for key, value in observed.items():
         name, _, k = key.rpartition("_")
         if k.isdigit():

@@ -21,7 +21,7 @@ from riskloom.operators.feed import ews_feed, ews_summary
 from riskloom.operators.quality import KEY, duplicate_keys, gate_required
 from riskloom.operators.risk import employee_risk, variable_risk
 from riskloom.operators.routing import calibration_rows, history_rows
-from riskloom.operators.verdicts import Verdict, by_geo, employee_metrics, held_back, input_metrics, judge, totals, variable_metrics
+from riskloom.operators.verdicts import Verdict, by_geo, employee_metrics, held_back, input_metrics, judge, metrics_of, totals, variable_metrics
 from riskloom.plans.inputs import Inputs
 from riskloom.sources.scratch import collect_config, fix_small, local_table, save_scratch
 from riskloom.sources.tables import append_rows, drop_versions, latest_by, read_table, releases, switch_month, versions, write_version
@@ -126,10 +126,8 @@ def monthly_run(
     quarantined = quarantined.withColumn("run_id", F.lit(run_id)).withColumn("quarantined_at", stamp)
     quarantined.write.mode("overwrite").parquet(f"{warehouse}/quarantined_keys/YEAR_MONTH={month}")
 
-    metrics = {g: {} for g in fitted}
-    for observation in seen.values():
-        for geo, values in by_geo(fitted, observation.get).items():
-            metrics[geo] |= values
+    observed = {key: value for observation in seen.values() for key, value in metrics_of(observation).items()}
+    metrics = by_geo(fitted, observed)
     per_geo = {g: m["n"] for g, m in metrics.items() if m["n"]}
     parts = {"cut-offs": dict.fromkeys(cutoffs, 1), "drivers": _rows_by_geo(drivers)}
     lost = _lost(fitted, {g: m["want"] for g, m in metrics.items()}, per_geo, parts)
@@ -152,7 +150,7 @@ def monthly_run(
     table = _verdict_table(spark, run_id, month, verdicts, started)
     append_rows(table, warehouse, "run_checks")
     switch_month(spark, warehouse, run_id, month, {**dict.fromkeys(released, True), **dict.fromkeys([*empty, *gone], False)}, datetime.now(timezone.utc))
-    unrouted = seen["input"].get["unrouted"]
+    unrouted = observed.get("unrouted", 0)
     _log(spark, warehouse, run_id, month, sorted(lists), per_geo, failed, lost, held, unrouted, time.monotonic() - clock, started)
     return MonthlyRun(run_id, month, started, checks, table.drop("run_id", "YEAR_MONTH", "checked_at"), released, {**failed, **lost}, unrouted)
 
