@@ -50,6 +50,33 @@ def _psi() -> str:
           FROM ({" UNION ALL ".join(parts)}) GROUP BY 1, 2)) GROUP BY 1"""
 
 
+def _sketched() -> str:
+    """The same index from all values: cuts at the base months' deciles, shares counted."""
+    cuts = "[" + ", ".join(f"{k / 10}" for k in range(1, 10)) + "]"
+    parts = []
+    for c in NUMERIC:
+        parts.append(
+            f"""SELECT '{c}' AS feature, YEAR_MONTH <> {MONTH} AS base, CASE WHEN {c} IS NULL THEN -1 ELSE len(list_filter(cuts, lambda x: x < {c}::DOUBLE)) END AS bin
+              FROM mf, (SELECT list_distinct(quantile_disc({c}::DOUBLE, {cuts})) AS cuts FROM mf WHERE YEAR_MONTH IN (200003, 200004))
+              WHERE YEAR_MONTH IN (200003, 200004, {MONTH})"""
+        )
+    return f"""SELECT feature, sum(b)::BIGINT AS n_base, sum(n)::BIGINT AS n_now, round(sum((q - p) * ln(q / p)), 4) AS psi FROM (
+        SELECT *, greatest(b / sum(b) OVER (PARTITION BY feature), 0.0001::DOUBLE) AS p,
+          greatest(n / sum(n) OVER (PARTITION BY feature), 0.0001::DOUBLE) AS q FROM (
+          SELECT feature, bin, count(*) FILTER (WHERE base) AS b, count(*) FILTER (WHERE NOT base) AS n FROM ({" UNION ALL ".join(parts)}) GROUP BY 1, 2))
+        GROUP BY 1"""
+
+
+def _families(min_rows: int, length: int) -> str:
+    """Codes rolled up level by level, each level what the ones before left."""
+    steps = ["l0 AS (SELECT CUST_NAME AS code, count(*) AS n, NULL::VARCHAR AS family FROM fs WHERE CUST_NAME IS NOT NULL GROUP BY 1)"]
+    for k, size in enumerate(range(length, 0, -1)):
+        held = f"sum(CASE WHEN family IS NULL THEN n END) OVER (PARTITION BY left(code, {size})) >= {min_rows}"
+        steps.append(f"l{k + 1} AS (SELECT code, n, CASE WHEN family IS NULL AND {held} THEN left(code, {size}) ELSE family END AS family FROM l{k})")
+    return f"""SELECT * FROM (WITH {", ".join(steps)} SELECT coalesce(family, '') AS family, count(*) AS codes, sum(n)::BIGINT AS n_rows
+        FROM l{length} GROUP BY 1)"""
+
+
 def _corr() -> str:
     return " UNION ALL ".join(
         f"SELECT '{c}' AS feature, round(corr({c}::DOUBLE, target::DOUBLE), 4) AS correlation FROM mf WHERE target IS NOT NULL"
@@ -546,6 +573,12 @@ BODIES = {
         LEFT JOIN (SELECT n_name, r_name FROM nation JOIN region ON r_regionkey = n_regionkey WHERE r_name <> 'ASIA') f ON f.n_name = fs.NATION_NAME
         GROUP BY 1""",
     "drift_psi": _psi(),
+    "drift_sketches": _sketched(),
+    "learnt_families": _families(300, 18),
+    "feature_list_changes": """SELECT coalesce(a.geo, b.geo) AS geo, count(a.geo) AS n_before, count(b.geo) AS n_after,
+        bool_and(a.geo IS NOT NULL AND b.geo IS NOT NULL) AS unchanged FROM selected a FULL JOIN (
+          SELECT geo, feature FROM selected WHERE NOT (geo = 'EUR' AND feature = 'TOTAL_QTY')
+          UNION ALL SELECT 'IND', feature FROM selected WHERE geo = 'MEA') b ON a.geo = b.geo AND a.feature = b.feature GROUP BY 1""",
     "score_drift": f"""SELECT geo, count(*) FILTER (WHERE YEAR_MONTH = 200103) AS n_base, count(*) FILTER (WHERE YEAR_MONTH = {MONTH}) AS n_now,
         round(avg(CASE WHEN YEAR_MONTH = {MONTH} THEN risk_score END) - avg(CASE WHEN YEAR_MONTH = 200103 THEN risk_score END), 4) AS score_change,
         round({_share(str(MONTH), "RED")} - {_share("200103", "RED")}, 4) AS red_share_change,

@@ -187,3 +187,17 @@ def config_guard(geos: DataFrame, selected: DataFrame, rules: DataFrame) -> None
     found = collect_config(config_problems(geos, selected, rules).orderBy("geo", "problem"))
     if found:
         raise ConfigError("; ".join(r.problem for r in found))
+
+
+def list_changes(before: DataFrame, after: DataFrame) -> DataFrame:
+    """Feature lists (geo, feature) of two configurations, compared per geo: sizes, and whether they are the same.
+
+    A full outer join of the pairs; a geo that only one side knows has the size 0 on the other.
+    """
+    pair = ["geo", "feature"]
+    old = before.select(*pair).distinct().withColumn("was", F.lit(True))
+    new = after.select(*pair).distinct().withColumn("is", F.lit(True))
+    both = F.col("was").isNotNull() & F.col("is").isNotNull()
+    return old.join(new, pair, "full").groupBy("geo").agg(
+        F.count("was").alias("n_before"), F.count("is").alias("n_after"), F.bool_and(both).alias("unchanged")
+    )

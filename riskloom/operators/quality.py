@@ -10,7 +10,7 @@ from pyspark.sql.types import DataType, NumericType, StringType
 from riskloom.errors import QualityError
 from riskloom.functions.dates import days_before, month_end, text_to_date
 from riskloom.functions.drivers import number_text
-from riskloom.sources.scratch import fix_small, local_table
+from riskloom.sources.scratch import fix_small, local_table, save_scratch
 
 KEY = ["EMP_ID", "YEAR_MONTH"]
 
@@ -185,6 +185,32 @@ def map_codes(df: DataFrame, column: str, families: DataFrame, unknown: str = "O
     return joined.withColumn(column, F.coalesce("family", F.lit(unknown))).drop("family").select(*df.columns)
 
 
+def learn_families(df: DataFrame, column: str, min_rows: int, max_length: int = 32) -> DataFrame:
+    """(code, n_rows, family) for every code: families are beginnings that stand for enough rows.
+
+    A code of ``min_rows`` rows is a family. The rows of all others are rolled up, a character at a time, to the
+    beginning that they share, until that holds ``min_rows``; what is left at the end has the family ''. So a family
+    never holds the rows of a longer one. Only rows per code are shuffled, and every level but those of the
+    codes left reads less. Codes beyond ``max_length`` characters count by their beginning.
+    """
+    counts = df.filter(F.col(column).isNotNull()).groupBy(F.substring(column, 1, max_length).alias("code")).agg(F.count(F.lit(1)).alias("n_rows"))
+    left = save_scratch(counts, "codes")
+    length = left.agg(F.max(F.length("code"))).first()[0] or 0
+    found = []
+    for size in range(length, 0, -1):
+        reach = left.withColumn("family", F.substring("code", 1, size))
+        enough = reach.groupBy("family").agg(F.sum("n_rows").alias("rows")).filter(F.col("rows") >= min_rows).select("family")
+        enough = save_scratch(enough, "families")
+        if enough.isEmpty():
+            continue
+        found.append(save_scratch(reach.join(enough, "family").select("code", "n_rows", "family"), "learnt"))
+        left = save_scratch(reach.join(enough, "family", "left_anti").select("code", "n_rows"), "codes")
+    out = left.withColumn("family", F.lit(""))
+    for part in found:
+        out = out.unionByName(part)
+    return out
+
+
 def fairness_rates(predictions: DataFrame, group: str) -> DataFrame:
     """Bucket shares and real event rates per group, against the whole population."""
     flagged = F.col("risk_bucket").isin("RED", "AMBER")

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from riskloom.functions.dates import shift_month
 from riskloom.models.families import ScorecardFamily, model_inputs
-from riskloom.operators import buckets, checks, drift, evaluate, features, feed, quality, risk, routing
+from riskloom.operators import buckets, checks, drift, evaluate, features, feed, quality, risk, routing, sketches
 from riskloom.operators.scorecard import Scorecard, Weight, score_with
 from riskloom.plans import scenarios
 from riskloom.plans.backtest import top_drivers, trade_off
@@ -344,6 +344,30 @@ def column_profile(spark, sf):
     return quality.column_profile(snap.feature_store(spark, sf))
 
 
+def drift_sketches(spark, sf):
+    """Drift of the scoring month against two earlier ones, from sketches that were stored month by month."""
+    path = f"{scratch_dir(spark)}/sketches-{uuid.uuid4().hex}"
+    for month in (200003, 200004, MONTH):
+        sketches.store_sketches(prepared(spark, sf).filter(F.col("YEAR_MONTH") == month), NUMERIC, path)
+    return rounded(sketches.quantile_drift(sketches.read_sketches(spark, path), [200003, 200004], [MONTH]), "psi")
+
+
+def learnt_families(spark, sf):
+    """Customer names, nearly as many as customers, as families that hold enough rows."""
+    store = snap.feature_store(spark, sf)
+    found = quality.learn_families(store, "CUST_NAME", 300)
+    return found.groupBy("family").agg(F.count(F.lit(1)).alias("codes"), F.sum("n_rows").alias("n_rows"))
+
+
+def feature_list_changes(spark, sf):
+    """Feature lists before and after a flag is switched off in one geo and a geo is added."""
+    i = inputs(spark, sf)
+    config = features.add_geo_column(features.set_flag(i.feature_config, "TOTAL_QTY", "EUR", 0), "IND", "MEA")
+    names = [*features.geo_names(i.geo_config), "IND"]
+    after = features.selected_features(features.feature_flags(config, names), i.features(), i.exclusions)
+    return features.list_changes(i.selected(), after)
+
+
 def target_correlation(spark, sf):
     return rounded(quality.target_correlation(prepared(spark, sf), NUMERIC + snap.DATE_COLUMNS), "correlation")
 
@@ -590,6 +614,9 @@ EXACT = {
     "target_correlation": target_correlation,
     "code_families": code_families,
     "drift_psi": drift_psi,
+    "drift_sketches": drift_sketches,
+    "learnt_families": learnt_families,
+    "feature_list_changes": feature_list_changes,
     "score_drift": score_drift,
     "bucket_stability": bucket_stability,
     "driver_drift": driver_drift,

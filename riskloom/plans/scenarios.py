@@ -17,6 +17,7 @@ from riskloom.operators.features import (
     drop_geo_column,
     feature_lists,
     insert_rows,
+    list_changes,
     set_flag,
 )
 from riskloom.operators.routing import route_to_geos
@@ -74,6 +75,9 @@ def new_geo(inputs: Inputs, geo: str, like: str) -> DataFrame:
         rules=delete_rows(grown.rules, F.col("geo") == geo),
     )
     restored = shrunk.checked_lists()
+    lists = grown.selected()
+    named = lambda g: lists.filter(F.col("geo") == g).withColumn("geo", F.lit(geo))
+    same = list_changes(named(like), named(geo)).first()
     flags = shrunk.feature_config.count() * len(restored)
     homeless = inputs.features().select("EMP_ID", F.lit(None).cast("string").alias("GEO"))
     routed = route_to_geos(homeless, sorted(after)).agg(
@@ -83,10 +87,10 @@ def new_geo(inputs: Inputs, geo: str, like: str) -> DataFrame:
     return literal_rows(
         spark,
         [
-            ("M201", "geos before", str(len(before)), str(len(before))),
+            ("M201", "geos before", str(inputs.geo_config.count()), str(len(before))),
             ("M202", f"geos with {geo}", str(len(before) + 1), str(len(after))),
             ("M203", f"{geo} features", str(len(before[like])), str(len(after.get(geo, [])))),
-            ("M204", f"{geo} list equals {like}", "true", str(after.get(geo) == after[like]).lower()),
+            ("M204", f"{geo} list equals {like}", "true", str(bool(same and same.unchanged)).lower()),
             ("M205", f"{like} unchanged", str(len(before[like])), str(len(after[like]))),
             ("M206", "geos after removal", str(len(before)), str(len(restored))),
             ("M207", "flags after removal", str(expected_flags), str(flags)),

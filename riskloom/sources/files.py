@@ -24,17 +24,20 @@ SPARK_TYPES = {
 }
 
 
+def _whole_text(path: str) -> str:
+    """A small file by any path that Spark reads; it needs a session."""
+    return SparkSession.active().read.text(path, wholetext=True).first().value
+
+
 def schema_from_json(path: str) -> T.StructType:
     """Read a list of {"name", "type"} objects as a StructType."""
-    with open(path, encoding="utf-8") as handle:
-        fields = json.load(handle)
+    fields = json.loads(_whole_text(path))
     return T.StructType([T.StructField(f["name"], SPARK_TYPES[f["type"].upper()]) for f in fields])
 
 
 def schema_from_text(path: str) -> T.StructType:
     """Read the one-line form ``name:TYPE,name:TYPE`` as a StructType."""
-    with open(path, encoding="utf-8") as handle:
-        pairs = [item.split(":") for item in handle.read().strip().split(",")]
+    pairs = [item.split(":") for item in _whole_text(path).strip().split(",")]
     return T.StructType([T.StructField(name.strip(), SPARK_TYPES[kind.strip().upper()]) for name, kind in pairs])
 
 

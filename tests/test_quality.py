@@ -1,5 +1,7 @@
 import math
 
+import numpy as np
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -161,3 +163,56 @@ def test_scratch_needs_a_shared_folder_on_a_cluster():
     assert scratch_dir(session("local[2]", None)).startswith(LOCAL_DIR)
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         scratch_dir(session("yarn", None))
+
+
+def test_drift_from_sketches_is_within_the_rank_error(spark, tmp_path):
+    """700 columns, two periods, one of two months: close to the index of all values, from stored sketches only."""
+    from riskloom.operators.sketches import quantile_drift, read_sketches, store_sketches
+
+    names = [f"f{k:03d}" for k in range(700)]
+    value = lambda k: F.when(F.col("id") % 17 != k % 17, (F.xxhash64("id", F.lit(k)) % 1000 + F.col("m") * (k % 5) * 40).cast("double"))
+    rows = spark.range(3000).withColumn("m", F.floor(F.col("id") / 1000))
+    wide = rows.select((F.lit(202401) + F.col("m")).cast("long").alias("YEAR_MONTH"), *[value(k).alias(n) for k, n in enumerate(names)]).cache()
+    path = str(tmp_path / "sketches")
+    store_sketches(wide.filter(F.col("YEAR_MONTH") < 202403), names, path)
+    store_sketches(wide.filter(F.col("YEAR_MONTH") == 202403), names, path)
+    found = {r.feature: r for r in quantile_drift(read_sketches(spark, path), [202401, 202402], [202403]).collect()}
+    assert len(found) == 700 and all(r.n_base == 2000 and r.n_now == 1000 for r in found.values())
+    assert set(read_sketches(spark, path).columns) == {"feature", "n_rows", "n_filled", "sketch", "YEAR_MONTH"}  # all that it reads
+    data = wide.select("YEAR_MONTH", *names[:20]).toPandas()
+    for name in names[:20]:
+        base, now = data[data.YEAR_MONTH < 202403][name], data[data.YEAR_MONTH == 202403][name]
+        cuts = np.unique(base.dropna().quantile([k / 10 for k in range(1, 10)], interpolation="lower"))
+        share = lambda x: np.maximum(np.append(np.histogram(x.dropna(), [-np.inf, *np.nextafter(cuts, np.inf), np.inf])[0], x.isna().sum()) / len(x), 1e-4)
+        p, q = share(base), share(now)
+        assert abs(found[name].psi - ((q - p) * np.log(q / p)).sum()) < 0.02
+    wide.unpersist()
+
+
+def test_drift_of_empty_and_constant_columns(spark, tmp_path):
+    from riskloom.operators.sketches import quantile_drift, read_sketches, store_sketches
+
+    rows = [(1, None, 5.0, float("nan")), (1, None, 5.0, 1.0), (2, None, 5.0, None), (2, 3.0, 5.0, 1.0)]
+    store_sketches(spark.createDataFrame(rows, "YEAR_MONTH long, none double, same double, odd double"), ["none", "same", "odd"], str(tmp_path / "s"))
+    found = {r.feature: r.psi for r in quantile_drift(read_sketches(spark, str(tmp_path / "s")), [1], [2]).collect()}
+    assert found["same"] == 0 and found["odd"] == 0 and found["none"] > 1
+
+
+def test_families_are_the_longest_beginnings_with_enough_rows(spark):
+    from riskloom.operators.quality import learn_families
+
+    codes = ["AB1"] * 6 + ["AB2"] * 2 + ["AB3"] * 3 + ["AC1"] * 1 + ["B"] * 1 + [None] * 9 + [""] * 2
+    df = spark.createDataFrame([(c,) for c in codes], "code string")
+    found = {r.code: r.family for r in learn_families(df, "code", 5).collect()}
+    assert found == {"AB1": "AB1", "AB2": "AB", "AB3": "AB", "AC1": "", "B": "", "": ""}
+    assert learn_families(df.limit(0), "code", 5).count() == 0
+
+
+def test_feature_lists_are_compared_as_relations(spark):
+    from riskloom.operators.features import list_changes
+
+    pairs = lambda *x: spark.createDataFrame(x, "geo string, feature string")
+    before = pairs(("A", "x"), ("A", "y"), ("B", "x"), ("C", "z"))
+    after = pairs(("A", "y"), ("A", "x"), ("B", "y"), ("D", "z"))
+    found = {r.geo: (r.n_before, r.n_after, r.unchanged) for r in list_changes(before, after).collect()}
+    assert found == {"A": (2, 2, True), "B": (1, 1, False), "C": (1, 0, False), "D": (0, 1, False)}
