@@ -95,7 +95,6 @@ def op6_suffix_decontamination(spark: SparkSession, sf: str) -> DataFrame:
         F.size(items).cast("bigint").alias("n_items"),
         F.sha2(F.array_join(items, ","), 256).alias("items_sha256"),
         contaminated().alias("contaminated"),
-        "matches",
     )
 
 
@@ -240,4 +239,122 @@ SELECT page_id, n::BIGINT AS payload_bytes, sha1(html) AS payload_digest,
 FROM p LEFT JOIN o USING (html)
 """
 
-ORACLE: dict[str, str] = {"op9_warc_chunks": OP9_SQL, "op1_chat_format": OP1_SQL, "op10_line_frequency": OP10_SQL}
+OP2_SQL = r"""
+WITH RECURSIVE d AS (
+    SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws
+    FROM documents
+), sets AS (
+    SELECT DISTINCT r, array_to_string(ws[i:i + 2], ' ') AS g FROM (SELECT r, ws, unnest(range(1, greatest(len(ws) - 1, 2))) AS i FROM d WHERE len(ws) > 0)
+), sizes AS (
+    SELECT r, doc_id, count(g) AS n FROM d LEFT JOIN sets USING (r) GROUP BY 1, 2
+), common AS (
+    SELECT a.r AS a, b.r AS b, count(*) AS n FROM sets a JOIN sets b ON a.g = b.g AND a.r <> b.r GROUP BY 1, 2
+), links AS (
+    SELECT x.doc_id AS a, y.doc_id AS b FROM common c JOIN sizes x ON x.r = c.a JOIN sizes y ON y.r = c.b WHERE 100 * c.n >= 85 * (x.n + y.n - c.n)
+), reach AS (
+    SELECT doc_id AS node, doc_id AS to_id FROM d UNION SELECT node, b FROM reach JOIN links ON a = to_id
+)
+SELECT doc_id, n AS n_shingles, component_id, doc_id = component_id AS kept
+FROM sizes JOIN (SELECT node AS doc_id, min(to_id) AS component_id FROM reach GROUP BY 1) USING (doc_id)
+"""
+
+OP6_SQL = r"""
+WITH w AS (
+    SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws
+    FROM documents
+), b AS (
+    SELECT item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws
+    FROM benchmark
+), k AS (
+    SELECT item_id, ws, least(13, len(ws)) AS width FROM b WHERE len(ws) > 0
+), item AS (
+    SELECT DISTINCT item_id, width, array_to_string(ws[i:i + width - 1], ' ') AS g FROM (SELECT *, unnest(range(1, len(ws) - width + 2)) AS i FROM k)
+), here AS (
+    SELECT r, i, width, array_to_string(ws[i:i + width - 1], ' ') AS g
+    FROM (SELECT r, ws, width, unnest(range(1, len(ws) - width + 2)) AS i FROM w, (SELECT DISTINCT width FROM k) WHERE len(ws) >= width)
+), hit AS (
+    SELECT DISTINCT r, i, width, item_id FROM here JOIN item USING (width, g)
+), words AS (
+    SELECT r, count(DISTINCT p) AS n FROM (SELECT r, unnest(range(i, i + width)) AS p FROM hit) GROUP BY 1
+), items AS (
+    SELECT r, count(DISTINCT item_id) AS n, string_agg(DISTINCT CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR)) AS ids FROM hit GROUP BY 1
+)
+SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(words.n, 0)::BIGINT AS n_hit, coalesce(items.n, 0)::BIGINT AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+    coalesce(words.n, 0) > 0 AND 20 * coalesce(words.n, 0) >= len(ws) AS contaminated
+FROM w LEFT JOIN words USING (r) LEFT JOIN items USING (r)
+"""
+
+OP8_SQL = r"""
+WITH w AS (
+    SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents
+), windows AS (
+    SELECT r, i, md5(array_to_string(ws[i:i + 34], ' ')) AS g FROM (SELECT r, ws, unnest(range(1, len(ws) - 33)) AS i FROM w)
+), covered AS (
+    SELECT DISTINCT r, unnest(range(i, i + 35)) AS p FROM windows JOIN (SELECT g FROM windows GROUP BY g HAVING count(*) > 1) USING (g)
+), gone AS (
+    SELECT r, count(*) AS n, count(*) FILTER (WHERE before IS DISTINCT FROM p - 1) AS runs, list(p) AS at
+    FROM (SELECT *, lag(p) OVER (PARTITION BY r ORDER BY p) AS before FROM covered) GROUP BY r
+), words AS (
+    SELECT r, unnest(ws) AS word, unnest(range(1, len(ws) + 1)) AS p FROM w
+), kept AS (
+    SELECT r, string_agg(word, ' ' ORDER BY p) AS text FROM words ANTI JOIN covered USING (r, p) GROUP BY r
+)
+SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(gone.n, 0)::BIGINT AS n_removed, sha256(coalesce(kept.text, '')) AS kept_sha256, coalesce(runs, 0)::BIGINT AS n_intervals
+FROM w LEFT JOIN gone USING (r) LEFT JOIN kept USING (r)
+"""
+
+OP12_SQL = r"""
+WITH d AS (
+    SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS t FROM documents
+), g AS (
+    SELECT t, min(doc_id) AS keep_id, count(*) AS group_size FROM d GROUP BY t
+)
+SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(t) AS text_sha256 FROM d JOIN g USING (t)
+"""
+
+#: CRC-32 of a decimal number, a bit at a time.
+_CRC = """xor(list_reduce(list_prepend(4294967295::BIGINT, flatten(list_transform(string_split(CAST({0} AS VARCHAR), ''), lambda c: [ord(c)::BIGINT, 0, 0, 0, 0, 0, 0, 0]))),
+    lambda a, e: xor(xor(a, e) >> 1, (xor(a, e) & 1) * 3988292384::BIGINT)), 4294967295::BIGINT)"""
+
+OP11_SQL = r"""
+WITH t AS (
+    SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS pos, md5(concat(length(role), ':', role, text)) AS id,
+        len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) AS words
+    FROM (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL)
+), c AS (
+    SELECT conv_id, conv_id - conv_id % 20 AS base, CRC % 4 AS h FROM (SELECT DISTINCT conv_id FROM t)
+), rebuilt AS (
+    SELECT c.conv_id, 0 AS part, t.pos, id, words FROM c JOIN t ON t.conv_id = base AND pos <= h
+    UNION ALL SELECT c.conv_id, 1, t.pos, id, words FROM c JOIN t ON t.conv_id = c.conv_id AND pos > h
+), p AS (
+    SELECT c.conv_id, coalesce(list(id ORDER BY part, pos) FILTER (WHERE id IS NOT NULL), []) AS ids,
+        coalesce(list(words ORDER BY part, pos) FILTER (WHERE id IS NOT NULL), []) AS ws
+    FROM c LEFT JOIN rebuilt r ON r.conv_id = c.conv_id GROUP BY 1
+), steps AS (
+    SELECT conv_id, d, md5(array_to_string(ids[1:d], ',')) AS k, md5(array_to_string(ids[1:d - 1], ',')) AS up, CASE WHEN d > 0 THEN ws[d] ELSE 0 END AS w, d = len(ids) AS ends
+    FROM (SELECT *, unnest(range(0, len(ids) + 1)) AS d FROM p)
+), nodes AS (
+    SELECT d, k, any_value(up) AS up, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(w) AS w,
+        string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE ends) AS ended
+    FROM steps GROUP BY 1, 2
+), children AS (
+    SELECT d - 1 AS d, up AS k, count(*) AS n FROM nodes WHERE d > 0 GROUP BY 1, 2
+), valued AS (
+    SELECT nodes.*, coalesce(children.n, 0) AS n_children FROM nodes LEFT JOIN children USING (d, k)
+), above AS (
+    SELECT s.d, s.k, count(*) FILTER (WHERE n_children = 0) AS n_leaves, sum((n_convs - 1) * v.w) AS saved FROM valued v JOIN steps s ON s.conv_id = v.conv_id AND s.d <= v.d GROUP BY 1, 2
+)
+SELECT v.conv_id, v.d AS depth, u.conv_id AS parent_conv_id, v.n_convs, v.n_children, n_leaves, saved::BIGINT AS saved_tokens, sha256(coalesce(v.ended, '')) AS ends_sha256
+FROM valued v JOIN above USING (d, k) LEFT JOIN nodes u ON u.d = v.d - 1 AND u.k = v.up
+""".replace("CRC", _CRC.format("conv_id"))
+
+ORACLE: dict[str, str] = {
+    "op9_warc_chunks": OP9_SQL,
+    "op1_chat_format": OP1_SQL,
+    "op10_line_frequency": OP10_SQL,
+    "op2_near_duplicates": OP2_SQL,
+    "op6_suffix_decontamination": OP6_SQL,
+    "op8_repeated_windows": OP8_SQL,
+    "op11_prefix_trie": OP11_SQL,
+    "op12_exact_duplicates": OP12_SQL,
+}

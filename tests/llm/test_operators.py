@@ -64,7 +64,7 @@ def empty(spark):
 @pytest.fixture(scope="module")
 def duck():
     con = duckdb.connect()
-    for table in ("documents", "pages", "conversations"):
+    for table in ("documents", "pages", "conversations", "benchmark"):
         con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF}/{table}.parquet'")
     return con
 
