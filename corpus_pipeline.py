@@ -47,7 +47,7 @@ STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] =
     ("packing", packing),
 ]
 
-#: Signatures and tokenizers aren't expressible in SQL; the tests compare with a plain version.
+#: Signatures and tokenizers aren't expressible in SQL; the tests run all stages on planted documents.
 ORACLE_SQL = None
 
 
