@@ -246,10 +246,11 @@ def personal_spans(docs: DataFrame) -> DataFrame:
     found = save_scratch(texts.mapInArrow(_find, _FOUND), "personal")
     told = save_scratch(disclosing_terms(texts, found), "disclosing")
     shared = spark.sparkContext.broadcast(_bit_table(told))
-    terms = texts.mapInArrow(_look_up(shared), _SEEN).join(told, "term").distinct()
+    terms = texts.mapInArrow(_look_up(shared), _SEEN).join(told, "term")
     action = F.when(F.col("left") <= REMOVE, "remove").when(F.col("digits"), "number").otherwise("word")
     span = F.struct(F.lit("term").alias("kind"), "start", "end", action.alias("action"))
-    terms = terms.groupBy("doc_id", "copy").agg(F.array_sort(F.collect_list(span)).alias("terms"))
+    # a set, because repeated rows find theirs again; nothing keeps a word of very many places in one task
+    terms = terms.groupBy("doc_id", "copy").agg(F.array_sort(F.collect_set(span)).alias("terms"))
     right = terms.select(F.struct("doc_id", "copy").alias("key"), "terms")
     rows = found.drop("entities", "terms").join(right, F.struct("doc_id", "copy").eqNullSafe(F.col("key")), "left")
     own = F.filter("terms", lambda t: ~F.exists("spans", lambda s: (s["start"] < t["end"]) & (t["start"] < s["end"])))
