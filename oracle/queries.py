@@ -568,6 +568,7 @@ BODIES = {
     ),
     "leakage_scan": " UNION ALL ".join(_leak(c) for c in DATE_COLUMNS),
     "column_profile": _profile(),
+    "column_profile_by_month": _profile(),
     "target_correlation": _corr(),
     "code_families": """SELECT coalesce(f.r_name, 'OTHER') AS NATION_NAME, count(*) AS n_rows, round(avg(target), 4) AS event_rate FROM fs
         LEFT JOIN (SELECT n_name, r_name FROM nation JOIN region ON r_regionkey = n_regionkey WHERE r_name <> 'ASIA') f ON f.n_name = fs.NATION_NAME

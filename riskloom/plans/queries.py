@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from riskloom.functions.dates import shift_month
 from riskloom.models.families import ScorecardFamily, model_inputs
-from riskloom.operators import buckets, checks, drift, evaluate, features, feed, quality, risk, routing, sketches
+from riskloom.operators import buckets, checks, drift, evaluate, features, feed, profiles, quality, risk, routing, sketches
 from riskloom.operators.scorecard import Scorecard, Weight, score_with
 from riskloom.plans import scenarios
 from riskloom.plans.backtest import top_drivers, trade_off
@@ -22,7 +22,7 @@ from riskloom.plans.monthly import monthly_run, read_feed, read_summary
 from riskloom.sources import snapshots as snap
 from riskloom.sources.files import column_table
 from riskloom.sources.scratch import fix_small, save_scratch, scratch_dir
-from riskloom.sources.tables import create_outputs, read_table, table_list
+from riskloom.sources.tables import create_outputs, read_feature_store, read_table, table_list, write_feature_store
 
 MONTH = snap.SCORING_MONTH
 CARD = Scorecard(
@@ -344,6 +344,18 @@ def column_profile(spark, sf):
     return quality.column_profile(snap.feature_store(spark, sf))
 
 
+def column_profile_by_month(spark, sf):
+    """The same profile from months that were profiled as they came: history first, then a month at a time."""
+    path = f"{scratch_dir(spark)}/profiles-{uuid.uuid4().hex}"
+    raw = snap.feature_store(spark, sf)
+    write_feature_store(raw, f"{path}-store")
+    store = read_feature_store(spark, f"{path}-store", raw.schema)
+    profiles.store_profiles(store.filter(F.col("YEAR_MONTH") < MONTH), path)
+    for row in store.filter(F.col("YEAR_MONTH") >= MONTH).select("YEAR_MONTH").distinct().orderBy("YEAR_MONTH").collect():
+        profiles.store_profiles(store.filter(F.col("YEAR_MONTH") == row.YEAR_MONTH), path)
+    return profiles.merged_profile(profiles.read_profiles(spark, path), store)
+
+
 def drift_sketches(spark, sf):
     """Drift of the scoring month against two earlier ones, from sketches that were stored month by month."""
     path = f"{scratch_dir(spark)}/sketches-{uuid.uuid4().hex}"
@@ -611,6 +623,7 @@ EXACT = {
     "quality_gate": quality_gate,
     "leakage_scan": leakage_scan,
     "column_profile": column_profile,
+    "column_profile_by_month": column_profile_by_month,
     "target_correlation": target_correlation,
     "code_families": code_families,
     "drift_psi": drift_psi,

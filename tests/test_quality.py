@@ -216,3 +216,66 @@ def test_feature_lists_are_compared_as_relations(spark):
     after = pairs(("A", "y"), ("A", "x"), ("B", "y"), ("D", "z"))
     found = {r.geo: (r.n_before, r.n_after, r.unchanged) for r in list_changes(before, after).collect()}
     assert found == {"A": (2, 2, True), "B": (1, 1, False), "C": (1, 0, False), "D": (0, 1, False)}
+
+
+def test_profile_of_700_columns_reads_an_added_month_only(spark, tmp_path):
+    """Equal to the profile of all rows, from stored months alone: the rows of earlier months are gone by then."""
+    from riskloom.operators.profiles import merged_profile, read_profiles, store_profiles
+
+    names = [f"f{k:03d}" for k in range(700)]
+    kinds = ["double", "string", "long"]
+    value = "CAST(CASE WHEN id % 11 <> {k} % 11 THEN CASE WHEN pmod(xxhash64(id, {k}), 10) < {k} % 5 THEN {k} ELSE id + {k} END END AS {kind}) AS {name}"
+    wide = spark.range(900).selectExpr("202401 + id DIV 300 AS YEAR_MONTH", *[value.format(k=k, kind=kinds[k % 3], name=n) for k, n in enumerate(names)])
+    path = str(tmp_path / "profiles")
+    store_profiles(wide.filter("YEAR_MONTH < 202403"), path)
+    store_profiles(wide.filter("YEAR_MONTH = 202403"), path)
+    found = {r.column_name: r for r in merged_profile(read_profiles(spark, path)).collect()}  # rows aren't given
+    assert len(found) == 701 and found["YEAR_MONTH"].spike_rows == 300
+    data = wide.toPandas()
+    for k, name in enumerate(names):
+        row, counts = found[name], data[name].value_counts()
+        expected = (str(k), counts.iloc[0]) if counts.iloc[0] >= 0.25 * 900 else (None, None)
+        assert (row.spike_value, row.spike_rows) == expected, name
+        assert (row.n_rows, row.n_null, row.is_constant) == (900, data[name].isna().sum(), False)
+        assert row.is_near_unique == (k % 3 == 1)
+    assert sum(r.spike_rows is not None for r in found.values()) > 200
+
+
+def test_open_counts_are_read_from_the_months_that_lack_them(spark, tmp_path):
+    """A value that fills one month and is rare in the next: counted there; one that can't reach the share isn't."""
+    from riskloom.operators.profiles import merged_profile, read_profiles, store_profiles
+
+    def month(m, spike, rare):
+        return [(m, "S" if i < spike else "R" if i < spike + rare else f"x{m}-{i}") for i in range(100)]
+
+    parts = {m: spark.createDataFrame(month(m, *n), "YEAR_MONTH long, code string") for m, n in {1: (70, 7), 2: (3, 0), 3: (4, 0)}.items()}
+    path = str(tmp_path / "profiles")
+    for part in parts.values():
+        store_profiles(part, path)
+    stored = read_profiles(spark, path)
+    with pytest.raises(ValueError, match="code = S"):
+        merged_profile(stored).collect()
+    gone = parts[1].limit(0).unionAll(parts[2]).unionAll(parts[3])  # month 1 isn't needed
+    found = {r.column_name: r for r in merged_profile(stored, gone).collect()}
+    assert (found["code"].spike_value, found["code"].spike_rows, found["code"].n_rows) == ("S", 77, 300)
+    store_profiles(spark.createDataFrame(month(2, 50, 0), "YEAR_MONTH long, code string"), path)  # a month that comes again
+    found = {r.column_name: r for r in merged_profile(read_profiles(spark, path), gone).collect()}
+    assert found["code"].spike_rows == 124 and found["YEAR_MONTH"].spike_value in ("1", "2", "3")
+    with pytest.raises(ValueError, match="1/16"):
+        merged_profile(stored, spike_share=0.01)
+
+
+def test_profile_of_empty_constant_and_null_months(spark, tmp_path):
+    from riskloom.operators.profiles import merged_profile, read_profiles, store_profiles
+
+    kind = "YEAR_MONTH long, same double, split string, none string, part long"
+    first = spark.createDataFrame([(1, 5.0, "a", None, None)] * 3, kind)
+    second = spark.createDataFrame([(2, 5.0, "b", None, 7)] * 3 + [(None, None, "a", None, 7)], kind)
+    path = str(tmp_path / "profiles")
+    store_profiles(first, path)
+    store_profiles(second, path)
+    store_profiles(first.limit(0), path)
+    both = first.unionAll(second)
+    found = {r.column_name: r for r in merged_profile(read_profiles(spark, path), both).collect()}
+    assert found == {r.column_name: r for r in column_profile(both).collect()}
+    assert found["same"].is_constant and found["part"].is_constant and not found["none"].is_constant and not found["split"].is_constant
