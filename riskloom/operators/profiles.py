@@ -46,7 +46,7 @@ def month_profiles(df: DataFrame) -> DataFrame:
     """One row per month and column of ``df``; two passes over groups of columns, aggregated inside the tasks.
 
     The first pass names the values that may hold 1 / KEPT of a month (its sketch never counts too low), the
-    second counts them exactly in all months of ``df``. Rows without a month are profiled as month null.
+    second counts them exactly, each in its month. Rows without a month are profiled as month null.
     """
     parts = []
     for at in range(0, len(df.columns), COLUMNS_PER_PASS):
@@ -67,25 +67,33 @@ def month_profiles(df: DataFrame) -> DataFrame:
         months = df.groupBy(F.col("YEAR_MONTH").cast("bigint").alias("month")).agg(*made)
         pairs = F.array(*[f"profile_{k}" for k in range(len(made))])
         parts.append(months.select(F.col("month").alias("YEAR_MONTH"), F.inline(pairs)))
-    first = save_scratch(_union(parts), "profiles")
-    likely = (
-        first.select("column_name", "n_rows", F.inline("top"))
-        .filter(F.col("item").isNotNull() & (F.col("count") * KEPT >= F.col("n_rows")))
-        .select("column_name", "item").distinct().orderBy("column_name", "item").collect()
-    )
+    likely = F.expr(f"transform(filter(top, t -> t.item IS NOT NULL AND t.count * {KEPT} >= n_rows), t -> t.item)")
+    first = save_scratch(_union(parts).withColumn("likely", likely).drop("top"), "profiles")
+    slots = {r[0]: r[1] for r in first.groupBy("column_name").agg(F.max(F.size("likely"))).collect()}
+    counted = [c for c in df.columns if slots.get(c)]
     parts = []
-    for at in range(0, len(likely), VALUES_PER_PASS):
-        chunk = likely[at : at + VALUES_PER_PASS]
-        counts = [F.expr(f"{_count_of(df, c, v)} AS n_{k}") for k, (c, v) in enumerate(chunk)]
-        months = df.groupBy(F.col("YEAR_MONTH").cast("bigint").alias("kept_month")).agg(*counts)
-        values = [f"named_struct('kept_column', {_text(c)}, 'value', {_text(v)}, 'n', n_{k})" for k, (c, v) in enumerate(chunk)]
-        parts.append(months.selectExpr("kept_month", f"inline(array({', '.join(values)}))"))
+    for at in range(0, len(counted), COLUMNS_PER_PASS):
+        group = counted[at : at + COLUMNS_PER_PASS]
+        typed = [
+            F.expr(f"transform(max(CASE WHEN column_name = {_text(c)} THEN likely END), v -> CAST(v AS {df.schema[c].dataType.simpleString()})) AS likely_{k}")
+            for k, c in enumerate(group)
+        ]
+        # a row per month, of KEPT values a column at most
+        values = first.filter(F.col("column_name").isin(group)).groupBy(F.col("YEAR_MONTH").alias("kept_month")).agg(*typed)
+        rows = df.select(F.expr("CAST(YEAR_MONTH AS bigint) AS row_month"), *[F.expr(f"{_name(c)} AS value_{k}") for k, c in enumerate(group)])
+        counts = [
+            F.expr(f"array({', '.join(f'count_if(value_{k} = get(likely_{k}, {i}))' for i in range(slots[c]))}) AS counts_{k}") for k, c in enumerate(group)
+        ]
+        months = rows.join(values, F.col("row_month").eqNullSafe(F.col("kept_month"))).groupBy("kept_month").agg(*counts)
+        pairs = [f"named_struct('kept_column', {_text(c)}, 'counts', counts_{k})" for k, c in enumerate(group)]
+        parts.append(months.selectExpr("kept_month", f"inline(array({', '.join(pairs)}))"))
+    none = "CAST(array() AS array<struct<value: string, n: bigint>>)"
     if not parts:
-        return first.drop("top").withColumn("kept", F.expr("CAST(array() AS array<struct<value: string, n: bigint>>)"))
-    kept = _union(parts).groupBy("kept_month", "kept_column").agg(F.collect_list(F.struct("value", "n")).alias("kept"))
+        return first.drop("likely").withColumn("kept", F.expr(none))
     same = F.col("YEAR_MONTH").eqNullSafe(F.col("kept_month")) & (F.col("column_name") == F.col("kept_column"))
-    none = F.expr("CAST(array() AS array<struct<value: string, n: bigint>>)")
-    return first.drop("top").join(kept, same, "left").drop("kept_month", "kept_column").withColumn("kept", F.coalesce("kept", none))
+    zipped = "transform(likely, (v, i) -> named_struct('value', v, 'n', counts[i]))"
+    kept = F.expr(f"CASE WHEN counts IS NULL THEN {none} ELSE {zipped} END")
+    return first.join(_union(parts), same, "left").withColumn("kept", kept).drop("kept_month", "kept_column", "counts", "likely")
 
 
 def store_profiles(df: DataFrame, path: str) -> None:
