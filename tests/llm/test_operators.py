@@ -194,6 +194,43 @@ def test_rollup_batches(spark, tmp_path):
     assert sorted(map(tuple, store.totals().collect()), key=repr) == sorted([("a", "en", "t", 1, 1), ("b", "en", "t", 1, 6), (None, None, "t", 1, 7)], key=repr)
 
 
+def test_rollup_of_many_batches(spark, tmp_path):
+    """Batches that add, revise, move and delete, against a plain table; runs, buckets, recovery."""
+    rng, plain, folder = random.Random(5), {}, str(tmp_path / "long")
+    schema = "doc_id long, source string, lang string, tokenizer string, docs long, tokens long"
+    runs = {}
+    for batch in range(11):
+        store = token_rollup.RollupStore(spark, folder, buckets=8 if batch == 0 else 99, fanout=3)
+        ids = range(60) if batch == 0 else rng.sample(range(70), 3)
+        gone = rng.sample(range(80), batch % 3)
+        rows = [(i, f"s{rng.randrange(3)}", "en", "t", 1, rng.randrange(9)) for i in ids if i not in gone]
+        assert store.apply(batch, spark.createDataFrame(rows, schema), spark.createDataFrame([(i,) for i in [*gone, None]], "doc_id long"))
+        plain = {k: v for k, v in plain.items() if k not in gone} | {r[0]: r for r in rows}
+        runs[batch + 1] = store._runs(store.ledger, 0, batch + 1)
+    assert store.buckets == 8  # that of the first batch
+    assert runs[2] == ["0-1", "1-2"] and runs[3] == ["0-3"] and runs[8] == ["0-3", "3-6", "6-7", "7-8"] and runs[11] == ["0-9", "9-10", "10-11"]
+    want = Counter()
+    for r in plain.values():
+        want[r[1], "docs"] += 1
+        want[r[1], "tokens"] += r[5]
+    found = lambda: Counter({(r.source, k): n for r in store.totals().collect() for k, n in (("docs", r.n_docs), ("tokens", r.n_tokens))})
+    assert found() == want
+    # a batch reads the buckets of its ids only
+    scans = store._before(10)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [bucket" in scans
+    # a run that broke off is replaced by its parts, and made when its last batch is sent again
+    for table in (store.ledger, "rollup"):
+        (tmp_path / "long" / table / "run=0-9" / "_SUCCESS").unlink()
+    assert store._runs("rollup", 0, 11)[:3] == ["0-3", "3-6", "6-9"] and found() == want
+    assert not store.apply(8) and store._runs("rollup", 0, 11)[0] == "0-9" and found() == want
+    # a batch that broke off before its rollup doesn't count
+    store.apply(11, deletes=spark.createDataFrame([(i,) for i in plain], "doc_id long"))
+    assert store.totals().count() == 0
+    (tmp_path / "long" / "rollup" / "run=11-12" / "_SUCCESS").unlink()
+    (tmp_path / "long" / "rollup" / "run=9-12" / "_SUCCESS").unlink(missing_ok=True)
+    assert found() == want
+
+
 def test_rollup_query_is_the_totals_of_the_final_documents(spark):
     read = lambda name: spark.read.parquet(f"{SF}/{name}.parquet").collect()
     toxic = {r.doc_id for r in read("labels") if r.toxic == 1}
