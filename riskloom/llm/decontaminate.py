@@ -6,19 +6,21 @@ first words occur in the benchmark (no other position can begin a match), sorted
 range it finds are the verbatim occurrences, and occurrences that continue each other become one
 longest match with its place in the document and in the item.
 
-The benchmark is read in blocks of at most ``BLOCK_WORDS`` words. A block is the only thing that is
-broadcast, so its size is bounded; a larger benchmark means more passes over the documents, whose
-matches are written to the shared folder and put together.
+The benchmark's windows are made in tasks, in blocks of about ``BLOCK_WORDS`` words that are written
+to the shared folder. The driver holds one finished block at a time and broadcasts it; a larger
+benchmark means more passes over the documents, whose matches are written and put together.
 """
 
 from __future__ import annotations
 
+import io
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskloom.llm.words import LETTERS, ranges, split_words, text_slices
@@ -27,6 +29,7 @@ from riskloom.sources.scratch import save_scratch
 WINDOW = 13
 BLOCK_WORDS = 500_000
 _SHARD_BYTES = 8 << 20
+_WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"  # LETTERS, before A-Z are folded
 
 MATCHES = "array<struct<item_id:bigint,doc_start:bigint,item_start:bigint,n_words:bigint>>"
 
@@ -58,40 +61,37 @@ def _keys(numbers: np.ndarray, fill: int) -> np.ndarray:
     return np.ascontiguousarray(wide).view(f"S{4 * numbers.shape[1]}").ravel()
 
 
-def build_block(items: list[Row], window: int = WINDOW) -> Block:
+def build_block(items: np.ndarray, texts: pa.Array, window: int = WINDOW) -> Block:
     """The windows of some benchmark items; an item of fewer words is one window."""
-    texts = pa.array([r["text"] for r in items], pa.string())
-    numbers, words = [], []
-    for lo, hi, buf, offsets in text_slices(texts, 1 << 30):
+    parts, counts = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+    for _, _, buf, offsets in text_slices(texts):
         found = split_words(buf, offsets, LETTERS)
-        words += [found.hashes[found.first[d] : found.first[d + 1]] for d in range(hi - lo)]
-    vocabulary = np.unique(np.concatenate([np.zeros(0, np.uint64), *words]))
-    uses, heads, shortest = [], [], min((min(len(x), window) for x in words if len(x)), default=1)
-    head = min(3, shortest)
-    for row, x in zip(items, words, strict=True):
-        if not len(x):
-            continue
-        number = np.searchsorted(vocabulary, x) + 1
-        width = min(window, len(x))
-        for start in range(len(x) - width + 1):
-            numbers.append(np.concatenate([number[start : start + width], np.full(window - width, -1)]))
-            uses.append((row["item_id"], start))
-        heads.append(_head_hash(x, np.arange(len(x) - width + 1), head))
-    if not numbers:
-        none = np.zeros(0, f"S{4 * window}")
-        return Block(vocabulary, np.zeros(0, np.uint64), head, none, none, np.zeros(0, int), np.zeros((0, 2), np.int64), np.zeros(1, int))
-    distinct, back = np.unique(np.array(numbers), axis=0, return_inverse=True)
-    order = np.argsort(back.ravel(), kind="stable")
-    first = np.concatenate([[0], np.cumsum(np.bincount(back.ravel(), minlength=len(distinct)))])
+        parts.append(found.hashes)
+        counts.append(found.counts())
+    hashes, counts = np.concatenate(parts), np.concatenate(counts)
+    first = np.cumsum(counts) - counts
+    vocabulary = np.unique(hashes)
+    starts = np.where(counts > 0, np.maximum(counts - window, 0) + 1, 0)  # windows of each item
+    item = np.repeat(np.arange(len(counts)), starts)
+    at = ranges(first, starts)
+    near = at[:, None] + np.arange(window)
+    inside = near < (first + counts)[item][:, None]
+    words = np.searchsorted(vocabulary, hashes).astype(np.int64) + 1
+    numbers = np.where(inside, words[np.where(inside, near, 0)], -1) if len(at) else np.zeros((0, window), np.int64)
+    head = min(3, window, int(counts[counts > 0].min(initial=3)))
+    low = _keys(numbers, 0)
+    order = np.argsort(low, kind="stable")  # numbers begin at 1, so a shorter window has a key of its own
+    new = np.append(True, low[order][1:] != low[order][:-1])[: len(order)]
+    distinct = numbers[order[new]]
     return Block(
         vocabulary,
-        np.unique(np.concatenate(heads)),
+        np.unique(_head_hash(hashes, at, head)),
         head,
         _keys(distinct, 0),
         _keys(distinct, 0xFFFFFFFF),
         (distinct >= 0).sum(1),
-        np.array(uses, np.int64)[order],
-        first,
+        np.stack([items[item], at - first[item]], 1).astype(np.int64)[order],
+        np.append(np.flatnonzero(new), len(order)),
     )
 
 
@@ -154,17 +154,36 @@ def shard_matches(block: Block, buf: np.ndarray, offsets: np.ndarray, window: in
     return words.counts(), np.stack([in_text[b], item[b], doc_word[b], item_word[b], doc_word[e] + length[e] - doc_word[b]], 1)
 
 
+def _build(window: int):
+    def build(table: pa.Table) -> pa.Table:
+        block = build_block(table["item_id"].to_numpy(), table["text"], window)
+        data = io.BytesIO()
+        np.savez(data, **vars(block))
+        return pa.table({"block": table["block"][:1].cast(pa.int32()), "data": pa.array([data.getvalue()], pa.binary())})
+
+    return build
+
+
 def _blocks(benchmark: DataFrame, block_words: int, window: int) -> Iterator[Block]:
-    """Blocks of whole items, read one after another; a block without items if there are none."""
-    rows, held = [], 0
-    for r in benchmark.select("item_id", "text").where("item_id IS NOT NULL AND text IS NOT NULL").toLocalIterator():
-        size = len(r["text"]) // 2 + 1
-        if rows and held + size > block_words:
-            yield build_block(rows, window)
-            rows, held = [], 0
-        rows.append(r)
-        held += size
-    yield build_block(rows, window)
+    """Blocks of whole items, built in tasks and read one after another; an empty one if there are no items.
+
+    Items are dealt by their hash to as many blocks as fill them to four fifths of ``block_words`` on
+    average, or to a single one. Items aren't cut, so one of more words makes a larger block.
+    """
+    items = benchmark.select(F.col("item_id").cast("bigint"), "text").where("item_id IS NOT NULL AND text <> ''").distinct()
+    words = items.agg(F.sum(F.regexp_count("text", F.lit(_WORD)))).first()[0] or 0
+    n = 1 if words <= block_words else math.ceil(1.25 * words / block_words)
+    dealt = items.withColumn("block", F.pmod(F.xxhash64("item_id", "text"), F.lit(n)).cast("int"))
+    built = save_scratch(dealt.groupBy("block").applyInArrow(_build(window), "block int, data binary"), "benchmark-blocks")
+    found = False
+    for k in range(n):
+        for row in built.where(F.col("block") == k).collect():  # one row
+            with np.load(io.BytesIO(row["data"])) as arrays:
+                block = Block(**{f: arrays[f] for f in arrays.files} | {"head": int(arrays["head"])})
+            found = True
+            yield block
+    if not found:
+        yield build_block(np.zeros(0, np.int64), pa.array([], pa.string()), window)
 
 
 def benchmark_matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_words: int = BLOCK_WORDS) -> DataFrame:

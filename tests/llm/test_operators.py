@@ -327,6 +327,20 @@ def test_benchmark_words(spark, edge, empty):
     assert decontaminate.drop_contaminated(empty, benchmark).count() == 0
 
 
+def test_large_benchmark_is_built_in_blocks(spark):
+    """Two million words: blocks of a bounded size, no item lost, matches across all blocks found."""
+    text = "concat_ws(' ', transform(sequence(0, 399), j -> concat('i', id, 'w', if(j % 3 = 0, j, -j))))"
+    bench = spark.range(3_000).selectExpr("id AS item_id", f"{text} AS text", "1 AS block", "2 AS data")
+    blocks = list(decontaminate._blocks(bench, decontaminate.BLOCK_WORDS, 13))
+    assert len(blocks) == 5
+    assert all(0 < len(b.lengths) <= decontaminate.BLOCK_WORDS for b in blocks)
+    assert sorted(i for b in blocks for i in set(b.uses[:, 0].tolist())) == list(range(3_000))
+    assert sum(len(b.uses) for b in blocks) == 3_000 * (400 + 266 - 12)  # "w-1" is two words
+    quotes = bench.where("item_id % 1000 = 7").selectExpr("item_id AS doc_id", "concat('none of it, ', substring_index(text, ' ', 50), ' and so on') AS text")
+    found = decontaminate.benchmark_matches(quotes.unionAll(quotes), bench).collect()
+    assert len(found) == 6 and all((r.n_hit, r.n_words) == (83, 89) and [m.item_id for m in r.matches] == [r.doc_id] for r in found)
+
+
 def test_chat_events(spark):
     log = [
         (1, 1, 0, "open", "user", None), (1, 2, 0, "delta", None, "Hel"), (1, 3, 0, "delta", None, "lo"), (1, 4, 1, "open", "assistant", None),
