@@ -10,12 +10,11 @@ from __future__ import annotations
 
 import json
 import time
-from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark import StorageLevel, inheritable_thread_target
+from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
 from pyspark.ml.feature import StringIndexerModel
@@ -37,7 +36,7 @@ from riskloom.operators.scorecard import (
     linear_drivers,
     score_with,
 )
-from riskloom.sources.scratch import local_table
+from riskloom.sources.scratch import local_table, side_by_side
 
 SCORE_COLUMNS = STAGE_COLUMNS[:5]
 PARTITION_BYTES = 32 * 1024 * 1024
@@ -106,7 +105,6 @@ class FittedFamily:
         self.facts = geo_facts(history, lists)
         spark = history.sparkSession
 
-        @inheritable_thread_target(spark)
         def one(geo: str) -> None:
             started = time.monotonic()
             spark.sparkContext.setLocalProperty("spark.scheduler.pool", f"fit-{geo}")
@@ -116,8 +114,7 @@ class FittedFamily:
                 self.errors[geo] = f"{type(error).__name__}: {error}"
             self.seconds[geo] = time.monotonic() - started
 
-        with ThreadPoolExecutor(self.parallelism) as pool:
-            list(pool.map(one, sorted(lists)))
+        side_by_side(spark, one, sorted(lists), self.parallelism)
 
     def _fit_geo(self, history: DataFrame, geo: str) -> None:
         facts = self.facts.get(geo)

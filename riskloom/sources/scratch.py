@@ -1,10 +1,13 @@
-"""Small driver-side tables, and intermediate tables in the cluster's shared folder."""
+"""Small driver-side tables, intermediate tables in the cluster's shared folder, and jobs side by side."""
 
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 import pyarrow as pa
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.pandas.types import to_arrow_schema
 
@@ -71,3 +74,14 @@ def clear_scratch(spark: SparkSession) -> None:
     """Remove this application's intermediate tables once nothing reads them any more."""
     path = spark._jvm.org.apache.hadoop.fs.Path(scratch_dir(spark))
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def side_by_side(spark: SparkSession, work: Callable, items: list, threads: int) -> list:
+    """``work`` of every item, from a pool of threads, results in order.
+
+    Each item gets a copy of its own of the caller's local properties. Spark keeps the number of the running
+    query and its root among them, so threads that share one copy take each other's away, and a job fails.
+    """
+    with ThreadPoolExecutor(threads) as pool:
+        waiting = [pool.submit(inheritable_thread_target(spark)(work), item) for item in items]
+        return [w.result() for w in waiting]

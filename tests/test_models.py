@@ -308,3 +308,22 @@ def test_search_reads_fewer_rounds_from_the_same_trees(spark, tmp_path):
     found = {r.params: (r.log_loss, r.roc_auc) for r in search(one, str(tmp_path / "a"), [{"depth": 2, "step": 0.3}], [2, 4], 199912, 200006).collect()}
     again = search(one, str(tmp_path / "b"), [{"depth": 2, "step": 0.3}], [2], 199912, 200006).first()
     assert len(found) == 2 and found[again.params] == pytest.approx((again.log_loss, again.roc_auc))
+
+
+def test_fits_side_by_side_keep_their_own_properties(spark, tmp_path):
+    """Spark keeps the running query's number there; fits that shared one copy took it from each other."""
+    from threading import Barrier
+
+    together, seen = Barrier(2, timeout=60), {}
+
+    class Waiting(TreeFamily):
+        def _fit_geo(self, history, geo):
+            spark.sparkContext.setLocalProperty("riskloom.geo", geo)
+            together.wait()
+            seen[geo] = spark.sparkContext.getLocalProperty("riskloom.geo")
+            together.wait()
+
+    numbers = spark.createDataFrame([("AAA", 0, False, 1.0), ("BBB", 1, False, 2.0)], "GEO string, target long, is_eval boolean, pay double")
+    family = Waiting(str(tmp_path))
+    family.fit(numbers, {"AAA": ["pay"], "BBB": ["pay"]})
+    assert family.errors == {} and seen == {"AAA": "AAA", "BBB": "BBB"}
