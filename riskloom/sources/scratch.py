@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark import inheritable_thread_target
@@ -15,6 +16,7 @@ from riskloom.errors import ConfigError
 
 SMALL_ROWS = 20_000  # derived tables up to this size are held by the driver and broadcast
 CONFIG_ROWS = 20_000  # configuration beyond this size is refused
+SHARE_BYTES = 16 * 1024 * 1024  # shuffled (compressed) bytes that one task reads
 LOCAL_DIR = "/tmp/riskloom-checkpoints"  # only for local masters without a setting
 
 
@@ -70,6 +72,32 @@ def save_scratch(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def small_shares(spark: SparkSession, paths: list[str]) -> Iterator[None]:
+    """Shuffles run inside deal rows to tasks in shares of about SHARE_BYTES, so that sorts and hash tables of a task
+    fit its memory and don't spill; the number of shares grows with the files in ``paths``."""
+    size = 0
+    for path in paths:
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        size += place.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(place).getLength()
+    shares = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 2 * size // SHARE_BYTES)
+    settings = {
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(SHARE_BYTES),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(shares),
+    }
+    before = {name: spark.conf.get(name, None) for name in settings}
+    try:
+        for name, value in settings.items():
+            spark.conf.set(name, value)
+        yield
+    finally:
+        for name, value in before.items():
+            if value is None:
+                spark.conf.unset(name)
+            else:
+                spark.conf.set(name, value)
+
+
 def clear_scratch(spark: SparkSession) -> None:
     """Remove this application's intermediate tables once nothing reads them any more."""
     path = spark._jvm.org.apache.hadoop.fs.Path(scratch_dir(spark))

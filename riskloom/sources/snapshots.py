@@ -8,13 +8,14 @@ rows never lands in one task; the windows run over at most one row per customer
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from riskloom.functions.dates import month_index
-from riskloom.sources.scratch import local_table, scratch_dir
+from riskloom.sources.scratch import local_table, scratch_dir, small_shares
 from riskloom.sources.tables import read_feature_store, write_feature_store
 
 GEOS = ["AFR", "AME", "ASI", "EUR", "MEA"]
@@ -26,6 +27,7 @@ SCORING_MONTH = 200104
 HORIZON_MONTHS = 3
 PRIORITIES = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
 STATUSES = ["F", "O", "P"]
+MANY_ORDERS = 250_000  # of one customer; beyond it, its orders are combined before they meet
 
 COLUMNS = [
     "target",
@@ -117,6 +119,11 @@ def order_months(spark: SparkSession, sf_dir: str) -> DataFrame:
 def customer_months(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Build the snapshot table. Money sums are rounded to their exact decimals, which makes the
     result independent of the order in which partial sums meet."""
+    return spelt_out(month_numbers(spark, sf_dir))
+
+
+def month_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Snapshots as narrow as they are shuffled: dates, levels and flags are numbers here."""
     lines = (
         read(spark, sf_dir, "lineitem")
         .groupBy(F.col("l_orderkey").alias("o_orderkey"))
@@ -128,15 +135,23 @@ def customer_months(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.max("l_shipdate").alias("last_ship"),
         )
     )
-    # Numbers instead of texts keep this a hash aggregation.
+    # Numbers instead of texts keep what follows a hash aggregation.
     level = F.array_position(F.array(*[F.lit(p) for p in PRIORITIES]), F.col("o_orderpriority"))
-    had = [F.max(F.when(F.col("o_orderstatus") == s, 1).otherwise(0)).alias(f"had_{s}") for s in STATUSES]
-    monthly = (
+    bits = [F.when(F.col("o_orderstatus") == s, 1 << k).otherwise(0) for k, s in enumerate(STATUSES)]
+    orders = (
         read(spark, sf_dir, "orders")
-        .join(lines, "o_orderkey", "left")
-        .groupBy("o_custkey", F.date_format("o_orderdate", "yyyyMM").cast("long").alias("YEAR_MONTH"))
+        .filter(F.col("o_custkey").isNotNull())
+        .select("o_orderkey", "o_custkey", "o_orderdate", "o_totalprice", level.alias("level"), reduce(Column.bitwiseOR, bits).alias("status"))
+    )
+    joined = orders.join(lines, "o_orderkey", "left")
+    # Most customers have about an order a month, so combining before the shuffle gains nothing: one shuffle by
+    # customer serves months and windows. With a very frequent customer, orders meet by customer and month first.
+    if not _frequent_customer(orders):
+        joined = joined.repartition("o_custkey")
+    monthly = (
+        joined.groupBy("o_custkey", F.date_format("o_orderdate", "yyyyMM").cast("long").alias("YEAR_MONTH"))
         .agg(
-            F.min(level).alias("level"),
+            F.min("level").alias("level"),
             F.min("o_orderdate").alias("first_in_month"),
             F.max("o_orderdate").alias("last_in_month"),
             F.count(F.lit(1)).cast("double").alias("ORDERS_CNT"),
@@ -146,7 +161,7 @@ def customer_months(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.round(F.sum("discount"), 4).alias("TOTAL_DISCOUNT"),
             F.sum("returned").alias("TOTAL_RETURNED"),
             F.max("last_ship").alias("last_ship"),
-            *had,
+            F.bit_or("status").alias("status"),
         )
         .withColumn("month_no", month_index(F.col("YEAR_MONTH")))
     )
@@ -158,7 +173,6 @@ def customer_months(spark: SparkSession, sf_dir: str) -> DataFrame:
         return F.round(F.coalesce(total, F.lit(0.0)), digits)
 
     later = F.count(F.lit(1)).over(by_month.rangeBetween(1, HORIZON_MONTHS))
-    month_last = F.last_day(F.to_date(F.col("YEAR_MONTH").cast("string"), "yyyyMM"))
     windowed = monthly.select(
         "*",
         F.min("first_in_month")
@@ -182,23 +196,32 @@ def customer_months(spark: SparkSession, sf_dir: str) -> DataFrame:
             geo_code(F.col("r_name")).alias("GEO"),
         )
     )
-    return (
-        windowed.join(customers, "o_custkey")
-        .withColumns(
-            {
-                "EMP_ID": F.concat(F.lit("E"), F.col("o_custkey").cast("string")),
-                "TOP_PRIORITY": F.get(F.array(*[F.lit(p) for p in PRIORITIES]), F.col("level").cast("int") - 1),
-                "STATUS_LEAK": F.concat(*[F.when(F.col(f"had_{s}") == 1, s).otherwise("") for s in STATUSES]),
-                "DAYS_AFTER_JOIN": F.datediff(month_last, F.to_date("first_order")).cast("long"),
-                "AVG_ORDER_VALUE": F.round(F.col("ORDERS_VALUE") / F.col("ORDERS_CNT"), 4),
-                "RECENT_ORDER_DATE": F.date_format("last_in_month", "M/d/yyyy H:mm"),
-                "FIRST_ORDER_DATE": F.date_format("first_order", "yyyy-MM-dd'T'HH:mm:ss"),
-                "LAST_SHIP_DATE": F.date_format("last_ship", "M/d/yyyy H:mm"),
-                "REGULAR_TEMP": F.lit("R"),
-            }
-        )
-        .select(*COLUMNS)
-    )
+    named = windowed.join(customers, "o_custkey")
+    return named.withColumn("EMP_ID", F.concat(F.lit("E"), F.col("o_custkey").cast("string"))).drop("o_custkey", "month_no", "first_in_month")
+
+
+def spelt_out(numbers: DataFrame) -> DataFrame:
+    """Snapshots with all their columns, from ``month_numbers``; row by row."""
+    month_last = F.last_day(F.to_date(F.col("YEAR_MONTH").cast("string"), "yyyyMM"))
+    had = [F.when(F.col("status").bitwiseAND(1 << k) != 0, s).otherwise("") for k, s in enumerate(STATUSES)]
+    return numbers.withColumns(
+        {
+            "TOP_PRIORITY": F.get(F.array(*[F.lit(p) for p in PRIORITIES]), F.col("level").cast("int") - 1),
+            "STATUS_LEAK": F.concat(*had),
+            "DAYS_AFTER_JOIN": F.datediff(month_last, F.to_date("first_order")).cast("long"),
+            "AVG_ORDER_VALUE": F.round(F.col("ORDERS_VALUE") / F.col("ORDERS_CNT"), 4),
+            "RECENT_ORDER_DATE": F.date_format("last_in_month", "M/d/yyyy H:mm"),
+            "FIRST_ORDER_DATE": F.date_format("first_order", "yyyy-MM-dd'T'HH:mm:ss"),
+            "LAST_SHIP_DATE": F.date_format("last_ship", "M/d/yyyy H:mm"),
+            "REGULAR_TEMP": F.lit("R"),
+        }
+    ).select(*COLUMNS)
+
+
+def _frequent_customer(orders: DataFrame) -> bool:
+    """Whether some customer has more orders than belong in one task."""
+    counts = orders.groupBy("o_custkey").agg(F.count(F.lit(1)).alias("n"))
+    return bool(counts.filter(F.col("n") > MANY_ORDERS).head(1))
 
 
 def _in_last(months: int) -> str:
@@ -212,8 +235,9 @@ def feature_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stored snapshots of ``sf_dir``, built once per application."""
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _stores:
-        built = customer_months(spark, sf_dir)
+        numbers = month_numbers(spark, sf_dir)
         path = f"{scratch_dir(spark)}/feature_store-{uuid.uuid4().hex}"
-        write_feature_store(built, path)
-        _stores[key] = read_feature_store(spark, path, built.schema)
+        with small_shares(spark, [f"{sf_dir}/{t}.parquet" for t in ("orders", "lineitem", "customer")]):
+            write_feature_store(numbers, path, spelt_out)
+        _stores[key] = read_feature_store(spark, path, spelt_out(numbers).schema)
     return _stores[key]

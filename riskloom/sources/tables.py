@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import datetime
 
 import pyarrow as pa
@@ -103,14 +104,16 @@ def releases(spark: SparkSession, warehouse: str) -> DataFrame:
     return newest.filter("published").select("geo", "YEAR_MONTH", "run_id")
 
 
-def write_feature_store(df: DataFrame, path: str) -> None:
+def write_feature_store(df: DataFrame, path: str, finish: Callable[[DataFrame], DataFrame] | None = None) -> None:
     """Store snapshots by month, sorted by GEO so that a geo predicate skips row groups.
 
     Rebalancing by month sizes the files: a month larger than the target is split, small months
-    are merged into one task.
+    are merged into one task. ``finish`` adds columns that needn't be shuffled or sorted, row by row.
     """
     order = [c for c in ("YEAR_MONTH", "GEO", "EMP_ID") if c in df.columns]
     laid_out = df.hint("rebalance", "YEAR_MONTH").sortWithinPartitions(*order)
+    if finish:
+        laid_out = finish(laid_out)
     laid_out.write.mode("overwrite").partitionBy("YEAR_MONTH").parquet(path)
 
 
