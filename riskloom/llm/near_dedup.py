@@ -25,11 +25,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskloom.llm.words import FOLDED, mix, ranges, split_words, text_slices
-from riskloom.sources.scratch import save_scratch
+from riskloom.sources.scratch import save_scratch, session_settings
 
 SLOTS = 128
 MISS = 1e-5
 BLOCK = 256  # documents on either side of a comparison by blocks
+BATCH_ROWS = 1000  # texts that Spark hands to Python at once; it holds a batch as a whole on either side
+SLICE = 1 << 19  # bytes of text whose shingles are made at once
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 _PART = 1 << 17  # shingles that are folded together
 
@@ -133,7 +135,7 @@ def _describe(width: int, rows: int, slots: int):
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for lo, hi, buf, offsets in text_slices(batch.column("text")):
+            for lo, hi, buf, offsets in text_slices(batch.column("text"), SLICE):
                 hashes, first = shingle_sets(buf, offsets, width)
                 n = np.diff(first)
                 ranks = signatures(hashes, first, slots)
@@ -229,6 +231,12 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, slots: i
     is linked with nothing and is kept.
     Returns doc_id, copy (hash of the text), n_shingles, component_id and kept.
     """
+    with session_settings(docs.sparkSession, {"spark.sql.execution.arrow.maxRecordsPerBatch": str(BATCH_ROWS)}):
+        return _judged(docs, width, percent, slots)
+
+
+def _judged(docs: DataFrame, width: int, percent: int, slots: int) -> DataFrame:
+    """All that runs Python is written inside; what is returned only joins."""
     rows = band_rows(percent, slots)
     texts = docs.select(F.col("doc_id").cast("bigint"), F.xxhash64("text").alias("copy"), "text")
     sets = save_scratch(texts.mapInArrow(_describe(width, rows, slots), _SETS), "sets")

@@ -85,6 +85,13 @@ def small_shares(spark: SparkSession, paths: list[str]) -> Iterator[None]:
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(SHARE_BYTES),
         "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(shares),
     }
+    with session_settings(spark, settings):
+        yield
+
+
+@contextmanager
+def session_settings(spark: SparkSession, settings: dict[str, str]) -> Iterator[None]:
+    """The settings hold for jobs that are run inside, and go back to what they were."""
     before = {name: spark.conf.get(name, None) for name in settings}
     try:
         for name, value in settings.items():

@@ -460,3 +460,21 @@ def test_pipeline(spark):
             assert docs.columns == columns and 0 < docs.count() <= before
             before = docs.count()
     assert docs.select("doc_id").distinct().count() == before
+
+
+def test_near_duplicates_hand_small_batches_to_python(spark, monkeypatch):
+    """Texts are long, so a batch of Spark's usual 10,000 rows took more of an executor than it has."""
+    from riskloom.llm import near_dedup
+
+    name, seen, save = "spark.sql.execution.arrow.maxRecordsPerBatch", [], near_dedup.save_scratch
+    before = spark.conf.get(name)
+
+    def watched(df, label):
+        seen.append((label, int(spark.conf.get(name))))
+        return save(df, label)
+
+    monkeypatch.setattr(near_dedup, "save_scratch", watched)
+    docs = spark.createDataFrame([(1, "a b c d e f"), (2, "a b c d e f"), (3, None)], "doc_id bigint, text string")
+    found = {r.doc_id: r.kept for r in near_dedup.near_duplicates(docs).collect()}
+    assert found == {1: True, 2: False, 3: True} and spark.conf.get(name) == before
+    assert {"sets", "links"} <= {label for label, _ in seen} and {rows for _, rows in seen} == {near_dedup.BATCH_ROWS}
