@@ -74,6 +74,48 @@ class ScorecardFamily:
         return {f"{self.prefix}_{g.lower()}": [w.feature for w in self.card.weights] for g in self.lists}
 
 
+class TrainingRows:
+    """Facts and encoded rows of all geos for several fits on the same history, each made at its first use.
+
+    The rows stay persisted until ``close``. Only families of one kind and one history may share them.
+    """
+
+    def __init__(self, history: DataFrame, lists: dict[str, list[str]]):
+        self.history = history
+        self.lists = lists
+        self.facts = geo_facts(history, lists)
+        self.geos: dict[str, tuple[PipelineModel, DataFrame, list[str]]] = {}
+
+    def of(self, geo: str, one_hot: bool) -> tuple[PipelineModel, DataFrame, list[str]]:
+        """Fitted encoder, persisted rows, and the feature behind each slot of their vectors."""
+        if geo not in self.geos:
+            self.geos[geo] = self._encode(geo, one_hot)
+        return self.geos[geo]
+
+    def _encode(self, geo: str, one_hot: bool) -> tuple[PipelineModel, DataFrame, list[str]]:
+        facts, features = self.facts[geo], self.lists[geo]
+        rows = training_rows(self.history, geo, features, facts)
+        coding = encoder(rows, features, facts, one_hot).fit(rows.filter(~F.col("is_eval")))
+        columns = ["features", "target", "is_eval", "class_weight"]
+        encoded = coding.transform(rows).select("EMP_ID", "YEAR_MONTH", *columns)
+        # A geo's rows are spread thinly over the store's files; every training round reads them
+        # again, so they are gathered once into even partitions of a size that suits the data. The
+        # order by key makes row sampling repeatable, also when a lost partition is built again.
+        places = slots(encoded, features)
+        parts = facts.n_rows * len(places) * 8 // PARTITION_BYTES + 1
+        key = ["EMP_ID", "YEAR_MONTH"]
+        encoded = encoded.repartition(parts, *key).sortWithinPartitions(*key).select(*columns)
+        return coding, encoded.persist(StorageLevel.MEMORY_AND_DISK), places
+
+    def drop(self, geo: str) -> None:
+        if geo in self.geos:
+            self.geos.pop(geo)[1].unpersist()
+
+    def close(self) -> None:
+        for geo in list(self.geos):
+            self.drop(geo)
+
+
 class FittedFamily:
     """One MLlib pipeline per geo, fitted side by side from a driver thread pool."""
 
@@ -93,16 +135,23 @@ class FittedFamily:
         self.facts: dict[str, GeoFacts] = {}
         self.errors: dict[str, str] = {}
         self.seconds: dict[str, float] = {}
+        self._rows: TrainingRows | None = None
+        self._keep = False
         self._read: dict[str, dict] = {}  # what the kernel knows of each geo's model
 
     def estimator(self, categories: int, has_eval: bool):
         raise NotImplementedError
 
-    def fit(self, history: DataFrame, lists: dict[str, list[str]]) -> None:
-        """Fit every geo. A geo that cannot be fitted is named in ``errors``; the others go on."""
+    def fit(self, history: DataFrame, lists: dict[str, list[str]], shared: TrainingRows | None = None) -> None:
+        """Fit every geo. A geo that cannot be fitted is named in ``errors``; the others go on.
+
+        ``shared`` keeps the encoded rows of ``history`` for further fits; whoever made it closes it.
+        """
         self.lists = lists
         self._read = {}
-        self.facts = geo_facts(history, lists)
+        self._keep = shared is not None
+        self._rows = shared or TrainingRows(history, lists)
+        self.facts = self._rows.facts
         spark = history.sparkSession
 
         def one(geo: str) -> None:
@@ -115,37 +164,27 @@ class FittedFamily:
             self.seconds[geo] = time.monotonic() - started
 
         side_by_side(spark, one, sorted(lists), self.parallelism)
+        self._rows = None
 
     def _fit_geo(self, history: DataFrame, geo: str) -> None:
         facts = self.facts.get(geo)
         if facts is None or len(facts.weight) < 2:
             raise ConfigError(f"Geo {geo} has no training rows of both classes")
-        features = self.lists[geo]
-        rows = training_rows(history, geo, features, facts)
-        coding = encoder(rows, features, facts, self.one_hot).fit(rows.filter(~F.col("is_eval")))
-        columns = ["features", "target", "is_eval", "class_weight"]
-        encoded = coding.transform(rows).select("EMP_ID", "YEAR_MONTH", *columns)
-        # A geo's rows are spread thinly over the store's files; every training round reads them
-        # again, so they are gathered once into even partitions of a size that suits the data. The
-        # order by key makes row sampling repeatable, also when a lost partition is built again.
-        self.slots[geo] = slots(encoded, features)
-        parts = facts.n_rows * len(self.slots[geo]) * 8 // PARTITION_BYTES + 1
-        key = ["EMP_ID", "YEAR_MONTH"]
-        encoded = encoded.repartition(parts, *key).sortWithinPartitions(*key).select(*columns)
-        encoded.persist(StorageLevel.MEMORY_AND_DISK)
         try:
+            coding, encoded, self.slots[geo] = self._rows.of(geo, self.one_hot)
             categories = max(
                 [len(labels) + 1 for s in coding.stages if isinstance(s, StringIndexerModel) for labels in s.labelsArray],
                 default=2,
             )
             model = self._fit_rows(encoded, categories, facts.has_eval, geo)
         finally:
-            encoded.unpersist()
+            if not self._keep:
+                self._rows.drop(geo)
         fitted = PipelineModel(stages=[*coding.stages, model])
         fitted.write().overwrite().save(self.model_path(geo))
         # what was stored is what is used; a training summary would drag the session into every task
         self.models[geo] = PipelineModel.load(self.model_path(geo))
-        self._save_state(rows.sparkSession, geo)
+        self._save_state(history.sparkSession, geo)
 
     def _fit_rows(self, encoded: DataFrame, categories: int, has_eval: bool, geo: str):
         raise NotImplementedError

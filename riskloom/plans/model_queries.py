@@ -23,7 +23,7 @@ from riskloom.operators.buckets import assign_bucket
 from riskloom.plans.backtest import backtest, top_weights
 from riskloom.plans.monthly import monthly_run
 from riskloom.plans.queries import MONTH, inputs, prepared, routed, test_rows, warehouse
-from riskloom.plans.tuning import pooled_challenger, search
+from riskloom.plans.tuning import pooled_challenger, search, search_rows
 from riskloom.sources import snapshots as snap
 from riskloom.sources.scratch import save_scratch, scratch_dir
 
@@ -265,8 +265,13 @@ def pooled_model(spark, sf):
 def hyper_search(spark, sf):
     """Rounds, depth and step; metrics of fewer rounds, read from the same trees, against a fit of so many rounds."""
     grid = [{"depth": depth, "step": step} for depth in (3, 5) for step in (0.05, 0.1)]
-    found = search(inputs(spark, sf), _models(spark), grid, [5, 10, 20], snap.TRAIN_END, snap.EVAL_END)
-    again = search(inputs(spark, sf), _models(spark), grid[:1], [5], snap.TRAIN_END, snap.EVAL_END)
+    given = inputs(spark, sf)
+    rows = search_rows(given, snap.TRAIN_END, snap.EVAL_END)
+    try:
+        found = search(given, _models(spark), grid, [5, 10, 20], snap.TRAIN_END, snap.EVAL_END, rows)
+        again = search(given, _models(spark), grid[:1], [5], snap.TRAIN_END, snap.EVAL_END, rows)
+    finally:
+        rows.close()
     met = found.join(again.select("geo", "params", F.col("log_loss").alias("loss"), F.col("roc_auc").alias("auc")), ["geo", "params"], "left")
     same = (F.abs(F.col("log_loss") - F.col("loss")) < CLOSE) & F.coalesce(F.abs(F.col("roc_auc") - F.col("auc")) < CLOSE, F.lit(True))
     valid = F.col("log_loss") > 0

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.models.families import TreeFamily
+from riskloom.models.families import TrainingRows, TreeFamily
 from riskloom.operators.evaluate import evaluate
 from riskloom.operators.routing import backtest_rows
 from riskloom.plans.inputs import Inputs
@@ -33,26 +33,42 @@ def pooled_challenger(inputs: Inputs, path: str, train_end: int, eval_end: int,
     return evaluate(scores.withColumn("model_family", F.lit("pooled")))
 
 
-def search(inputs: Inputs, path: str, grid: list[dict], rounds: list[int], train_end: int, eval_end: int) -> DataFrame:
+def search_rows(inputs: Inputs, train_end: int, eval_end: int) -> TrainingRows:
+    """The encoded TRAIN rows, for one or more searches; to be closed after them."""
+    rows = backtest_rows(inputs.features(), train_end, eval_end)
+    return TrainingRows(rows.filter(~F.col("is_eval")), inputs.checked_lists())
+
+
+def search(
+    inputs: Inputs, path: str, grid: list[dict], rounds: list[int], train_end: int, eval_end: int, shared: TrainingRows | None = None
+) -> DataFrame:
     """EVAL metrics per geo of each parameter set and number of rounds, best AUC first within a geo.
 
     Fits see TRAIN only, without early stopping, so that the EVAL months stay unseen. A set is fitted once,
     with the largest number of rounds; what fewer rounds would have said is read from the same trees, all
-    numbers in one pass over the EVAL rows.
+    numbers in one pass over the EVAL rows. All sets are fitted on the same encoded rows, those of ``shared``
+    (see ``search_rows``) if it is given.
     """
-    lists = inputs.checked_lists()
-    rows = backtest_rows(inputs.features(), train_end, eval_end)
-    train = rows.filter(~F.col("is_eval"))
-    held = rows.filter("is_eval").drop("is_eval")
-    rounds = sorted(rounds)
+    held = backtest_rows(inputs.features(), train_end, eval_end).filter("is_eval").drop("is_eval")
+    training = shared or search_rows(inputs, train_end, eval_end)
+    try:
+        scored = _scored(training, held, path, grid, sorted(rounds))
+    finally:
+        if not shared:
+            training.close()
+    trials = evaluate(reduce(DataFrame.unionByName, scored))
+    return trials.withColumnRenamed("model_family", "params").orderBy("geo", F.desc("roc_auc"))
+
+
+def _scored(training: TrainingRows, held: DataFrame, path: str, grid: list[dict], rounds: list[int]) -> list[DataFrame]:
+    """Written scores of the EVAL rows by each parameter set, for each number of rounds."""
     scored = []
     for number, params in enumerate(grid):
         family = TreeFamily(f"{path}/{number}", rounds=rounds[-1], early_stop=False, **params)
-        family.fit(train, lists)
+        family.fit(training.history, training.lists, training)
         family.raise_errors()
         labels = F.lit([json.dumps({**params, "rounds": n}, sort_keys=True) for n in rounds])
         staged = save_scratch(family.staged_scores(held, rounds), "staged")
         each = F.inline(F.arrays_zip(labels.alias("model_family"), F.col("risk_scores").alias("risk_score")))
         scored.append(staged.select("geo", "EMP_ID", "YEAR_MONTH", "target", each))
-    trials = evaluate(reduce(DataFrame.unionByName, scored))
-    return trials.withColumnRenamed("model_family", "params").orderBy("geo", F.desc("roc_auc"))
+    return scored

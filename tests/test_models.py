@@ -327,3 +327,21 @@ def test_fits_side_by_side_keep_their_own_properties(spark, tmp_path):
     family = Waiting(str(tmp_path))
     family.fit(numbers, {"AAA": ["pay"], "BBB": ["pay"]})
     assert family.errors == {} and seen == {"AAA": "AAA", "BBB": "BBB"}
+
+
+def test_sets_of_a_search_share_the_encoded_rows(spark, tmp_path, monkeypatch):
+    """A search read and encoded the training rows again for every set of parameters."""
+    from dataclasses import replace
+
+    from riskloom.models import families
+    from riskloom.plans.queries import inputs
+    from riskloom.plans.tuning import search
+
+    made, real = [], families.encoder
+    monkeypatch.setattr(families, "encoder", lambda *a: made.append(a) or real(*a))
+    given = inputs(spark, "/root/testdata/sf0.001")
+    one = replace(given, geo_config=given.geo_config.filter("GEO = 'EUR'"))
+    held = spark.sparkContext._jsc.getPersistentRDDs().size()
+    found = search(one, str(tmp_path), [{"depth": 1}, {"depth": 2}], [1], 199912, 200006)
+    assert found.count() == 2 and len(made) == 1
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() <= held
